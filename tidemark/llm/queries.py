@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op10_byte_bpe
+from .chunks import op6_substring_dedup
 from .decontaminate import op3_decontamination
+from .hmm import op1_hmm_score
+from .pages import op9_html_extraction
 from .quality import op2_quality
+from .unigram import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hmm_score": op1_hmm_score,
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
+    "op5_token_counts": op5_token_counts,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
