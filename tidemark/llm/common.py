@@ -73,6 +73,14 @@ def fold(id_col: Column, parts: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % parts
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id, as long, and the text: whatever else the input holds can't clash with an operator's columns."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """Only the id, as long, and the text: whatever else the input holds can't clash with an operator's columns. With carry,
+    all other columns travel in one struct, `carried`."""
+    rest = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
+    own = [docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")]
+    return docs.select(*own, *([F.struct(*rest).alias("carried")] if carry and rest else []))
+
+
+def uncarried(out: DataFrame, like: DataFrame) -> DataFrame:
+    """out's columns with those that texts() carried, as like has them: names, order and types of like."""
+    return out.select(*(F.col(c if c in ("doc_id", "text") else f"carried.{c}").cast(like.schema[c].dataType).alias(c) for c in like.columns))

@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         # Large star: u's larger neighbours, and u's parents, move to the smallest of u's neighbourhood.
         both = now.union(now.select("v", "u").toDF("u", "v"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Written, so that the join has two plain inputs and the rows of a large star's centre can be split among tasks.
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc")
         large = (
             now.select(F.col("v").alias("u"), F.col("u").alias("w"))
             .join(low, "u")

@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import ALNUM, map_batches, table, texts, written
 
@@ -141,7 +142,7 @@ def chunks_of(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> li
     return runs
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, item_words: int = ITEM_WORDS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, item_words: int = ITEM_WORDS, carry: bool = False) -> DataFrame:
     """One row for each row of docs: doc_id, text, n_words, hits (array of word spans [from, to)), items (sorted list of
     item ids as longs).
 
@@ -150,7 +151,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     an item without words, or without an id, is no item; repeated rows give repeated results. No shuffle.
     """
     spark = docs.sparkSession
-    out = texts(docs, id_col, text_col).select("*", F.expr("cast(array() as array<array<int>>)").alias("hits"), F.expr("cast(array() as array<bigint>)").alias("items"), F.lit(0).cast("long").alias("n_words"))
+    out = texts(docs, id_col, text_col, carry).select("*", F.expr("cast(array() as array<array<int>>)").alias("hits"), F.expr("cast(array() as array<bigint>)").alias("items"), F.lit(0).cast("long").alias("n_words"))
     runs = chunks_of(benchmark, item_id_col, item_text_col, item_words)
     for k, run in enumerate(runs):
         sent = spark.sparkContext.broadcast(run)
@@ -166,7 +167,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     n.append(len(words))
                     hits.append([list(x) for x in merge([*map(tuple, old), *spans])] if old else [list(x) for x in spans])
                     items.append(sorted(found | set(held)))
-                yield {"doc_id": cols["doc_id"], "text": cols["text"], "hits": hits, "items": items, "n_words": n}
+                yield cols | {"hits": hits, "items": items, "n_words": n}
 
             return step
 
@@ -194,8 +195,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_span: int = WINDOW,
 
     def make():
         def step(cols):
-            keep = {"doc_id": [], "text": [], "n_removed": []}
-            for i, text, n, hits in zip(cols["doc_id"], cols["text"], cols["n_words"], cols["hits"], strict=True):
+            keep = {"doc_id": [], "text": [], "n_removed": []} | ({"carried": []} if "carried" in cols else {})
+            for i, text, n, hits, more in zip(cols["doc_id"], cols["text"], cols["n_words"], cols["hits"], cols.get("carried", cols["doc_id"]), strict=True):
                 gone = sum(b - a for a, b in hits)
                 if gone > max_coverage * n:
                     continue
@@ -207,13 +208,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_span: int = WINDOW,
                         parts.append(raw[done : at[a][0]].rstrip(b" "))
                         done = at[b - 1][1]
                     text = b"".join([*parts, raw[done:]]).decode()
-                for k, v in (("doc_id", i), ("text", text), ("n_removed", gone)):
-                    keep[k].append(v)
+                for k, v in (("doc_id", i), ("text", text), ("n_removed", gone), ("carried", more)):
+                    if k in keep:
+                        keep[k].append(v)
             yield keep
 
         return step
 
-    return map_batches(found, make, "doc_id long, text string, n_removed long")
+    schema = StructType([f for f in found.schema if f.name in ("doc_id", "text", "carried")]).add("n_removed", "long")
+    return map_batches(found, make, schema)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

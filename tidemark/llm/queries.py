@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import op10_byte_bpe
 from .chunks import op6_substring_dedup
 from .decontaminate import op3_decontamination
+from .embeddings import op8_embedding_dedup
 from .hmm import op1_hmm_score
+from .jaccard import op4_ngram_jaccard
+from .lines import op7_line_dedup
 from .pages import op9_html_extraction
 from .quality import op2_quality
 from .unigram import op5_token_counts
@@ -18,8 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_score": op1_hmm_score,
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_token_counts": op5_token_counts,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -46,4 +52,49 @@ its AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op4_ngram_jaccard": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 4) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
+both_ways AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+reach(x, y) AS (SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(y), d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id, n.n""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, row_number() OVER () AS r FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL),
+p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(x, y) AS (SELECT x, y FROM p UNION SELECT reach.x, p.y FROM reach JOIN p ON reach.y = p.x)
+SELECT vec_id, coalesce((SELECT count(*) FROM p WHERE x = vec_id), 0) AS n_links,
+  least(vec_id, coalesce((SELECT min(y) FROM reach WHERE x = vec_id), vec_id)) AS component_id,
+  vec_id <= coalesce((SELECT min(y) FROM reach WHERE x = vec_id), vec_id) AS kept
+FROM embeddings""",
+    "op7_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, i, x, trim(x, ' ' || chr(9) || chr(13)) AS t
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE coalesce(text, '') <> '')),
+s AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS p, CAST('0x' || substr(md5(t), 1, 15) AS BIGINT) AS h
+  FROM l WHERE t <> ''),
+g AS (
+  SELECT doc_id, p, h, lag(h) OVER w AS before, lead(h, 2) OVER w AS after,
+    CASE WHEN lead(h) OVER w IS NOT NULL THEN CAST('0x' || substr(md5(CAST(h AS VARCHAR) || ':' || CAST(lead(h) OVER w AS VARCHAR)), 1, 15) AS BIGINT) END AS g
+  FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+c AS (SELECT *, lag(g) OVER w AS g0, lead(g) OVER w AS g1 FROM g WHERE g IS NOT NULL WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+f AS (SELECT * FROM c WHERE g < g1 OR g <= g0 OR (g0 IS NULL AND g1 IS NULL)),
+src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS k FROM f) WHERE k = 1),
+m AS (
+  SELECT f.doc_id, f.p - CASE WHEN f.before = src.before THEN 1 ELSE 0 END AS a, f.p + 1 + CASE WHEN f.after = src.after THEN 1 ELSE 0 END AS b
+  FROM f JOIN src ON f.g = src.g WHERE f.doc_id > src.doc_id OR f.doc_id = src.doc_id AND f.p > src.p),
+gone AS (SELECT DISTINCT m.doc_id, s.i FROM m JOIN s ON s.doc_id = m.doc_id AND s.p BETWEEN a AND b),
+k AS (
+  SELECT l.doc_id, string_agg(CASE WHEN gone.i IS NULL THEN l.x END, chr(10) ORDER BY l.i) AS t, count(*) AS n, count(gone.i) AS r
+  FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(r, 0) AS n_removed, sha256(coalesce(t, '')) AS text_sha256
+FROM documents d LEFT JOIN k USING (doc_id)""",
 }
