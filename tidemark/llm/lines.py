@@ -24,16 +24,17 @@ def with_lines(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    """doc_id, tag (of the text), fp, pos, before, after: the grams of lines with the lowest hash of their window (the last
-    one of equals), with the hashes of window - 1 lines on either side, the nearest first."""
+    """doc_id, tag (of the text), fp, pos, before, after, at: the grams of lines with the lowest hash of their window (the last
+    one of equals), with the hashes of window - 1 lines on either side, the nearest first, and all these lines' places."""
     side = window - 1
-    h = with_lines(docs.where("doc_id is not null")).select("doc_id", F.xxhash64("text").alias("tag"), F.expr(f"transform(solid, y -> {hashed('y.x')})").alias("h")).where(f"size(h) >= {gram}")
+    h = with_lines(docs.where("doc_id is not null")).select("doc_id", F.xxhash64("text").alias("tag"), F.expr(f"transform(solid, y -> struct({hashed('y.x')} as h, y.i as i))").alias("own"))
+    h = h.select("doc_id", "tag", F.expr("own.h").alias("h"), F.expr("own.i").alias("i")).where(f"size(h) >= {gram}")
     g = h.withColumn("g", F.expr(f"transform(sequence(0, size(h) - {gram}), i -> {hashed(f'''array_join(transform(slice(h, i + 1, {gram}), v -> cast(v as string)), ':')''')})"))
     # Last place of the minimum of each window; a text of fewer grams is one window.
     low = f"transform(sequence(0, greatest(size(g) - {window}, 0)), s -> s + size(slice(g, s + 1, {window})) - cast(array_position(reverse(slice(g, s + 1, {window})), array_min(slice(g, s + 1, {window}))) as int))"
     p = g.withColumn("pos", F.explode(F.expr(f"array_distinct({low})")))
     return p.select(
-        "doc_id", "tag", F.expr("g[pos]").alias("fp"), "pos", F.expr(f"reverse(slice(h, greatest(pos - {side}, 0) + 1, least(pos, {side})))").alias("before"), F.expr(f"slice(h, pos + {gram} + 1, {side})").alias("after")
+        "doc_id", "tag", F.expr("g[pos]").alias("fp"), "pos", F.expr(f"reverse(slice(h, greatest(pos - {side}, 0) + 1, least(pos, {side})))").alias("before"), F.expr(f"slice(h, pos + {gram} + 1, {side})").alias("after"), F.expr(f"slice(i, greatest(pos - {side}, 0) + 1, {gram + side} + least(pos, {side}))").alias("at"),
     )
 
 
@@ -43,7 +44,7 @@ def same_start(a: str, b: str, most: int) -> str:
 
 
 def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, tag, first, last, src_doc_id: runs of lines (numbers among lines that aren't blank) that occurred before.
+    """doc_id, tag, gone, src_doc_id: runs of lines (their places in the text, blank lines count) that occurred before.
 
     Positions of a chosen gram are joined to its first one, in the order of doc_id and line. A match is extended both ways by
     up to window - 1 lines: with window <= gram the chosen grams of a repeated run cover all of it but those.
@@ -58,7 +59,7 @@ def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_co
     met = p.join(first, "fp").where("doc_id > src.doc_id or doc_id = src.doc_id and pos > src.pos")
     side = max(window - 1, 0)
     back, on = (same_start(c, f"src.{c}", side) if side else "0" for c in ("before", "after"))
-    return met.select("doc_id", "tag", F.expr(f"pos - {back}").alias("first"), F.expr(f"pos + {gram - 1} + {on}").alias("last"), F.col("src.doc_id").alias("src_doc_id"))
+    return met.select("doc_id", "tag", F.expr(f"slice(at, least(pos, {side}) - {back} + 1, {back} + {gram} + {on})").alias("gone"), F.col("src.doc_id").alias("src_doc_id"))
 
 
 def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
@@ -70,13 +71,14 @@ def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col:
     are one document, none of them is later than the other; other columns are left out or, with carry, in a struct.
     """
     own = texts(docs, id_col, text_col, carry)
-    gone = repeated_runs(own, gram, window).groupBy("doc_id", "tag").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last")))).alias("gone"))
+    gone = repeated_runs(own, gram, window).groupBy("doc_id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
     cut = own.withColumn("tag", F.xxhash64("text")).join(gone, ["doc_id", "tag"], "left")
-    out = with_lines(cut).withColumn("places", F.expr("transform(gone, k -> solid[k].i)"))
-    return out.select(
+    # Places are a column of the join and the lines an argument: neither is computed again for each line.
+    lines = r"split(text, '\n', -1)"
+    return cut.select(
         "doc_id", *(["carried"] if "carried" in own.columns else []),
-        F.expr("if(gone is null, text, array_join(filter(lines, (x, i) -> not array_contains(places, i)), '\\n'))").alias("text"),
-        F.size("lines").cast("long").alias("n_lines"), F.expr("if(gone is null, 0L, cast(size(gone) as bigint))").alias("n_removed"),
+        F.expr(rf"if(gone is null, text, array_join(filter({lines}, (x, i) -> not array_contains(gone, i)), '\n'))").alias("text"),
+        F.expr(f"if(text is null or text = '', 0L, cast(size({lines}) as bigint))").alias("n_lines"), F.expr("if(gone is null, 0L, cast(size(gone) as bigint))").alias("n_removed"),
     )
 
 
