@@ -52,21 +52,33 @@ def chunked(docs: DataFrame) -> DataFrame:
 
     def make():
         def step(cols):
-            names = ("doc_id", "d1", "d2", "first", "at", "size", "words", "more")
-            out: dict = {n: [] for n in names}
+            out: dict = {n: [] for n in ("doc_id", "d1", "d2", "first", "at", "size", "words", "more")}
             for i, text in zip(cols["doc_id"], cols["text"], strict=True):
                 if not text or i is None:
                     continue
-                data, start, own = text.encode(), 0, {}
-                for k, end in enumerate(cuts(data)):
-                    piece = data[start:end]
-                    own.setdefault(piece, []).append((k, start))
-                    start = end
-                for piece, places in own.items():
-                    d = hashlib.blake2b(piece, digest_size=16).digest()
-                    row = (i, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), places[0][0], places[0][1], len(piece), piece.count(b" ") + piece.count(b"\n"), [x for p in places[1:] for x in p])
-                    for n, v in zip(names, row, strict=True):
-                        out[n].append(v)
+                data = text.encode()
+                end = cuts(data)
+                start = [0, *end[:-1]]
+                pieces = [data[a:b] for a, b in zip(start, end, strict=True)]
+                first = {p: k for k, p in zip(range(len(pieces) - 1, -1, -1), reversed(pieces), strict=True)}
+                more: dict[int, list[int]] = {}
+                if len(first) < len(pieces):
+                    for k, p in enumerate(pieces):
+                        if first[p] != k:
+                            more.setdefault(first[p], []).extend((k, start[k]))
+                k = np.array(sorted(first.values()))
+                digest = np.frombuffer(b"".join([hashlib.blake2b(pieces[j], digest_size=16).digest() for j in k.tolist()]), "<i8").reshape(-1, 2)
+                raw = np.frombuffer(data, np.uint8)
+                blank = np.concatenate([[0], np.cumsum((raw == 32) | (raw == 10))])
+                start_, end_ = np.array(start)[k], np.array(end)[k]
+                out["doc_id"] += [i] * len(k)
+                out["d1"] += digest[:, 0].tolist()
+                out["d2"] += digest[:, 1].tolist()
+                out["first"] += k.tolist()
+                out["at"] += start_.tolist()
+                out["size"] += (end_ - start_).tolist()
+                out["words"] += (blank[end_] - blank[start_]).tolist()
+                out["more"] += [more.get(j) for j in k.tolist()] if more else [None] * len(k)
             if out["doc_id"]:
                 yield out
 
@@ -94,7 +106,7 @@ def runs(gone: DataFrame, run_bytes: int, run_words: int) -> DataFrame:
     def join(key, own):
         places: dict[int, tuple[int, int, int, int]] = {}
         for src, first, at, size, words, more in zip(*(own.column(n).to_pylist() for n in ("src", "first", "at", "size", "words", "more")), strict=True):
-            for k, start in ((first, at), *zip(more[::2], more[1::2], strict=True)):
+            for k, start in ((first, at), *zip((more or [])[::2], (more or [])[1::2], strict=True)):
                 places[k] = (start, size, words, src)
         out: dict = {"doc_id": [], "src_doc_id": [], "start": [], "n_bytes": [], "n_words": []}
         last, run = -2, []

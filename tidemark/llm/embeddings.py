@@ -11,7 +11,7 @@ from .common import rows_of, table, written
 from .components import connected_components
 
 #: At a cosine of 0.93 two vectors agree in a bit with probability 0.88, in one of TABLES tables with 0.997.
-COSINE, BITS, TABLES, SEED, BLOCK = 0.93, 14, 32, 11, 512
+COSINE, BITS, TABLES, SEED, BLOCK = 0.93, 14, 32, 11, 256
 
 
 def planes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
@@ -41,52 +41,58 @@ def coded(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     return vectors.mapInArrow(run, "rep long, label long, vec binary, codes binary")
 
 
-def linked_blocks(members: DataFrame, cosine: float, block: int) -> DataFrame:
-    """For each two blocks of a bucket: how many links each vector has there (part n_links) and a forest of the links
-    (other not null). A pair counts in the first table in which it meets, so in all buckets together it counts once."""
+def linked_blocks(members: DataFrame, cosine: float) -> DataFrame:
+    """For each pack (whole small buckets, or two blocks of a large one): how many links each vector has there (part) and a
+    forest of the links (other not null). A pair counts in the first table in which it meets, so in all packs it counts once."""
 
-    def run(key, own):
-        t = own.column("t")[0].as_py()
-        first = key[3].as_py() == key[4].as_py()
+    def run(own):
+        own = own.sort_by([("label", "ascending"), ("t", "ascending"), ("code", "ascending"), ("side", "ascending")])
+        table_no = np.array(own.column("t").to_pylist())
         side = np.array(own.column("side").to_pylist())
-        rep = np.array(own.column("rep").to_pylist(), np.int64)
-        copies = np.array(own.column("copies").to_pylist(), np.int64)
-        vec = np.array([np.frombuffer(v) for v in own.column("vec").to_pylist()])
+        rep, copies = (np.array(own.column(c).to_pylist(), np.int64) for c in ("rep", "copies"))
+        vec = np.array([np.frombuffer(v) for v in own.column("vec").to_pylist()], dtype=object if len(set(map(len, own.column("vec").to_pylist()))) > 1 else None)
         codes = np.array([np.frombuffer(c, "<u4") for c in own.column("codes").to_pylist()])
-        a = np.flatnonzero(side == 0)
-        b = a if first else np.flatnonzero(side == 1)
-        links = np.zeros(len(rep), np.int64)
-        root = np.arange(len(rep))
+        names = list(zip(*(own.column(c).to_pylist() for c in ("label", "t", "code")), strict=True))
+        bucket = np.cumsum([0, *(a != b for a, b in zip(names, names[1:], strict=False))])
+        links, root = np.zeros(len(rep), np.int64), list(range(len(rep)))
         u, v = [], []
-        for at in range(0, len(a), 128):  # some rows against the block, so that memory has a bound
-            rows = a[at : at + 128]
-            close = np.einsum("ik,jk->ij", vec[rows], vec[b], optimize=True) >= cosine
-            if first:
-                close &= rows[:, None] < b[None, :]
-            i, j = np.nonzero(close)
-            i, j = rows[i], b[j]
-            if t:
-                new = ~(codes[i, :t] == codes[j, :t]).any(axis=1)
-                i, j = i[new], j[new]
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def meet(i, j):
+            close = np.array([a @ b for a, b in zip(vec[i], vec[j], strict=True)]) if vec.dtype == object else np.einsum("ik,ik->i", vec[i], vec[j])
+            keep = close >= cosine
+            i, j = i[keep], j[keep]
+            before = (codes[i] == codes[j]) & (np.arange(codes.shape[1]) < table_no[i][:, None])
+            keep = ~before.any(axis=1)
+            i, j = i[keep], j[keep]
             np.add.at(links, i, copies[j])
             np.add.at(links, j, copies[i])
             for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                while root[y] != y:
-                    root[y] = root[root[y]]
-                    y = root[y]
-                if x != y:
-                    root[max(x, y)] = min(x, y)
+                a, b = find(x), find(y)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
                     u.append(int(rep[x]))
                     v.append(int(rep[y]))
+
+        if side.any():  # two blocks of one bucket: each row of the one against the other
+            one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            for x in one:
+                meet(np.full(len(two), x), two)
+        else:  # neighbours at each distance within the sorted buckets
+            for lag in range(1, int(np.bincount(bucket).max())):
+                i = np.flatnonzero(bucket[lag:] == bucket[:-lag])
+                meet(i, i + lag)
         at = np.flatnonzero(links)
         return pa.table({
             "rep": pa.array([*rep[at].tolist(), *u], pa.int64()), "part": pa.array([*links[at].tolist(), *[0] * len(u)], pa.int64()), "other": pa.array([*[None] * len(at), *v], pa.int64()),
         })
 
-    return members.groupBy("label", "t", "code", "b1", "b2").applyInArrow(run, "rep long, part long, other long")
+    return members.groupBy("pack").applyInArrow(run, "rep long, part long, other long")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, tables: int = TABLES, seed: int = SEED, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -112,14 +118,18 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, t
     codes = written(coded(vec.select(F.col("node").alias("rep"), "label", "embedding"), bits, tables, seed), "codes")
     keyed = codes.select("rep", "label", F.length("vec").alias("len"), F.posexplode(F.expr(f"transform(sequence(0, {tables - 1}), t -> hex(substring(codes, 4 * t + 1, 4)))")).alias("t", "code"))
     keyed = keyed.withColumn("code", F.concat_ws("/", "code", "len"))
-    size = keyed.groupBy("label", "t", "code").agg(F.count("*").alias("size")).where("size > 1")
+    size = written(keyed.groupBy("label", "t", "code").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     # A bucket's vectors are dealt over its blocks by hash; pairs of blocks are groups of at most about two blocks.
     at = keyed.join(size, ["label", "t", "code"]).withColumn("blocks", F.ceil(F.col("size") / block)).withColumn("b", F.pmod(F.xxhash64("rep", "t"), F.col("blocks")))
     at = at.join(codes.select("rep", "vec", "codes"), "rep").join(vec.select(F.col("node").alias("rep"), "copies"), "rep")
     pairs = at.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "label", "t", "code", F.least("b", "o").alias("b1"), F.greatest("b", "o").alias("b2"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "rep", "copies", "vec", "codes"
+        "label", "t", "code", "blocks", F.least("b", "o").alias("b1"), F.greatest("b", "o").alias("b2"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "rep", "copies", "vec", "codes"
     )
-    found = written(linked_blocks(pairs, cosine, block), "links")
+    # Small buckets share a group, as many as make about `block` rows; a pair of blocks of a large one is a group.
+    packs = max(1, size.where(F.col("size") <= block).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] // block)
+    small = F.pmod(F.xxhash64("label", "t", "code"), F.lit(packs))
+    pairs = pairs.withColumn("pack", F.when(F.col("blocks") == 1, F.concat(F.lit("s"), small)).otherwise(F.concat_ws("/", "label", "t", "code", "b1", "b2"))).drop("b1", "b2", "blocks")
+    found = written(linked_blocks(pairs, cosine), "links")
     links = found.groupBy("rep").agg(F.sum("part").alias("links"))
     parts = connected_components(found.where("other is not null").select("rep", "other"))
     # Component ids are node numbers; the lowest vec_id of a component's nodes names it.
