@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 PRICES = ("open", "high", "low", "close")
 BLANKED = (*PRICES, "adjusted_close", "volume")
 # Fixed thresholds of the data model.
 SPIKE_LN, UNWIND, SPLICE_LN, GUARD_DAYS, GAP_DAYS, SPAN_BARS, LEVEL_LN, SEGMENT_BARS = 0.80, 0.15, 2.0, 5, 365, 5, 1.60, 5
 
-BY_DATE = Window.partitionBy("security_id").orderBy("date")
+
+def by_date():
+    return Window.partitionBy("security_id").orderBy("date")
 
 
 def date_floor(bars: DataFrame, floor: str) -> DataFrame:
@@ -32,8 +35,8 @@ def clamp_range(bars: DataFrame) -> DataFrame:
 
 def gap_segments(bars: DataFrame, days: int = GAP_DAYS) -> DataFrame:
     """seg: number of holes of more than `days` days before the row in its series. Rows without a date go."""
-    new = F.when(F.datediff("date", F.lag("date").over(BY_DATE)) > days, 1).otherwise(0)
-    return bars.where("date is not null").withColumn("_new", new).withColumn("seg", F.sum("_new").over(BY_DATE.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    new = F.when(F.datediff("date", F.lag("date").over(by_date())) > days, 1).otherwise(0)
+    return bars.where("date is not null").withColumn("_new", new).withColumn("seg", F.sum("_new").over(by_date().rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
 def listing_span(bars: DataFrame, days: int = GAP_DAYS, least: int = SPAN_BARS) -> DataFrame:
@@ -48,7 +51,7 @@ def listing_span(bars: DataFrame, days: int = GAP_DAYS, least: int = SPAN_BARS)
 
 def isolated_prints(bars: DataFrame, spike: float = SPIKE_LN, unwind: float = UNWIND) -> DataFrame:
     """Bars whose adjusted close jumps and is back on the next printing bar."""
-    p = bars.where("adjusted_close > 0").withColumns({"prev": F.lag("adjusted_close").over(BY_DATE), "next": F.lead("adjusted_close").over(BY_DATE)})
+    p = bars.where("adjusted_close > 0").withColumns({"prev": F.lag("adjusted_close").over(by_date()), "next": F.lead("adjusted_close").over(by_date())})
     jump = F.abs(F.ln(F.col("adjusted_close") / F.col("prev")))
     return p.where((jump > spike) & (F.abs(F.ln(F.col("next") / F.col("prev"))) < unwind * jump))
 
@@ -81,7 +84,7 @@ def neutralize_prints(bars: DataFrame, spike: float = SPIKE_LN, unwind: float =
         return pdf[names]
 
     some = isolated_prints(bars, spike, unwind).select("security_id").distinct()
-    dirty = bars.join(some, "security_id", "left_semi").groupBy("security_id").applyInPandas(settle, bars.schema)
+    dirty = bars.join(some, "security_id", "left_semi").groupBy("security_id").applyInPandas(settle, StructType([StructField(f.name, f.dataType) for f in bars.schema]))
     return bars.join(some, "security_id", "left_anti").unionByName(dirty)
 
 
@@ -93,7 +96,7 @@ def guard_days(splits: DataFrame, days: int = GUARD_DAYS) -> DataFrame:
 
 def splice_cut(bars: DataFrame, splits: DataFrame, jump: float = SPLICE_LN) -> DataFrame:
     """Bars before the first unexplained break of the adjusted close in their series."""
-    p = bars.where("adjusted_close > 0").select("security_id", "date", F.abs(F.ln("adjusted_close") - F.ln(F.lag("adjusted_close").over(BY_DATE))).alias("move")).where(F.col("move") > jump)
+    p = bars.where("adjusted_close > 0").select("security_id", "date", F.abs(F.ln("adjusted_close") - F.ln(F.lag("adjusted_close").over(by_date()))).alias("move")).where(F.col("move") > jump)
     cut = p.join(guard_days(splits), ["security_id", "date"], "left_anti").groupBy("security_id").agg(F.min("date").alias("_cut"))
     return bars.join(cut, "security_id", "left").where("_cut is null or date < _cut").select(*bars.columns)
 
@@ -120,32 +123,33 @@ def admissible(panel: DataFrame) -> DataFrame:
 
 def reversal_flags(panel: DataFrame, spike: float = SPIKE_LN, revert: float = UNWIND) -> DataFrame:
     """bad: the bar belongs to a jump of `spike` or more that is back within three bars. Judged on the series as it was."""
-    y = {f"_y{k}": F.lead("_y", k).over(BY_DATE) for k in (1, 2, 3)} | {"_p": F.lag("_y").over(BY_DATE)}
+    y = {f"_y{k}": F.lead("_y", k).over(by_date()) for k in (1, 2, 3)} | {"_p": F.lag("_y").over(by_date())}
     r = F.abs(F.col("_y") - F.col("_p"))
     reach = F.lit(0)
     for k in (3, 2, 1):
         reach = F.when(F.abs(F.col(f"_y{k}") - F.col("_p")) < revert * r, k).otherwise(reach)
     out = panel.withColumn("_y", F.ln("adj")).withColumns(y).withColumn("_reach", F.when(r >= spike, reach).otherwise(0))
-    bad = (F.col("_reach") > 0) | (F.lag("_reach", 1, 0).over(BY_DATE) > 1) | (F.lag("_reach", 2, 0).over(BY_DATE) > 2)
+    bad = (F.col("_reach") > 0) | (F.lag("_reach", 1, 0).over(by_date()) > 1) | (F.lag("_reach", 2, 0).over(by_date()) > 2)
     return out.withColumn("bad", bad).select(*panel.columns, "bad")
 
 
 def level_segments(panel: DataFrame, level: float = LEVEL_LN, days: int = GAP_DAYS) -> DataFrame:
     """seg: a new one at each level break or gap."""
-    new = (F.abs(F.ln("adj") - F.ln(F.lag("adj").over(BY_DATE))) > level) | (F.datediff("date", F.lag("date").over(BY_DATE)) > days)
-    return panel.withColumn("_new", F.when(new, 1).otherwise(0)).withColumn("seg", F.sum("_new").over(BY_DATE.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    new = (F.abs(F.ln("adj") - F.ln(F.lag("adj").over(by_date()))) > level) | (F.datediff("date", F.lag("date").over(by_date())) > days)
+    return panel.withColumn("_new", F.when(new, 1).otherwise(0)).withColumn("seg", F.sum("_new").over(by_date().rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-SEGMENT = Window.partitionBy("security_id", "seg")
+def segment():
+    return Window.partitionBy("security_id", "seg")
 
 
 def long_segments(panel: DataFrame, least: int = SEGMENT_BARS) -> DataFrame:
-    return panel.withColumn("_n", F.count("*").over(SEGMENT)).where(F.col("_n") >= least).drop("_n")
+    return panel.withColumn("_n", F.count("*").over(segment())).where(F.col("_n") >= least).drop("_n")
 
 
 def centred(panel: DataFrame) -> DataFrame:
     """y: log price less its mean over the segment."""
-    return panel.withColumn("y", F.ln("adj") - F.avg(F.ln("adj")).over(SEGMENT))
+    return panel.withColumn("y", F.ln("adj") - F.avg(F.ln("adj")).over(segment()))
 
 
 def trend_panel(panel: DataFrame) -> DataFrame:

@@ -241,9 +241,9 @@ def _(i):
     return rounded(trend.trend_scan(calm(i), scale=True).select("security_id", "date", *(f"sd_{L}" for L in trend.RUNGS)))
 
 
-def ffd_sql(zero: bool) -> str:
+def ffd_sql(zero: bool, digits: int = 6) -> str:
     w, _ = trend.weights(0.4, 1e-2, zero_sum=zero)
-    return "SELECT security_id, date, round(" + " + ".join(f"({x!r}e0) * lag(y, {k}) OVER w".replace("e-05e0", "e-05") for k, x in enumerate(w)) + f", 6) + 0.0 AS ffd FROM ({CALM}) q WINDOW w AS (PARTITION BY security_id ORDER BY date)"
+    return "SELECT security_id, date, round(" + " + ".join(f"({x!r}e0) * lag(y, {k}) OVER w".replace("e-05e0", "e-05") for k, x in enumerate(w)) + f", {digits}) + 0.0 AS ffd FROM ({CALM}) q WINDOW w AS (PARTITION BY security_id ORDER BY date)"
 
 
 @query("d02_fractional_difference", ffd_sql(True))
@@ -261,7 +261,7 @@ def _(i):
     return rounded(cut.select("security_id", "date", (F.col("ffd") - leak * F.lag("y", len(w) - 1).over(by)).alias("ffd")))
 
 
-@query("d11_memory_correlation", f"SELECT security_id, round(corr(ffd, y), 6) AS memory, count(ffd) AS n FROM (SELECT f.security_id, f.ffd, c.y FROM ({ffd_sql(True).replace('round(', '(').replace(', 6)', ')')}) f JOIN ({CALM}) c USING (security_id, date)) q GROUP BY security_id")
+@query("d11_memory_correlation", f"SELECT security_id, round(corr(ffd, y), 6) AS memory, count(ffd) AS n FROM (SELECT f.security_id, f.ffd, c.y FROM ({ffd_sql(True, 15)}) f JOIN ({CALM}) c USING (security_id, date)) q GROUP BY security_id")
 def _(i):
     return rounded(trend.differenced(calm(i), 0.4).where("ffd is not null").groupBy("security_id").agg(F.corr("ffd", "y").alias("memory"), F.count("ffd").alias("n")))
 
