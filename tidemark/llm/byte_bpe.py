@@ -19,7 +19,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int64(1 << 40)
 #: A match of more bytes is merged with a heap, for a round per merge would take the square of its length. Same result.
 LONG = 1024
-CELLS, CACHED, MOST_RANK_BYTES = 1 << 20, 400_000, 64 << 20
+CELLS, CACHED, MOST_RANK_BYTES = 1 << 20, 200_000, 64 << 20
 
 
 class BytePairs:

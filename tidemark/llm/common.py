@@ -60,7 +60,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict
     return df.mapInArrow(run, kind)
 
 
-def rows_of(batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def rows_of(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about `most` bytes, so that Python never holds many long texts at once."""
     n = batch.num_rows
     step = max(1, min(n, int(n * most / max(batch.nbytes, 1)))) if n else 1

@@ -21,7 +21,7 @@ FREQUENT, KNOWN, STATES, ROUNDS = 4096, 1 << 18, 6, 3
 FOLDS, HELD = 7, 2
 #: Training follows texts in pieces of so many tokens, each begun from the state shares; scores follow whole texts.
 PIECE = 512
-CACHED, CELLS = 400_000, 1 << 20
+CACHED, CELLS = 200_000, 1 << 20
 #: No word holds a blank, so this is no word.
 END = b"\n"
 LOG10 = np.log(10)

@@ -13,7 +13,7 @@ from .components import connected_components
 
 #: Shingles of N words; similarity of LINK per cent or more; documents in a block.
 N, LINK, BLOCK = 4, 85, 128
-CACHED = 400_000
+CACHED = 200_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ DIM_BITS = 18
 #: At most so many labelled rows are fitted, those with the lowest hash of their id; all rows are scored.
 SAMPLE = 20_000
 SHARDS, EPOCHS, THRESHOLD, FOLDS = 8, 5, 0.3, 5
-CACHED = 500_000
+CACHED = 200_000
 _LETTERS, _DIGIT, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(.)\1+")
 
 _hash = xxhash.xxh3_64_intdigest
@@ -118,26 +119,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id")
 
-    def fit(batches):
-        import pyarrow as pa
-
+    def fit(own):
         model, features = Ftrl(), Features()
-        # A shard holds sample / shards slot arrays; texts go as soon as they are hashed.
-        seen = []
-        for batch in batches:
-            for i, text, label in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "text", "label")), strict=True):
-                seen.append((xxhash.xxh3_64_intdigest(str(i)), [g.astype(np.int32) for g in features(text)], label))
-        seen.sort(key=lambda x: (x[0], x[2], sum(map(len, x[1]))))
+        # A share of a bounded sample; texts are hashed at once.
+        seen = [
+            (xxhash.xxh3_64_intdigest(str(i)), label, [g.astype(np.int32) for g in features(text)])
+            for i, text, label in zip(*(own.column(k).to_pylist() for k in ("doc_id", "text", "label")), strict=True)
+        ]
+        seen.sort(key=lambda x: (x[0], x[1], sum(map(len, x[2]))))
         for epoch in range(epochs):
-            for _, grams, label in seen[:: -1 if epoch % 2 else 1]:
+            for _, label, grams in seen[:: -1 if epoch % 2 else 1]:
                 model.learn(grams, label)
-        if seen:
-            w = model.weights()
-            at = np.flatnonzero(w)
-            yield pa.RecordBatch.from_pydict({"slot": pa.array(at.astype(np.int32)), "w": pa.array(w[at])})
-        yield pa.RecordBatch.from_pydict({"slot": pa.array([-1], pa.int32()), "w": pa.array([1.0 if seen else 0.0])})
+        w = model.weights()
+        at = np.flatnonzero(w)
+        return pa.table({"slot": pa.array([-1, *at.tolist()], pa.int32()), "w": pa.array([1.0, *w[at].tolist()])})
 
-    fitted = rows.repartition(shards, F.xxhash64("doc_id")).mapInArrow(fit, "slot int, w double")
+    # As many groups as shards, however many partitions there are.
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
+    fitted = rows.groupBy(shard).applyInArrow(fit, "slot int, w double")
     out = np.zeros((1 << DIM_BITS) + 1)
     sums = {r.slot: r.w for r in fitted.groupBy("slot").agg(F.sum("w").alias("w")).collect()}  # at most 2^18 + 2 rows
     for slot, w in sums.items():

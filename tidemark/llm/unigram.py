@@ -15,7 +15,7 @@ PIECES = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Log probability of a piece by its rank r: -log(r + OFFSET). A byte of a character without a piece is one token.
 OFFSET, BYTE_SCORE = 10.0, -30.0
-CACHED, MOST_MODEL_BYTES = 500_000, 64 << 20
+CACHED, MOST_MODEL_BYTES = 250_000, 64 << 20
 
 
 @lru_cache(maxsize=2)
