@@ -271,3 +271,21 @@ both("w09_drawdown", "SELECT security_id, date, round(close / max(close) OVER (P
 both("w13_trailing_volume", "SELECT asset, date, round(avg(dollar_volume) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 3) AS dv3 FROM {wide}")
 both("w10_last_known", "SELECT security_id, date, last_value(close) IGNORE NULLS OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM (SELECT security_id, date, CASE WHEN close > 0 THEN close END AS close FROM {bars_dirty}) q",
      "SELECT security_id, date, last_value(close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM (SELECT security_id, date, CASE WHEN close > 0 THEN close END AS close FROM {bars_dirty}) q")
+
+
+@query("q16_factors_valid", f"SELECT *, CASE WHEN invalid = 0 AND not_one = 0 THEN 'PASS' ELSE 'FAIL' END AS level FROM (SELECT count_if(price_factor IS NULL OR price_factor <= 0) AS invalid, count_if(date = last AND abs(price_factor - 1) > 1e-9) AS not_one FROM (SELECT *, max(date) OVER (PARTITION BY security_id) AS last FROM ({FACTORS}) q) q) q")
+def _(i):
+    f = factors.adjustment_factors(i.bars, i.splits, i.dividends)
+    latest = f.groupBy("security_id").agg(F.max_by("price_factor", "date").alias("latest")).agg(F.count_if(F.abs(F.col("latest") - 1) > 1e-9).alias("not_one"))
+    out = f.agg(F.count_if(F.col("price_factor").isNull() | (F.col("price_factor") <= 0)).alias("invalid")).crossJoin(latest)
+    return out.withColumn("level", F.when((F.col("invalid") == 0) & (F.col("not_one") == 0), "PASS").otherwise("FAIL"))
+
+
+@query("e07_tent_weighted_return", "SELECT security_id, date, round(" + " + ".join(f"{j * (21 - j)} * lag(r, {j - 1}) OVER w" for j in range(1, 21)) + f", 5) + 0.0 AS tent FROM (SELECT security_id, date, y - lag(y) OVER (PARTITION BY security_id ORDER BY date) AS r FROM ({CALM}) q) q WINDOW w AS (PARTITION BY security_id ORDER BY date)")
+def _(i):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("security_id").orderBy("date")
+    own = calm(i).withColumn("r", F.col("y") - F.lag("y").over(w))
+    total = sum((j * (21 - j) * F.lag("r", j - 1).over(w) for j in range(2, 21)), 20 * F.col("r"))
+    return rounded(own.select("security_id", "date", total.alias("tent")), 5)
