@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,17 +130,18 @@ class Automaton:
         return merged, items
 
 
-def chunks_of(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> list[list[tuple[int, list[bytes]]]]:
-    """The items in runs of at most `most` words or one item, read by the driver run by run."""
-    runs, words = [[]], 0
+def runs_of(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """The items in runs of at most `most` words or one item; the driver holds one run at a time. Without items, one empty run."""
+    run, words = [], 0
     rows = benchmark.select(benchmark[id_col].cast("long"), benchmark[text_col].cast("string")).where(F.col(text_col).isNotNull())
     for item, text in rows.toLocalIterator():
         if (own := words_of(text)) and item is not None:
-            if runs[-1] and words + len(own) > most:
-                runs, words = [*runs, []], 0
-            runs[-1].append((item, own))
+            if run and words + len(own) > most:
+                yield run
+                run, words = [], 0
+            run.append((item, own))
             words += len(own)
-    return runs
+    yield run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, item_words: int = ITEM_WORDS, carry: bool = False) -> DataFrame:
@@ -152,8 +154,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     out = texts(docs, id_col, text_col, carry).select("*", F.expr("cast(array() as array<array<int>>)").alias("hits"), F.expr("cast(array() as array<bigint>)").alias("items"), F.lit(0).cast("long").alias("n_words"))
-    runs = chunks_of(benchmark, item_id_col, item_text_col, item_words)
-    for k, run in enumerate(runs):
+    for k, run in enumerate(runs_of(benchmark, item_id_col, item_text_col, item_words)):
+        if k:
+            out = written(out, "hits")
         sent = spark.sparkContext.broadcast(run)
 
         def make(sent=sent):
@@ -172,8 +175,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             return step
 
         out = map_batches(out, make, out.schema)
-        if k + 1 < len(runs):
-            out = written(out, "hits")
     return out
 
 
