@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, decontaminate, jaccard, lines, quality
 from tidemark.llm.common import table, uncarried, written
 
+#: The near-duplicate stage: shingles of five words, similarity of 80 per cent or more.
+NEAR_WORDS, NEAR_LINK = 5, 80
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled ones among docs, gives a score under the threshold go."""
@@ -23,7 +26,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The lowest id of each group of near-duplicates stays; documents with a null id stay."""
-    gone = jaccard.near_documents(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = jaccard.near_documents(docs, NEAR_WORDS, NEAR_LINK).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

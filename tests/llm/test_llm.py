@@ -189,31 +189,53 @@ def test_jaccard_edges(spark, odd):
     assert out == {(1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 1, None), (4, 1, 4), (5, 2, 5), (6, 2, 6)}
 
 
-def test_jaccard_small_blocks(spark):
+def near_rows(size, most):
+    """60 texts of `size` words, each with fewer than `most` of them changed."""
     rng = np.random.default_rng(3)
-    base = [f"w{k}" for k in range(120)]
+    base = [f"w{k}" for k in range(size)]
     rows = []
     for i in range(60):
         words = list(base)
-        for at in rng.integers(0, 120, rng.integers(0, 4)):
+        for at in rng.integers(0, size, rng.integers(0, most)):
             words[at] = f"e{i}{at}"
         rows.append((i, " ".join(words)))
-    sets = [set(tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)) for _, t in rows]
-    parent = list(range(60))
+    return rows
+
+
+def brute_components(rows, n, link):
+    sets = [set(tuple(t.split()[k : k + n]) for k in range(len(t.split()) - n + 1)) for _, t in rows]
+    parent = list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a in range(60):
+    for a in range(len(rows)):
         for b in range(a):
-            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if 100 * len(sets[a] & sets[b]) >= link * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in range(len(rows))}
+
+
+def test_jaccard_small_blocks(spark):
+    rows = near_rows(120, 4)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for block in (7, 128):
-        assert {r.doc_id: r.component_id for r in jaccard.near_documents(df, block=block).collect()} == {i: find(i) for i in range(60)}
+        assert {r.doc_id: r.component_id for r in jaccard.near_documents(df, block=block).collect()} == brute_components(rows, 4, 85)
+
+
+@pytest.mark.parametrize("most", [2, 3, 6])
+def test_near_stage_takes_five_words_and_80_per_cent(spark, most):
+    import corpus_pipeline
+
+    # One changed word of 50 leaves a similarity of 41 in 51 or more, which 4 words and 85 per cent would not link.
+    rows = near_rows(50, most)
+    df = spark.createDataFrame([*rows, (None, rows[0][1]), (60, None), (61, "")], "doc_id long, text string")
+    want = {i for i, low in brute_components(rows, 5, 80).items() if i == low} | {None, 60, 61}
+    out = corpus_pipeline.drop_near(spark, df, "")
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == want
 
 
 def test_components(spark):
