@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .common import rows_of, table, texts, written
 from .components import connected_components
 
-#: Shingles of N words; similarity of LINK per cent or more; documents in a block.
-N, LINK, BLOCK = 4, 85, 128
+#: Shingles of N words; similarity of LINK per cent or more; documents in a block, and shingles of them all.
+N, LINK, BLOCK, BLOCK_SHINGLES = 4, 85, 1024, 1 << 18
 CACHED = 200_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -226,16 +226,18 @@ def near_documents(docs: DataFrame, n: int = N, link: int = LINK, block: int = B
 
 
 def placed(member: DataFrame, block: int) -> DataFrame:
-    """member (group, size, rep) with its block b: blocks of about `block` documents of a group in the order of size."""
+    """member (group, size, rep) with its block b: blocks of about `block` documents, or BLOCK_SHINGLES shingles where that is
+    fewer, of a group in the order of size. A set travels once for each block it meets, so small sets make blocks of many."""
+    places = F.ceil(F.col("size") * block / BLOCK_SHINGLES)
     sizes = member.groupBy("group", "size").agg(F.count("*").alias("n"))
     # Cumulated over the distinct sizes of a group, not over its documents.
     from pyspark.sql import Window
 
     w = Window.partitionBy("group").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    before = sizes.withColumn("before", F.coalesce(F.sum(F.col("n") * places).over(w), F.lit(0)))
     # Documents of one size are spread over the blocks that the size covers, by hash.
     at = member.join(before, ["group", "size"])
-    return at.withColumn("b", F.floor((F.col("before") + F.pmod(F.xxhash64("rep"), F.col("n"))) / block)).select("group", "size", "rep", "b")
+    return at.withColumn("b", F.floor((F.col("before") + F.pmod(F.xxhash64("rep"), F.col("n")) * places) / block)).select("group", "size", "rep", "b")
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
