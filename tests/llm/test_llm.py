@@ -219,6 +219,22 @@ def brute_components(rows, n, link):
     return {i: find(i) for i in range(len(rows))}
 
 
+@pytest.mark.parametrize("link", [80, 85])
+def test_linked_sets_share_a_key(link):
+    rng = np.random.default_rng(5)
+    for size in [*range(1, 30), 60, 150, 400]:
+        for _ in range(20):
+            one = np.unique(rng.integers(1, 1 << 63, size, dtype=np.int64).astype(np.uint64))
+            two = one
+            while True:  # as far apart as a link allows
+                then = np.delete(two, rng.integers(len(two))) if rng.random() < 0.5 and len(two) > 1 else np.append(two, np.uint64(rng.integers(1, 1 << 63)))
+                both = len(np.intersect1d(one, then))
+                if 100 * both < link * (len(one) + len(then) - both):
+                    break
+                two = then
+            assert len(np.intersect1d(jaccard.keys(one, jaccard.Classes(link)), jaccard.keys(np.unique(two), jaccard.Classes(link))))
+
+
 def test_jaccard_small_blocks(spark):
     rows = near_rows(120, 4)
     df = spark.createDataFrame(rows, "doc_id long, text string")

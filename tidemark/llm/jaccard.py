@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import rows_of, table, texts, written
@@ -14,7 +14,10 @@ from .components import connected_components
 #: Shingles of N words; similarity of LINK per cent or more; documents in a block, and shingles of them all.
 N, LINK, BLOCK, BLOCK_SHINGLES = 4, 85, 1024, 1 << 18
 CACHED = 200_000
+#: Dealings of a set over parts, until one leaves few parts empty.
+DEALS = 32
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_LOG = 1_000_000_000
 
 
 class Shingles:
@@ -71,21 +74,29 @@ class Classes:
 
 
 def keys(own: np.ndarray, classes: Classes) -> np.ndarray:
-    """A 64-bit key for each part of the set, in its size's class and in the one below, where it can be the larger one."""
+    """A 64-bit key for each part of the set that isn't empty, in its size's class and in the one below, where it can be the
+    larger one.
+
+    With more than `most` full parts, one of the parts that are equal in a linked set is full. A set with fewer has the keys of
+    another dealing too, and so on up to its first good one: of two sets that link both have the keys of the earlier one's. Empty
+    parts, which sets without anything in common share, are keys only where no dealing is good."""
     k = classes.at(len(own))
     out = []
     for c in (k, k - 1):
         if c < 0:
             continue
         parts, most = classes.parts[c], classes.most[c]
-        part = (own >> np.uint64(11)) % np.uint64(parts)
-        # The sum of mixed hashes is the digest of a part's set.
-        total = np.zeros(parts, np.uint64)
-        np.add.at(total, part.astype(np.int64), mixed(own ^ np.uint64(0x5851F42D4C957F2D)))
-        full = np.bincount(part.astype(np.int64), minlength=parts) > 0
-        # parts - most of them are equal; if empty ones could be all of these, empty ones are keys as well.
-        use = np.flatnonzero(full) if parts - full.sum() < parts - most else np.arange(parts)
-        out.append(mixed(total[use] * _MUL + mixed(use.astype(np.uint64) * np.uint64(2654435761) + np.uint64(c << 40))))
+        for deal in range(DEALS):
+            part = ((mixed(own + np.uint64(deal * int(_MUL) % (1 << 64))) if deal else own) >> np.uint64(11)) % np.uint64(parts)
+            full = np.bincount(part.astype(np.int64), minlength=parts) > 0
+            good = full.sum() > most
+            # The sum of mixed hashes is the digest of a part's set.
+            total = np.zeros(parts, np.uint64)
+            np.add.at(total, part.astype(np.int64), mixed(own ^ np.uint64(0x5851F42D4C957F2D)))
+            use = np.flatnonzero(full) if good or deal < DEALS - 1 else np.arange(parts)
+            out.append(mixed(total[use] * _MUL + mixed(use.astype(np.uint64) * np.uint64(2654435761) + np.uint64((c << 40) + (deal << 56)))))
+            if good:
+                break
     return np.concatenate(out)
 
 
@@ -183,8 +194,8 @@ def near_documents(docs: DataFrame, n: int = N, link: int = LINK, block: int = B
     1. Documents with equal sets become one, the lowest id (partial minima, so thousands of copies are no hot group).
     2. Shingles are dealt over parts, as many as the size allows differences; sets that link have an equal part. Documents
        hang on the lowest id of each of their parts, which gives groups of candidates as components.
-    3. Each group, in pairs of blocks of documents in the order of size, is multiplied with itself; block pairs whose sizes
-       exclude a link are left out. Only a forest of the true links leaves a task, never all pairs.
+    3. Each group, in pairs of blocks of documents in the order of size, is multiplied with itself; a document only
+       meets blocks whose sizes allow a link. Only a forest of the true links leaves a task, never all pairs.
     4. Components of those links.
     Null, empty and blank texts have no shingles and link with nothing, neither do null ids (component null). Rows that share
     an id are one node: each of their texts links. Other columns are ignored.
@@ -201,19 +212,12 @@ def near_documents(docs: DataFrame, n: int = N, link: int = LINK, block: int = B
     groups = connected_components(hung)
     member = same.withColumn("node", F.xxhash64("d1", "d2")).join(groups.withColumnRenamed("component", "group"), "node")
     # The place of a document in its group by size; groups are counted in parts, for a window would take one to one task.
-    member = written(placed(member, block), "members")
-    span = member.groupBy("group", "b").agg(F.min("size").alias("least"), F.max("size").alias("most"))
-    left, right = (span.select("group", *(F.col(c).alias(c + k) for c in ("b", "least", "most"))) for k in "12")
-    twos = left.join(right, "group").where("b1 <= b2").where(F.col("least2") * link <= F.col("most1") * 100)
-    twos = twos.select("group", "b1", "b2")
-    needed = member.select(F.col("rep").alias("doc_id")).distinct()
-    sets = with_sets(own.join(needed, "doc_id", "left_semi"), n)
-    sets = sets.withColumn("digest", F.xxhash64("set"))
-    sets = sets.dropDuplicates(["doc_id", "digest"]).drop("digest")
-    placed_sets = written(member.select(F.col("rep").alias("doc_id"), "group", "b", "size").join(sets, "doc_id").where(F.length("set") == F.col("size") * 8), "placed")
-    one = placed_sets.join(twos.withColumn("b", F.col("b1")), ["group", "b"]).withColumn("side", F.lit(0))
-    two = placed_sets.join(twos.where("b1 < b2").withColumn("b", F.col("b2")), ["group", "b"]).withColumn("side", F.lit(1))
-    both = one.unionByName(two).select("group", "b1", "b2", "side", "doc_id", "set")
+    member = written(placed(member, block, link), "members").withColumnRenamed("rep", "doc_id")
+    sets = with_sets(own.join(member.select("doc_id").distinct(), "doc_id", "left_semi"), n)
+    # One shuffle of the sets serves both the repeated rows and the join.
+    sets = sets.withColumn("digest", F.xxhash64("set")).repartition("doc_id").dropDuplicates(["doc_id", "digest"]).drop("digest")
+    met = member.join(sets, "doc_id").where(F.length("set") == F.col("size") * 8).withColumn("o", F.explode(F.sequence("from", "to")))
+    both = met.select("group", F.least("b", "o").alias("b1"), F.greatest("b", "o").alias("b2"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "doc_id", "set")
     links = written(product_links(both, link), "links")
     # Copies take their representative's component. An id with several different sets ties those together.
     ties = full.select("doc_id", "d1", "d2").distinct().join(same.select("d1", "d2", "rep"), ["d1", "d2"]).groupBy("doc_id").agg(F.collect_set("rep").alias("reps"))
@@ -225,19 +229,24 @@ def near_documents(docs: DataFrame, n: int = N, link: int = LINK, block: int = B
     return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def placed(member: DataFrame, block: int) -> DataFrame:
-    """member (group, size, rep) with its block b: blocks of about `block` documents, or BLOCK_SHINGLES shingles where that is
-    fewer, of a group in the order of size. A set travels once for each block it meets, so small sets make blocks of many."""
+def placed(member: DataFrame, block: int, link: int) -> DataFrame:
+    """member (group, size, rep) with its block b and the blocks `from`, `to` between which all documents lie whose sizes allow
+    a link: blocks of about `block` documents, or BLOCK_SHINGLES shingles where that is fewer, of a group in the order of size.
+    A set travels once for each block it meets, so small sets make blocks of many."""
     places = F.ceil(F.col("size") * block / BLOCK_SHINGLES)
-    sizes = member.groupBy("group", "size").agg(F.count("*").alias("n"))
     # Cumulated over the distinct sizes of a group, not over its documents.
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("group").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.withColumn("before", F.coalesce(F.sum(F.col("n") * places).over(w), F.lit(0)))
+    sizes = member.groupBy("group", "size").agg(F.count("*").alias("n")).withColumn("places", F.col("n") * places)
+    by_size = Window.partitionBy("group").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = sizes.withColumn("end", F.sum("places").over(by_size)).withColumn("before", F.col("end") - F.col("places"))
+    # Sizes that allow a link are a range of logarithms, here whole numbers with one to spare for rounding.
+    far = int(np.log(100 / link) * _LOG) + 2
+    by_log = Window.partitionBy("group").orderBy("log")
+    sizes = sizes.withColumn("log", F.floor(F.log("size") * _LOG))
+    sizes = sizes.withColumn("from", F.floor(F.min("before").over(by_log.rangeBetween(-far, 0)) / block)).withColumn("to", F.floor((F.max("end").over(by_log.rangeBetween(0, far)) - 1) / block))
     # Documents of one size are spread over the blocks that the size covers, by hash.
-    at = member.join(before, ["group", "size"])
-    return at.withColumn("b", F.floor((F.col("before") + F.pmod(F.xxhash64("rep"), F.col("n")) * places) / block)).select("group", "size", "rep", "b")
+    at = member.join(sizes.drop("places", "end", "log"), ["group", "size"])
+    b = F.floor((F.col("before") + F.pmod(F.xxhash64("rep"), F.col("n")) * places) / block)
+    return at.withColumn("b", b).select("group", "size", "rep", "b", "from", "to")
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
