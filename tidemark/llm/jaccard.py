@@ -69,7 +69,8 @@ class Classes:
             a = self.low[len(self.parts) + 1] - 1 if len(self.low) > len(self.parts) + 1 else self.low[-1] * 100 // self.link
             both = a + a * 100 // self.link
             self.most.append(both * (100 - self.link) // (100 + self.link))
-            self.parts.append(self.most[-1] + 2 + self.most[-1] // 32)
+            # A twentieth of the parts of the smallest sets of a class may be empty.
+            self.parts.append(self.most[-1] + 2 + self.most[-1] // 8)
         return k
 
 
