@@ -260,6 +260,41 @@ def test_components(spark):
     assert got == {k: 1 for k in range(1, 41)} | {50: 50, 100: 50, 60: 50, 55: 50} | {k: 200 for k in range(200, 230)}
 
 
+def union_find(edges):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: find(x) for x in parent}
+
+
+def small_graphs(n):
+    """Random trees and chains of 5 to 12 nodes, some with more edges."""
+    rng = np.random.default_rng(11)
+    for k in range(n):
+        name = rng.permutation(size := int(rng.integers(5, 13))).tolist()
+        edges = [(name[i], name[i - 1 if k % 2 else int(rng.integers(i))]) for i in range(1, size)]
+        yield edges + [(a, b) for a, b in rng.integers(0, size, (k % 4 // 2, 2)).tolist() if a != b]
+
+
+def test_components_of_small_graphs(spark):
+    # The first three end a round with a node under two roots and no parent under a parent.
+    alone = [[(3, 1), (4, 3), (5, 4), (5, 2)], [(4, 1), (3, 4), (3, 5), (5, 2)], [(3, 2), (4, 3), (5, 4), (1, 5)]]
+    for edges in alone:
+        got = [tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()]
+        assert sorted(got) == sorted(union_find(edges).items())
+    # Thousands at once, each in its own range of ids.
+    edges = [(100 * k + a, 100 * k + b) for k, graph in enumerate(small_graphs(4000)) for a, b in graph]
+    got = [tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert sorted(got) == sorted(union_find(edges).items())
+
+
 def test_vectors(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0], 3), (2, [1.0, 0.0], 3), (3, [0.999, 0.01], 3), (4, [1.0, 0.0], 4), (5, [0.0, 0.0], 3), (6, None, 3), (7, [nan, 1.0], 3), (8, [1.0, 0.0], None), (9, [-1.0, 0.0], 3), (10, [], 3), (11, [None, 1.0], 3), (12, [1.0, 0.0, 0.0], 3)]

@@ -41,10 +41,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         parent = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(parent, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         then = written(parent.select("u", F.col("m").alias("v")).union(small).distinct(), "cc")
-        # Done when each node has one parent and no parent has a parent.
+        # Done when no parent has a parent and each node has one parent. Both are needed: a node that has just got two roots
+        # as parents joins their components only in the next round.
         open_ = then.select("v").distinct().join(then.select(F.col("u").alias("v")), "v", "left_semi")
         now = then
-        if open_.isEmpty():
+        if open_.isEmpty() and then.groupBy("u").count().where("count > 1").isEmpty():
             break
     else:
         raise RuntimeError("connected components didn't settle")
