@@ -177,6 +177,51 @@ def test_chunks_resist_shifts(spark, odd):
     assert chunks.repeated_spans(odd).count() == 0
 
 
+def brute_windows(rows, n):
+    """Words, by id, that are part of n words which a text with a lower id holds byte for byte."""
+    seen, out = {}, {}
+    for i, text in sorted((r for r in rows if r[0] is not None and r[1]), key=lambda r: r[0]):
+        data = text.encode()
+        at = [m.span() for m in re.finditer(rb"[^ \t-\r]+", data)]
+        for k in range(len(at) - n + 1):
+            if seen.setdefault(data[at[k][0] : at[k + n - 1][1]], i) < i:
+                out.setdefault(i, set()).update(at[k : k + n])
+    return out
+
+
+def covered(spans, rows):
+    text = {i: t.encode() for i, t in rows if i is not None and t}
+    out = {}
+    for r in spans:
+        found = [(r.start + a, r.start + b) for a, b in (m.span() for m in re.finditer(rb"[^ \t-\r]+", text[r.doc_id][r.start : r.start + r.n_bytes]))]
+        assert len(found) == r.n_words >= chunks.WORDS and r.src_doc_id < r.doc_id
+        out.setdefault(r.doc_id, set()).update(found)
+    return out
+
+
+def test_every_repeated_passage_is_found(spark, sf_dir):
+    rng = np.random.default_rng(6)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(1, 9))) for _ in range(n))
+    rows = []
+    for k in range(200):  # passages of 49 to 60 words between other contexts, which chunks cut at other places
+        passage = make(49 + k % 12)
+        rows += [(2 * k, f"{make(k % 30)} {passage}\n{make(20)}"), (2 * k + 1, f"{make(20)} {passage} {make(k % 30)}")]
+    # Part of the passage is also in a still earlier text; periodic texts, shifted.
+    rows += [(-1, make(20) + " " + " ".join(rows[14][1].split()[10:45])), (900, "a b c " * 60), (901, "z " + "b c a " * 40 + make(70)), (902, make(60) + " c" + " a b c" * 30)]
+    # Longest first: the earlier copies of a line stand in texts that share less.
+    both = make(80).split()
+    rows += [(910, make(9) + " " + " ".join(both[:55])), (911, " ".join(both[5:])), (912, " ".join(both) + " " + make(9)), (913, " ".join(both[:40]) + "\t" + " ".join(both[40:]))]
+    # A text that holds an earlier passage twice, in one and the same context.
+    for k in range(920, 940, 2):
+        passage, around = make(52), make(60)
+        rows += [(k, f"{make(9)} {passage} {make(9)}"), (k + 1, f"{around} {passage} {around} {passage} {around}")]
+    got = chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert covered(got, rows) == brute_windows(rows, chunks.WORDS)
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert covered(chunks.repeated_spans(docs).collect(), rows) == brute_windows(rows, chunks.WORDS)
+
+
 def test_line_runs(spark, odd):
     rows = [(1, "a\nb\nc\nd"), (2, "x\nb\n\nc \nd\ny"), (3, "a\nq\nb"), (4, None), (5, "")]
     out = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -1,9 +1,7 @@
-"""Substring dedup by content-defined chunks."""
+"""Substring dedup by windows of words, hashed in blocks around the lowest gram."""
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +9,13 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, table, texts, written
 
-#: Chunk lengths in bytes: least, mean above the least, most. A passage of 50 words holds several chunks of its own.
-LEAST, MEAN_BITS, MOST = 16, 5, 256
-#: A run of repeated chunks counts from so many bytes and words on: the inner chunks of a repeated passage of 50 words make
-#: that much, single lines that many texts share do not.
-RUN_BYTES, RUN_WORDS = 150, 25
+#: Words of the shortest passage, and of the grams of which each window of WORDS words is filed under its lowest.
+WORDS, GRAM = 50, 25
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
-_MASK = np.uint32(((1 << MEAN_BITS) - 1) << (32 - MEAN_BITS))
+_BYTE = np.random.default_rng(8).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Odd, so that powers have inverses modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
 
 
 def gear(data: bytes) -> np.ndarray:
@@ -31,102 +29,145 @@ def gear(data: bytes) -> np.ndarray:
     return h
 
 
-def cuts(data: bytes) -> list[int]:
-    """Ends of the chunks: after the first byte, LEAST or more into a chunk, whose hash has no bit of the mask; MOST at most."""
-    out, at, n = [], 0, len(data)
-    for c in (np.flatnonzero((gear(data) & _MASK) == 0) + 1).tolist():
-        while c - at > MOST:
-            at += MOST
-            out.append(at)
-        if c - at >= LEAST:
-            out.append(c)
-            at = c
-    while at < n:
-        at = min(n, at + MOST)
-        out.append(at)
-    return out
+def mixed(x: np.ndarray) -> np.ndarray:
+    """The finisher of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Powers:
+    """Powers of the base and of its inverse modulo 2^64, as many as the longest text so far takes."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def reach(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, 1 << 16)
+            self.up, self.down = (np.cumprod(np.append(np.ones(1, np.uint64), np.full(n, b, np.uint64)), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+class Words:
+    """Places of a text's words, which blanks and line ends part, and hashes of any run of them with the bytes between."""
+
+    def __init__(self, text: str, powers: Powers):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        solid = np.concatenate([[False], ~_BLANK[raw], [False]])
+        edge = np.flatnonzero(solid[1:] != solid[:-1])
+        self.start, self.end, self.powers = edge[::2], edge[1::2], powers
+        if len(self.start) < WORDS:
+            return
+        powers.reach(len(raw) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * powers.up[: len(raw)], dtype=np.uint64)])
+        word = lambda end: mixed((sums[end] - sums[self.start]) * powers.down[self.start] + (end - self.start).astype(np.uint64))
+        bare, full = word(self.end), word(np.append(self.start[1:], self.end[-1]))
+        self.lanes = []
+        for salt in (np.uint64(1), np.uint64(2)):
+            own = mixed(full + salt) * powers.up[: len(full)]
+            self.lanes.append((np.concatenate([np.zeros(1, np.uint64), np.cumsum(own, dtype=np.uint64)]), mixed(bare - salt)))
+
+    def hashes(self, a: np.ndarray, b: np.ndarray, lane: int) -> np.ndarray:
+        """64 bits of the words a to b - 1 of each pair; the bytes after the last word don't count."""
+        sums, last = self.lanes[lane]
+        return mixed((sums[b - 1] - sums[a]) * self.powers.down[a] + last[b - 1] * np.uint64(0xD6E8FEB86659FD93) + (b - a).astype(np.uint64))
 
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, word behind the last and lowest gram of each longest run of windows that have their lowest gram in common."""
+        at = np.arange(len(self.start) - GRAM + 1)
+        low, width, want = self.hashes(at, at + GRAM, 0), 1, WORDS - GRAM + 1
+        while width < want:  # minima of 1, 2, 4 ... and at last of all grams of a window
+            more = min(width, want - width)
+            low, width = np.minimum(low[:-more], low[more:]), width + more
+        cut = np.flatnonzero(low[1:] != low[:-1]) + 1
+        first = np.concatenate([[0], cut])
+        return first, np.append(cut, len(low)) + WORDS - 1, low[first]
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """A row for each distinct chunk of a row of doc_id, text: its 128-bit digest in two longs and its places in the text."""
+
+def signed(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint64).view(np.int64)
+
+
+def per_text(docs: DataFrame, rows_of_text, schema: str) -> DataFrame:
+    """rows_of_text(words, own) of each text of WORDS words or more, a tuple of arrays, after its doc_id and tag."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def make():
+        powers = Powers()
+
         def step(cols):
-            out: dict = {n: [] for n in ("doc_id", "d1", "d2", "first", "at", "size", "words", "more")}
-            for i, text in zip(cols["doc_id"], cols["text"], strict=True):
-                if not text or i is None:
-                    continue
-                data = text.encode()
-                end = cuts(data)
-                start = [0, *end[:-1]]
-                pieces = [data[a:b] for a, b in zip(start, end, strict=True)]
-                first = {p: k for k, p in zip(range(len(pieces) - 1, -1, -1), reversed(pieces), strict=True)}
-                more: dict[int, list[int]] = {}
-                if len(first) < len(pieces):
-                    for k, p in enumerate(pieces):
-                        if first[p] != k:
-                            more.setdefault(first[p], []).extend((k, start[k]))
-                k = np.array(sorted(first.values()))
-                digest = np.frombuffer(b"".join([hashlib.blake2b(pieces[j], digest_size=16).digest() for j in k.tolist()]), "<i8").reshape(-1, 2)
-                raw = np.frombuffer(data, np.uint8)
-                blank = np.concatenate([[0], np.cumsum((raw == 32) | (raw == 10))])
-                start_, end_ = np.array(start)[k], np.array(end)[k]
-                out["doc_id"] += [i] * len(k)
-                out["d1"] += digest[:, 0].tolist()
-                out["d2"] += digest[:, 1].tolist()
-                out["first"] += k.tolist()
-                out["at"] += start_.tolist()
-                out["size"] += (end_ - start_).tolist()
-                out["words"] += (blank[end_] - blank[start_]).tolist()
-                out["more"] += [more.get(j) for j in k.tolist()] if more else [None] * len(k)
-            if out["doc_id"]:
-                yield out
+            parts: list = []
+            for i, tag, text, own in zip(cols["doc_id"], cols["tag"], cols["text"], cols.get("own") or [None] * len(cols["text"]), strict=True):
+                words = Words(text, powers)
+                if len(words.start) >= WORDS:
+                    got = rows_of_text(words, own)
+                    parts.append((np.full(len(got[0]), i, np.int64), np.full(len(got[0]), tag, np.int64), *got))
+            if parts:
+                yield dict(zip(names, map(np.concatenate, zip(*parts, strict=True)), strict=True))
 
         return step
 
-    return map_batches(docs, make, "doc_id long, d1 long, d2 long, first int, at int, size int, words int, more array<int>")
+    return map_batches(docs, make, schema)
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_bytes: int = RUN_BYTES, run_words: int = RUN_WORDS) -> DataFrame:
-    """Passages that an earlier document (a lower id) holds: doc_id, src_doc_id, start, n_bytes, n_words.
+def block_rows(words: Words, own: None) -> tuple[np.ndarray, ...]:
+    a, b, low = words.blocks()
+    return signed(low), signed(words.hashes(a, b, 1)), a.astype(np.int32), b.astype(np.int32), words.start[a].astype(np.int32), words.end[b - 1].astype(np.int32)
 
-    Chunks with an equal 128-bit digest are one; the lowest doc_id keeps it. Neighbouring chunks that go make a run, and runs
-    of run_bytes bytes and run_words words or more are returned, with byte offsets into the UTF-8 text; src_doc_id is the
-    lowest keeper in the run. Rows that share an id (repeated rows) are one document for the keeping, and their equal runs are
-    returned once. Null and empty texts and null ids give no row. Within one document nothing is removed.
-    """
-    rows = written(chunked(texts(docs, id_col, text_col)), "chunks")
-    keeper = rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last")).where("src < last").drop("last")
-    return runs(rows.join(keeper, ["d1", "d2"]).where("doc_id > src"), run_bytes, run_words)
 
+def window_rows(words: Words, own: list[dict]) -> tuple[np.ndarray, ...]:
+    a = np.concatenate([np.arange(x["a"], x["b"] - WORDS + 1) for x in own])
+    b = a + WORDS
+    return signed(words.hashes(a, b, 0)), signed(words.hashes(a, b, 1)), a.astype(np.int32), b.astype(np.int32), words.start[a].astype(np.int32), words.end[b - 1].astype(np.int32)
 
-def runs(gone: DataFrame, run_bytes: int, run_words: int) -> DataFrame:
-    """Neighbouring removed chunks of a document joined. All removed chunks of one document meet in a task, as its text did."""
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Passages of WORDS words or more that earlier documents (lower ids) hold: doc_id, src_doc_id, start, n_bytes, n_words.
+
+    Every window of WORDS whole words that occurs, byte for byte, in an earlier document is found; windows that overlap make a
+    span, with byte offsets into the UTF-8 text; src_doc_id is the lowest keeper in the span. Rows that share an id (repeated
+    rows) are one document for the keeping, and their equal spans are returned once. Null and empty texts and null ids give
+    no row. Within one document nothing is removed.
+
+    Equal windows have the same lowest gram, so windows are compared within it, and first as blocks: a block that an earlier
+    document holds goes as a whole. Only the first document's copies of a block whose gram has other blocks too are taken apart
+    into windows, so long copies cost a row for each block and just the ends of matches a row for each word. All hashes that decide
+    have 128 bits, for blocks with those of the lowest gram.
+    """
+    own = texts(docs, id_col, text_col).where("doc_id is not null and text <> ''").withColumn("tag", F.xxhash64("text"))
+    place = "a int, b int, start int, end int"
+    rows = written(per_text(own, block_rows, f"doc_id long, tag long, low long, d1 long, {place}"), "blocks")
+    keeper = written(rows.groupBy("low", "d1").agg(F.min("doc_id").alias("src"), (F.min("doc_id") < F.max("doc_id")).alias("more")), "keepers")
+    several = keeper.groupBy("low").agg(F.min("src").alias("one"), F.max("src").alias("other")).where("one < other").select("low", F.lit(True).alias("apart"))
+    keeper = keeper.join(several, "low", "left").where("more or apart").select("low", "d1", "src", F.coalesce("apart", F.lit(False)).alias("apart"))
+    met = written(rows.join(keeper, ["low", "d1"]).where("doc_id > src or apart").drop("low", "d1", "apart"), "met")
+    whole = met.where("doc_id > src")
+    # All places of a block in its first document: each of them may hold windows of an earlier one.
+    apart = met.where("doc_id = src").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("own"))
+    windows = written(per_text(own.join(apart, ["doc_id", "tag"]), window_rows, f"doc_id long, tag long, d1 long, d2 long, {place}"), "windows")
+    first = windows.groupBy("d1", "d2").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last")).where("src < last").drop("last")
+    cols = ["doc_id", "tag", "src", "a", "b", "start", "end"]
+    return joined(whole.select(*cols).union(windows.join(first, ["d1", "d2"]).where("doc_id > src").select(*cols)))
+
+
+def joined(gone: DataFrame) -> DataFrame:
+    """Overlapping runs of words of one text joined. All of one text's meet in a task, as its text did."""
 
     def join(key, own):
-        places: dict[int, tuple[int, int, int, int]] = {}
-        for src, first, at, size, words, more in zip(*(own.column(n).to_pylist() for n in ("src", "first", "at", "size", "words", "more")), strict=True):
-            for k, start in ((first, at), *zip((more or [])[::2], (more or [])[1::2], strict=True)):
-                places[k] = (start, size, words, src)
         out: dict = {"doc_id": [], "src_doc_id": [], "start": [], "n_bytes": [], "n_words": []}
-        last, run = -2, []
-
-        def close():
-            n, words = sum(x[1] for x in run), sum(x[2] for x in run)
-            if n >= run_bytes and words >= run_words:
-                for name, v in zip(out, (key[0].as_py(), min(x[3] for x in run), run[0][0], n, words), strict=True):
-                    out[name].append(v)
-
-        for k in sorted(places):
-            if k != last + 1:
-                close()
-                run = []
-            run.append(places[k])
-            last = k
-        close()
+        spans: list[list[int]] = []
+        for a, b, start, end, src in sorted(zip(*(own.column(n).to_pylist() for n in ("a", "b", "start", "end", "src")), strict=True)):
+            if spans and a < spans[-1][1]:
+                last = spans[-1]
+                last[1], last[3], last[4] = max(last[1], b), max(last[3], end), min(last[4], src)
+            else:
+                spans.append([a, b, start, end, src])
+        for a, b, start, end, src in spans:
+            for name, v in zip(out, (key[0].as_py(), src, start, end - start, b - a), strict=True):
+                out[name].append(v)
         return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
 
-    return gone.select("doc_id", "src", "first", "at", "size", "words", "more").groupBy("doc_id").applyInArrow(join, "doc_id long, src_doc_id long, start long, n_bytes long, n_words long")
+    return gone.groupBy("doc_id", "tag").applyInArrow(join, "doc_id long, src_doc_id long, start long, n_bytes long, n_words long").distinct()
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
