@@ -229,6 +229,15 @@ def test_line_runs(spark, odd):
     assert lines.dedup_lines(odd, carry=True).count() == len(ODD)
 
 
+def test_long_lines_go_alone(spark):
+    import corpus_pipeline
+
+    long, short = " ".join(f"w{k}" for k in range(51)), " ".join(f"v{k}" for k in range(50))
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long} \nd"), (3, long), (4, f"{short}\ne\n"), (5, short), (6, f"{long}x\nf\n{long}x"), (None, long)]
+    out = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert out == {k: v for k, v in (dict(rows) | {2: "c\nd", 6: f"{long}x\nf"}).items() if k != 3}
+
+
 def test_jaccard_edges(spark, odd):
     out = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_documents(odd).collect()}
     assert out == {(1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 1, None), (4, 1, 4), (5, 2, 5), (6, 2, 6)}

@@ -9,6 +9,8 @@ from .common import table, texts, written
 
 #: Lines in a gram, grams in a window: every repeated run of GRAM + WINDOW - 1 lines holds a chosen gram.
 GRAM, WINDOW = 2, 2
+#: A line of more words than this is long enough to go on its own.
+LONG = 50
 
 
 def hashed(expression: str) -> str:
@@ -62,16 +64,29 @@ def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_co
     return met.select("doc_id", "tag", F.expr(f"slice(at, least(pos, {side}) - {back} + 1, {back} + {gram} + {on})").alias("gone"), F.col("src.doc_id").alias("src_doc_id"))
 
 
-def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, tag, gone, src_doc_id: single lines of more than `words` words that occurred before."""
+    own = with_lines(texts(docs, id_col, text_col).where("doc_id is not null")).select("doc_id", F.xxhash64("text").alias("tag"), F.explode(F.expr(rf"filter(solid, y -> size(split(y.x, '\\s+')) > {words})")).alias("y"))
+    p = written(own.select("doc_id", "tag", F.expr(hashed("y.x")).alias("h"), F.col("y.i").alias("i")), "long_lines")
+    first = written(p.groupBy("h").agg(F.min(F.struct("doc_id", "i")).alias("src"), F.max(F.struct("doc_id", "i")).alias("end")).where("src < end").select("h", "src"), "first")
+    met = p.join(first, "h").where("doc_id > src.doc_id or doc_id = src.doc_id and i > src.i")
+    return met.select("doc_id", "tag", F.array("i").alias("gone"), F.col("src.doc_id").alias("src_doc_id"))
+
+
+def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, long_line: int | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, text (without later repeated runs), n_lines, n_removed.
 
     Every run of gram + window - 1 lines or more that occurred before, in this text or one with a lower id, goes; shorter ones
     of gram lines may. Lines are equal after trimming blanks, tabs and carriage returns; blank lines neither count nor go.
     A text without repeated runs stays as it is, null stays null, a null id is left alone. Rows that share an id and a text
-    are one document, none of them is later than the other; other columns are left out or, with carry, in a struct.
+    are one document, none of them is later than the other; other columns are left out or, with carry, in a struct. With
+    long_line every later copy of a line of more words than that goes too, whatever stands around it.
     """
     own = texts(docs, id_col, text_col, carry)
-    gone = repeated_runs(own, gram, window).groupBy("doc_id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    runs = repeated_runs(own, gram, window)
+    if long_line is not None:
+        runs = runs.union(repeated_lines(own, long_line))
+    gone = runs.groupBy("doc_id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
     cut = own.withColumn("tag", F.xxhash64("text")).join(gone, ["doc_id", "tag"], "left")
     # Places are a column of the join and the lines an argument: neither is computed again for each line.
     lines = r"split(text, '\n', -1)"
