@@ -20,7 +20,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later runs of repeated lines, and later copies of single long lines, go from the texts; a document of which nothing else stays goes."""
-    out = lines.dedup_lines(docs, carry=True, long_line=lines.LONG)
+    out = lines.dedup_lines(docs, carry=True, long_line=lines.LONG, contexts=True)
     return counted(uncarried(out.where("n_removed = 0 or trim(text) <> ''"), docs))
 
 

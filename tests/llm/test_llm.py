@@ -238,6 +238,22 @@ def test_long_lines_go_alone(spark):
     assert out == {k: v for k, v in (dict(rows) | {2: "c\nd", 6: f"{long}x\nf"}).items() if k != 3}
 
 
+def test_every_run_of_three_lines_goes(spark, sf_dir):
+    rows = [(10 * k + i, "\n".join(f"{x}{k}" for x in own)) for k in range(20) for i, own in enumerate(["XBCY", "ABCD", "ABCD"])]
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text").collect()
+    rows += [(1000 + r.doc_id, r.text) for r in docs]
+    seen, want = {}, {}
+    for i, text in sorted(rows):
+        own = [(k, x) for k, x in enumerate(x.strip(" \t\r") for x in (text or "").split("\n")) if x]
+        for at in range(len(own) - 2):
+            if seen.setdefault(tuple(x for _, x in own[at : at + 3]), i) < i:
+                want.setdefault(i, set()).update(k for k, _ in own[at : at + 3])
+    got = {}
+    for r in lines.repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"), contexts=True).collect():
+        got.setdefault(r.doc_id, set()).update(r.gone)
+    assert len(want) > 20 and not {i: ks - got.get(i, set()) for i, ks in want.items() if ks - got.get(i, set())}
+
+
 def test_jaccard_edges(spark, odd):
     out = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_documents(odd).collect()}
     assert out == {(1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 1, None), (4, 1, 4), (5, 2, 5), (6, 2, 6)}

@@ -45,11 +45,12 @@ def same_start(a: str, b: str, most: int) -> str:
     return f"aggregate(sequence(1, {most}), 0, (n, i) -> if(n = i - 1 and i <= size({a}) and i <= size({b}) and try_element_at({a}, i) = try_element_at({b}, i), i, n))"
 
 
-def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", contexts: bool = False) -> DataFrame:
     """doc_id, tag, gone, src_doc_id: runs of lines (their places in the text, blank lines count) that occurred before.
 
     Positions of a chosen gram are joined to its first one, in the order of doc_id and line. A match is extended both ways by
-    up to window - 1 lines: with window <= gram the chosen grams of a repeated run cover all of it but those.
+    up to window - 1 lines: with window <= gram the chosen grams of a repeated run cover all of it but those. The first position may stand in another context than the rest
+    of the run; with contexts, each gram is also joined to the first position that has the same lines before it, or after it.
     """
     if window > gram:
         raise ValueError("window must not be larger than gram, or gaps could stay between chosen grams")
@@ -61,7 +62,14 @@ def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_co
     met = p.join(first, "fp").where("doc_id > src.doc_id or doc_id = src.doc_id and pos > src.pos")
     side = max(window - 1, 0)
     back, on = (same_start(c, f"src.{c}", side) if side else "0" for c in ("before", "after"))
-    return met.select("doc_id", "tag", F.expr(f"slice(at, least(pos, {side}) - {back} + 1, {back} + {gram} + {on})").alias("gone"), F.col("src.doc_id").alias("src_doc_id"))
+    out = met.select("doc_id", "tag", F.expr(f"slice(at, least(pos, {side}) - {back} + 1, {back} + {gram} + {on})").alias("gone"), F.col("src.doc_id").alias("src_doc_id"))
+    for n in range(1, side + 1) if contexts else ():
+        for c, lead, tail in (("before", n, 0), ("after", 0, n)):
+            own = p.where(f"size({c}) >= {n}").select("doc_id", "tag", "fp", "pos", "at", F.expr(f"slice({c}, 1, {n})").alias("ctx"))
+            low = own.groupBy("fp", "ctx").agg(F.min(F.struct("doc_id", "pos")).alias("src"), F.max(F.struct("doc_id", "pos")).alias("end")).where("src < end").select("fp", "ctx", "src")
+            near = own.join(written(low, "first"), ["fp", "ctx"]).where("doc_id > src.doc_id or doc_id = src.doc_id and pos > src.pos")
+            out = out.union(near.select("doc_id", "tag", F.expr(f"slice(at, least(pos, {side}) - {lead} + 1, {gram + lead + tail})").alias("gone"), F.col("src.doc_id").alias("src_doc_id")))
+    return out
 
 
 def repeated_lines(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,17 +81,18 @@ def repeated_lines(docs: DataFrame, words: int, id_col: str = "doc_id", text_col
     return met.select("doc_id", "tag", F.array("i").alias("gone"), F.col("src.doc_id").alias("src_doc_id"))
 
 
-def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, long_line: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, long_line: int | None = None, contexts: bool = False) -> DataFrame:
     """One row for each row of docs: doc_id, text (without later repeated runs), n_lines, n_removed.
 
     Every run of gram + window - 1 lines or more that occurred before, in this text or one with a lower id, goes; shorter ones
     of gram lines may. Lines are equal after trimming blanks, tabs and carriage returns; blank lines neither count nor go.
     A text without repeated runs stays as it is, null stays null, a null id is left alone. Rows that share an id and a text
     are one document, none of them is later than the other; other columns are left out or, with carry, in a struct. With
-    long_line every later copy of a line of more words than that goes too, whatever stands around it.
+    long_line every later copy of a line of more words than that goes too, whatever stands around it. A run
+    whose chosen gram came first in another context is only sure to go as a whole with contexts.
     """
     own = texts(docs, id_col, text_col, carry)
-    runs = repeated_runs(own, gram, window)
+    runs = repeated_runs(own, gram, window, contexts=contexts)
     if long_line is not None:
         runs = runs.union(repeated_lines(own, long_line))
     gone = runs.groupBy("doc_id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
