@@ -16,27 +16,27 @@ def closes(df):
 
 
 def test_one_spike_goes(spark):
-    assert closes(series.neutralize_prints(bars(spark, [10.0, 10.1, 12000.0, 10.2, 10.15]))) == [10.0, 10.1, None, 10.2, 10.15]
+    assert closes(series.neutralize_prints(bars(spark, [31.0, 31.5, 880.0, 31.2, 30.9]))) == [31.0, 31.5, None, 31.2, 30.9]
 
 
 def test_chained_junk(spark):
-    assert closes(series.neutralize_prints(bars(spark, [20.76, 0.035, 8.6, 23.40, 23.40]))) == [20.76, None, None, 23.40, 23.40]
+    assert closes(series.neutralize_prints(bars(spark, [44.0, 0.07, 17.0, 46.5, 46.0]))) == [44.0, None, None, 46.5, 46.0]
 
 
 def test_plateau_stays(spark):
-    values = [0.09, 0.085, 0.09, 4000.0, 3900.0, 4000.0]
+    values = [0.31, 0.30, 0.32, 75.0, 77.0, 74.0]
     assert closes(series.neutralize_prints(bars(spark, values))) == values
 
 
 def test_zero_bar_is_blanked_and_kept(spark):
-    assert closes(series.blank_non_positive(bars(spark, [10.0, 0.0, 10.2]))) == [10.0, None, 10.2]
+    assert closes(series.blank_non_positive(bars(spark, [6.5, 0.0, 6.6]))) == [6.5, None, 6.6]
 
 
 def test_splice_cut_and_guard(spark):
-    b = bars(spark, [1.0, 1.0, 1.0, 100.0, 100.0])
+    b = bars(spark, [2.0, 2.0, 2.0, 90.0, 91.0])
     none = spark.createDataFrame([], "security_id long, date date, ratio double")
     guard = spark.createDataFrame([(1, dt.date(2020, 1, 4), 0.01)], "security_id long, date date, ratio double")
-    assert closes(series.splice_cut(b, none)) == [1.0, 1.0, 1.0]
+    assert closes(series.splice_cut(b, none)) == [2.0, 2.0, 2.0]
     assert len(closes(series.splice_cut(b, guard))) == 5
 
 

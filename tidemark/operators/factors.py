@@ -56,11 +56,11 @@ def adjustment_factors(bars: DataFrame, splits: DataFrame, dividends: DataFrame
         out = out.join(d, ["security_id", "date"], "left")
     else:
         out = out.withColumn("df", F.lit(None).cast("double"))
-    every = Window.partitionBy("security_id")
-    upto = every.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    # Latest first, the rows before a bar are those after it in time; the latest has none and a factor of 1.
+    after = Window.partitionBy("security_id").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
     sf, pf = F.ln(F.coalesce("sf", F.lit(1.0))), F.ln(F.coalesce("sf", F.lit(1.0)) * F.coalesce("df", F.lit(1.0)))
-    after = lambda x: F.exp(F.sum(x).over(every) - F.sum(x).over(upto))
-    return out.select("security_id", "date", after(sf).alias("split_factor"), after(pf).alias("price_factor"))
+    factor = lambda x: F.exp(F.coalesce(F.sum(x).over(after), F.lit(0.0)))
+    return out.select("security_id", "date", factor(sf).alias("split_factor"), factor(pf).alias("price_factor"))
 
 
 def alpha_panel(bars: DataFrame, factors: DataFrame) -> DataFrame:

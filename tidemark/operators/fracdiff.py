@@ -1,15 +1,24 @@
-"""Unit-root tests, optimal differencing orders and memory estimates: real per-series fits, so one grouped function each."""
+"""Fractional differencing, unit-root tests, optimal orders and memory estimates: real per-series fits, one grouped function each.
+
+A series is one security; a task holds one series at a time, a few thousand rows. Rows without y are no part of a series.
+"""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .trend import weights
+from .trend import THRESHOLD, dollar_volume_mean, forward_returns, weights
 
 # Fixed MacKinnon (2010) response-surface values, constant and no trend: 1, 5 and 10 per cent.
 CRITICAL = {1: (-3.43035, -6.5393, -16.786, -79.433), 5: (-2.86154, -2.8903, -4.234, -40.040), 10: (-2.56677, -1.5384, -2.809, 0.0)}
+#: The grid of orders, halvings after it, and the fewest rows of a series that is searched.
+GRID, HALVINGS, LEAST_ROWS = tuple(round(0.05 * k, 2) for k in range(21)), 6, 252
 
 
 def critical(n: int, level: int = 5) -> float:
@@ -22,130 +31,225 @@ def critical_column(n, level: int = 5):
     return F.lit(b[0]) + b[1] / n + b[2] / F.pow(n, 2) + b[3] / F.pow(n, 3)
 
 
-def _fit(dx: np.ndarray, x: np.ndarray, lag: int, start: int) -> tuple[float, float, int]:
-    """t statistic of the level term, AIC and rows of the regression with `lag` lagged differences from row `start` on."""
-    n = len(dx)
-    cols = [x[start:n], *(dx[start - j : n - j] for j in range(1, lag + 1)), np.ones(n - start)]
-    a, y = np.column_stack(cols), dx[start:]
-    beta, *_ = np.linalg.lstsq(a, y, rcond=None)
-    e = y - a @ beta
-    m, k = a.shape
-    s2 = e @ e / max(m - k, 1)
-    inv = np.linalg.pinv(a.T @ a)
-    return beta[0] / np.sqrt(s2 * inv[0, 0]) if s2 > 0 else np.nan, m * np.log(max(e @ e / m, 1e-300)) + 2 * k, m
+def lag_bound(n: int) -> int:
+    """Schwert's rule, 20 at most."""
+    return max(1, min(20, int(np.ceil(12 * (max(n, 1) / 100) ** 0.25))))
+
+
+def _design(x: np.ndarray, lag: int, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Level and lagged differences, and the difference they explain, from row `start` on, each less its mean: that is the
+    regression with a constant."""
+    dx = np.diff(x)
+    cols = np.column_stack([x[start:-1], *(dx[start - j : len(dx) - j] for j in range(1, lag + 1))])
+    y = dx[start:]
+    return cols - cols.mean(axis=0), y - y.mean()
 
 
 def adf(x: np.ndarray, most: int | None = None) -> tuple[float, int, int, float] | None:
-    """Statistic, lag, rows and 5 per cent value; the lag has the lowest AIC on the common rows and is fitted on its own."""
-    n = len(x)
-    if n < 4:
+    """Statistic, lag, rows and 5 per cent value; the lag has the lowest AIC on the rows that all lags have and is then fitted on
+    its own rows. None where the series is short or leaves nothing to test.
+
+    One triangular factor serves every lag: the explained sum of squares of the first k columns is a running sum."""
+    most = lag_bound(len(x)) if most is None else most
+    if len(x) < most + 12:
         return None
-    most = min(20, int(np.ceil(12 * (n / 100) ** 0.25))) if most is None else most
-    if n < most + 12:
+    a, y = _design(x, most, most)
+    m, lag = len(y), most
+    try:
+        part = np.linalg.solve(np.linalg.cholesky(a.T @ a), a.T @ y)
+        left = y @ y - np.cumsum(part**2)
+        size = np.arange(most + 1) + 2
+        with np.errstate(invalid="ignore", divide="ignore"):
+            aic = np.where((left > 0) & (m > size + 1), m * np.log(left / m) + 2.0 * size, np.inf)
+        if np.isfinite(aic).any():
+            lag = int(np.argmin(aic))
+        a, y = _design(x, lag, lag)
+        inverse = np.linalg.inv(a.T @ a)
+    except np.linalg.LinAlgError:
         return None
-    dx = np.diff(x)
-    level = x[:-1]
-    lag = min(range(most + 1), key=lambda p: _fit(dx, level, p, most)[1])
-    stat, _, m = _fit(dx, level, lag, lag)
-    return None if np.isnan(stat) else (float(stat), lag, m, critical(m))
+    b = inverse @ (a.T @ y)
+    m, left = len(y), y @ y - b @ (a.T @ y)
+    if m <= lag + 3 or left <= 0 or inverse[0, 0] <= 0:
+        return None
+    return float(b[0] / np.sqrt(left / (m - lag - 2) * inverse[0, 0])), lag, m, critical(m)
 
 
-def _difference(y: np.ndarray, d: float, threshold: float) -> np.ndarray:
-    w, _ = weights(d, threshold)
+@lru_cache(maxsize=4096)
+def _weights(d: float, threshold: float) -> tuple[np.ndarray, float]:
+    w, leak = weights(d, threshold)
+    return np.array(w), leak
+
+
+def difference(y: np.ndarray, d: float, threshold: float = THRESHOLD) -> np.ndarray:
+    """The rows that have a whole window; none where the series is shorter."""
+    w, _ = _weights(d, threshold)
     return np.convolve(y, w, mode="valid") if len(y) >= len(w) else np.zeros(0)
 
 
-def adf_tests(panel: DataFrame) -> DataFrame:
-    def run(pdf):
-        import pandas as pd
+def _correlation(x: np.ndarray, y: np.ndarray) -> float | None:
+    return float(np.corrcoef(x, y)[0, 1]) if len(x) > 2 and x.std() > 0 and y.std() > 0 else None
 
-        got = adf(pdf.sort_values("date")["y"].dropna().to_numpy(float))
-        return pd.DataFrame([(pdf["security_id"].iloc[0], *(got or (None,) * 4))], columns=["security_id", "stat", "lag", "nobs", "crit5"]).astype({"stat": float, "crit5": float})
 
-    return panel.groupBy("security_id").applyInPandas(run, "security_id long, stat double, lag double, nobs double, crit5 double")
+def tested(y: np.ndarray, d: float, threshold: float, most: int) -> dict:
+    """The test of y differenced at d. The bound on lags is that of y, before it lost rows."""
+    w, leak = _weights(d, threshold)
+    x = difference(y, d, threshold)
+    got = adf(x, most) if len(x) else None
+    stat, _, nobs, crit = got or (None, None, 0, None)
+    return {"d": d, "adf": stat, "crit": crit, "corr": _correlation(x, y[len(y) - len(x) :]) if len(x) else None, "width": len(w), "nobs": nobs, "leak": leak}
 
 
-def _best(y: np.ndarray, threshold: float, least: int = 252) -> tuple[float, float] | None:
-    """The first order of the grid that is stationary, then six bisections below it."""
+def optimal_order(y: np.ndarray, threshold: float = THRESHOLD, least: int = LEAST_ROWS) -> dict | None:
+    """The first order of the grid at which the test rejects, then halvings between it and the last one that failed. Orders
+    without a statistic are passed over."""
     if len(y) < least:
         return None
-
-    def passes(d):
-        got = adf(_difference(y, d, threshold))
-        return None if got is None else (got[0] <= got[3], got[0])
-
-    failed = None
-    for d in np.round(np.arange(0, 1.0001, 0.05), 2):
-        got = passes(float(d))
-        if got is None:
+    most, failed = lag_bound(len(y)), None
+    for d in GRID:
+        got = tested(y, d, threshold, most)
+        if got["adf"] is None:
             continue
-        if got[0]:
-            hi, stat = float(d), got[1]
-            if failed is not None:
-                lo = failed
-                for _ in range(6):
-                    mid = (lo + hi) / 2
-                    now = passes(mid)
-                    if now is not None and now[0]:
-                        hi, stat = mid, now[1]
-                    else:
-                        lo = mid
-            return hi, stat
-        failed = float(d)
+        if got["adf"] <= got["crit"]:
+            for _ in range(HALVINGS if failed is not None else 0):
+                mid = (failed + got["d"]) / 2
+                now = tested(y, mid, threshold, most)
+                if now["adf"] is not None and now["adf"] <= now["crit"]:
+                    got = now
+                else:
+                    failed = mid
+            return got
+        failed = d
     return None
 
 
-def optimal_orders(panel: DataFrame, threshold: float = 1e-2) -> DataFrame:
-    """d and its statistic for each series, null where none is stationary or the series is short."""
+def each_series(panel: DataFrame, rows, schema: str, columns: tuple[str, ...] = ("y",)) -> DataFrame:
+    """rows(name, date, *columns) -> columns of the result as a dictionary, for each series in the order of date; rows of which
+    a column is null are left out."""
 
-    def run(pdf):
-        import pandas as pd
+    def run(key, own):
+        own = own.sort_by("date")
+        values = [own.column(c).to_numpy().astype(float) for c in columns]
+        return pa.table(rows(key[0].as_py(), own.column("date"), *values), schema=kinds)
 
-        y = pdf.sort_values("date")["y"].dropna().to_numpy(float)
-        got = _best(y, threshold) or (None, None)
-        return pd.DataFrame({"security_id": [pdf["security_id"].iloc[0]], "d": [got[0]], "stat": [got[1]], "nobs": [len(y)]}).astype({"d": float, "stat": float})
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
 
-    return panel.groupBy("security_id").applyInPandas(run, "security_id long, d double, stat double, nobs long")
+    kinds = to_arrow_schema(_parse_datatype_string(schema))
+    return panel.select("security_id", "date", *columns).dropna(subset=["date", *columns]).groupBy("security_id").applyInArrow(run, schema)
 
 
-def order_curve(panel: DataFrame, grid: tuple[float, ...] = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0), threshold: float = 1e-2) -> DataFrame:
-    """Statistic and correlation with the level for each series and order, then averaged by order."""
-    each = panel.withColumn("d", F.explode(F.array(*map(F.lit, grid))))
+def adf_tests(panel: DataFrame) -> DataFrame:
+    """security_id, stat, lag, nobs, crit5; null statistics for a series that can't be tested."""
 
-    def run(pdf):
-        import pandas as pd
+    def rows(name, _, y):
+        stat, lag, nobs, crit = adf(y) or (None,) * 4
+        return {"security_id": [name], "stat": [stat], "lag": [lag], "nobs": [nobs], "crit5": [crit]}
 
-        y, d = pdf.sort_values("date")["y"].dropna().to_numpy(float), float(pdf["d"].iloc[0])
-        x = _difference(y, d, threshold)
-        got = adf(x)
-        corr = float(np.corrcoef(x, y[len(y) - len(x) :])[0, 1]) if len(x) > 2 and x.std() > 0 else None
-        return pd.DataFrame({"security_id": [pdf["security_id"].iloc[0]], "d": [d], "stat": [got[0] if got else None], "passed": [got[0] <= got[3] if got else None], "corr": [corr], "kept": [len(x) / max(len(y), 1)]}).astype({"stat": float, "corr": float})
+    return each_series(panel, rows, "security_id long, stat double, lag int, nobs int, crit5 double")
 
-    rows = each.groupBy("security_id", "d").applyInPandas(run, "security_id long, d double, stat double, passed boolean, corr double, kept double")
-    return rows.groupBy("d").agg(F.avg("stat").alias("mean_stat"), F.avg(F.col("passed").cast("double")).alias("stationary"), F.avg("corr").alias("mean_corr"), F.avg("kept").alias("kept"))
 
+ORDER = ("d", "adf", "crit", "corr", "width", "nobs", "leak")
 
-def own_order(panel: DataFrame, orders: DataFrame, threshold: float = 1e-2) -> DataFrame:
-    """Each series differenced at its own d, rounded to 3 digits."""
-    joined = panel.select("security_id", "date", "y").join(orders.where("d is not null").select("security_id", F.round("d", 3).alias("d")), "security_id")
 
-    def run(pdf):
-        pdf = pdf.sort_values("date")
-        x = _difference(pdf["y"].to_numpy(float), float(pdf["d"].iloc[0]), threshold)
-        out = np.full(len(pdf), np.nan)
-        out[len(pdf) - len(x) :] = x
-        return pdf.assign(ffdown=out)[["security_id", "date", "ffdown"]]
+def optimal_orders(panel: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """d, adf, crit, corr, width, nobs, leak for each series, null where no order is stationary or the series is short."""
+
+    def rows(name, _, y):
+        got = optimal_order(y, threshold) or {}
+        return {"security_id": [name]} | {c: [got.get(c)] for c in ORDER}
+
+    return each_series(panel, rows, "security_id long, d double, adf double, crit double, corr double, width int, nobs int, leak double")
+
+
+def order_curve(panel: DataFrame, grid: tuple[float, ...] = GRID, threshold: float = THRESHOLD) -> DataFrame:
+    """d, mean_stat, stationary (share), mean_corr and kept (share of rows with a whole window) over the series."""
+
+    def rows(name, _, y):
+        most = lag_bound(len(y))
+        got = [tested(y, d, threshold, most) for d in grid]
+        return {
+            "security_id": [name] * len(grid), "d": list(grid), "stat": [g["adf"] for g in got], "passed": [None if g["adf"] is None else g["adf"] <= g["crit"] for g in got],
+            "corr": [g["corr"] for g in got], "n": [len(y)] * len(grid), "kept": [max(len(y) - g["width"] + 1, 0) for g in got],
+        }
 
-    return joined.groupBy("security_id").applyInPandas(run, "security_id long, date date, ffdown double").withColumn("ffdown", F.nanvl("ffdown", F.lit(None)))
+    each = each_series(panel, rows, "security_id long, d double, stat double, passed boolean, corr double, n long, kept long")
+    return each.groupBy("d").agg(F.avg("stat").alias("mean_stat"), F.avg(F.col("passed").cast("double")).alias("stationary"), F.avg("corr").alias("mean_corr"), (F.sum("kept") / F.sum("n")).alias("kept"))
+
+
+def own_order(panel: DataFrame, orders: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """security_id, date, ffdown: each series that has an order differenced at its own, rounded to 3 digits."""
+
+    def rows(name, date, y, d):
+        x = difference(y, float(d[0]), threshold)
+        return {"security_id": [name] * len(y), "date": date, "ffdown": pa.array(np.concatenate([np.full(len(y) - len(x), np.nan), x]), from_pandas=True)}
+
+    joined = panel.join(orders.where("d is not null").select("security_id", F.round("d", 3).alias("d")), "security_id")
+    return each_series(joined, rows, "security_id long, date date, ffdown double", ("y", "d"))
 
 
 def gph(panel: DataFrame, power: float = 0.5) -> DataFrame:
-    """Memory estimate d and its error from the lowest frequencies, by sums over series and frequency."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("security_id")
-    own = panel.select("security_id", "y", (F.row_number().over(w.orderBy("date")) - 1).alias("k"), F.count("*").over(w).alias("n")).withColumn("m", F.floor(F.pow("n", F.lit(power))).cast("int")).where("n >= 64 and m >= 8")
-    wave = own.withColumn("j", F.explode(F.expr("sequence(1, m)"))).withColumn("f", 2 * np.pi * F.col("j") / F.col("n"))
-    power_at = wave.groupBy("security_id", "n", "m", "j", "f").agg((F.pow(F.sum(F.col("y") * F.cos(F.col("f") * F.col("k"))), 2) + F.pow(F.sum(F.col("y") * F.sin(F.col("f") * F.col("k"))), 2)).alias("i"))
-    x = -F.ln(4 * F.pow(F.sin(F.col("f") / 2), 2))
-    return power_at.groupBy("security_id", "m").agg(F.regr_slope(F.ln("i"), x).alias("d")).select("security_id", "d", (np.pi / F.sqrt(24.0 * F.col("m"))).alias("se"))
+    """security_id, d, se: memory from the slope of the log periodogram at the lowest n^power frequencies; no row for series of
+    fewer than 64 rows or 8 frequencies."""
+
+    def rows(name, _, y):
+        n, m = len(y), int(np.floor(len(y) ** power + 1e-9))
+        if n < 64 or m < 8:
+            return {"security_id": [], "d": [], "se": []}
+        f = 2 * np.pi * np.arange(1, m + 1) / n
+        level = np.log(np.abs(np.fft.rfft(y)[1 : m + 1]) ** 2)
+        x = -np.log(4 * np.sin(f / 2) ** 2)
+        x = x - x.mean()
+        return {"security_id": [name], "d": [float(x @ level / (x @ x))], "se": [float(np.pi / np.sqrt(24 * m))]}
+
+    return each_series(panel, rows, "security_id long, d double, se double")
+
+
+def pooled(orders: DataFrame, column: str = "d") -> float | None:
+    """The median order of the series that have one: one number."""
+    return orders.agg(F.median(column)).first()[0]
+
+
+def feature_table(panel: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """panel: security_id, date, close, adj, volume. One row for each row with adj and close above 0: close, adv21, logp, logv; for
+    price (p) and volume (v) the series differenced at the pooled order (ffd_) and at its own (ffdown_), its order, statistic
+    and leak (d_, adf_, leak_); forward returns. The orders, one row a series, are searched once and stay persisted."""
+    own = panel.where("adj > 0 and close > 0").withColumns({"logp": F.ln("adj"), "logv": F.log1p("volume")})
+    legs = ("p", "v")
+
+    def search(name, _, *values):
+        got = {t: optimal_order(y, threshold) or {} for t, y in zip(legs, values, strict=True)}
+        return {"security_id": [name]} | {f"{c}_{t}": [got[t].get(c)] for t in legs for c in ("d", "adf", "leak")}
+
+    orders = each_series(own, search, "security_id long, " + ", ".join(f"{c}_{t} double" for t in legs for c in ("d", "adf", "leak")), ("logp", "logv"))
+    orders = orders.persist()
+    pool = {t: pooled(orders, f"d_{t}") for t in legs}
+    joined = own.select("security_id", "date", "logp", "logv").join(orders.select("security_id", *(F.coalesce(F.round(f"d_{t}", 3), F.lit(-1.0)).alias(f"d_{t}") for t in legs)), "security_id")
+
+    def transform(name, date, *values):
+        out = {"security_id": [name] * len(date), "date": date}
+        for t, y, d in zip(legs, values[:2], values[2:], strict=True):
+            for label, order in ((f"ffd_{t}", pool[t]), (f"ffdown_{t}", d[0] if d[0] >= 0 else None)):
+                x = difference(y, float(order), threshold) if order is not None else np.zeros(0)
+                out[label] = pa.array(np.concatenate([np.full(len(y) - len(x), np.nan), x]), from_pandas=True)
+        return out
+
+    made = each_series(joined, transform, "security_id long, date date, " + ", ".join(f"{c}_{t} double" for t in legs for c in ("ffd", "ffdown")), ("logp", "logv", "d_p", "d_v"))
+    rows = forward_returns(dollar_volume_mean(own))
+    out = rows.join(made, ["security_id", "date"]).join(orders, "security_id")
+    return out.select(
+        "security_id", "date", "close", "adv21", "logp", "logv", *(f"{c}_{t}" for t in legs for c in ("ffd", "ffdown", "d", "adf", "leak")), *(f"fwd{h}" for h in (1, 5, 21, 63)),
+    )
+
+
+def differenced_wide(panel: DataFrame, w: list[float], y: str, name: str) -> DataFrame:
+    """panel with one more column, the convolution of each series with w; null for the first rows."""
+    own = np.array(w)
+    schema = StructType([*panel.schema.fields, StructField(name, DoubleType())])
+
+    def run(pdf):
+        pdf = pdf.sort_values("date", kind="stable")
+        v = pdf[y].to_numpy(float)
+        x = np.convolve(v, own, mode="valid") if len(v) >= len(own) else np.zeros(0)
+        return pdf.assign(**{name: np.concatenate([np.full(len(v) - len(x), np.nan), x])})
+
+    return panel.groupBy("security_id").applyInPandas(run, schema).withColumn(name, F.nanvl(name, F.lit(None)))

@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .factors import asof_backward
+
+#: A return of no more than this is none: sums of equal numbers differ by so much.
+NOTHING = 1e-12
 # Fixed cost tiers: monthly dollar volume from which on the one-way spread holds.
 SPREADS = ((1e9, 0.0005), (1e8, 0.0010), (1e7, 0.0025), (1e6, 0.0060), (0.0, 0.0150))
 
@@ -60,9 +64,13 @@ def slots(targets: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def drifted(held: DataFrame, rets: DataFrame) -> DataFrame:
-    """strategy, exec_t, t, asset, weight, growth since the execution, value of the book (1 at it) and drifted weight."""
-    inside = (rets.t >= held.exec_t) & (held.end_t.isNull() | (rets.t <= held.end_t))
-    out = held.join(rets.select(F.col("asset").alias("_a"), "t", "ret"), (F.col("_a") == held.asset) & inside).drop("_a")
+    """strategy, exec_t, t, asset, weight, growth since the execution, value of the book (1 at it) and drifted weight. Each day of
+    the calendar is given the execution in force first, so weights and returns meet by equal keys."""
+    turn = held.select("strategy", "exec_t", "end_t").distinct()
+    days = rets.select("t").distinct().crossJoin(held.select("strategy").distinct()).join(turn.withColumn("t", F.col("exec_t")), ["strategy", "t"], "left")
+    upto = Window.partitionBy("strategy").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    force = days.select("strategy", "t", F.last("exec_t", ignorenulls=True).over(upto).alias("exec_t")).where("exec_t is not null")
+    out = rets.select("asset", "t", "ret").join(force, "t").join(held, ["strategy", "exec_t", "asset"]).select("strategy", "asset", "exec_t", "fill_t", "end_t", "weight", "t", "ret")
     w = Window.partitionBy("strategy", "exec_t", "asset").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     out = out.withColumn("growth", F.product(1 + F.coalesce("ret", F.lit(0.0))).over(w))
     value = out.groupBy("strategy", "exec_t", "t").agg((1 + F.sum(F.col("weight") * (F.col("growth") - 1))).alias("value"))
@@ -84,17 +92,107 @@ def rebalances(moves: DataFrame, rate: Column, short_multiple: float = 1.0) -> D
     return moves.groupBy("strategy", "exec_t").agg((F.sum("traded") / 2).alias("turnover"), F.least(F.sum(rate * F.col("traded") * dear), F.lit(0.999)).alias("cost"))
 
 
-def equity(drift: DataFrame, costs: DataFrame) -> DataFrame:
-    """strategy, t, equity (1 before the first execution) and ret: values within slots chained over slots."""
+def tradable(held: DataFrame, rets: DataFrame) -> DataFrame:
+    """held with a weight of 0 where the asset has no price on the fill row, so that a held name is closed, and fill_price, the
+    last known one."""
+    at = rets.select("asset", F.col("t").alias("fill_t"), F.col("price").alias("_price"), F.col("known").alias("fill_price"))
+    out = held.join(at, ["asset", "fill_t"], "left")
+    return out.withColumn("weight", F.when(F.col("_price").isNotNull(), F.col("weight")).otherwise(0.0)).drop("_price")
+
+
+def vanished(held: DataFrame, rets: DataFrame) -> DataFrame:
+    """strategy and n: names with a weight other than 0 at some time whose last price precedes the end of the calendar."""
+    last = rets.groupBy("asset").agg(F.max(F.when(F.col("price").isNotNull(), F.col("t"))).alias("_last"))
+    edge = rets.agg(F.max("t").alias("_edge"))
+    names = held.where("weight <> 0").select("strategy", "asset").distinct().join(last, "asset").crossJoin(F.broadcast(edge))
+    return names.groupBy("strategy").agg(F.count_if(F.col("_last") < F.col("_edge")).alias("n"))
+
+
+def in_force(points: DataFrame, source: DataFrame, value: str, closed: str) -> DataFrame:
+    """points (asset, date) with the source's value of the last row on or before the date. Unknown ones fail closed: they take the
+    highest ("max", for a rate) or the lowest ("min", for a capacity) value of the whole source."""
+    worst = source.agg((F.max if closed == "max" else F.min)(value).alias("_worst"))
+    met = asof_backward(points.select("asset", "date").distinct(), source, ["asset"], [value])
+    return met.crossJoin(F.broadcast(worst)).select("asset", "date", F.coalesce(value, "_worst").alias(value))
+
+
+def commission(notional: Column, price: Column, per_share: float, least: float, share: float) -> Column:
+    """The fee of one trade: by share, no less than `least`, no more than a share of the notional; null without a price."""
+    return F.when((price > 0) & (notional > 0), F.least(F.greatest(per_share * notional / price, F.lit(least)), share * notional))
+
+
+def impact(notional: Column, volume: Column, coefficient: float) -> Column:
+    """Square-root impact as a share of the notional; none where the volume isn't known."""
+    return F.when(volume > 0, coefficient * F.sqrt(notional / volume)).otherwise(0.0)
+
+
+def borrowed(drift: DataFrame, fee: Column, freq: float = 252.0) -> DataFrame:
+    """strategy, t, borrow: the fee on short weights at the start of each period, which at an execution are the targets."""
+    before = F.lag("drift").over(Window.partitionBy("strategy", "exec_t", "asset").orderBy("t"))
+    own = drift.withColumn("_w", F.when(F.col("t") == F.col("exec_t"), F.col("weight")).otherwise(before))
+    return own.groupBy("strategy", "t").agg(F.least(F.sum(F.greatest(-F.col("_w"), F.lit(0.0)) * fee) / freq, F.lit(0.999)).alias("borrow"))
+
+
+def sized_costs(moves: DataFrame, drift: DataFrame, borrow: DataFrame, capital: float, per_share: float = 0.0, least: float = 0.0, share: float = 0.0, coefficient: float = 0.0, short_multiple: float = 1.0) -> DataFrame:
+    """strategy, exec_t, turnover, cost, commission, impact: costs that depend on the size of the book, which is the equity before
+    the execution times the capital. moves: strategy, asset, exec_t, w_after, traded, rate, price, volume.
+
+    Costs feed back through one number, the book, from each execution to the next, so a strategy's executions are gone through
+    in order in one task: rows of its trades, not of its days."""
+    slot = drift.select("strategy", "exec_t", "end_t", "t", "value").distinct().where(F.col("t") == F.col("end_t")).select("strategy", "exec_t", F.col("value").alias("close"))
+    span = drift.select("strategy", "exec_t", "t").distinct().join(borrow, ["strategy", "t"]).groupBy("strategy", "exec_t").agg(F.product(1 - F.col("borrow")).alias("kept"))
+    own = moves.join(slot, ["strategy", "exec_t"], "left").join(span, ["strategy", "exec_t"], "left")
+
+    def run(pdf):
+        import numpy as np
+        import pandas as pd
+
+        out, equity = [], 1.0
+        for at, trades in pdf.sort_values(["exec_t", "asset"]).groupby("exec_t", sort=True):
+            trades_now = trades[trades["traded"] > 0]
+            size, price, volume = (trades_now[c].to_numpy(float) for c in ("traded", "price", "volume"))
+            rate = trades_now["rate"].to_numpy(float) * np.where(trades_now["w_after"] < 0, short_multiple, 1.0)
+            notional, fee, moved = equity * capital * size, np.zeros(len(size)), np.zeros(len(size))
+            if equity > 0 and capital > 0:
+                priced = price > 0
+                fee[priced] = np.maximum(per_share * notional[priced] / price[priced], least) if per_share else 0.0
+                if share and per_share:
+                    fee = np.minimum(fee, share * notional)
+                known = volume > 0
+                moved[known] = coefficient * np.sqrt(notional[known] / volume[known])
+            fees = fee.sum() / (equity * capital) if equity > 0 and capital > 0 else 0.0
+            cost = min(float((size * (rate + moved)).sum() + fees), 0.999)
+            out.append((pdf["strategy"].iloc[0], at, size.sum() / 2, cost, fees, float((moved * size).sum())))
+            equity *= (1 - cost) * float(np.nan_to_num(trades["close"].iloc[0], nan=1.0)) * float(np.nan_to_num(trades["kept"].iloc[0], nan=1.0))
+        return pd.DataFrame(out, columns=["strategy", "exec_t", "turnover", "cost", "commission", "impact"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in moves.schema}
+    return own.groupBy("strategy").applyInPandas(run, f"strategy {kinds['strategy']}, exec_t {kinds['exec_t']}, turnover double, cost double, commission double, impact double")
+
+
+def equity(drift: DataFrame, costs: DataFrame, borrow: DataFrame | None = None) -> DataFrame:
+    """strategy, t, equity (1 before the first execution) and ret: values within slots chained over slots, less costs and, if
+    given, borrow fees."""
     value = drift.select("strategy", "exec_t", "end_t", "t", "value").distinct()
     close = value.where(F.col("t") == F.col("end_t")).select("strategy", "exec_t", F.col("value").alias("_close"))
     w = Window.partitionBy("strategy").orderBy("exec_t")
     base = costs.join(close, ["strategy", "exec_t"], "left").withColumn("_start", F.product(1 - F.col("cost")).over(w.rowsBetween(Window.unboundedPreceding, 0)) * F.coalesce(F.product("_close").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1.0)))
     out = value.join(base.select("strategy", "exec_t", "_start"), ["strategy", "exec_t"]).select("strategy", "t", (F.col("_start") * F.col("value")).alias("equity"))
-    before = F.coalesce(F.lag("equity").over(Window.partitionBy("strategy").orderBy("t")), F.lit(1.0))
+    by_day = Window.partitionBy("strategy").orderBy("t")
+    if borrow is not None:
+        kept = F.product(1 - F.coalesce("borrow", F.lit(0.0))).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
+        out = out.join(borrow, ["strategy", "t"], "left").withColumn("equity", F.col("equity") * kept).drop("borrow")
+    before = F.coalesce(F.lag("equity").over(by_day), F.lit(1.0))
     return out.withColumn("ret", F.col("equity") / before - 1)
 
 
+def drag(fractions: DataFrame, column: str, periods: DataFrame, freq: float = 252.0) -> DataFrame:
+    """strategy and {column}_drag: what the fractions of a period cost in a year. periods: strategy, n (returns of the curve)."""
+    kept = F.product(1 - F.least(F.greatest(F.col(column), F.lit(0.0)), F.lit(0.999)))
+    own = fractions.groupBy("strategy").agg(kept.alias("_kept")).join(periods, "strategy")
+    return own.select("strategy", F.when(F.col("_kept") <= 0, -1.0).otherwise(1 - F.pow("_kept", freq / F.col("n"))).alias(f"{column}_drag"))
+
+
 def tail_mean(df: DataFrame, column: str, keys: list[str], share: float = 0.95) -> DataFrame:
     """Mean of the worst 1 - share of a column, of all of it where that is no row."""
     n = F.count("*").over(Window.partitionBy(*keys))
@@ -110,7 +208,7 @@ def metrics(curve: DataFrame, freq: float = 252.0, rf: float = 0.0) -> DataFrame
     r = F.when(F.col("_n") > 1, F.col("ret"))
     agg = own.groupBy("strategy").agg(
         F.count(r).alias("n"), F.max_by("equity", "t").alias("_last"), F.min_by("equity", "t").alias("_first"), F.avg(r).alias("expectancy"), F.stddev_samp(r).alias("_sd"),
-        F.stddev_samp(F.when(r < 0, r)).alias("_down"), F.avg(F.when(r > 0, 1.0).when(r.isNotNull(), 0.0)).alias("win_rate"), F.min("drawdown").alias("max_drawdown"), F.coalesce(F.avg(F.when(F.col("drawdown") < 0, F.col("drawdown"))), F.lit(0.0)).alias("avg_drawdown"),
+        F.stddev_samp(F.when(r < -NOTHING, r)).alias("_down"), F.avg(F.when(r > NOTHING, 1.0).when(r.isNotNull(), 0.0)).alias("win_rate"), F.min("drawdown").alias("max_drawdown"), F.coalesce(F.avg(F.when(F.col("drawdown") < -NOTHING, F.col("drawdown"))), F.lit(0.0)).alias("avg_drawdown"),
     )
     factor, excess = F.col("_last") / F.col("_first"), (F.col("expectancy") - ((1 + rf) ** (1 / freq) - 1)) * freq
     return agg.select(
@@ -124,7 +222,7 @@ def yearly(curve: DataFrame, days: DataFrame) -> DataFrame:
     own = curve.join(days, "t").withColumn("year", F.year("date"))
     w = Window.partitionBy("strategy", "year").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     own = own.withColumn("_dd", F.col("equity") / F.max("equity").over(w) - 1)
-    return own.groupBy("strategy", "year").agg((F.product(1 + F.col("ret")) - 1).alias("total"), F.min("_dd").alias("max_drawdown"), F.max("ret").alias("best"), F.min("ret").alias("worst"), F.avg(F.when(F.col("ret") > 0, 1.0).otherwise(0.0)).alias("win_rate"))
+    return own.groupBy("strategy", "year").agg((F.product(1 + F.col("ret")) - 1).alias("total"), F.min("_dd").alias("max_drawdown"), F.max("ret").alias("best"), F.min("ret").alias("worst"), F.avg(F.when(F.col("ret") > NOTHING, 1.0).otherwise(0.0)).alias("win_rate"))
 
 
 def folds(days: DataFrame, train: int, test: int) -> DataFrame:

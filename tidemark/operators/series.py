@@ -40,13 +40,23 @@ def gap_segments(bars: DataFrame, days: int = GAP_DAYS) -> DataFrame:
 
 
 def listing_span(bars: DataFrame, days: int = GAP_DAYS, least: int = SPAN_BARS) -> DataFrame:
-    """The first segment of more than `least` bars of each series, or else its longest, the earliest of equals."""
-    cut = gap_segments(bars, days)
-    size = cut.groupBy("security_id", "seg").agg(F.count("*").alias("n"))
-    long = F.col("n") > least
-    rank = Window.partitionBy("security_id").orderBy(F.desc(long), F.when(long, F.col("seg")), F.desc("n"), "seg")
-    best = size.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").select("security_id", "seg")
-    return cut.join(best, ["security_id", "seg"], "left_semi").select(*bars.columns)
+    """The first segment of more than `least` bars of each series, or else its longest, the earliest of equals. All windows are
+    within a security: one exchange, whatever came before it."""
+    whole, seg = Window.partitionBy("security_id"), Window.partitionBy("security_id", "seg")
+    cut = gap_segments(bars, days).withColumn("_n", F.count("*").over(seg))
+    first = F.min(F.when(F.col("_n") > least, F.col("seg"))).over(whole)
+    longest = F.max(F.struct(F.col("_n"), (-F.col("seg")).alias("s"))).over(whole)
+    best = cut.withColumn("_best", F.coalesce(first, -longest["s"]))
+    return best.where("seg = _best").select(*bars.columns)
+
+
+def print_flag(spike: float, unwind: float) -> Column:
+    """Whether a bar's adjusted close jumps from the last printing bar's and is back on the next printing bar."""
+    p = F.when(F.col("adjusted_close") > 0, F.col("adjusted_close"))
+    before = F.last(p, ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first(p, ignorenulls=True).over(by_date().rowsBetween(1, Window.unboundedFollowing))
+    jump = F.abs(F.ln(p / before))
+    return F.coalesce((jump > spike) & (F.abs(F.ln(after / before)) < unwind * jump), F.lit(False))
 
 
 def isolated_prints(bars: DataFrame, spike: float = SPIKE_LN, unwind: float = UNWIND) -> DataFrame:
@@ -83,9 +93,10 @@ def neutralize_prints(bars: DataFrame, spike: float = SPIKE_LN, unwind: float =
         pdf.loc[blank, list(BLANKED)] = None
         return pdf[names]
 
-    some = isolated_prints(bars, spike, unwind).select("security_id").distinct()
-    dirty = bars.join(some, "security_id", "left_semi").groupBy("security_id").applyInPandas(settle, StructType([StructField(f.name, f.dataType) for f in bars.schema]))
-    return bars.join(some, "security_id", "left_anti").unionByName(dirty)
+    # The flag of a series comes from a window over the exchange that the grouped function needs anyway.
+    flagged = bars.withColumn("_flag", print_flag(spike, unwind)).withColumn("_some", F.max("_flag").over(Window.partitionBy("security_id")))
+    dirty = flagged.where("_some").select(*names).groupBy("security_id").applyInPandas(settle, StructType([StructField(f.name, f.dataType) for f in bars.schema]))
+    return flagged.where("not _some").select(*names).unionByName(dirty)
 
 
 def guard_days(splits: DataFrame, days: int = GUARD_DAYS) -> DataFrame:
@@ -94,11 +105,17 @@ def guard_days(splits: DataFrame, days: int = GUARD_DAYS) -> DataFrame:
     return splits.select("security_id", F.explode(every).alias("date")).distinct()
 
 
-def splice_cut(bars: DataFrame, splits: DataFrame, jump: float = SPLICE_LN) -> DataFrame:
-    """Bars before the first unexplained break of the adjusted close in their series."""
-    p = bars.where("adjusted_close > 0").select("security_id", "date", F.abs(F.ln("adjusted_close") - F.ln(F.lag("adjusted_close").over(by_date()))).alias("move")).where(F.col("move") > jump)
-    cut = p.join(guard_days(splits), ["security_id", "date"], "left_anti").groupBy("security_id").agg(F.min("date").alias("_cut"))
-    return bars.join(cut, "security_id", "left").where("_cut is null or date < _cut").select(*bars.columns)
+def splice_cut(bars: DataFrame, splits: DataFrame, jump: float = SPLICE_LN, days: int = GUARD_DAYS) -> DataFrame:
+    """Bars before the first unexplained break of the adjusted close in their series: a break within `days` of a split of the
+    security is explained. A series' split days, a few, come to its rows as one array."""
+    held = splits.groupBy("security_id").agg(F.collect_set("date").alias("_days"))
+    p = F.when(F.col("adjusted_close") > 0, F.col("adjusted_close"))
+    before = F.last(p, ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, -1))
+    broken = F.abs(F.ln(p) - F.ln(before)) > jump
+    out = bars.join(held, "security_id", "left").withColumn("_broken", broken)
+    near = F.coalesce(F.exists("_days", lambda d: F.abs(F.datediff("date", d)) <= days), F.lit(False))
+    out = out.withColumn("_cut", F.min(F.when(F.col("_broken") & ~near, F.col("date"))).over(Window.partitionBy("security_id")))
+    return out.where("_cut is null or date < _cut").select(*bars.columns)
 
 
 def trim_events(events: DataFrame, bars: DataFrame, floor: str, slack: int = 7, lead: int = 365) -> DataFrame:
@@ -112,7 +129,8 @@ def trim_events(events: DataFrame, bars: DataFrame, floor: str, slack: int = 7,
 
 
 def build_bars(raw: DataFrame, splits: DataFrame, floor: str) -> DataFrame:
-    """The cleaning chain in its fixed order."""
+    """The cleaning chain in its fixed order. Every rule is within a security, so the bars are exchanged by it once, and once
+    more after the series that go through the grouped function have come back."""
     bars = listing_span(clamp_range(blank_non_positive(date_floor(raw, floor))))
     return splice_cut(neutralize_prints(bars), splits)
 

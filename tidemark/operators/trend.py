@@ -9,15 +9,22 @@ RUNGS = (5, 10, 21, 42, 63, 84, 126, 168, 210, 252)
 FLAT = 1e-12
 
 
+#: Weights of a fractional difference below this end its window.
+THRESHOLD = 1e-4
+#: Windows of so many rows are arrays of the plan; wider ones go through a grouped function.
+NARROW = 64
+
+
 def trend_scan(panel: DataFrame, rungs: tuple[int, ...] = RUNGS, scale: bool = False) -> DataFrame:
     """t statistic tb_L (and residual deviation sd_L with scale) of the slope of y on time over the last L bars of the
-    segment; null before L bars and for a flat fit. Sums over a window are differences of running sums, so a rung costs three
-    lags whatever its length, and all rungs share one sort."""
+    segment; null before L bars and for a flat window. Sums over a window are differences of running sums, so a rung costs a few
+    lags whatever its length, and all rungs share one sort. A count of changes of y tells a flat window exactly, whatever
+    rounding the sums hold."""
     seg = Window.partitionBy("security_id", "seg").orderBy("date")
     run = seg.rowsBetween(Window.unboundedPreceding, 0)
-    out = panel.withColumn("_i", F.row_number().over(seg).cast("double"))
-    out = out.withColumns({"_s": F.sum("y").over(run), "_is": F.sum(F.col("_i") * F.col("y")).over(run), "_ss": F.sum(F.col("y") * F.col("y")).over(run)})
-    out = out.withColumns({f"_{n}{L}": F.col(c) - F.lag(c, L, 0.0).over(seg) for L in rungs for n, c in (("a", "_s"), ("b", "_is"), ("c", "_ss"))})
+    out = panel.withColumns({"_i": F.row_number().over(seg).cast("double"), "_new": F.when(F.col("y") != F.lag("y").over(seg), 1).otherwise(0)})
+    out = out.withColumns({"_s": F.sum("y").over(run), "_is": F.sum(F.col("_i") * F.col("y")).over(run), "_ss": F.sum(F.col("y") * F.col("y")).over(run), "_ch": F.sum("_new").over(run)})
+    out = out.withColumns({f"_{n}{L}": F.col(c) - F.lag(c, L, 0.0).over(seg) for L in rungs for n, c in (("a", "_s"), ("b", "_is"), ("c", "_ss"))} | {f"_d{L}": F.col("_ch") - F.lag("_ch", L - 1, 0).over(seg) for L in rungs})
     cols = []
     for L in rungs:
         s, si, ss = (F.col(f"_{n}{L}") for n in "abc")
@@ -26,24 +33,27 @@ def trend_scan(panel: DataFrame, rungs: tuple[int, ...] = RUNGS, scale: bool = F
         slope = suy / suu
         sse = syy - slope * suy
         sd = F.sqrt(sse / (L - 2))
-        ok = (F.col("_i") >= L) & (sse > FLAT * syy)
+        ok = (F.col("_i") >= L) & (F.col(f"_d{L}") > 0) & (sse > FLAT * syy)
         cols.append(F.when(ok, slope * suu**0.5 / sd).alias(f"tb_{L}"))
         if scale:
             cols.append(F.when(ok, sd).alias(f"sd_{L}"))
     return out.select(*panel.columns, *cols)
 
 
-def dollar_volume_mean(panel: DataFrame, bars: int = 21) -> DataFrame:
-    w = Window.partitionBy("security_id").orderBy("date").rowsBetween(-(bars - 1), 0)
+def dollar_volume_mean(panel: DataFrame, bars: int = 21, by: tuple[str, ...] = ("security_id",)) -> DataFrame:
+    """adv21: mean of close * volume over the last `bars` rows of a series, fewer at its start. by: what a series is; a trend panel
+    has a segment besides the security."""
+    w = Window.partitionBy(*by).orderBy("date").rowsBetween(-(bars - 1), 0)
     return panel.withColumn("adv21", F.avg(F.col("close") * F.col("volume")).over(w))
 
 
-def forward_returns(panel: DataFrame, horizons: tuple[int, ...] = (1, 5, 21, 63)) -> DataFrame:
-    w = Window.partitionBy("security_id").orderBy("date")
+def forward_returns(panel: DataFrame, horizons: tuple[int, ...] = (1, 5, 21, 63), by: tuple[str, ...] = ("security_id",)) -> DataFrame:
+    """fwd{h}: log return over the next h rows of the series, null past its end."""
+    w = Window.partitionBy(*by).orderBy("date")
     return panel.withColumns({f"fwd{h}": F.lead(F.ln("adj"), h).over(w) - F.ln("adj") for h in horizons})
 
 
-def weights(d: float, threshold: float = 1e-4, most: int = 4096, zero_sum: bool = True) -> tuple[list[float], float]:
+def weights(d: float, threshold: float = THRESHOLD, most: int = 4096, zero_sum: bool = True) -> tuple[list[float], float]:
     """Fractional differencing weights down to the threshold, and their sum before the oldest one is corrected for it."""
     w = [1.0]
     while len(w) < most and abs(x := -w[-1] * (d - len(w) + 1) / len(w)) >= threshold:
@@ -54,9 +64,13 @@ def weights(d: float, threshold: float = 1e-4, most: int = 4096, zero_sum: bool
     return w, leak
 
 
-def differenced(panel: DataFrame, d: float, threshold: float = 1e-2, zero_sum: bool = True, y: str = "y", name: str = "ffd") -> DataFrame:
+def differenced(panel: DataFrame, d: float, threshold: float = THRESHOLD, zero_sum: bool = True, y: str = "y", name: str = "ffd") -> DataFrame:
     """Fixed-width fractional difference of y over its series; null for the first rows."""
     w, _ = weights(d, threshold, zero_sum=zero_sum)
+    if len(w) > NARROW:
+        from .fracdiff import differenced_wide
+
+        return differenced_wide(panel, w, y, name)
     by = Window.partitionBy("security_id").orderBy("date")
     held = F.collect_list(y).over(by.rowsBetween(-(len(w) - 1), 0))
     total = F.aggregate(F.zip_with(held, F.array(*map(F.lit, reversed(w))), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)

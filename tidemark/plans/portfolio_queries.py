@@ -81,17 +81,6 @@ def _(i):
     return rounded(moved(i)[4])
 
 
-@query("p12_borrow_cost", f"SELECT strategy, t, round(least(sum(greatest(-drift, 0e0)) * 0.02e0 / 252, 0.999e0), 8) AS borrow FROM ({DRIFT}) q GROUP BY strategy, t")
-def _(i):
-    fee = F.least(F.sum(F.greatest(-F.col("drift"), F.lit(0.0))) * 0.02 / 252, F.lit(0.999))
-    return rounded(moved(i)[2].groupBy("strategy", "t").agg(fee.alias("borrow")), 8)
-
-
-@query("p13_equity", f"SELECT strategy, t, round(equity, 6) AS equity, round(ret, 6) + 0.0 AS ret FROM ({CURVE}) q")
-def _(i):
-    return rounded(curve(i)[1])
-
-
 @query("p15_blotter", f"SELECT strategy, asset, exec_t, CASE WHEN w_before = 0 THEN 'OPEN' WHEN w_after = 0 THEN 'CLOSE' ELSE 'REBALANCE' END AS action, CASE WHEN w_after > w_before THEN 'BUY' ELSE 'SELL' END AS side, round(w_before, 6) + 0.0 AS w_before, round(w_after, 6) + 0.0 AS w_after FROM ({MOVES}) q WHERE traded > 1e-12")
 def _(i):
     action = F.when(F.col("w_before") == 0, "OPEN").when(F.col("w_after") == 0, "CLOSE").otherwise("REBALANCE")
@@ -100,7 +89,7 @@ def _(i):
 
 
 METRICS = f"""SELECT strategy, n, f - 1 AS total_return, pow(f, 252e0 / n) - 1 AS ann_return, sd * sqrt(252e0) AS ann_vol, m * 252 / (sd * sqrt(252e0)) AS sharpe, m * 252 / (down * sqrt(252e0)) AS sortino, m AS expectancy, win AS win_rate, dd AS max_drawdown, add AS avg_drawdown FROM (
-  SELECT strategy, count(r) AS n, max_by(equity, t) / min_by(equity, t) AS f, avg(r) AS m, stddev_samp(r) AS sd, stddev_samp(CASE WHEN r < 0 THEN r END) AS down, avg(CASE WHEN r > 0 THEN 1e0 WHEN r IS NOT NULL THEN 0e0 END) AS win, min(d) AS dd, coalesce(avg(CASE WHEN d < 0 THEN d END), 0e0) AS add
+  SELECT strategy, count(r) AS n, max_by(equity, t) / min_by(equity, t) AS f, avg(r) AS m, stddev_samp(r) AS sd, stddev_samp(CASE WHEN r < -1e-12 THEN r END) AS down, avg(CASE WHEN r > 1e-12 THEN 1e0 WHEN r IS NOT NULL THEN 0e0 END) AS win, min(d) AS dd, coalesce(avg(CASE WHEN d < -1e-12 THEN d END), 0e0) AS add
   FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY strategy ORDER BY t) > 1 THEN ret END AS r, equity / max(equity) OVER (PARTITION BY strategy ORDER BY t) - 1 AS d FROM ({CURVE}) q) q GROUP BY strategy) q"""
 NAMES = ("total_return", "ann_return", "ann_vol", "sharpe", "sortino", "expectancy", "win_rate", "max_drawdown", "avg_drawdown")
 
@@ -122,15 +111,7 @@ def _(i):
     return rounded(p.tail_mean(curve(i)[1], "ret", ["strategy"]))
 
 
-@query("p18_cost_drag", f"SELECT strategy, round(1 - pow(product(1 - cost), 252e0 / 2000), 6) AS drag FROM (SELECT *, row_number() OVER (PARTITION BY strategy ORDER BY exec_t) AS r FROM ({COSTS}) q) q WHERE r > 1 GROUP BY strategy")
-def _(i):
-    from pyspark.sql import Window
-
-    costs = moved(i)[4].withColumn("_r", F.row_number().over(Window.partitionBy("strategy").orderBy("exec_t"))).where("_r > 1")
-    return rounded(costs.groupBy("strategy").agg((1 - F.pow(F.product(1 - F.col("cost")), F.lit(252.0 / 2000))).alias("drag")))
-
-
-@query("p19_yearly", f"SELECT strategy, year, round(product(1 + ret) - 1, 6) AS total, round(min(d), 6) + 0.0 AS max_drawdown, round(max(ret), 6) AS best, round(min(ret), 6) AS worst, round(avg(CASE WHEN ret > 0 THEN 1e0 ELSE 0e0 END), 6) AS win_rate FROM (SELECT c.*, CAST(year(date) AS INT) AS year, equity / max(equity) OVER (PARTITION BY strategy, year(date) ORDER BY c.t) - 1 AS d FROM ({CURVE}) c JOIN ({DAYS}) d ON d.t = c.t) q GROUP BY strategy, year")
+@query("p19_yearly", f"SELECT strategy, year, round(product(1 + ret) - 1, 6) AS total, round(min(d), 6) + 0.0 AS max_drawdown, round(max(ret), 6) AS best, round(min(ret), 6) AS worst, round(avg(CASE WHEN ret > 1e-12 THEN 1e0 ELSE 0e0 END), 6) AS win_rate FROM (SELECT c.*, CAST(year(date) AS INT) AS year, equity / max(equity) OVER (PARTITION BY strategy, year(date) ORDER BY c.t) - 1 AS d FROM ({CURVE}) c JOIN ({DAYS}) d ON d.t = c.t) q GROUP BY strategy, year")
 def _(i):
     days, line = curve(i)
     return rounded(p.yearly(line, days))
@@ -149,11 +130,7 @@ def _(i):
     return p.folds(p.calendar(i.wide), 252, 63)
 
 
-both("p03_tradable_targets", "SELECT asset, date, CASE WHEN price IS NULL OR dollar_volume < 50000 THEN 0.0e0 ELSE 0.15e0 END AS weight FROM {wide}")
-both("p06_vanished_holdings", "SELECT count(*) AS n FROM (SELECT security_id, max(date) AS last FROM {bars} GROUP BY security_id) q, (SELECT max(date) AS edge FROM {bars}) e WHERE last < edge")
-both("p08_commission", "SELECT asset, date, round(least(greatest(0.0037e0 * n / price, 0.35e0), 0.005e0 * n), 9) AS commission FROM (SELECT asset, date, price, abs(dollar_volume) / 100 AS n FROM {wide} WHERE price > 0) q")
 both("p09_impact", "SELECT asset, date, CASE WHEN adv > 0 THEN round(0.1e0 * sqrt(dollar_volume / adv), 6) END AS impact FROM (SELECT asset, date, dollar_volume, avg(dollar_volume) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS adv FROM {wide}) q")
-both("p22_fail_closed_fill", "SELECT security_id, date, coalesce(close, worst) AS filled FROM (SELECT security_id, date, CASE WHEN close > 0 THEN close END AS close FROM {bars_dirty}) q, (SELECT max(close) AS worst FROM {bars_dirty}) m")
 both("p23_calendar_checks", "SELECT count(*) - count(DISTINCT date) AS duplicates, round(count(DISTINCT date) / (datediff(max(date), min(date)) / 365.25e0), 4) AS rows_per_year FROM {wide}", "SELECT count(*) - count(DISTINCT date) AS duplicates, round(count(DISTINCT date) / ((max(date) - min(date)) / 365.25e0), 4) AS rows_per_year FROM {wide}")
 
 
@@ -168,3 +145,126 @@ OFF = f"SELECT asset, t, CASE WHEN t = last + 1 THEN -0.3e0 ELSE ret END AS ret
 @query("p05_write_off", f"SELECT asset, t, round(ret, 6) + 0.0 AS ret FROM ({OFF}) q")
 def _(i):
     return rounded(p.written_off(parts(i)[3], -0.3).select("asset", "t", "ret"))
+
+
+# ---- what a trade costs: books of 1,000,000 with tiered spreads, commission, impact and borrow fees
+CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, BORROW = 1e6, 0.0037, 0.35, 0.005, 0.1, 0.02
+#: Volumes as a source with holes: every fifth day of a month is unknown.
+THIN = "SELECT asset, date, CASE WHEN day(date) % 5 <> 0 THEN dollar_volume END AS volume FROM {wide}"
+RATES = "SELECT asset, date, CASE WHEN dv >= 1e9 THEN 0.0005e0 WHEN dv >= 1e8 THEN 0.001e0 WHEN dv >= 1e7 THEN 0.0025e0 WHEN dv >= 1e6 THEN 0.006e0 ELSE 0.015e0 END AS rate FROM (SELECT asset, date, avg(dollar_volume) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS dv FROM {wide}) q"
+AT = f"SELECT h.strategy, h.asset, h.exec_t, h.fill_t, d.date, h.weight FROM ({HELD}) h JOIN ({DAYS}) d ON d.t = h.fill_t"
+
+
+def thin(i):
+    return i.wide.select("asset", "date", F.when(F.dayofmonth("date") % 5 != 0, F.col("dollar_volume")).alias("volume"))
+
+
+def rates(i):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("asset").orderBy("date").rowsBetween(-2, 0)
+    return i.wide.select("asset", "date", p.spread(F.avg("dollar_volume").over(w)).alias("rate"))
+
+
+def fills(i):
+    """held by execution with the date of its fill row."""
+    days, _, held, rets = parts(i)
+    return held.join(days.select(F.col("t").alias("fill_t"), "date"), "fill_t"), rets, days
+
+
+@query("p03_tradable_targets", f"""SELECT a.strategy, a.asset, a.exec_t, round(CASE WHEN r.price IS NULL THEN 0e0 ELSE a.weight END, 6) AS weight, round(r.known, 6) AS fill_price
+FROM ({AT}) a LEFT JOIN ({RETS.replace("ret FROM (", "ret, known FROM (", 1)}) r ON r.asset = a.asset AND r.t = a.fill_t""")
+def _(i):
+    _, _, held, rets = parts(i)
+    return rounded(p.tradable(held, rets).select("strategy", "asset", "exec_t", "weight", "fill_price"))
+
+
+@query("p06_vanished_holdings", f"SELECT h.strategy, count(DISTINCT CASE WHEN l.last < (SELECT max(t) FROM ({DAYS}) m) THEN h.asset END) AS n FROM ({HELD}) h JOIN (SELECT w.asset, max(d.t) AS last FROM {{wide}} w JOIN ({DAYS}) d ON d.date = w.date WHERE w.price IS NOT NULL GROUP BY w.asset) l ON l.asset = h.asset WHERE h.weight <> 0 GROUP BY h.strategy")
+def _(i):
+    _, _, held, rets = parts(i)
+    return p.vanished(held, rets)
+
+
+@query("p22_fail_closed_fill", f"""
+SELECT a.asset, a.date, round(coalesce(r.rate, (SELECT max(rate) FROM ({RATES}) x)), 6) AS rate, round(coalesce(v.volume, (SELECT min(volume) FROM ({THIN}) y)), 4) AS volume
+FROM (SELECT DISTINCT asset, date FROM ({AT}) q) a ASOF LEFT JOIN ({RATES}) r ON r.asset = a.asset AND a.date >= r.date ASOF LEFT JOIN ({THIN}) v ON v.asset = a.asset AND a.date >= v.date""")
+def _(i):
+    points = fills(i)[0].select("asset", "date").distinct()
+    rate, volume = p.in_force(points, rates(i), "rate", "max"), p.in_force(points, thin(i), "volume", "min")
+    return rate.join(volume, ["asset", "date"]).select("asset", "date", F.round("rate", 6).alias("rate"), F.round("volume", 4).alias("volume"))
+
+
+def priced(i):
+    """Trades with the rate, price and volume in force at their fill row; drifted weights; borrow fees."""
+    at, rets, days = fills(i)
+    drift = p.drifted(at.drop("date"), rets)
+    moves = p.trades(at, drift)
+    points = at.select("asset", "date").distinct()
+    met = at.select("asset", "exec_t", "fill_t", "date").distinct().join(p.in_force(points, rates(i), "rate", "max"), ["asset", "date"]).join(p.in_force(points, thin(i), "volume", "min"), ["asset", "date"])
+    known = rets.select("asset", F.col("t").alias("fill_t"), F.col("known").alias("price"))
+    moves = moves.join(met.join(known, ["asset", "fill_t"], "left"), ["asset", "exec_t"], "left")
+    return moves, drift, p.borrowed(drift, F.lit(BORROW))
+
+
+PRICED = f"""SELECT m.strategy, m.asset, m.exec_t, m.w_after, m.traded, coalesce(r.rate, (SELECT max(rate) FROM ({RATES}) x)) AS rate, coalesce(v.volume, (SELECT min(volume) FROM ({THIN}) y)) AS volume, k.known AS price
+FROM ({MOVES}) m JOIN (SELECT DISTINCT asset, exec_t, fill_t, date FROM ({AT}) q) a ON a.asset = m.asset AND a.exec_t = m.exec_t
+ASOF LEFT JOIN ({RATES}) r ON r.asset = a.asset AND a.date >= r.date ASOF LEFT JOIN ({THIN}) v ON v.asset = a.asset AND a.date >= v.date
+LEFT JOIN ({RETS.replace("ret FROM (", "ret, known FROM (", 1)}) k ON k.asset = a.asset AND k.t = a.fill_t"""
+FEES = f"""SELECT strategy, t, least(sum(greatest(-w, 0e0)) * 0.02e0 / 252, 0.999e0) AS borrow FROM (
+  SELECT strategy, t, CASE WHEN t = exec_t THEN weight ELSE lag(drift) OVER (PARTITION BY strategy, exec_t, asset ORDER BY t) END AS w FROM ({DRIFT}) q) q GROUP BY strategy, t"""
+
+
+@query("p08_commission", f"SELECT strategy, asset, exec_t, round(CASE WHEN price > 0 AND traded > 0 THEN least(greatest(0.0037e0 * (1e6 * traded) / price, 0.35e0), 0.005e0 * (1e6 * traded)) END, 6) AS commission FROM ({PRICED}) q")
+def _(i):
+    fee = p.commission(CAPITAL * F.col("traded"), F.col("price"), PER_SHARE, LEAST, SHARE)
+    return priced(i)[0].select("strategy", "asset", "exec_t", F.round(fee, 6).alias("commission"))
+
+
+@query("p09_trade_impact", f"SELECT strategy, asset, exec_t, round(CASE WHEN volume > 0 THEN 0.1e0 * sqrt(1e6 * traded / volume) ELSE 0 END, 6) AS impact FROM ({PRICED}) q")
+def _(i):
+    return priced(i)[0].select("strategy", "asset", "exec_t", F.round(p.impact(CAPITAL * F.col("traded"), F.col("volume"), IMPACT), 6).alias("impact"))
+
+
+@query("p12_borrow_cost", f"SELECT strategy, t, round(borrow, 9) AS borrow FROM ({FEES}) q")
+def _(i):
+    return rounded(priced(i)[2], 9)
+
+
+# Spread costs alone don't depend on the book's size, so SQL has the whole net curve.
+NET_COSTS = f"SELECT strategy, exec_t, sum(traded) / 2 AS turnover, least(sum(rate * traded * CASE WHEN w_after < 0 THEN 1.5e0 ELSE 1e0 END), 0.999e0) AS cost FROM ({PRICED}) q GROUP BY ALL"
+NET = f"""SELECT strategy, t, equity, equity / coalesce(lag(equity) OVER (PARTITION BY strategy ORDER BY t), 1e0) - 1 AS ret FROM (
+  SELECT c.strategy, c.t, c.equity * product(1 - f.borrow) OVER (PARTITION BY c.strategy ORDER BY c.t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS equity
+  FROM ({CURVE.replace(COSTS, NET_COSTS)}) c JOIN ({FEES}) f ON f.strategy = c.strategy AND f.t = c.t) q"""
+
+
+def net(i):
+    moves, drift, fees = priced(i)
+    costs = p.rebalances(moves, F.col("rate"), 1.5)
+    return p.equity(drift, costs, fees), costs, fees
+
+
+@query("p13_equity", f"SELECT strategy, t, round(equity, 6) AS equity, round(ret, 6) + 0.0 AS ret FROM ({NET}) q")
+def _(i):
+    return rounded(net(i)[0])
+
+
+@query("p14_sized_costs")
+def _(i):
+    moves, drift, fees = priced(i)
+    return rounded(p.sized_costs(moves, drift, fees, CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, 1.5), 8)
+
+
+@query("p14_net_equity")
+def _(i):
+    moves, drift, fees = priced(i)
+    return rounded(p.equity(drift, p.sized_costs(moves, drift, fees, CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, 1.5), fees))
+
+
+@query("p18_cost_drag", f"""
+WITH n AS (SELECT strategy, count(*) - 1 AS n FROM ({NET}) q GROUP BY strategy),
+c AS (SELECT strategy, product(1 - least(cost, 0.999e0)) AS kept FROM ({NET_COSTS}) q GROUP BY strategy), b AS (SELECT strategy, product(1 - borrow) AS kept FROM ({FEES}) q GROUP BY strategy)
+SELECT n.strategy, round(1 - pow(c.kept, 252e0 / n), 6) AS cost_drag, round(1 - pow(b.kept, 252e0 / n), 6) AS borrow_drag FROM n JOIN c ON c.strategy = n.strategy JOIN b ON b.strategy = n.strategy""")
+def _(i):
+    line, costs, fees = net(i)
+    periods = line.groupBy("strategy").agg((F.count("*") - 1).alias("n"))
+    return rounded(p.drag(costs, "cost", periods).join(p.drag(fees, "borrow", periods), "strategy"))

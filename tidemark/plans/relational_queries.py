@@ -44,7 +44,6 @@ def _(i):
 
 
 # ---- joins
-both("j01_bars_with_factors", "SELECT b.security_id, b.date, s.ratio FROM {bars} b JOIN {splits} s ON s.security_id = b.security_id AND s.date = b.date")
 both("j02_unexplained_jumps", "SELECT security_id, date, round(move, 6) AS move FROM (SELECT security_id, date, close / lag(close) OVER (PARTITION BY security_id ORDER BY date) AS move FROM {bars_dirty}_ok) q WHERE move > 2.0e0 AND NOT EXISTS (SELECT 1 FROM {splits} s WHERE s.security_id = q.security_id AND s.date = q.date)".replace("{bars_dirty}_ok", "(SELECT * FROM {bars_dirty} WHERE close > 0) b"))
 both("j04_edge_cross_join", "SELECT security_id, date, datediff(last, date) AS days_left FROM {bars}, (SELECT max(date) AS last FROM {bars}) e", "SELECT security_id, date, CAST(last - date AS INT) AS days_left FROM {bars}, (SELECT max(date) AS last FROM {bars}) e")
 both("j05_semi_join", "SELECT security_id, date FROM {bars} WHERE security_id IN (SELECT security_id FROM {splits} WHERE ratio > 1)")
@@ -63,7 +62,6 @@ both("a08_conditional_share", "SELECT round(sum(CASE WHEN is_delisted THEN 1 ELS
 both("a09_categories", "SELECT coalesce(isin_kind, 'NULL') AS kind, count(*) AS n FROM (SELECT CASE WHEN security_id % 6 = 0 THEN NULL ELSE type END AS isin_kind FROM {securities}) q GROUP BY coalesce(isin_kind, 'NULL') ORDER BY n DESC, kind LIMIT 8")
 both("a10_status_pivot", "SELECT endpoint, count_if(status = 'ok') AS ok, count_if(status = 'empty') AS empty, count_if(status = 'not_found') AS not_found, count_if(status NOT IN ('ok', 'empty', 'not_found')) AS failed FROM {ledger} GROUP BY endpoint")
 both("a11_histograms", "SELECT CAST(floor(year(date) / 10) * 10 AS INT) AS decade, year(date) AS year, count(*) AS n FROM {bars} GROUP BY year(date)", "SELECT CAST(year(date) // 10 * 10 AS INT) AS decade, CAST(year(date) AS INT) AS year, count(*) AS n FROM {bars} GROUP BY year(date)")
-both("a12_positional_statistics", "SELECT type, element_at(v, CAST(floor(n / 4) AS INT) + 1) AS p25, element_at(v, CAST(floor(n / 2) AS INT) + 1) AS mid FROM (SELECT type, array_sort(collect_list(security_id)) AS v, count(*) AS n FROM {securities} GROUP BY type) q", "SELECT type, v[n // 4 + 1] AS p25, v[n // 2 + 1] AS mid FROM (SELECT type, list_sort(list(security_id)) AS v, count(*) AS n FROM {securities} GROUP BY type) q")
 both("a13_percentiles", "SELECT " + ", ".join(f"round(percentile(close, {p}), 6) AS p{int(p * 100)}" for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + ", round(avg(close), 6) AS mean FROM {bars}", "SELECT " + ", ".join(f"round(quantile_cont(close, {p}), 6) AS p{int(p * 100)}" for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + ", round(avg(close), 6) AS mean FROM {bars}")
 both("a14_correlation", "SELECT security_id, CASE WHEN count(*) >= 3 THEN round(corr(close, volume), 6) END AS r FROM {bars} GROUP BY security_id")
 both("a15_completeness_gate", "SELECT u.n AS expected, r.n AS resolved, r.n >= u.n AS complete FROM (SELECT count(*) AS n FROM {securities}) u, (SELECT count(DISTINCT key) AS n FROM {ledger} WHERE status IN ('ok', 'empty', 'not_found')) r")
@@ -141,31 +139,20 @@ check("q07_fetch_failures", "SELECT count_if(status = 'empty') AS empty, count_i
 check("q08_bar_volume", "SELECT count(*) AS n, min(date) AS first, count(DISTINCT security_id) AS n_series FROM {bars}", "CASE WHEN n > 0 AND first >= DATE '1995-01-01' THEN 'PASS' ELSE 'FAIL' END")
 check("q09_universe_coverage", "SELECT (SELECT count(*) FROM {securities}) AS universe, count(DISTINCT key) AS attempted FROM {ledger}", "CASE WHEN attempted >= universe THEN 'PASS' ELSE 'WARN' END")
 check("q10_survivorship", "SELECT round(avg(CASE WHEN is_delisted THEN 1.0e0 ELSE 0.0e0 END), 6) AS share FROM {securities} WHERE security_id IN (SELECT security_id FROM {bars})", "CASE WHEN share >= 0.30e0 THEN 'PASS' ELSE 'FAIL' END")
-check("q11_bar_integrity", "SELECT count(*) - count(DISTINCT security_id * 100000 + year(date) * 366 + month(date) * 31 + day(date)) AS duplicates, count_if(least(open, high, low, close) <= 0) AS non_positive, count_if(high < greatest(open, low, close) OR low > least(open, high, close)) AS inconsistent FROM {bars_dirty}", "CASE WHEN non_positive = 0 AND inconsistent = 0 THEN 'PASS' ELSE 'FAIL' END")
 check("q12_listing_continuity", "SELECT count(DISTINCT security_id) AS n FROM (SELECT security_id, date, lag(date) OVER (PARTITION BY security_id ORDER BY date) AS d0 FROM {bars_gap} WHERE close IS NOT NULL) q WHERE date > d0 + INTERVAL 365 DAY", "CASE WHEN n = 0 THEN 'PASS' ELSE 'WARN' END")
-check("q13_unexplained_jumps", "SELECT round(avg(CASE WHEN m > 2 THEN 1.0e0 ELSE 0.0e0 END), 6) AS share FROM (SELECT close / lag(close) OVER (PARTITION BY security_id ORDER BY date) AS m FROM {bars}) q", "CASE WHEN share < 0.001e0 THEN 'PASS' ELSE 'WARN' END")
 check("q14_isolated_prints", "SELECT count(*) AS n FROM (SELECT adjusted_close AS p, lag(adjusted_close) OVER (PARTITION BY security_id ORDER BY date) AS a, lead(adjusted_close) OVER (PARTITION BY security_id ORDER BY date) AS b FROM {bars_dirty} WHERE adjusted_close > 0) q WHERE abs(ln(p / a)) > 0.8e0 AND abs(ln(b / a)) < 0.15e0 * abs(ln(p / a))", "CASE WHEN n = 0 THEN 'PASS' ELSE 'WARN' END")
 check("q15_spliced_tickers", """SELECT count(DISTINCT CASE WHEN outside THEN security_id END) AS n, count(DISTINCT security_id) AS n_series FROM (
   SELECT e.security_id, NOT ((e.date <= hi OR hi >= last - INTERVAL 7 DAY) AND (e.date >= lo OR lo <= DATE '1996-01-01' + INTERVAL 365 DAY)) AS outside
   FROM (SELECT security_id, date FROM {splits} UNION ALL SELECT security_id, date FROM {dividends}) e JOIN (SELECT security_id, min(date) AS lo, max(date) AS hi FROM {bars_gap} GROUP BY security_id) s ON s.security_id = e.security_id, (SELECT max(date) AS last FROM {bars_gap}) x) q""", "CASE WHEN n < 0.02e0 * n_series THEN 'PASS' ELSE 'WARN' END")
-check("q17_reconciliation", "SELECT round(avg(CASE WHEN abs(close - adjusted_close) / adjusted_close <= 0.01e0 THEN 1.0e0 ELSE 0.0e0 END), 6) AS share FROM {bars}", "CASE WHEN share >= 0.95e0 THEN 'PASS' ELSE 'WARN' END")
-both("q18_never_adjusted", "SELECT security_id FROM {bars} WHERE security_id IN (SELECT security_id FROM {splits}) GROUP BY security_id HAVING max(abs(adjusted_close - close) / close) < 0.02e0")
-both("q19_reconcile", "SELECT security_id, count(*) AS n, count_if(e > 0.01e0) AS bad, round(100.0e0 * count_if(e > 0.01e0) / count(*), 4) AS pct, round(max(e), 6) AS worst FROM (SELECT security_id, abs(close - adjusted_close) / adjusted_close AS e FROM {bars}) q GROUP BY security_id HAVING count_if(e > 0.01e0) > 0 ORDER BY bad DESC, security_id LIMIT 25")
-both("q20_gate_verdict", "SELECT CASE max(r) WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS verdict FROM (SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 2 END AS r FROM {securities} UNION ALL SELECT CASE WHEN count_if(status <> 'ok') = 0 THEN 0 ELSE 1 END AS r FROM {ledger}) q")
 
 # ---- request log
 both("l01_ledger_state", "SELECT endpoint, key, max_by(status, ts) AS status, max_by(bytes, ts) AS bytes, count(*) AS attempts, CAST(sum(call_cost) AS BIGINT) AS call_cost FROM {ledger} GROUP BY endpoint, key")
 both("l02_summary", "SELECT endpoint, status, count(*) AS n, CAST(sum(call_cost) AS BIGINT) AS calls, CAST(sum(bytes) AS BIGINT) AS bytes FROM {ledger} GROUP BY endpoint, status")
 both("l03_failures", "SELECT event_id, endpoint, key, status FROM {ledger} WHERE status NOT IN ('ok', 'empty')")
 both("l04_spend_per_day", "SELECT CAST(ts AS DATE) AS day, CAST(sum(call_cost) AS BIGINT) AS calls FROM {ledger} GROUP BY CAST(ts AS DATE)")
-both("l05_coverage", "SELECT endpoint, done, expected, expected - done AS remaining, CASE WHEN done >= expected THEN 'complete' WHEN done > 0 THEN 'partial' ELSE 'not started' END AS state FROM (SELECT endpoint, count(DISTINCT CASE WHEN status IN ('ok', 'empty', 'not_found') THEN key END) AS done FROM {ledger} GROUP BY endpoint) l, (SELECT count(*) + 20 AS expected FROM {securities}) s")
-both("l06_remaining_plan", "SELECT endpoint, remaining, remaining * cost AS calls, CAST(sum(remaining * cost) OVER (ORDER BY endpoint) AS BIGINT) AS running FROM (SELECT endpoint, greatest(180 - count(DISTINCT CASE WHEN status IN ('ok', 'empty') THEN key END), 0) AS remaining, max(call_cost) AS cost FROM {ledger} GROUP BY endpoint) q")
 both("l07_blocks", "SELECT type, coalesce(venue, '?') AS venue, count(*) AS n, count_if(l.key IS NULL) AS outstanding FROM {securities} s LEFT JOIN (SELECT DISTINCT key FROM {ledger} WHERE endpoint = 'purchase' AND status = 'ok') l ON l.key = CAST(s.security_id AS STRING) GROUP BY type, coalesce(venue, '?')")
 both("l08_access", "SELECT endpoint, count_if(status IN ('ok', 'empty')) > 0 AS accessible, count(*) AS n FROM {ledger} GROUP BY endpoint")
 both("l09_strata", "SELECT type, count_if(is_delisted) AS delisted, count_if(NOT is_delisted) AS listed FROM {securities} GROUP BY type")
 
 # ---- probes
-both("r01_history_depth", "SELECT type, count(*) AS n, min(y) AS earliest, element_at(array_sort(collect_list(y)), CAST(floor(count(*) / 4) AS INT) + 1) AS p25, element_at(array_sort(collect_list(y)), CAST(floor(count(*) / 2) AS INT) + 1) AS mid FROM (SELECT s.type, year(min(b.date)) AS y FROM {securities} s JOIN {bars} b ON b.security_id = s.security_id GROUP BY s.type, s.security_id) q GROUP BY type",
-     "SELECT type, count(*) AS n, min(y) AS earliest, list_sort(list(y))[count(*) // 4 + 1] AS p25, list_sort(list(y))[count(*) // 2 + 1] AS mid FROM (SELECT s.type, CAST(year(min(b.date)) AS INT) AS y FROM {securities} s JOIN {bars} b ON b.security_id = s.security_id GROUP BY s.type, s.security_id) q GROUP BY type")
-both("r02_delisting_years", "SELECT y, n, CAST(bround(n * 3.5e0) AS BIGINT) AS scaled FROM (SELECT y, count(*) AS n FROM (SELECT security_id, year(max(date)) AS y FROM {bars_gap} GROUP BY security_id) q GROUP BY y) q", "SELECT CAST(y AS INT) AS y, n, CAST(round_even(n * 3.5e0, 0) AS BIGINT) AS scaled FROM (SELECT y, count(*) AS n FROM (SELECT security_id, year(max(date)) AS y FROM {bars_gap} GROUP BY security_id) q GROUP BY y) q")
 both("r03_start_verdict", "SELECT start, CASE WHEN min(y) > start OR count(DISTINCT CASE WHEN y >= start AND y < start + 10 THEN y END) < 8 THEN 'FAIL' ELSE 'PASS' END AS verdict, count_if(y < start + 5) AS before FROM (SELECT year(date) AS y FROM {bars}) b, (SELECT DISTINCT CAST(1990 + n_nationkey AS INT) AS start FROM {nation}) s GROUP BY start")

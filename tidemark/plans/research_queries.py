@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import factors, fracdiff
+from ..operators import diagnostics, documents, factors, fracdiff, identities, trend
+from ..sources import stored
 from ..streaming import requests
 from .registry import both, query, rounded
-from .series_queries import CALM, calm
+from .series_queries import CALM, calm, scan_sql
 
 
 @query("d04_adf_tests")
@@ -92,13 +93,8 @@ def _(i):
 
 @query("b03_stable_ids", "SELECT code, CAST(CASE WHEN security_id < 60 THEN security_id ELSE 59 + row_number() OVER (PARTITION BY security_id >= 60 ORDER BY code) END AS BIGINT) AS id FROM {securities}")
 def _(i):
-    from pyspark.sql import Window
-
     held = i.securities.where("security_id < 60").select("code", F.col("security_id").alias("id"))
-    new = i.securities.select("code").join(held, "code", "left_anti")
-    edge = held.agg(F.max("id").alias("top"))
-    # Only new keys are numbered, in one task: a listing's new entries are few.
-    return held.unionByName(new.crossJoin(F.broadcast(edge)).select("code", (F.col("top") + F.row_number().over(Window.orderBy("code"))).alias("id")))
+    return identities.stable_ids(i.securities.select("code"), held)
 
 
 STATED = "SELECT document, statement, period_end, max(flag) AS flag, sum(quantity) AS quantity, sum(price) AS price, sum(tax) AS tax FROM {statements} GROUP BY document, statement, period_end"
@@ -116,7 +112,6 @@ def _(i):
 
 
 both("b06_coverage", "SELECT s.security_id, count(DISTINCT year(t.period_end)) AS n_years, min(year(t.period_end)) AS first_year, max(year(t.period_end)) AS last_year, count(t.document) > 0 AS has_financials FROM {securities} s LEFT JOIN {statements} t ON t.security_id = s.security_id GROUP BY s.security_id")
-both("b07_general", "SELECT s.security_id, s.code, s.venue, s.type, nullif(s.isin, '') AS isin FROM {securities} s WHERE s.type <> 'ETF'")
 both("b09_shares_long", "SELECT DISTINCT security_id, coalesce(filing_date, period_end) AS date, CAST(quantity AS BIGINT) AS shares FROM {statements} WHERE quantity IS NOT NULL")
 both("b04_splits_table", "SELECT event_id, security_id, date, raw, CAST(split_part(raw, '/', 1) AS DOUBLE) AS split_to, CAST(split_part(raw, '/', 2) AS DOUBLE) AS split_from FROM {splits}")
 both("b05_dividends_table", "SELECT event_id, security_id, date, round(value, 8) AS value, round(unadjusted_value, 8) AS unadjusted_value FROM {dividends} WHERE date IS NOT NULL")
@@ -133,13 +128,9 @@ both("e10_era_ic", f"SELECT CAST(year(date) AS INT) AS era, count(*) AS n, round
 both("e04_deciles", f"SELECT decile, count(*) AS n, round(avg(fwd), 6) AS mean_fwd FROM (SELECT fwd, ntile(10) OVER (PARTITION BY date ORDER BY signal, security_id) AS decile FROM (SELECT security_id, date, round(signal, 8) AS signal, fwd FROM ({SIGNAL}) q WHERE signal IS NOT NULL AND fwd IS NOT NULL) q) q GROUP BY decile")
 LAGS = 8
 both("e03_newey_west", f"SELECT n, round(mean, 6) AS mean, round(mean / sqrt(({' + '.join(['g0', *(f'2 * (1 - {k}e0 / {LAGS + 1}) * g{k}' for k in range(1, LAGS + 1))])}) / n), 4) AS t FROM (SELECT count(*) AS n, max(m) AS mean, " + ", ".join(f"sum(x * coalesce(x{k}, 0e0)) / count(*) AS g{k}" for k in range(LAGS + 1)) + " FROM (SELECT m, x, " + ", ".join(f"lag(x, {k}) OVER (ORDER BY date) AS x{k}" for k in range(LAGS + 1)) + f" FROM (SELECT date, avg(ic) OVER () AS m, ic - avg(ic) OVER () AS x FROM ({IC}) q) q) q) q")
-both("e05_neutralised", f"SELECT security_id, date, round(signal - (ms + sxy / nullif(sxx, 0) * (c - mc)), 6) + 0.0e0 AS residual FROM (SELECT *, covar_pop(signal, c) OVER d AS sxy, var_pop(c) OVER d AS sxx, avg(signal) OVER d AS ms, avg(c) OVER d AS mc FROM (SELECT q.security_id, q.date, q.signal, ln(b.volume + 1) AS c FROM ({SIGNAL}) q JOIN {{bars}} b ON b.security_id = q.security_id AND b.date = q.date WHERE signal IS NOT NULL) q WINDOW d AS (PARTITION BY date)) q WHERE sxx > 1e-9")
 both("e06_skip_return", "SELECT security_id, date, round(ln(lag(close, 21) OVER w / lag(close, 252) OVER w), 6) + 0.0e0 AS skip FROM {bars} WINDOW w AS (PARTITION BY security_id ORDER BY date)")
-both("e08_winsorised", "SELECT security_id, date, round(greatest(least(r, 3 * mad), -3 * mad), 6) + 0.0e0 AS r FROM (SELECT q.security_id, q.date, q.r, m.mad FROM (SELECT security_id, date, ln(close / lag(close) OVER (PARTITION BY security_id ORDER BY date)) AS r FROM {bars}) q JOIN (SELECT security_id, median(abs(r)) AS mad FROM (SELECT security_id, ln(close / lag(close) OVER (PARTITION BY security_id ORDER BY date)) AS r FROM {bars}) q GROUP BY security_id) m ON m.security_id = q.security_id WHERE r IS NOT NULL) q")
 both("e11_truncated_targets", "SELECT count(*) AS n, count(fwd) AS n_known, round(1 - count(fwd) / CAST(count(*) AS DOUBLE), 6) AS truncated FROM (SELECT lead(close, 63) OVER (PARTITION BY security_id ORDER BY date) AS fwd FROM {bars}) q")
-both("e12_position_maps", f"SELECT security_id, date, round((signal - m) / nullif(l1, 0), 6) + 0.0e0 AS neutral, CASE WHEN pos > 0 THEN round(greatest(signal, 0e0) / pos, 6) + 0.0e0 END AS long_only FROM (SELECT *, sum(abs(signal - m)) OVER (PARTITION BY date) AS l1, sum(greatest(signal, 0e0)) OVER (PARTITION BY date) AS pos FROM (SELECT *, avg(signal) OVER (PARTITION BY date) AS m FROM ({SIGNAL}) q WHERE signal IS NOT NULL) q) q WHERE l1 > 1e-9")
 both("e13_volatility_target", "SELECT asset, date, CASE WHEN sd > 1e-9 THEN round(least(0.1e0 / (sd * sqrt(252e0)), 2e0), 6) END AS leverage FROM (SELECT asset, date, stddev_samp(r) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 21 PRECEDING AND 1 PRECEDING) AS sd FROM (SELECT asset, date, price / lag(price) OVER (PARTITION BY asset ORDER BY date) - 1 AS r FROM {wide}) q) q")
-both("e14_purged_folds", "SELECT f.fold, count(*) AS n_train FROM (SELECT DISTINCT t % 5 AS fold FROM (SELECT row_number() OVER (ORDER BY date) AS t FROM (SELECT DISTINCT date FROM {wide}) q) q) f JOIN (SELECT row_number() OVER (ORDER BY date) AS t, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM {wide}) q) d ON NOT (d.t BETWEEN f.fold * n / 5e0 - 252 AND (f.fold + 1) * n / 5e0 + 21) GROUP BY f.fold")
 
 
 @query("e15_point_in_time", "SELECT b.security_id, b.date, s.filing_date AS as_of, round(s.value, 6) AS value FROM {bars} b ASOF JOIN (SELECT security_id % 100 AS security_id, filing_date, sum(price) AS value FROM {statements} GROUP BY security_id % 100, filing_date) s ON s.security_id = b.security_id AND b.date >= s.filing_date")
@@ -155,3 +146,143 @@ def _(i):
     return factors.asof_backward(i.bars.select("security_id", "date"), s, ["security_id"], ["ratio"]).where("as_of is not null")
 
 
+# ---- documents: scan, facts
+@query("s01_document_scan", """
+SELECT l.key AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN d.doc_id % 7 = 0 THEN 'unreadable' ELSE 'ok' END AS outcome
+FROM (SELECT doc_id + CASE WHEN doc_id % 50 = 3 THEN 1000000000 ELSE 0 END AS key FROM {documents} WHERE doc_id % 3 <> 0) l LEFT JOIN {documents} d ON d.doc_id = l.key""")
+def _(i):
+    key = F.col("doc_id") + F.when(F.col("doc_id") % 50 == 3, 1_000_000_000).otherwise(0)
+    ledger = i.documents.select(key.alias("key"), F.when(F.col("doc_id") % 3 == 0, "http_error").otherwise("ok").alias("status"))
+    body = F.when(F.col("doc_id") % 7 == 0, "{\"cut").otherwise(F.to_json(F.struct("doc_id", "lang")))
+    read, skipped = documents.scan(ledger, i.documents.select(F.col("doc_id").alias("key"), body.alias("body")), ["key"])
+    return read.select(F.col("key").alias("doc_id"), F.lit("ok").alias("outcome")).union(skipped.select("key", "reason"))
+
+
+@query("b07_general", """
+SELECT s.s_suppkey AS security_id, s.s_name || '.' || CAST(s.s_nationkey AS VARCHAR) AS api_ticker, s.s_name AS name, CASE WHEN s.s_suppkey % 9 <> 0 THEN n.n_name END AS sector, DATE '1990-01-01' + CAST(s.s_suppkey AS INT) AS ipo_date,
+  s.s_suppkey % 3 = 0 AS is_delisted, CASE WHEN s.s_suppkey % 3 = 0 THEN DATE '2020-01-01' + CAST(s.s_suppkey AS INT) END AS delisted_date, s.s_suppkey * 3 AS full_time_employees,
+  round(s.s_acctbal, 2) AS market_cap, round(s.s_acctbal / 7, 4) AS pe_ratio, CASE WHEN s.s_suppkey % 4 <> 1 THEN round(s.s_acctbal / 9, 4) END AS trailing_pe, CAST(s.s_suppkey * 1000 AS DOUBLE) AS shares_outstanding, round(s.s_suppkey / 8e0, 4) AS beta
+FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey WHERE s.s_suppkey % 5 <> 1""")
+def _(i):
+    k = F.col("s_suppkey")
+    own = i.supplier.join(i.nation, F.col("n_nationkey") == F.col("s_nationkey"))
+    text = lambda c: c.cast("string")
+    general = F.create_map(
+        F.lit("Type"), F.when(k % 5 == 1, "ETF").otherwise("Common Stock"), F.lit("Name"), F.col("s_name"), F.lit("Sector"), F.when(k % 9 == 0, "").otherwise(F.col("n_name")), F.lit("IPODate"), text(F.date_add(F.lit("1990-01-01").cast("date"), k.cast("int"))),
+        F.lit("IsDelisted"), text(k % 3 == 0), F.lit("DelistedDate"), F.when(k % 3 == 0, text(F.date_add(F.lit("2020-01-01").cast("date"), k.cast("int")))).otherwise("0000-00-00"), F.lit("FullTimeEmployees"), text((k * 3).cast("double")),
+    )
+    figures = F.create_map(F.lit("MarketCapitalization"), text(F.round("s_acctbal", 2)), F.lit("PERatio"), text(F.round(F.col("s_acctbal") / 7, 4)))
+    valuation = F.when(k % 4 != 1, F.create_map(F.lit("TrailingPE"), text(F.round(F.col("s_acctbal") / 9, 4))))
+    body = F.to_json(F.create_map(F.lit("General"), general, F.lit("Highlights"), figures, F.lit("Valuation"), valuation, F.lit("SharesStats"), F.create_map(F.lit("SharesOutstanding"), text(k * 1000)), F.lit("Technicals"), F.create_map(F.lit("Beta"), text(F.round(k / 8.0, 4)))))
+    docs = own.select(k.alias("security_id"), F.concat_ws(".", "s_name", F.col("s_nationkey").cast("string")).alias("api_ticker"), body.alias("body"))
+    out = documents.company_facts(docs)
+    return out.select("security_id", "api_ticker", "name", "sector", "ipo_date", "is_delisted", "delisted_date", "full_time_employees", "market_cap", "pe_ratio", "trailing_pe", "shares_outstanding", "beta")
+
+
+@query("s05_declared_schema", "SELECT CAST(security_id AS INTEGER) AS security_id, date, TRY_CAST(raw_close AS DOUBLE) AS close, CAST(volume AS BIGINT) AS volume, CAST(NULL AS DOUBLE) AS open FROM (SELECT *, CASE WHEN volume % 3 = 0 THEN 'n/a' ELSE CAST(CAST(volume AS BIGINT) * 2 AS VARCHAR) END AS raw_close FROM {bars} WHERE security_id % 4 <> 0) q")
+def _(i):
+    close = F.when(F.col("volume") % 3 == 0, "n/a").otherwise((F.col("volume") * 2).cast("string"))
+    raw = i.bars.select(F.when(F.col("security_id") % 4 != 0, F.col("security_id").cast("string")).alias("security_id"), F.col("date").cast("string").alias("date"), close.alias("close"), F.col("volume").cast("double").alias("volume"), "adjusted_close")
+    return stored.declared(raw, stored.BARS).select("security_id", "date", "close", "volume", "open")
+
+
+# ---- diagnostics with controls, robust paths, buckets, maps and folds
+CONTROLS = f"SELECT q.security_id, q.date, q.signal, ln(b.volume + 1) AS c1, ln(b.close) AS c2, ln(b.high / b.low) AS c3 FROM ({SIGNAL}) q JOIN {{bars}} b ON b.security_id = q.security_id AND b.date = q.date WHERE signal IS NOT NULL"
+_ON = "CASE WHEN regr_sxx({y}, {x}) OVER d > 1e-12 THEN regr_slope({y}, {x}) OVER d ELSE 0e0 END"
+_LESS = "{y} - avg({y}) OVER d - (" + _ON + ") * ({x} - avg({x}) OVER d)"
+
+
+def _orthogonal() -> str:
+    """SQL of one control after the other: what is left of the later ones, and of the signal, after the earlier."""
+    one = f"SELECT *, {_LESS.format(y='c2', x='c1')} AS r2, {_LESS.format(y='c3', x='c1')} AS q3, {_LESS.format(y='signal', x='c1')} AS s1 FROM ({CONTROLS}) q WINDOW d AS (PARTITION BY date)"
+    two = f"SELECT *, {_LESS.format(y='q3', x='r2')} AS r3, {_LESS.format(y='s1', x='r2')} AS s2 FROM ({one}) q WINDOW d AS (PARTITION BY date)"
+    return f"SELECT *, {_LESS.format(y='s2', x='r3')} AS s3, count(*) OVER d AS n FROM ({two}) q WINDOW d AS (PARTITION BY date)"
+
+
+def signal(i):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("security_id").orderBy("date")
+    own = i.bars.withColumns({"s": F.ln(F.lag("close", 5).over(w) / F.col("close")), "fwd": F.ln(F.lead("close", 5).over(w) / F.col("close"))})
+    return own.withColumn("signal", F.lag("s").over(w))
+
+
+@query("e05_neutralised", f"SELECT security_id, date, round(s3, 6) + 0.0 AS residual FROM ({_orthogonal()}) q WHERE n >= 10")
+def _(i):
+    own = signal(i).where("signal is not null").select("security_id", "date", "signal", F.ln(F.col("volume") + 1).alias("c1"), F.ln("close").alias("c2"), F.ln(F.col("high") / F.col("low")).alias("c3"))
+    return rounded(diagnostics.neutralised(own, "signal", ["c1", "c2", "c3"], least=10))
+
+
+@query("e08_winsorised", """
+SELECT security_id, date, round(CASE WHEN n >= 21 THEN greatest(least(r, 3 * m), -3 * m) END, 6) + 0.0 AS clipped, CAST(sum(sign(r)) OVER (PARTITION BY security_id ORDER BY date) AS BIGINT) AS signs FROM (
+  SELECT *, mad(r) OVER w AS m, count(r) OVER w AS n FROM (SELECT security_id, date, round(ln(close / lag(close) OVER (PARTITION BY security_id ORDER BY date)), 9) AS r FROM {bars}) q WHERE r IS NOT NULL
+  WINDOW w AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)) q""")
+def _(i):
+    from pyspark.sql import Window
+
+    r = F.round(F.ln(F.col("close") / F.lag("close").over(Window.partitionBy("security_id").orderBy("date"))), 9)
+    return rounded(diagnostics.robust_paths(i.bars.select("security_id", "date", r.alias("r"))))
+
+
+BUCKETED = f"""SELECT t.security_id, t.date, t.tb_21, t.tb_21 / (1.39e0 * sqrt(21e0)) AS z, f.fwd FROM ({scan_sql(False)}) t
+JOIN (SELECT security_id, date, round(ln(lead(close, 5) OVER (PARTITION BY security_id ORDER BY date) / close), 8) AS fwd FROM {{bars}}) f ON f.security_id = t.security_id AND f.date = t.date WHERE t.tb_21 IS NOT NULL AND f.fwd IS NOT NULL"""
+
+
+@query("e09_z_buckets", f"""
+SELECT CAST(bucket AS INT) AS bucket, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_dates, round(avg(ic), 6) + 0.0 AS mean_ic FROM (
+  SELECT date, bucket, count(*) AS n, corr(a, b) AS ic FROM (
+    SELECT *, rank() OVER (PARTITION BY date, bucket ORDER BY tb_21) + (count(*) OVER (PARTITION BY date, bucket, tb_21) - 1) / 2e0 AS a, rank() OVER (PARTITION BY date, bucket ORDER BY fwd) + (count(*) OVER (PARTITION BY date, bucket, fwd) - 1) / 2e0 AS b
+    FROM (SELECT *, least(floor(abs(z) * 2), 4) AS bucket FROM ({BUCKETED}) q) q) q GROUP BY date, bucket HAVING count(*) >= 5 AND stddev_samp(a) > 0 AND stddev_samp(b) > 0) q GROUP BY bucket""")
+def _(i):
+    from pyspark.sql import Window
+
+    scanned = trend.trend_scan(calm(i), (21,)).withColumn("tb_21", F.round("tb_21", 4))
+    fwd = F.round(F.ln(F.lead("close", 5).over(Window.partitionBy("security_id").orderBy("date")) / F.col("close")), 8)
+    own = scanned.select("security_id", "date", "tb_21", fwd.alias("fwd")).where("tb_21 is not null and fwd is not null")
+    return rounded(diagnostics.bucket_ic(own.withColumn("z", diagnostics.unit_null("tb_21", 21)), "tb_21", "fwd", least=5))
+
+
+@query("e12_position_maps", f"""
+SELECT security_id, date, round((signal - m) / nullif(l1, 0), 6) + 0.0 AS neutral, CASE WHEN pos > 0 THEN round(greatest(signal, 0e0) / pos, 6) + 0.0 END AS long_only, CASE WHEN place <= ceil(0.2e0 * n) THEN round(1 / ceil(0.2e0 * n), 6) ELSE 0 END AS top
+FROM (SELECT *, sum(abs(signal - m)) OVER (PARTITION BY date) AS l1, sum(greatest(signal, 0e0)) OVER (PARTITION BY date) AS pos FROM (
+  SELECT security_id, date, signal, avg(signal) OVER (PARTITION BY date) AS m, count(*) OVER (PARTITION BY date) AS n, row_number() OVER (PARTITION BY date ORDER BY signal DESC, security_id) AS place FROM (SELECT security_id, date, round(signal, 8) AS signal FROM ({SIGNAL}) q WHERE signal IS NOT NULL) q) q) q WHERE l1 > 1e-9""")
+def _(i):
+    own = signal(i).where("signal is not null").select("security_id", "date", F.round("signal", 8).alias("signal"))
+    return rounded(diagnostics.position_maps(own, "signal", 0.2).select("security_id", "date", "neutral", "long_only", "top"))
+
+
+@query("e14_purged_folds", """
+WITH d AS (SELECT row_number() OVER (ORDER BY date) AS t, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM {wide}) q), g AS (SELECT t, (t - 1) * 5 // n AS g FROM d),
+e AS (SELECT g, min(t) AS a, max(t) AS b FROM g GROUP BY g), s AS (SELECT x.g AS one, y.g AS two, x.a AS a1, x.b AS b1, y.a AS a2, y.b AS b2 FROM e x JOIN e y ON x.g < y.g)
+SELECT CAST(one AS INT) AS one, CAST(two AS INT) AS two, count(*) FILTER (WHERE t BETWEEN a1 AND b1 OR t BETWEEN a2 AND b2) AS n_test, count(*) FILTER (WHERE NOT (t BETWEEN a1 - 252 AND b1 + 21 OR t BETWEEN a2 - 252 AND b2 + 21)) AS n_train FROM s, g GROUP BY one, two""")
+def _(i):
+    from ..operators import portfolio
+
+    return diagnostics.purged_folds(portfolio.calendar(i.wide)).groupBy("one", "two").agg(F.count_if(F.col("role") == "test").alias("n_test"), F.count_if(F.col("role") == "train").alias("n_train"))
+
+
+def ic_of(bars: int) -> str:
+    """SQL: date and rank correlation of minus the last `bars` bars' return, a bar late, with the next five."""
+    s = f"SELECT security_id, date, round(lag(s) OVER (PARTITION BY security_id ORDER BY date), 8) AS signal, round(fwd, 8) AS fwd FROM (SELECT security_id, date, ln(lag(close, {bars}) OVER w / close) AS s, ln(lead(close, 5) OVER w / close) AS fwd FROM {{bars}} WINDOW w AS (PARTITION BY security_id ORDER BY date)) q"
+    ranked = f"SELECT date, rank() OVER (PARTITION BY date ORDER BY signal) + (count(*) OVER (PARTITION BY date, signal) - 1) / 2e0 AS a, rank() OVER (PARTITION BY date ORDER BY fwd) + (count(*) OVER (PARTITION BY date, fwd) - 1) / 2e0 AS b FROM ({s}) q WHERE signal IS NOT NULL AND fwd IS NOT NULL"
+    return f"SELECT date, corr(a, b) AS ic FROM ({ranked}) q GROUP BY date HAVING count(*) >= 10 AND stddev_samp(a) > 0 AND stddev_samp(b) > 0"
+
+
+@query("e03_paired_difference", f"SELECT n, round(m, 6) AS mean, round(m / sqrt(({' + '.join(['g0', *(f'2 * (1 - {k}e0 / {LAGS + 1}) * g{k}' for k in range(1, LAGS + 1))])}) / n), 4) AS t FROM (SELECT count(*) AS n, max(m) AS m, " + ", ".join(f"sum(x * coalesce(x{k}, 0e0)) / count(*) AS g{k}" for k in range(LAGS + 1)) + " FROM (SELECT m, x, " + ", ".join(f"lag(x, {k}) OVER (ORDER BY date) AS x{k}" for k in range(LAGS + 1)) + f" FROM (SELECT date, avg(v) OVER () AS m, v - avg(v) OVER () AS x FROM (SELECT a.date, a.ic - b.ic AS v FROM ({ic_of(5)}) a JOIN ({ic_of(20)}) b ON b.date = a.date) q) q) q) q")
+def _(i):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("security_id").orderBy("date")
+
+    def ic(bars):
+        own = i.bars.withColumns({"s": F.ln(F.lag("close", bars).over(w) / F.col("close")), "fwd": F.ln(F.lead("close", 5).over(w) / F.col("close"))})
+        own = own.select("date", F.round(F.lag("s").over(w), 8).alias("signal"), F.round("fwd", 8).alias("fwd")).where("signal is not null and fwd is not null")
+        return diagnostics.rank_ic(own, ["date"], "signal", "fwd", 10).select("date", "ic")
+
+    both_ = ic(5).join(ic(20).withColumnRenamed("ic", "other"), "date").select("date", (F.col("ic") - F.col("other")).alias("v"))
+    return diagnostics.newey_west(both_, "v", LAGS).select("n", F.round("mean", 6).alias("mean"), F.round("t", 4).alias("t"))
+
+
+@query("d12_feature_table")
+def _(i):
+    return rounded(fracdiff.feature_table(i.bars.select("security_id", "date", "close", F.col("close").alias("adj"), "volume")))

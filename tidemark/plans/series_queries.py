@@ -242,8 +242,9 @@ def _(i):
 
 
 def ffd_sql(zero: bool, digits: int = 6) -> str:
-    w, _ = trend.weights(0.4, 1e-2, zero_sum=zero)
-    return "SELECT security_id, date, round(" + " + ".join(f"({x!r}e0) * lag(y, {k}) OVER w".replace("e-05e0", "e-05") for k, x in enumerate(w)) + f", {digits}) + 0.0 AS ffd FROM ({CALM}) q WINDOW w AS (PARTITION BY security_id ORDER BY date)"
+    """The oldest weight meets the oldest row of a whole window."""
+    w, _ = trend.weights(0.4, zero_sum=zero)
+    return f"SELECT security_id, date, CASE WHEN len(v) = {len(w)} THEN round(list_inner_product(v, {[float(x) for x in reversed(w)]}::DOUBLE[]), {digits}) + 0.0 END AS ffd FROM (SELECT security_id, date, list(y) OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN {len(w) - 1} PRECEDING AND CURRENT ROW) AS v FROM ({CALM}) q) q"
 
 
 @query("d02_fractional_difference", ffd_sql(True))
@@ -255,7 +256,7 @@ def _(i):
 def _(i):
     from pyspark.sql import Window
 
-    w, leak = trend.weights(0.4, 1e-2)
+    w, leak = trend.weights(0.4)
     cut = trend.differenced(calm(i), 0.4, zero_sum=False)
     by = Window.partitionBy("security_id").orderBy("date")
     return rounded(cut.select("security_id", "date", (F.col("ffd") - leak * F.lag("y", len(w) - 1).over(by)).alias("ffd")))

@@ -18,6 +18,12 @@ SELECT user_id AS security_id, CAST(ts AS DATE) AS date, min_by(value, ts) AS op
   CASE WHEN (user_id + day(CAST(ts AS DATE))) % 17 = 0 THEN 0.0e0 ELSE max_by(value, ts) END AS close,
   max_by(value, ts) AS adjusted_close, count(*) AS volume
 FROM {events} GROUP BY user_id, CAST(ts AS DATE)""",
+    # A vendor's adjusted closes: never adjusted for every tenth security, and near the factors of this library for most others.
+    "vendor": """
+SELECT security_id, date, close, CASE WHEN security_id % 10 = 3 THEN close WHEN security_id % 10 = 4 THEN adjusted_close END AS vendor FROM {bars}""",
+    # The bars as they are, a few of them twice.
+    "bars_twice": """
+SELECT security_id, date, open, high, low, close FROM {bars_dirty} UNION ALL SELECT security_id, date, open, high, low, close FROM {bars_dirty} WHERE (security_id + day(date)) % 29 = 0""",
     "bars_gap": """
 SELECT * FROM {bars} WHERE NOT (security_id % 7 = 0 AND year(date) IN (1997, 1998))
   OR (security_id % 14 = 0 AND year(date) = 1997 AND month(date) = 6 AND day(date) <= 10)""",

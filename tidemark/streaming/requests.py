@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def ledger_state(attempts: DataFrame, late: str = "1 day") -> DataFrame:
@@ -33,12 +34,12 @@ def ingest(stream: DataFrame, keys: list[str], target: str, checkpoint: str):
     def put(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = batch.dropDuplicates(keys)
-        try:
-            held = spark.read.parquet(target).where(F.col("batch") != number)
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        # Nothing is there before the first batch, and nothing but a failed write's leftovers if that broke off.
+        loaded = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/batch=*/*.parquet"))
+        if loaded is not None and len(loaded):
+            held = spark.read.schema(StructType([*new.schema.fields, StructField("batch", LongType())])).parquet(target).where(F.col("batch") != number)
             new = new.join(held.select(*keys), keys, "left_anti")
-        except Exception as e:  # nothing loaded so far
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
         new.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
