@@ -18,6 +18,22 @@ ALNUM = bytes(
 )
 
 
+class Seen(dict):
+    """What a task keeps of words that it has met. All of it is forgotten when the words are many or, like encoded files, long
+    together."""
+
+    most, most_bytes, held = 100_000, 8 << 20, 0
+
+    def missing(self, words) -> list:
+        """The words that aren't kept, once each; makes room before, so what is kept now stays until the next call."""
+        if len(self) > self.most or self.held > self.most_bytes:
+            self.clear()
+            self.held = 0
+        new = list(set(words).difference(self))
+        self.held += sum(map(len, new))
+        return new
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,7 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     local session; a cluster without the setting is an error, for a machine-local folder would lose data there."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", at)
@@ -40,7 +57,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes written tables. Only for those that nothing reads any more but tables that are themselves written: a task that
+    is run again after a lost executor must find its files."""
+    for t in tables:
+        if at := getattr(t, "stored_at", None):
+            path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict]]], schema: str | StructType) -> DataFrame:

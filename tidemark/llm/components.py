@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import spent, written
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -44,11 +44,15 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # Done when no parent has a parent and each node has one parent. Both are needed: a node that has just got two roots
         # as parents joins their components only in the next round.
         open_ = then.select("v").distinct().join(then.select(F.col("u").alias("v")), "v", "left_semi")
+        spent(now, low)
         now = then
         if open_.isEmpty() and then.groupBy("u").count().where("count > 1").isEmpty():
             break
     else:
         raise RuntimeError("connected components didn't settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+    # The last round's table holds the result; who has written what came of it may delete it.
+    out.stored_at = now.stored_at
+    return out
