@@ -13,13 +13,13 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_batches, table, texts
+from .common import Seen, map_batches, table, texts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int64(1 << 40)
 #: A match of more bytes is merged with a heap, for a round per merge would take the square of its length. Same result.
 LONG = 1024
-CELLS, CACHED, MOST_RANK_BYTES = 1 << 20, 200_000, 64 << 20
+CELLS, MOST_RANK_BYTES = 1 << 18, 64 << 20
 
 
 class BytePairs:
@@ -161,13 +161,11 @@ def encode(docs: DataFrame, ranks_path: str | None = None, id_col: str = "doc_id
     pattern = public_tokenizers.PATTERN
 
     def make():
-        bpe, find, seen = pairs_of(blob.value), regex.compile(pattern).findall, {}
+        bpe, find, seen = pairs_of(blob.value), regex.compile(pattern).findall, Seen()
 
         def step(cols):
             found = [find(t) if t else [] for t in cols["text"]]
-            if len(seen) > CACHED:
-                seen.clear()
-            new = list({m for ms in found for m in ms if m not in seen})
+            new = seen.missing(m for ms in found for m in ms)
             seen.update(zip(new, bpe.encode([m.encode() for m in new]), strict=True))
             ids = [b"".join(map(seen.__getitem__, ms)) for ms in found]
             out = {

@@ -9,13 +9,13 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_batches, table, texts
+from .common import Seen, map_batches, table, texts
 
 PIECES = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Log probability of a piece by its rank r: -log(r + OFFSET). A byte of a character without a piece is one token.
 OFFSET, BYTE_SCORE = 10.0, -30.0
-CACHED, MOST_MODEL_BYTES = 250_000, 64 << 20
+MOST_MODEL_BYTES = 64 << 20
 
 
 @lru_cache(maxsize=2)
@@ -67,13 +67,11 @@ def token_counts(docs: DataFrame, model_path: str | None = None, id_col: str = "
 
     def make():
         pieces = pieces_of(sent.value)
-        longest, seen = max(map(len, pieces)), {}
+        longest, seen = max(map(len, pieces)), Seen()
 
         def step(cols):
             split = [t.split() if t else [] for t in cols["text"]]
-            if len(seen) > CACHED:
-                seen.clear()
-            new = list({w for ws in split for w in ws if w not in seen})
+            new = seen.missing(w for ws in split for w in ws)
             seen.update(zip(new, terminal_counts([SPACE + w for w in new], pieces, longest), strict=True))
             yield {"doc_id": cols["doc_id"], "n_tokens": [sum(map(seen.__getitem__, ws)) for ws in split], "n_pretokens": list(map(len, split))}
 
