@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import fold, map_batches, table, texts
+from .common import Seen, fold, map_batches, table, texts
 
 DIM_BITS = 18
 #: At most so many labelled rows are fitted, those with the lowest hash of their id; all rows are scored.
 SAMPLE = 20_000
 SHARDS, EPOCHS, THRESHOLD, FOLDS = 8, 5, 0.3, 5
-CACHED = 200_000
 _LETTERS, _DIGIT, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(.)\1+")
 
 _hash = xxhash.xxh3_64_intdigest
@@ -38,16 +37,14 @@ class Features:
     before it is a sign of its own."""
 
     def __init__(self, bits: int = DIM_BITS):
-        self.shift, self.seen, self.hashes = np.uint64(64 - bits), {}, np.zeros((1 << 12, 2), np.uint64)
+        self.shift, self.seen, self.hashes = np.uint64(64 - bits), Seen(), np.zeros((1 << 12, 2), np.uint64)
 
     def __call__(self, text: str | None) -> list[np.ndarray]:
         words = (text or "").split()
         if not words:
             return []
         seen = self.seen
-        if len(seen) > CACHED:
-            seen.clear()
-        new, at = list(set(words).difference(seen)), len(seen)
+        new, at = seen.missing(words), len(seen)
         if new:
             while at + len(new) > len(self.hashes):
                 self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
@@ -111,13 +108,14 @@ class Ftrl:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int = SHARDS, epochs: int = EPOCHS, folds: int = FOLDS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> np.ndarray:
     """Weights, of fixed size. Learns from labelled rows whose fold is not 0, at most `sample` of them; each of `shards` tasks
     runs its own updates over its share and the weights' mean is taken, so no task or driver sees more than a share of a
-    bounded sample. Rows with a null label or id aren't learnt from; without any label all weights are 0 (score 0.5)."""
+    bounded sample. Rows with a null label or id aren't learnt from; without any label all weights are 0 (score 0.5). An id with
+    several labels has the highest, one with several texts is learnt from that of the lowest hash, once."""
     ids = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != 0)
     )
-    # Equal ids with several labels count once, so the sample is a set of ids of a bounded size and can be broadcast.
+    # The sample is a set of ids of a bounded size and can be broadcast.
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id")
+    rows = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")).select("doc_id", "label", "one.text")
 
     def fit(own):
         model, features = Ftrl(), Features()
