@@ -15,13 +15,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, map_batches, rows_of, table, texts, written
+from .common import Seen, fold, map_batches, rows_of, table, texts, written
 
-FREQUENT, KNOWN, STATES, ROUNDS = 4096, 1 << 18, 6, 3
+FREQUENT, KNOWN, STATES, ROUNDS = 4096, 1 << 18, 6, 4
+#: Training ends after ROUNDS, or when the log likelihood of a token gains less than this.
+GAIN = 1e-3
 FOLDS, HELD = 7, 2
 #: Training follows texts in pieces of so many tokens, each begun from the state shares; scores follow whole texts.
 PIECE = 512
-CACHED, CELLS = 200_000, 1 << 20
+CELLS = 1 << 20
 #: No word holds a blank, so this is no word.
 END = b"\n"
 LOG10 = np.log(10)
@@ -50,7 +52,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
             for part in rows_of(batch):
                 for text in part.column("text").to_pylist():
                     held.update(tokens_of(text))
-                if len(held) > CACHED:
+                if len(held) > Seen.most:
                     yield out()
                     held.clear()
         yield out()
@@ -58,6 +60,22 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def commonest(counts: DataFrame, most: int) -> list[tuple[int, int]]:
+    """(key, n) of the commonest tokens, the commonest first, ties by key: all of the levels of n from the top that hold `most`
+    or fewer together. Levels are the numbers up to 1,024 and then 64ths of a power of two, a few thousand whatever the corpus;
+    only rows above the cut leave Spark."""
+    level = F.when(F.col("n") < 1024, F.col("n").cast("double")).otherwise(384 + F.floor(F.log2("n") * 64))
+    own, held, cut = counts.withColumn("level", level), 0, None
+    for r in own.groupBy("level").count().orderBy(F.desc("level")).collect():
+        held += r["count"]
+        if held > most:
+            break
+        cut = r.level
+    if cut is None:
+        return []
+    return sorted(((r.key, r.n) for r in own.where(F.col("level") >= cut).select("key", "n").collect()), key=lambda x: (-x[1], x[0]))
+
+
 def encoded(docs: DataFrame, common: list[tuple[int, int]], frequent: int) -> DataFrame:
     """docs' rows as symbols. common: (key, count) of the commonest tokens, the commonest first."""
     sent = docs.sparkSession.sparkContext.broadcast((np.array([k for k, _ in common], np.int64), np.array([n for _, n in common], np.int64)))
@@ -67,7 +85,7 @@ def encoded(docs: DataFrame, common: list[tuple[int, int]], frequent: int) -> Da
         place = {int(k): i for i, k in enumerate(keys)}
         logs = np.log10(counts + 1.0)
         top = min(frequent, len(keys))
-        seen: dict[bytes, int] = {}
+        seen = Seen()
         rare: list[int] = []
 
         def step(cols):
@@ -75,10 +93,10 @@ def encoded(docs: DataFrame, common: list[tuple[int, int]], frequent: int) -> Da
             out: dict = {"doc_id": cols["doc_id"], "held_out": cols["held_out"]} | {n: [] for n in names}
             for text in cols["text"]:
                 words = tokens_of(text)
-                if len(seen) > CACHED:
-                    seen.clear()
+                new = seen.missing(words)
+                if not seen:
                     rare.clear()
-                for w in set(words).difference(seen):
+                for w in new:
                     k = key_of(w)
                     # Commonest tokens by their place, others by numbers below 0.
                     if (at := place.get(k)) is None:
@@ -119,7 +137,7 @@ class Model:
     @classmethod
     def of(cls, counts: np.ndarray, states: int, symbols: int) -> Model:
         """From expected counts laid end to end, each with a little added so that nothing is impossible."""
-        start, step, emit = np.split(counts, [states, states + states * states])
+        start, step, emit, _ = np.split(counts, [states, states + states * states, -1])
         step, emit = step.reshape(states, states) + 0.1, emit.reshape(states, symbols) + 0.1
         return cls((start + 0.1) / (start + 0.1).sum(), step / step.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
@@ -150,7 +168,7 @@ class Model:
         return back
 
     def expected(self, seqs: list[np.ndarray], first: np.ndarray) -> np.ndarray:
-        """Expected start, step and emission counts; first: which sequences begin a text."""
+        """Expected start, step and emission counts and, last, the log likelihood; first: which sequences begin a text."""
         flat, alive, at, order = self.packed(seqs)
         k, s = self.emit.shape
         obs = np.ascontiguousarray(self.emit.T)[flat]
@@ -176,7 +194,7 @@ class Model:
             beta = now
         emit = np.stack([np.bincount(flat, gamma[:, i], minlength=s) for i in range(k)])
         start = gamma[: alive[0]][first[order]].sum(0)
-        return np.concatenate([start, (pairs * self.step).ravel(), emit.ravel()])
+        return np.concatenate([start, (pairs * self.step).ravel(), emit.ravel(), [np.log(scale).sum()]])
 
 
 def batches_of(seqs: list[np.ndarray], most: int = CELLS):
@@ -194,7 +212,8 @@ def batches_of(seqs: list[np.ndarray], most: int = CELLS):
 def trained(rows: DataFrame, counts: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over rows' symbols: each task returns the expected counts of its texts, Spark adds them up."""
     spark = rows.sparkSession
-    model, symbols = Model.first(counts, states), len(counts)
+    model, symbols, before = Model.first(counts, states), len(counts), -np.inf
+    size = states + states * states + states * symbols + 1
     # What a round returns is per task and of fixed size, so no more tasks than the cluster can use.
     own = rows.select("symbols")
     own = own.coalesce(max(1, min(own.rdd.getNumPartitions(), 3 * spark.sparkContext.defaultParallelism)))
@@ -202,7 +221,7 @@ def trained(rows: DataFrame, counts: np.ndarray, states: int = STATES, rounds: i
         sent = spark.sparkContext.broadcast(model)
 
         def expect(batches, sent=sent):
-            now, total = sent.value, np.zeros(states + states * states + states * symbols)
+            now, total = sent.value, np.zeros(size)
             for batch in batches:
                 for part in rows_of(batch):
                     whole = [np.frombuffer(x, "<u2").astype(np.int64) for x in part.column(0).to_pylist()]
@@ -213,11 +232,16 @@ def trained(rows: DataFrame, counts: np.ndarray, states: int = STATES, rounds: i
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "x": pa.array(total[at])})
 
-        total = np.zeros(states + states * states + states * symbols)
+        total = np.zeros(size)
         # A row for each state and symbol, whatever the input.
         for r in own.mapInArrow(expect, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toLocalIterator():
             total[r.at] = r.x
         model = Model.of(total, states, symbols)
+        # Emissions add up to the number of tokens.
+        likely = total[-1] / max(total[states + states * states : -1].sum(), 1)
+        if likely - before < GAIN:
+            break
+        before = likely
     return model
 
 
@@ -231,7 +255,7 @@ def language_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     own = texts(docs, id_col, text_col)
     own = own.select("doc_id", "text", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"))
     counts = written(token_counts(own.where("not held_out")), "counts")
-    common = [(r.key, r.n) for r in counts.orderBy(F.desc("n"), "key").limit(KNOWN).collect()]  # a fixed number
+    common = commonest(counts, KNOWN)  # a fixed number
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     rows = written(encoded(own, common, frequent).withColumn("row", F.monotonically_increasing_id()), "symbols")
     top = common[:frequent]
