@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .common import ALNUM, map_batches, table, texts, written
 
 WINDOW = 10
-#: Words of test items in one automaton, which every task holds; more items take further passes.
-ITEM_WORDS = 2_000_000
+#: Words of test items in one automaton, which every task holds (about 200 bytes a word, measured); more items take further
+#: passes.
+ITEM_WORDS = 1_000_000
+FOUND = (StructField("hits", ArrayType(ArrayType(IntegerType()))), StructField("items", ArrayType(LongType())), StructField("n_words", LongType()))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
@@ -23,79 +26,99 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Automaton:
-    """All substrings of all items, over word numbers. For each state: whether a window of WINDOW words ends there, with the
-    items that hold it, and the short items that end there with their lengths."""
+    """All substrings of all items, over word numbers. For the states at which a window of `window` words ends, the items that
+    hold it; for those at which a short item ends, its length and the item.
+
+    States are places in arrays. Most have one way on, which is a word and a state there; only those with more have a
+    dictionary."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]], window: int = WINDOW):
         self.window, self.word = window, {}
-        self.next, self.link, self.len = [{}], [-1], [0]
-        ends: list[tuple[int, int, int]] = []
-        for item, words in items:
+        self.link, self.len, self.by, self.to, self.more = array("i", [-1]), array("i", [0]), array("i", [-1]), array("i", [-1]), {}
+        for _, words in items:
             last = 0
-            for k, w in enumerate(words):
+            for w in words:
                 last = self._add(last, self.word.setdefault(w, len(self.word)))
-                ends.append((last, item, k + 1))
-        own: list[set] = [set() for _ in self.next]
-        for state, item, _ in ends:
-            own[state].add(item)
-        order = sorted(range(1, len(self.next)), key=self.len.__getitem__, reverse=True)
-        self.short: list[list[tuple[int, int]]] = [[] for _ in self.next]
+        self.holds: dict[int, list[int]] = {}
+        self.short: dict[int, list[tuple[int, int]]] = {}
         for item, words in items:
+            state = length = 0
+            for w in words:
+                state, length = self.step(state, length, self.word[w])
+                if length == window:
+                    held = self.holds.setdefault(state, [])
+                    if not held or held[-1] != item:
+                        held.append(item)
             if 0 < len(words) < window:
-                state, n = 0, len(words)
-                for w in words:
-                    state = self.next[state][self.word[w]]
-                self.short[state].append((n, item))
-        for v in order:
-            if self.link[v] > 0:
-                own[self.link[v]] |= own[v]
-        self.holds: list[frozenset] = [frozenset()] * len(self.next)
-        for v in reversed(order):
-            p = self.link[v]
-            if self.len[p] < window <= self.len[v]:
-                self.holds[v] = frozenset(own[v])
-            elif self.len[p] >= window:
-                self.holds[v] = self.holds[p]
-            self.short[v] = self.short[v] + self.short[p]
+                self.short.setdefault(state, []).append((len(words), item))
+        # For each state the nearest one, itself or up its links, at which a short item ends.
+        self.near = array("i", [-1]) * len(self.len)
+        if self.short:
+            for v in sorted(range(1, len(self.len)), key=self.len.__getitem__):
+                self.near[v] = v if v in self.short else self.near[self.link[v]]
         self.least = min([window, *(len(w) for _, w in items if w)])
 
+    def go(self, state: int, c: int) -> int:
+        """The state after word c, -1 for none."""
+        if self.by[state] == c:
+            return self.to[state]
+        return self.more[state].get(c, -1) if state in self.more else -1
+
+    def _put(self, state: int, c: int, to: int) -> None:
+        if self.by[state] in (-1, c):
+            self.by[state], self.to[state] = c, to
+        else:
+            self.more.setdefault(state, {})[c] = to
+
+    def _state(self, length: int, link: int) -> int:
+        self.len.append(length)
+        self.link.append(link)
+        self.by.append(-1)
+        self.to.append(-1)
+        return len(self.len) - 1
+
     def _add(self, last: int, c: int) -> int:
-        nxt, link, length = self.next, self.link, self.len
-        if c in nxt[last]:
-            q = nxt[last][c]
-            return q if length[q] == length[last] + 1 else self._split(last, c, q)
-        cur = len(nxt)
-        nxt.append({})
-        link.append(0)
-        length.append(length[last] + 1)
-        p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
-            p = link[p]
+        if (q := self.go(last, c)) >= 0:
+            return q if self.len[q] == self.len[last] + 1 else self._split(last, c, q)
+        cur, p = self._state(self.len[last] + 1, 0), last
+        while p >= 0 and self.go(p, c) < 0:
+            self._put(p, c, cur)
+            p = self.link[p]
         if p >= 0:
-            q = nxt[p][c]
-            link[cur] = q if length[q] == length[p] + 1 else self._split(p, c, q)
+            q = self.go(p, c)
+            self.link[cur] = q if self.len[q] == self.len[p] + 1 else self._split(p, c, q)
         return cur
 
     def _split(self, p: int, c: int, q: int) -> int:
-        nxt, link, length = self.next, self.link, self.len
-        clone = len(nxt)
-        nxt.append(dict(nxt[q]))
-        link.append(link[q])
-        length.append(length[p] + 1)
-        link[q] = clone
-        while p >= 0 and nxt[p].get(c) == q:
-            nxt[p][c] = clone
-            p = link[p]
+        clone = self._state(self.len[p] + 1, self.link[q])
+        self.by[clone], self.to[clone] = self.by[q], self.to[q]
+        if q in self.more:
+            self.more[clone] = dict(self.more[q])
+        self.link[q] = clone
+        while p >= 0 and self.go(p, c) == q:
+            self._put(p, c, clone)
+            p = self.link[p]
         return clone
 
+    def step(self, state: int, length: int, c: int) -> tuple[int, int]:
+        """The state and length of the longest match, of at most `window` words, that ends with word c."""
+        while (to := self.go(state, c)) < 0 and state:
+            state = self.link[state]
+            length = self.len[state]
+        if to < 0:
+            return 0, 0
+        state, length = to, length + 1
+        while self.len[self.link[state]] >= self.window:
+            state = self.link[state]
+        return state, min(length, self.window)
+
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Merged spans of words [from, to) inside occurrences of windows, and the items whose windows occur."""
         ids = list(map(self.word.get, words))
         spans: list[tuple[int, int]] = []
         items: set = set()
         n, at = len(ids), 0
-        nxt, link, lens, window, holds, short = self.next, self.link, self.len, self.window, self.holds, self.short
+        window, step = self.window, self.step
         while at < n:
             if ids[at] is None:
                 at += 1
@@ -106,28 +129,19 @@ class Automaton:
             if end - at >= self.least:
                 state = length = 0
                 for k in range(at, end):
-                    c = ids[k]
-                    while state and c not in nxt[state]:
-                        state = link[state]
-                        length = lens[state]
-                    if c in nxt[state]:
-                        state = nxt[state][c]
-                        length += 1
-                    if length >= window:
+                    state, length = step(state, length, ids[k])
+                    if length == window:
                         spans.append((k + 1 - window, k + 1))
-                        items |= holds[state]
-                    for m, item in short[state]:
-                        if m <= length:
-                            spans.append((k + 1 - m, k + 1))
-                            items.add(item)
+                        items.update(self.holds[state])
+                    p = self.near[state]
+                    while p >= 0:
+                        for m, item in self.short[p]:
+                            if m <= length:
+                                spans.append((k + 1 - m, k + 1))
+                                items.add(item)
+                        p = self.near[self.link[p]]
             at = end
-        merged: list[tuple[int, int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        return merged, items
+        return merge(spans), items
 
 
 def runs_of(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[int, list[bytes]]]]:
@@ -149,33 +163,57 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item ids as longs).
 
     The automaton is built once in each task from the items, whose words are counted: beyond item_words the items are dealt
-    with in several passes, each of which reads the hits of the one before. Null and empty texts have no words and no hits;
-    an item without words, or without an id, is no item; repeated rows give repeated results. No shuffle.
+    with in several passes, whose hits are put together by row. Null and empty texts have no words and no hits; an item
+    without words, or without an id, is no item; repeated rows give repeated results. No shuffle for items of one pass.
     """
-    spark = docs.sparkSession
-    out = texts(docs, id_col, text_col, carry).select("*", F.expr("cast(array() as array<array<int>>)").alias("hits"), F.expr("cast(array() as array<bigint>)").alias("items"), F.lit(0).cast("long").alias("n_words"))
-    for k, run in enumerate(runs_of(benchmark, item_id_col, item_text_col, item_words)):
-        if k:
-            out = written(out, "hits")
-        sent = spark.sparkContext.broadcast(run)
-
-        def make(sent=sent):
-            auto = Automaton(sent.value, window)
-
-            def step(cols):
-                n, hits, items = [], [], []
-                for text, old, held in zip(cols["text"], cols["hits"], cols["items"], strict=True):
-                    words = words_of(text)
-                    spans, found = auto.hits(words)
-                    n.append(len(words))
-                    hits.append([list(x) for x in merge([*map(tuple, old), *spans])] if old else [list(x) for x in spans])
-                    items.append(sorted(found | set(held)))
-                yield cols | {"hits": hits, "items": items, "n_words": n}
-
-            return step
-
-        out = map_batches(out, make, out.schema)
-    return out
+    runs = runs_of(benchmark, item_id_col, item_text_col, item_words)
+    own, run = texts(docs, id_col, text_col, carry), next(runs)
+    following = next(runs, None)
+    if following is None:
+        return found_in(own, run, window)
+    # Rows get a number, in a table that is written once; each pass writes hits alone.
+    own = written(own.withColumn("row", F.monotonically_increasing_id()), "rows")
+    passes = []
+    while run is not None:
+        found = found_in(own.select("row", "text"), run, window)
+        passes.append(written(found.select("row", "n_words", "hits", "items").where("size(hits) > 0"), "hits"))
+        run, following = following, next(runs, None)
+    each = passes[0]
+    for more in passes[1:]:
+        each = each.union(more)
+    both = each.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def make():
+        def step(cols):
+            merged = [[list(x) for x in merge([tuple(x) for x in hits or ()])] for hits in cols["hits"]]
+            yield cols | {"hits": merged, "items": [x or [] for x in cols["items"]], "n_words": [len(words_of(t)) for t in cols["text"]]}
+
+        return step
+
+    out = own.join(both, "row", "left").drop("row")
+    return map_batches(out, make, StructType([*out.schema.fields, FOUND[-1]]))
+
+
+def found_in(own: DataFrame, run: list[tuple[int, list[bytes]]], window: int) -> DataFrame:
+    """own with n_words, hits and items of one run of benchmark items."""
+    sent = own.sparkSession.sparkContext.broadcast([(item, b" ".join(words)) for item, words in run])
+
+    def make():
+        auto = Automaton([(item, words.split()) for item, words in sent.value], window)
+
+        def step(cols):
+            n, hits, items = [], [], []
+            for text in cols["text"]:
+                words = words_of(text)
+                spans, found = auto.hits(words)
+                n.append(len(words))
+                hits.append([list(x) for x in spans])
+                items.append(sorted(found))
+            yield cols | {"hits": hits, "items": items, "n_words": n}
+
+        return step
+
+    return map_batches(own, make, StructType([*own.schema.fields, *FOUND]))
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
