@@ -30,11 +30,14 @@ def fingerprints(docs: DataFrame, gram: int, window: int) -> DataFrame:
     one of equals), with the hashes of window - 1 lines on either side, the nearest first, and all these lines' places."""
     side = window - 1
     h = with_lines(docs.where("doc_id is not null")).select("doc_id", F.xxhash64("text").alias("tag"), F.expr(f"transform(solid, y -> struct({hashed('y.x')} as h, y.i as i))").alias("own"))
-    h = h.select("doc_id", "tag", F.expr("own.h").alias("h"), F.expr("own.i").alias("i")).where(f"size(h) >= {gram}")
-    g = h.withColumn("g", F.expr(f"transform(sequence(0, size(h) - {gram}), i -> {hashed(f'''array_join(transform(slice(h, i + 1, {gram}), v -> cast(v as string)), ':')''')})"))
+    # Arrays of their own: a field of `own` would be drawn out anew for each gram. And no filter by size, for Spark would compute
+    # all hashes twice to push it down; short texts make no grams.
+    h = h.select("doc_id", "tag", F.expr("transform(own, y -> y.h)").alias("h"), F.expr("transform(own, y -> y.i)").alias("i"))
+    gram_hash = hashed(f"array_join(transform(slice(h, i + 1, {gram}), v -> cast(v as string)), ':')")
+    g = h.withColumn("g", F.expr(f"if(size(h) < {gram}, cast(array() as array<bigint>), transform(sequence(0, size(h) - {gram}), i -> {gram_hash}))"))
     # Last place of the minimum of each window; a text of fewer grams is one window.
     low = f"transform(sequence(0, greatest(size(g) - {window}, 0)), s -> s + size(slice(g, s + 1, {window})) - cast(array_position(reverse(slice(g, s + 1, {window})), array_min(slice(g, s + 1, {window}))) as int))"
-    p = g.withColumn("pos", F.explode(F.expr(f"array_distinct({low})")))
+    p = g.withColumn("pos", F.explode(F.expr(f"if(size(g) = 0, cast(array() as array<int>), array_distinct({low}))")))
     return p.select(
         "doc_id", "tag", F.expr("g[pos]").alias("fp"), "pos", F.expr(f"reverse(slice(h, greatest(pos - {side}, 0) + 1, least(pos, {side})))").alias("before"), F.expr(f"slice(h, pos + {gram} + 1, {side})").alias("after"), F.expr(f"slice(i, greatest(pos - {side}, 0) + 1, {gram + side} + least(pos, {side}))").alias("at"),
     )
@@ -95,14 +98,19 @@ def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col:
     runs = repeated_runs(own, gram, window, contexts=contexts)
     if long_line is not None:
         runs = runs.union(repeated_lines(own, long_line))
-    gone = runs.groupBy("doc_id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-    cut = own.withColumn("tag", F.xxhash64("text")).join(gone, ["doc_id", "tag"], "left")
+    # Distinct first, in tasks and then by line: rows that repeat a document a million times are one by the time its lines meet.
+    one = runs.select("doc_id", "tag", F.explode("gone").alias("i")).distinct()
+    # A byte for each line up to the last that goes, so that each line is looked up in one step.
+    places = one.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_list("i")).alias("gone"))
+    mask = "cast(array_join(transform(gone, (g, k) -> concat(repeat('0', g - if(k = 0, -1, gone[k - 1]) - 1), '1')), '') as binary)"
+    places = places.select("doc_id", "tag", F.expr(mask).alias("mask"), F.size("gone").cast("long").alias("n"))
     # Places are a column of the join and the lines an argument: neither is computed again for each line.
+    cut = own.withColumn("tag", F.xxhash64("text")).join(places, ["doc_id", "tag"], "left")
     lines = r"split(text, '\n', -1)"
     return cut.select(
         "doc_id", *(["carried"] if "carried" in own.columns else []),
-        F.expr(rf"if(gone is null, text, array_join(filter({lines}, (x, i) -> not array_contains(gone, i)), '\n'))").alias("text"),
-        F.expr(f"if(text is null or text = '', 0L, cast(size({lines}) as bigint))").alias("n_lines"), F.expr("if(gone is null, 0L, cast(size(gone) as bigint))").alias("n_removed"),
+        F.expr(rf"if(mask is null, text, array_join(filter({lines}, (x, i) -> substring(mask, i + 1, 1) <> X'31'), '\n'))").alias("text"),
+        F.expr(f"if(text is null or text = '', 0L, cast(size({lines}) as bigint))").alias("n_lines"), F.coalesce("n", F.lit(0).cast("long")).alias("n_removed"),
     )
 
 
