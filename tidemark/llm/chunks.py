@@ -122,12 +122,13 @@ def window_rows(words: Words, own: list[dict]) -> tuple[np.ndarray, ...]:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Passages of WORDS words or more that earlier documents (lower ids) hold: doc_id, src_doc_id, start, n_bytes, n_words.
+    """Passages of WORDS words or more that earlier documents (lower ids) hold: doc_id, tag, src_doc_id, start, n_bytes, n_words.
 
     Every window of WORDS whole words that occurs, byte for byte, in an earlier document is found; windows that overlap make a
-    span, with byte offsets into the UTF-8 text; src_doc_id is the lowest keeper in the span. Rows that share an id (repeated
-    rows) are one document for the keeping, and their equal spans are returned once. Null and empty texts and null ids give
-    no row. Within one document nothing is removed.
+    span, with byte offsets into the UTF-8 text; src_doc_id is the lowest keeper in the span. Rows that share an id are one
+    document for the keeping: none of them is later than the other. Each of their different texts has spans of its own, told
+    apart by tag (a hash of the text); rows that repeat id and text have theirs once. Null and empty texts and null ids give no
+    row. Within one document nothing is removed.
 
     Equal windows have the same lowest gram, so windows are compared within it, and first as blocks: a block that an earlier
     document holds goes as a whole. Only the first document's copies of a block whose gram has other blocks too are taken apart
@@ -151,10 +152,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def joined(gone: DataFrame) -> DataFrame:
-    """Overlapping runs of words of one text joined. All of one text's meet in a task, as its text did."""
+    """Overlapping runs of words of one text joined. All of one text's meet in a task, as its text did; rows that repeat it are
+    made one before."""
 
     def join(key, own):
-        out: dict = {"doc_id": [], "src_doc_id": [], "start": [], "n_bytes": [], "n_words": []}
+        out: dict = {"doc_id": [], "tag": [], "src_doc_id": [], "start": [], "n_bytes": [], "n_words": []}
         spans: list[list[int]] = []
         for a, b, start, end, src in sorted(zip(*(own.column(n).to_pylist() for n in ("a", "b", "start", "end", "src")), strict=True)):
             if spans and a < spans[-1][1]:
@@ -163,16 +165,18 @@ def joined(gone: DataFrame) -> DataFrame:
             else:
                 spans.append([a, b, start, end, src])
         for a, b, start, end, src in spans:
-            for name, v in zip(out, (key[0].as_py(), src, start, end - start, b - a), strict=True):
+            for name, v in zip(out, (key[0].as_py(), key[1].as_py(), src, start, end - start, b - a), strict=True):
                 out[name].append(v)
         return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
 
-    return gone.groupBy("doc_id", "tag").applyInArrow(join, "doc_id long, src_doc_id long, start long, n_bytes long, n_words long").distinct()
+    once = gone.groupBy("doc_id", "tag", "a", "b", "start", "end").agg(F.min("src").alias("src"))
+    return once.groupBy("doc_id", "tag").applyInArrow(join, "doc_id long, tag long, src_doc_id long, start long, n_bytes long, n_words long")
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and text of every row of docs, the spans' bytes cut out; a character that a cut splits goes as a whole."""
-    own = spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "n_bytes"))).alias("cut"))
+    """doc_id and text of every row of docs, the bytes of its own text's spans cut out; a character that a cut splits goes as a
+    whole. Null texts and ids stay."""
+    own = spans.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_list(F.struct("start", "n_bytes"))).alias("cut"))
 
     def make():
         def step(cols):
@@ -189,7 +193,8 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
 
         return step
 
-    return map_batches(texts(docs, id_col, text_col).join(own, "doc_id", "left"), make, "doc_id long, text string")
+    rows = texts(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
+    return map_batches(rows.join(own, ["doc_id", "tag"], "left"), make, "doc_id long, text string")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
