@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +12,17 @@ from pyspark.sql import functions as F
 from .common import rows_of, table, written
 from .components import connected_components
 
-#: At a cosine of 0.93 two vectors agree in a bit with probability 0.88, in one of TABLES tables with 0.997.
-COSINE, BITS, TABLES, SEED, BLOCK = 0.93, 14, 32, 11, 256
+#: A pair at the threshold may be missed with probability MISS.
+COSINE, MISS, SEED, BLOCK = 0.93, 0.002, 11, 256
+
+
+def tables_for(rows: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]:
+    """Bits of a code and number of tables for labels of at most `rows` vectors: four codes for each vector, so that unlike ones
+    seldom share one, and as many tables as `miss` takes. Two vectors at the threshold agree in a bit with probability
+    1 - arccos(cosine) / pi, which is 0.88 at 0.93: 14 bits and 34 tables up to 4,096 rows, 18 and 59 for 65,536."""
+    bits = min(max(14, math.ceil(math.log2(max(rows, 1))) + 2), 30)
+    agree = (1 - math.acos(cosine) / math.pi) ** bits
+    return bits, math.ceil(math.log(miss) / math.log1p(-agree))
 
 
 def planes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
@@ -79,10 +90,10 @@ def linked_blocks(members: DataFrame, cosine: float) -> DataFrame:
                     u.append(int(rep[x]))
                     v.append(int(rep[y]))
 
-        if side.any():  # two blocks of one bucket: each row of the one against the other
+        if side.any():  # two blocks of one bucket, whose vectors are of one length: one product finds what can be close
             one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            for x in one:
-                meet(np.full(len(two), x), two)
+            at = np.nonzero(np.stack(vec[one]) @ np.stack(vec[two]).T >= cosine - 1e-9)
+            meet(one[at[0]], two[at[1]])
         else:  # neighbours at each distance within the sorted buckets
             for lag in range(1, int(np.bincount(bucket).max())):
                 i = np.flatnonzero(bucket[lag:] == bucket[:-lag])
@@ -95,14 +106,15 @@ def linked_blocks(members: DataFrame, cosine: float) -> DataFrame:
     return members.groupBy("pack").applyInArrow(run, "rep long, part long, other long")
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, tables: int = TABLES, seed: int = SEED, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int | None = None, tables: int | None = None, seed: int = SEED, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row for each row of vectors: vec_id, n_links, component_id, kept.
 
     Vectors with equal, non-null labels link when the cosine of their doubles is `cosine` or more and they share the code of a
     table. Equal vectors are one to the hashing: they link with each other, and a link to one is a link to all. Null, zero and
     non-finite vectors, and those with null components or an empty array, link with nothing; a vector links only with those of
     its own length. Repeated rows are vectors of their own for n_links. A null id links with nothing. A bucket of any size is
-    dealt with in pairs of blocks of `block` vectors; only vectors of buckets that hold two or more travel.
+    dealt with in pairs of blocks of `block` vectors; only vectors of buckets that hold two or more travel. Bits and tables
+    follow the largest label (tables_for), unless they are given.
     """
     own = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].cast("array<double>").alias("embedding"), vectors[label_col].cast("long").alias("label"))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -115,6 +127,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, t
     vec = own.where("same is not null").select("vec_id", "label", "same", "embedding").join(one.select("label", "same", F.col("rep").alias("vec_id"), "copies"), ["vec_id", "label", "same"]).dropDuplicates(["vec_id", "label", "same"])
     # An id that two different vectors share would be one node; a number of its own keeps them apart.
     vec = written(vec.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    if bits is None or tables is None:
+        bits, tables = tables_for(vec.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0], cosine)
     codes = written(coded(vec.select(F.col("node").alias("rep"), "label", "embedding"), bits, tables, seed), "codes")
     keyed = codes.select("rep", "label", F.length("vec").alias("len"), F.posexplode(F.expr(f"transform(sequence(0, {tables - 1}), t -> hex(substring(codes, 4 * t + 1, 4)))")).alias("t", "code"))
     keyed = keyed.withColumn("code", F.concat_ws("/", "code", "len"))
