@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from html import unescape
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,180 +18,274 @@ RAW = frozenset("script style textarea title noscript template iframe svg math s
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that never hold main text.
-ASIDE = frozenset("head nav header footer aside form dialog menu button script style template noscript iframe svg math select textarea title object canvas audio video".split())
+#: Elements that never hold main text; a header does within an article, where it holds the title.
+ASIDE = frozenset("head nav footer aside form dialog menu button script style template noscript iframe svg math select textarea title object canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words of a class or id that mark what is not main text.
-HINTS = frozenset(
-    "ad ads advert advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup promo promoted related replies reply share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split()
+#: Whole names of a class or an id that are usual for what is not main text.
+NAMES = frozenset(
+    "ad ads ad-slot advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments comment-list comment-section commentlist comments-area consent cookie cookies cookie-banner cookie-bar cookie-consent cookie-notice disqus disqus_thread footer header masthead menu modal nav navbar navigation newsletter newsletter-signup notice notices notification page-footer page-header pagination popup promo promoted related related-articles related-posts replies respond share share-buttons sharing sidebar signup site-footer site-header site-nav skip-link social social-share sponsor sponsored subscribe toolbar top-bar topbar widget".split()
 )
+#: Elements that are never furniture themselves.
+WHOLE = frozenset("# html body main".split())
 #: An opened element of the key closes open ones of the value, up to the nearest of the stop.
-CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+CLOSES = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
 
-#: A subtree is template when it stands on so many pages of its host and on this share of them; within an article on half.
-PAGES, SHARE, ARTICLE_PAGES, ARTICLE_SHARE = 3, 0.1, 10, 0.5
-#: Rows of template hashes that are sent to every task; beyond it pages are joined to their host's instead.
-SENT = 500_000
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|</[^a-zA-Z>][^>]*>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORD = re.compile(r"[a-z]+")
+#: A subtree is template when it stands on so many different pages of its host and on this share of them; within an article in
+#: so many different articles of the host. A named element goes where others of its name stand on so many pages of the host.
+PAGES, SHARE, ARTICLE_PAGES, ARTICLE_SHARE, NAMED_PAGES, NAMED_SHARE = 3, 0.1, 5, 0.5, 2, 0.01
+#: Kinds of rows of templates(): anywhere, within articles too, a name, a host with too few pages to tell.
+ANYWHERE, WITHIN, NAME, FEW = range(4)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_QUOTE = re.compile(r"=\s*([\"'])")
+_ATTR = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?![\w-])", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parts", "aside", "attrs")
+    __slots__ = ("tag", "parts", "attrs", "holds")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.parts, self.attrs = tag, [], attrs
-        self.aside = tag in ASIDE or bool(attrs) and marked(attrs)
+        self.tag, self.parts, self.attrs, self.holds = tag, [], attrs, tag in ("article", "main")
 
 
-def marked(attrs: str) -> bool:
-    for name, a, b, c in _ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and not HINTS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+def attributes(attrs: str) -> dict[str, str]:
+    return {name.lower(): (a or b or c).lower() for name, a, b, c in _ATTR.findall(attrs)} if attrs else {}
+
+
+def hidden(own: dict[str, str]) -> bool:
+    """By what the page itself says of the element, for readers and for screen readers."""
+    return "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "") or own.get("role") in ROLES
+
+
+def slot(tag: str, own: dict[str, str]) -> int | None:
+    """64 bits of an element's tag, class and id, where one of these is a usual name of furniture."""
+    names = sorted({*own.get("class", "").split(), *own.get("id", "").split()})
+    return None if NAMES.isdisjoint(names) else hashed("\1".join((tag, *names)))
+
+
+def hashed(text: str) -> int:
+    h = xxhash.xxh3_64_intdigest(text)
+    return h - (1 << 64) if h >> 63 else h
+
+
+class Stack:
+    """Open elements, with the places of those of each tag, so that no step walks the stack."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at, self.blocks = [root], {}, []
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def nearest(self, tags: tuple[str, ...]) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def cut(self, k: int) -> None:
+        """Closes the elements from place k on."""
+        for node in reversed(self.nodes[k:]):
+            self.at[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+        del self.nodes[k:]
 
 
 def parsed(html: str) -> Node:
-    """The element tree; unclosed and stray tags are repaired, comments go, character references are decoded."""
+    """The element tree; unclosed and stray tags are repaired, comments go, character references are decoded. One pass: whatever
+    the page holds, no part of it is searched twice."""
     root = Node("#")
-    stack, at, pos = [root], 0, 0
-    while m := _TAG.search(html, pos):
-        if m.start() > at:
-            stack[-1].parts.append(unescape(html[at : m.start()]))
-        at = pos = m.end()
-        if not (name := m[2]):
+    stack, pos, size = Stack(root), 0, len(html)
+    none_left: set[str] = set()  # characters that don't occur any more
+
+    def find(what: str, at: int) -> int:
+        if what in none_left:
+            return -1
+        k = html.find(what, at)
+        if k < 0:
+            none_left.add(what)
+        return k
+
+    def tag_end(at: int) -> int:
+        """Place of the > of a tag whose name ends at `at`; one in a quoted value doesn't count."""
+        end = find(">", at)
+        while end >= 0 and (m := _QUOTE.search(html, at, end)):
+            close = find(m[1], m.end())
+            at = m.end() if close < 0 else close + 1
+            if at > end:
+                end = find(">", at)
+        return end
+
+    while pos < size:
+        at = find("<", pos)
+        if at < 0:
+            stack.nodes[-1].parts.append(unescape(html[pos:]))
+            break
+        nxt = html[at + 1 : at + 2]
+        closing = nxt == "/"
+        m = _NAME.match(html, at + 1 + closing)
+        if not m and not closing and nxt not in ("!", "?"):
+            # A bare < is text.
+            end = at + 1
+            stack.nodes[-1].parts.append(unescape(html[pos:end]))
+            pos = end
             continue
-        name = name.lower()
-        if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == name:
-                    del stack[k:]
-                    break
+        if at > pos:
+            stack.nodes[-1].parts.append(unescape(html[pos:at]))
+        if not m:
+            end = find("-->", at + 4) + 2 if html.startswith("<!--", at) else find(">", at)
+            if end < 2:  # cut by the page's end
+                break
+            pos = end + 1
             continue
-        if name in BLOCK:  # a block ends an open paragraph, and inline elements left open within it
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCK:
-                    break
+        name = m[0].lower()
+        end = tag_end(m.end())
+        if end < 0:
+            break
+        pos = end + 1
+        if closing:
+            k = stack.nearest((name,))
+            # An inline end tag doesn't close blocks that were opened within.
+            if k and (name in BLOCK or not stack.blocks or stack.blocks[-1] < k):
+                stack.cut(k)
+            continue
+        if name in BLOCK and (k := stack.nearest(("p",))) and (not stack.blocks or stack.blocks[-1] <= k):
+            stack.cut(k)
         if rule := CLOSES.get(name):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in rule[1]:
-                    break
-                if stack[k].tag in rule[0]:
-                    del stack[k:]
-                    if name != "tr":
-                        break
-        node = Node(name, m[3])
-        stack[-1].parts.append(node)
-        if name in VOID or m[3].endswith("/") and name in ("svg", "path"):
+            k = stack.nearest(rule[0])
+            if k > stack.nearest(rule[1]):
+                stack.cut(k)
+        attrs = html[m.end() : end]
+        node = Node(name, attrs)
+        stack.nodes[-1].parts.append(node)
+        if name in VOID or attrs.endswith("/") and name in ("svg", "path"):
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
-            stop = end.start() if end else len(html)
+            close = f"</{name}"
+            found = None if close in none_left else re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, pos)
+            if not found:
+                none_left.add(close)
+            stop = found.start() if found else size
             if name in ("textarea", "title"):
-                node.parts.append(unescape(html[at:stop]))
-            at = stop
-            pos = at
-            if end:
-                pos = at = (html.find(">", stop) + 1) or len(html)
+                node.parts.append(unescape(html[pos:stop]))
+            pos = stop
+            if found:
+                pos = (find(">", stop) + 1) or size
             continue
-        stack.append(node)
-    if at < len(html):
-        rest = html[at:]
-        cut = rest.rfind("<")
-        if cut >= 0 and re.match(r"</?[a-zA-Z!]|<$", rest[cut:]):  # a tag that the page's end cuts
-            rest = rest[:cut]
-        stack[-1].parts.append(unescape(rest))
+        stack.push(node)
     return root
 
 
-def hashes(root: Node) -> dict[Node, int]:
-    """64 bits of each element's tag and content. Post-order without recursion, for pages may nest deeply."""
-    out: dict[Node, int] = {}
-    stack = [(root, False)]
-    while stack:
-        node, done = stack.pop()
-        if not done:
-            stack.append((node, True))
-            stack += [(p, False) for p in node.parts if isinstance(p, Node)]
-            continue
-        own = [node.tag]
-        for p in node.parts:
-            own.append(f"#{out[p]}" if isinstance(p, Node) else " ".join(p.split()))
-        h = xxhash.xxh3_64_intdigest("\0".join(own))
-        out[node] = h - (1 << 64) if h >> 63 else h
-    return out
-
-
-def listed(root: Node) -> dict[int, bool]:
-    """Hash of each element with text that could be template: whether it stands within an article only."""
-    of, out = hashes(root), {}
-    stack = [(root, False)]
-    while stack:
-        node, inside = stack.pop()
-        inside = inside or node.tag in ("article", "main")
-        for p in node.parts:
-            if isinstance(p, Node) and p.parts:
-                out[of[p]] = out.get(of[p], True) and inside
-                stack.append((p, inside))
-    return out
-
-
-def main_text(html: str | None, template: set[int], template_inside: set[int]) -> str:
-    if not html:
-        return ""
-    root = parsed(html)
-    of = hashes(root) if template or template_inside else {}
-    roots: list[Node] = []
-    stack = [root]
-    while stack:  # articles in page order, outside of what is aside; else the whole page
-        node = stack.pop()
-        for p in reversed(node.parts):
-            if isinstance(p, Node) and not p.aside:
-                stack.append(p)
-        if node.tag in ("article", "main"):
-            roots.append(node)
-    tops, covered = [], set()
-    for node in roots:
-        if id(node) in covered:
-            continue
-        tops.append(node)
-        inner = [node]
-        while inner:
-            n = inner.pop()
-            for p in n.parts:
+class Page:
+    """A page's elements in page order, each with its parent's place, and the hashes of their tags and content."""
+
+    def __init__(self, html: str):
+        self.nodes, self.parent = [parsed(html)], [-1]
+        stack = [(0, iter(self.nodes[0].parts))]
+        while stack:
+            at, parts = stack[-1]
+            for p in parts:
                 if isinstance(p, Node):
-                    covered.add(id(p))
-                    inner.append(p)
-    blocks: list[str] = []
-    words: list[str] = []
-
-    def close():
-        if line := " ".join("".join(words).split()):
-            blocks.append(line)
-        words.clear()
-
-    inside = bool(tops)
-    for top in tops or [root]:
-        walk: list = [top]
+                    self.nodes.append(p)
+                    self.parent.append(at)
+                    stack.append((len(self.nodes) - 1, iter(p.parts)))
+                    break
+            else:
+                stack.pop()
+        self.place = {id(n): k for k, n in enumerate(self.nodes)}
+        self.hash = [0] * len(self.nodes)
+        for k in range(len(self.nodes) - 1, -1, -1):
+            node = self.nodes[k]
+            self.hash[k] = hashed("\0".join((node.tag, *(f"#{self.hash[self.place[id(p)]]}" if isinstance(p, Node) else " ".join(p.split()) for p in node.parts))))
+            if k and node.holds:
+                self.nodes[self.parent[k]].holds = True
+        #: Place of the outermost article or main around each element, itself included; 0 for none.
+        self.top = [0] * len(self.nodes)
+        for k in range(1, len(self.nodes)):
+            self.top[k] = self.top[self.parent[k]] or (k if self.nodes[k].tag in ("article", "main") else 0)
+
+    def aside(self, k: int, names: set[int], few: bool) -> bool:
+        """Whether the element can't be main text: by its tag, by what the page says of it, or by a name that other pages of
+        the host have too (or that no other pages tell of)."""
+        node = self.nodes[k]
+        if node.tag in WHOLE:
+            return False
+        if node.tag in ASIDE or node.tag == "header" and not self.top[k]:
+            return True
+        if not node.attrs:
+            return False
+        own = attributes(node.attrs)
+        return hidden(own) or (s := slot(node.tag, own)) is not None and (few or s in names)
+
+    def counted(self) -> list[tuple[int, int, int]]:
+        """(kind, hash, where it stands) of each element with text: in which page, or for WITHIN in which article, and of each
+        name of furniture."""
+        out, within = set(), {}
+        for k in range(1, len(self.nodes)):
+            node, top = self.nodes[k], self.top[k]
+            if node.parts and not top == k:
+                h = self.hash[k]
+                within[h] = within.get(h, True) and top > 0
+                out.add((WITHIN if top else ANYWHERE, h, self.hash[top]))
+            if top == k:
+                out.add((WITHIN, 0, self.hash[k]))
+            if node.attrs and node.tag not in WHOLE and (s := slot(node.tag, attributes(node.attrs))) is not None:
+                out.add((NAME, s, self.hash[0]))
+        # What stands outside of articles too counts as such, once for the page.
+        out = {(ANYWHERE, h, self.hash[0]) if kind == WITHIN and h and not within[h] else (kind, h, w) for kind, h, w in out}
+        return [(ANYWHERE, 0, self.hash[0]), *out]
+
+    def text(self, anywhere: set[int], within: set[int], names: set[int], few: bool) -> str:
+        own = [k > 0 and self.aside(k, names, few) for k in range(len(self.nodes))]
+        gone = self.inherited(own)
+        # Articles in page order, outside of what is aside. Where all of them are aside, what holds one isn't.
+        tops = [k for k in range(1, len(self.nodes)) if self.top[k] == k]
+        if tops and all(gone[k] for k in tops):
+            gone = self.inherited([a and not n.holds for a, n in zip(own, self.nodes, strict=True)])
+        tops = [k for k in tops if not gone[k]]
+        out = []
+        for top in tops or [0]:
+            template = within if top else anywhere
+            blocks, left_out = self.blocks(top, gone, template)
+            # More than half of an article that recurs is a copied article, not a template.
+            if top and left_out * 2 > sum(map(len, blocks)) + left_out:
+                blocks, _ = self.blocks(top, gone, set())
+            out += blocks
+        return "\n".join(out)
+
+    def inherited(self, own: list[bool]) -> list[bool]:
+        out = list(own)
+        for k in range(1, len(out)):
+            out[k] = out[k] or out[self.parent[k]]
+        return out
+
+    def blocks(self, top: int, gone: list[bool], template: set[int]) -> tuple[list[str], int]:
+        """The blocks under an element, and the characters in template subtrees that were left out."""
+        out: list[str] = []
+        words: list[str] = []
+        left_out = 0
+
+        def close():
+            if line := " ".join("".join(words).split()):
+                out.append(line)
+            words.clear()
+
+        walk: list = [self.nodes[top]]
         while walk:
             x = walk.pop()
             if x is None:
                 close()
             elif isinstance(x, str):
                 words.append(x)
-            elif x is not top and (x.aside or of.get(x) in (template_inside if inside else template)):
-                if x.tag in BLOCK:
-                    close()
             else:
+                k = self.place[id(x)]
+                template_here = k != top and self.hash[k] in template and not x.holds
+                if template_here or gone[k]:
+                    if x.tag in BLOCK:
+                        close()
+                    if template_here and not gone[k]:
+                        left_out += self.size(k)
+                    continue
                 if x.tag == "br":
                     words.append(" ")
                 if x.tag in BLOCK:
@@ -198,7 +293,22 @@ def main_text(html: str | None, template: set[int], template_inside: set[int]) -
                     walk.append(None)
                 walk += reversed(x.parts)
         close()
-    return "\n".join(blocks)
+        return out, left_out
+
+    def size(self, k: int) -> int:
+        n, walk = 0, [self.nodes[k]]
+        while walk:
+            for p in walk.pop().parts:
+                if isinstance(p, Node):
+                    walk.append(p)
+                else:
+                    n += len(" ".join(p.split()))
+        return n
+
+
+def main_text(html: str | None, anywhere: set[int] = frozenset(), within: set[int] = frozenset(), names: set[int] = frozenset(), few: bool = True) -> str:
+    """The main text of one page, given its host's templates and names."""
+    return Page(html).text(anywhere, within, names, few) if html else ""
 
 
 def host_of(url):
@@ -207,78 +317,75 @@ def host_of(url):
 
 
 def templates(pages: DataFrame, least: int = PAGES, share: float = SHARE, article_least: int = ARTICLE_PAGES, article_share: float = ARTICLE_SHARE) -> DataFrame:
-    """host, hash, inside: subtrees of pages (host, html) that recur on many pages of their host. Counted once a page, within
-    tasks first, so that a host with a third of all pages is many small partial sums."""
+    """host, kind, hash: subtrees of pages (host, html) that recur on many pages of their host, or in many of its articles.
 
-    def count(batches):
-        import pyarrow as pa
+    Pages of equal content are one, and so are equal articles: a text that was copied is no template. Counts are of distinct
+    places, in two steps, so that a host with a third of all pages is spread over tasks by hash and place."""
+    kinds = {"host": pa.string(), "kind": pa.int32(), "hash": pa.int64(), "place": pa.int64()}
 
-        held: dict = {}
+    def count(batches):
+        held: set = set()
 
         def out():
-            rows = [(h, x, n, a) for (h, x), (n, a) in held.items()]
-            return pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate((("host", pa.string()), ("hash", pa.int64()), ("n", pa.int64()), ("inside", pa.bool_())))})
+            return pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in held], t) for i, (n, t) in enumerate(kinds.items())})
 
         for batch in batches:
             for part in rows_of(batch):
                 for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    own = listed(parsed(html)) if html else {}
-                    own[0] = True  # the page itself
-                    for x, a in own.items():
-                        n, b = held.get((host, x), (0, True))
-                        held[(host, x)] = (n + 1, a and b)
+                    if html:
+                        held.update((host, *x) for x in Page(html).counted())
                 if len(held) > 200_000:
                     yield out()
                     held.clear()
         yield out()
 
-    seen = pages.select("host", "html").mapInArrow(count, "host string, hash long, n long, inside boolean")
-    # A page number of its own for each host; subtrees of one page only are left out before anything is joined.
-    seen = written(seen.groupBy("host", "hash").agg(F.sum("n").alias("n"), F.min("inside").alias("inside")).where(f"n >= {min(least, article_least)} or hash = 0"), "subtrees")
-    size = seen.where("hash = 0").select("host", F.col("n").alias("pages"))
-    many = seen.where("hash <> 0").join(size, "host")
-    return many.where(f"n >= {least} and n >= {share} * pages").select("host", "hash", ((F.col("n") >= article_least) & (F.col("n") >= article_share * F.col("pages"))).alias("strong"))
+    seen = pages.select("host", "html").mapInArrow(count, "host string, kind int, hash long, place long")
+    n = written(seen.groupBy("host", "kind", "hash").agg(F.countDistinct("place").alias("n")).where(f"n >= {min(least, article_least, NAMED_PAGES)} or hash = 0"), "subtrees")
+    size = n.where("hash = 0").groupBy("host").agg(F.max(F.when(F.col("kind") == ANYWHERE, F.col("n"))).alias("pages"), F.max(F.when(F.col("kind") == WITHIN, F.col("n"))).alias("articles"))
+    enough = (
+        F.when(F.col("kind") == ANYWHERE, (F.col("n") >= least) & (F.col("n") >= share * F.col("pages")))
+        .when(F.col("kind") == WITHIN, (F.col("n") >= article_least) & (F.col("n") >= article_share * F.col("articles")))
+        .otherwise((F.col("n") >= NAMED_PAGES) & (F.col("n") >= NAMED_SHARE * F.col("pages")))
+    )
+    few = size.where(f"pages < {least}").select("host", F.lit(FEW).alias("kind"), F.lit(0).cast("long").alias("hash"))
+    return n.where("hash <> 0").join(size, "host").where(enough).select("host", "kind", "hash").union(few)
 
 
-def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sent: int = SENT) -> DataFrame:
+def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each row of pages: page_id, url, text, n_chars.
 
-    A page's article or main elements, else its body, without elements that never hold main text, elements whose class, id or
-    role says so, and template subtrees of its host. Within an article a subtree must recur on half of the host's pages, and
-    on ten, to go. Null and empty html give an empty text; a null url is a host of its own name ''. Repeated rows are counted
-    each and give repeated results. Other columns are ignored.
+    A page's article or main elements, else its whole body, without template subtrees of its host, without elements that never
+    hold main text, and without those whose class or id is a usual name of furniture, if other pages of the host have the same
+    (a host of fewer than PAGES different pages tells nothing, and the name decides). Html, body and main never go, and neither
+    do all articles of a page: where that came out, what holds one stays. Within an article a subtree must recur in half of the host's different articles, and in five, to go, and
+    none goes where they make up more than half of the article. Null and empty html give an empty text; a null url is a host of
+    its own name ''. Repeated rows give repeated results and count once. Other columns are ignored.
     """
-    spark = pages.sparkSession
     own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
     found = written(templates(own), "templates")
-    schema = "page_id long, url string, text string, n_chars long"
-
-    def result(cols, sets):
-        text = [main_text(html, *sets(k)) for k, html in enumerate(cols["html"])]
-        return {"page_id": cols["page_id"], "url": cols["url"], "text": text, "n_chars": list(map(len, text))}
+    # A host's templates are few, each stands on a share of its pages; hosts are many. Spark sends the lists to all tasks where
+    # their size allows it, else pages and lists meet by host and hot hosts are split.
+    lists = found.groupBy("host").agg(F.collect_list(F.struct("kind", "hash")).alias("found"))
 
-    if found.count() <= sent:
-        by: dict[str, tuple[set, set]] = {}
-        for r in found.toLocalIterator():
-            every, strong = by.setdefault(r.host, (set(), set()))
-            every.add(r.hash)
-            if r.strong:
-                strong.add(r.hash)
-        held = spark.sparkContext.broadcast(by)
+    def make():
+        held: dict = {}
 
-        def make():
-            none = (set(), set())
-            return lambda cols: [result(cols, lambda k: held.value.get(cols["host"][k], none))]
+        def sets(host, rows):
+            if host not in held:
+                if len(held) > 10_000:
+                    held.clear()
+                held[host] = tuple({r["hash"] for r in rows or () if r["kind"] == kind} for kind in (ANYWHERE, WITHIN, NAME)) + (any(r["kind"] == FEW for r in rows or ()),)
+            return held[host]
 
-        return map_batches(own, make, schema)
-    # A host's templates are few (each stands on a tenth of its pages), hosts are many: joined by host, hot ones split by AQE.
-    lists = found.groupBy("host").agg(F.collect_list("hash").alias("every"), F.collect_list(F.when(F.col("strong"), F.col("hash"))).alias("strong"))
+        def step(cols):
+            text = [main_text(html, *sets(host, rows)) for html, host, rows in zip(cols["html"], cols["host"], cols["found"], strict=True)]
+            yield {"page_id": cols["page_id"], "url": cols["url"], "text": text, "n_chars": list(map(len, text))}
 
-    def make_joined():
-        return lambda cols: [result(cols, lambda k: (set(cols["every"][k] or ()), set(cols["strong"][k] or ())))]
+        return step
 
-    return map_batches(own.join(lists, "host", "left"), make_joined, schema)
+    return map_batches(own.join(lists, "host", "left"), make, "page_id long, url string, text string, n_chars long")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page of `pages`."""
     return main_texts(table(spark, sf_dir, "pages"))
