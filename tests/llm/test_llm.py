@@ -75,11 +75,40 @@ def test_decontamination(spark, odd):
     several = {r.doc_id: (r.hits, r["items"]) for r in decontaminate.contamination(rows, items, item_words=3).collect()}
     assert several == {k: (r.hits, r["items"]) for k, r in got.items()}
     kept = {r.doc_id: r.text for r in decontaminate.decontaminate(rows, items, max_coverage=0.9).collect()}
+    assert kept == {r.doc_id: r.text for r in decontaminate.decontaminate(rows, items, max_coverage=0.9, item_words=1, carry=True).collect()}
     assert kept == {1: "x y", 2: "a", 3: None, 4: "one two three"}
     assert decontaminate.contamination(odd, items).count() == len(ODD)
     assert decontaminate.contamination(rows, items.limit(0)).where("size(hits) > 0").count() == 0
 
 
+@pytest.mark.parametrize("window", [2, 3, 5])
+def test_automaton_against_brute_force(window):
+    rng = np.random.default_rng(window)
+    for _ in range(150):
+        alphabet = [b"a", b"b", b"c", b"d"][: rng.integers(2, 5)]
+        word = lambda: alphabet[rng.integers(len(alphabet))]
+        items = [(k, [word() for _ in range(rng.integers(1, 12))]) for k in range(rng.integers(1, 8))]
+        text = [word() if rng.random() < 0.9 else b"z" for _ in range(60)]
+        want, found = set(), set()
+        for item, own in items:
+            m = min(window, len(own))
+            for i in range(len(own) - m + 1):
+                for at in range(len(text) - m + 1):
+                    if text[at : at + m] == own[i : i + m]:
+                        want.update(range(at, at + m))
+                        found.add(item)
+        spans, got = decontaminate.Automaton(items, window).hits(text)
+        assert got == found and {k for a, b in spans for k in range(a, b)} == want
+
+
+def test_decontamination_edges(spark, odd):
+    items = spark.createDataFrame([(7, "a b c")], "item_id long, text string")
+    assert decontaminate.contamination(odd.limit(0), items).collect() == [] and decontaminate.decontaminate(odd.limit(0), items, item_words=1).collect() == []
+    long = "w " * 400_000 + "a b c"
+    one = decontaminate.contamination(spark.createDataFrame([(1, long)], "doc_id long, text string"), items).first()
+    assert (one.n_words, one.hits, one["items"]) == (400_003, [[400_000, 400_003]], [7])
+
+
 def test_quality_on_held_out_rows(spark, sf_dir):
     sf = sf_dir.replace("sf0.001", "sf0.01")
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -88,6 +117,35 @@ def test_quality_on_held_out_rows(spark, sf_dir):
     assert np.mean([r.predicted == truth[r.doc_id] for r in out]) >= 0.95
 
 
+def test_ftrl_against_one_coordinate_at_a_time():
+    rng = np.random.default_rng(1)
+    model = quality.Ftrl(bits=4)
+    z, n = [0.0] * 17, [0.0] * 17
+    weight = lambda i: 0.0 if abs(z[i]) <= model.l1 else -(z[i] - math.copysign(model.l1, z[i])) / ((model.beta + math.sqrt(n[i])) / model.alpha + model.l2)
+    for _ in range(200):
+        grams, label = [rng.integers(0, 16, rng.integers(1, 9)) for _ in range(rng.integers(0, 4))], int(rng.integers(2))
+        x = {16: 1.0}
+        for g in grams:
+            for i in g.tolist():
+                x[i] = x.get(i, 0.0) + model.scale / len(g)
+        p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items())))
+        for i, v in x.items():
+            g, w = (p - label) * v, weight(i)
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / model.alpha * w
+            n[i] += g * g
+        model.learn(grams, label)
+        assert np.allclose(model.z, z) and np.allclose(model.n, n) and np.allclose(model.weights(), [weight(i) for i in range(17)])
+
+
+def test_an_id_is_learnt_from_once(spark):
+    rows = [(k, "good words here" if k % 2 else "bad things there") for k in range(1, 60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 60)] + [(3, 0)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    more = spark.createDataFrame(rows + [(2, "bad things there")] * 300, "doc_id long, text string").repartition(5)
+    assert np.array_equal(quality.train(docs, labels), quality.train(more, labels))
+    assert quality.scored(docs.limit(0), np.zeros((1 << quality.DIM_BITS) + 1)).collect() == []
+
+
 def test_quality_edges(spark, odd):
     none = spark.createDataFrame([], "doc_id long, quality int")
     out = quality.scored(odd, quality.train(odd, none), score_col="p").collect()
@@ -110,6 +168,41 @@ def test_forward_scores_are_exact():
         assert math.isclose(got, math.log(total), rel_tol=1e-12)
 
 
+def test_expected_counts_against_every_path():
+    rng = np.random.default_rng(4)
+    model = hmm.Model.first(rng.integers(1, 9, 4).astype(float), 2)
+    seqs, first = [np.array([0, 3, 1]), np.array([2]), np.array([1, 1, 2, 0])], np.array([True, True, False])
+    start, step, emit, likely = np.zeros(2), np.zeros((2, 2)), np.zeros((2, 4)), 0.0
+    for seq, begins in zip(seqs, first, strict=True):
+        paths = {}
+        for path in np.ndindex(*[2] * len(seq)):
+            p = model.start[path[0]] * model.emit[path[0], seq[0]]
+            for t in range(1, len(seq)):
+                p *= model.step[path[t - 1], path[t]] * model.emit[path[t], seq[t]]
+            paths[path] = p
+        total = sum(paths.values())
+        likely += math.log(total)
+        for path, p in paths.items():
+            start[path[0]] += p / total * begins
+            for t, s in enumerate(path):
+                emit[s, seq[t]] += p / total
+                if t:
+                    step[path[t - 1], s] += p / total
+    assert np.allclose(model.expected(seqs, first), np.concatenate([start, step.ravel(), emit.ravel(), [likely]]), rtol=1e-10)
+
+
+def test_commonest_tokens(spark):
+    rng = np.random.default_rng(8)
+    n = np.unique(rng.pareto(0.6, 4000).astype(np.int64) % (1 << 40) + 1, return_counts=False)
+    rows = [(int(k), int(x)) for k, x in enumerate([*n, *n[:200], *[1] * 50])]
+    df = spark.createDataFrame(rows, "key long, n long")
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for most in (0, 1, 100, len(rows) - 1, len(rows)):
+        got = hmm.commonest(df, most)
+        assert len(got) <= most and got == order[: len(got)]
+    assert hmm.commonest(df, len(rows)) == order and len(hmm.commonest(df, 300)) > 200 and hmm.commonest(df.limit(0), 5) == []
+
+
 def test_training_raises_the_likelihood():
     rng = np.random.default_rng(2)
     seqs = [np.tile([0, 1, 2], rng.integers(2, 9)) for _ in range(30)]
@@ -177,6 +270,19 @@ def test_chunks_resist_shifts(spark, odd):
     assert chunks.repeated_spans(odd).count() == 0
 
 
+def test_rows_of_one_id_have_spans_of_their_own(spark):
+    rng = np.random.default_rng(12)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(n))
+    one, two, own = make(60), make(70), [make(40) for _ in range(4)]
+    rows = [(1, f"{own[0]} {one} {own[1]} {two}"), (5, f"{one} {own[2]}"), (5, f"{own[3]} {two}"), (5, f"{own[3]} {two}"), (6, f"é{one}é"), (7, one[:30] + "é" + one[31:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spans = chunks.repeated_spans(docs)
+    assert sorted((r.doc_id, r.src_doc_id, r.n_words) for r in spans.collect()) == [(5, 1, 60), (5, 1, 70), (6, 1, 58), (7, 1, 55)]
+    left = sorted(r.text for r in chunks.without_spans(docs, spans).where("doc_id = 5").collect())
+    assert left == sorted([f" {own[2]}", f"{own[3]} ", f"{own[3]} "])
+    assert chunks.repeated_spans(docs.limit(0)).collect() == [] and chunks.without_spans(docs.limit(0), spans).collect() == []
+
+
 def brute_windows(rows, n):
     """Words, by id, that are part of n words which a text with a lower id holds byte for byte."""
     seen, out = {}, {}
@@ -229,6 +335,15 @@ def test_line_runs(spark, odd):
     assert lines.dedup_lines(odd, carry=True).count() == len(ODD)
 
 
+def test_lines_of_long_and_of_repeated_texts(spark):
+    text = "\n".join(f"line {k}" for k in range(30_000))
+    rows = [(1, text), (2, text + "\nend"), *[(3, "line 7\nline 8\nline 9\nz")] * 50]
+    began = __import__("time").time()
+    out = {(r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), contexts=True).collect()}
+    assert out == {(1, text, 30_000, 0), (2, "end", 30_001, 30_000), (3, "z", 4, 3)} and __import__("time").time() - began < 60
+    assert lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
 def test_long_lines_go_alone(spark):
     import corpus_pipeline
 
@@ -302,7 +417,12 @@ def test_linked_sets_share_a_key(link):
                 if 100 * both < link * (len(one) + len(then) - both):
                     break
                 two = then
-            assert len(np.intersect1d(jaccard.keys(one, jaccard.Classes(link)), jaccard.keys(np.unique(two), jaccard.Classes(link))))
+            two, classes = np.unique(two), jaccard.Classes(link)
+            (keys, outline), (others, other) = jaccard.keys(one, classes), jaccard.keys(two, classes)
+            assert len(np.intersect1d(keys, others))
+            low = min(classes.at(len(one)), classes.at(len(two)))
+            lines = [jaccard.outline_in(classes, o, len(x), low) for o, x in ((outline, one), (other, two))]
+            assert jaccard.outlines_allow(link, lines[0], len(one), lines[1][None], np.array([len(two)]))[0]
 
 
 def test_jaccard_small_blocks(spark):
@@ -312,6 +432,40 @@ def test_jaccard_small_blocks(spark):
         assert {r.doc_id: r.component_id for r in jaccard.near_documents(df, block=block).collect()} == brute_components(rows, 4, 85)
 
 
+def test_jaccard_links_that_only_pairs_of_later_nodes_have(spark):
+    """Texts that share keys with a hub which they don't link with, and chains of links; a common passage in all of them."""
+    rng = np.random.default_rng(9)
+    rows, common = [], [f"c{k}" for k in range(30)]
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(90)]
+        for step in range(8):  # each next to its neighbour, the ends far apart
+            words = list(base)
+            for at in range(step):
+                words[at * 7 + 3] = f"g{g}s{at}"
+            rows.append((int(rng.integers(1 << 40)), " ".join(words[:45] + common + words[45:])))
+    order = sorted(rows)
+    want = brute_components(list(enumerate(t for _, t in order)), 4, 85)
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = {r.doc_id: r.component_id for r in jaccard.near_documents(df, block=5).collect()}
+        assert got == {order[i][0]: order[low][0] for i, low in want.items()}
+
+
+def test_keys_meet_in_a_task_and_across_tasks(spark):
+    rng = np.random.default_rng(4)
+    have = {i: set(rng.integers(0, 1 << 62, 5).tolist()) | {7} | ({11, 12} if i % 3 else set()) for i in range(50)}
+    units = spark.createDataFrame([(i, bytearray(np.array(sorted(k), np.uint64).tobytes())) for i, k in have.items()], "node long, keys binary").repartition(3)
+    for buckets in (1, 5):
+        got = {}
+        for r in jaccard.shared_keys(units, buckets).collect():
+            got.setdefault(r.key, set()).update((r.node, r.low))
+        assert sorted(map(sorted, got.values())) == sorted([sorted(i for i in have if i % 3)] * 2 + [sorted(have)])
+
+
+def test_jaccard_empty_table(spark):
+    assert jaccard.near_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
 @pytest.mark.parametrize("most", [2, 3, 6])
 def test_near_stage_takes_five_words_and_80_per_cent(spark, most):
     import corpus_pipeline
@@ -379,8 +533,85 @@ def test_pages(spark):
     rows += [(20, None, None), (21, "http://g", ""), (22, "http://f", "<article><h1>T</h1>a<br>b<aside>no</aside><p>c&lt;</p><div class='comments'>bad</div></article><footer>f</footer>")]
     out = {r.page_id: r.text for r in pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert out == {i: f"own text {i} & more" for i in range(12)} | {20: "", 21: "", 22: "T\na b\nc<"}
-    joined = {r.page_id: r.text for r in pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), sent=-1).collect()}
-    assert joined == out
+
+
+PAGE = "page_id long, url string, html string"
+
+
+def extracted(spark, rows, schema=PAGE):
+    return {r.page_id: r.text for r in pages.main_texts(spark.createDataFrame(rows, schema)).collect()}
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<body class="has-sidebar"><p>text</p></body>', "text"),
+    ('<body class="single comments-open right-sidebar"><article><p>text</p></article></body>', "text"),
+    ('<body class="comments"><p>text</p></body>', "text"),
+    ('<article class="post comments-open"><p>text</p></article>', "text"),
+    ('<main class="no-ads"><p>text</p></main>', "text"),
+    ('<main class="ads"><p>text</p></main>', "text"),
+    ("<form id=f><main><p>text</p></main></form>", "text"),
+    ('<div class="sidebar"><article><p>text</p></article></div>', "text"),
+    ('<article class="widget"><p>text</p></article>', "text"),
+    ('<article><p>text</p><div id="notice-of-appeal">more</div></article>', "text\nmore"),
+    ('<article><header><h1>Title</h1></header><p>text</p></article><header>Site</header>', "Title\ntext"),
+    ('<article><p>text</p></article><section class="comments"><article class="comment">no</article></section>', "text"),
+    ('<article><p>text</p></article><aside><article>teaser</article></aside>', "text"),
+    ('<p>a <b>b <div>c</b> d</div> e', "a b\nc d\ne"),
+    ("<p>1 < 2 &lt; 3 <!-- no --> x</p><p>y <a href='>'>z</a><script>no</script>", "1 < 2 < 3 x\ny z"),
+    ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul><table><tr><td>e<td>f<tr><td>g</table>", "a\nb\nc\nd\ne\nf\ng"),
+    ("text <a href=", "text"),
+    ("text <!-- no", "text"),
+    ("<title>no</title><textarea>no</textarea>text</p></div>", "text"),
+])
+def test_no_text_is_lost_by_a_name(html, want):
+    assert pages.main_text(html) == want
+
+
+@pytest.mark.parametrize("part", ["<a '", "<a ", "<div>", "<b>", "<p><b>", "</b>", "<li>", "<dd><b>", "<a b='>", '<a b="', "<!", "<", "<script>", "&amp;", "<a b= ", "<article>", "<table><td>", "<b></i>"])
+def test_pages_are_parsed_in_linear_time(part):
+    import time
+
+    for html in (part * (1_000_000 // len(part)), "<div>" * 50_000 + part * 50_000, "<b>" * 50_000 + (part + "</dd></p>") * 50_000):
+        began = time.time()
+        pages.parsed(html)
+        assert time.time() - began < 5
+    pages.main_text(part * 20_000)
+
+
+def test_templates_decide_without_an_article(spark):
+    """Pages without article, main or any name of furniture: what recurs on the host goes."""
+    shell = "<div><p><b>News of {h}</b></p><div><a href=/a>One</a> <a href=/b>Two</a></div><div><p>{t}</p><p>second {t}</p><div>read also</div></div><p>Made by {h}</p></div>"
+    rows = [(10 * h + i, f"https://h{h}.org/{i}", shell.format(h=h, t=f"story {h} {i}")) for h in range(3) for i in range(8)]
+    assert extracted(spark, rows) == {10 * h + i: f"story {h} {i}\nsecond story {h} {i}" for h in range(3) for i in range(8)}
+    # The same page alone on its host is all there is to see.
+    assert extracted(spark, rows[:1])[0] == "News of 0\nOne Two\nstory 0 0\nsecond story 0 0\nread also\nMade by 0"
+
+
+def test_templates_within_articles(spark):
+    """Blocks that recur in half of a host's articles go; an article that was copied, as a whole or nearly, stays."""
+    box = "<div><p>Sign up for our letter</p></div>"
+    rows = [(i, f"http://h/{i}", f"<article><p>story {i} is {'long ' * 9}</p>{box}<p>end {i}</p></article>") for i in range(10)]
+    want = {i: f"story {i} is {'long ' * 8}long\nend {i}" for i in range(10)}
+    assert extracted(spark, rows) == want
+    same = [(100 + i, f"http://h/c{i}", f"<nav>{i}</nav><article><p>a copied story</p><p>of two parts</p></article>") for i in range(60)]
+    near = [(200 + i, f"http://g/{i}", f"<article><p>a long copied story of many words</p><p>of two parts</p><p>no {i}</p></article>") for i in range(60)]
+    assert extracted(spark, rows + same + near) == want | {100 + i: "a copied story\nof two parts" for i in range(60)} | {200 + i: f"a long copied story of many words\nof two parts\nno {i}" for i in range(60)}
+
+
+def test_names_go_where_the_host_agrees(spark):
+    ad = "<article><p>story {i}</p><div class='ad big'>buy {i}</div></article>"
+    rows = [(i, f"http://h/{i}", ad.format(i=i)) for i in range(6)] + [(9, "http://h/9", "<article><p>story</p><section class='related work'><p>others</p></section></article>")]
+    assert extracted(spark, rows) == {i: f"story {i}" for i in range(6)} | {9: "story\nothers"}
+
+
+def test_page_edges(spark):
+    rows = [(1, None, None, "x", 1), (2, None, "<p>a", "y", 2), (2, None, "<p>a", "y", 2), (None, "http://h", "<p>b", None, None), (3, "http://h", "", "z", 3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, found int")
+    out = sorted(((r.page_id or 0, r.text, r.n_chars) for r in pages.main_texts(df).collect()))
+    assert out == [(0, "b", 1), (1, "", 0), (2, "a", 1), (2, "a", 1), (3, "", 0)]
+    assert pages.main_texts(df.limit(0)).collect() == []
+    long = "<article>" + "<p>" + "w " * 500_000 + "</p></article>"
+    assert extracted(spark, [(1, "http://h", long)]) == {1: ("w " * 500_000).strip()}
 
 
 def test_pipeline(spark, sf_dir):
