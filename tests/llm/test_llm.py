@@ -623,3 +623,105 @@ def test_pipeline(spark, sf_dir):
     assert kept.columns == docs.columns and np.mean([labels.get(r.doc_id, 1) for r in kept.collect()]) > 0.9
     out = corpus_pipeline.run(spark, sf_dir)
     assert 0 < out.count() <= docs.count() and "ids" in out.columns
+
+
+def plain_score(text, weights):
+    """The classifier's probability, gram by gram."""
+    import xxhash
+
+    words, most = (text or "").split(), 1 << 64
+    hashes = [[xxhash.xxh3_64_intdigest(w.lower()), xxhash.xxh3_64_intdigest(quality.shape(w))] for w in words]
+    for k in range(len(words) - 1, 0, -1):
+        if hashes[k][0] == hashes[k - 1][0]:
+            hashes[k][1] = 1
+    z = weights[-1]
+    for column, longest in ((0, 2), (1, 3)):
+        for n in range(1, longest + 1):
+            slots = []
+            for k in range(len(words) - n + 1):
+                g = hashes[k][column]
+                for m in range(1, n):
+                    g = (g * 0x9E3779B97F4A7C15 + hashes[k + m][column] * 0xC2B2AE3D27D4EB4F) % most
+                slots.append((((g ^ (g >> 29)) * 0xBF58476D1CE4E5B9) % most) >> (64 - quality.DIM_BITS))
+            if slots:
+                z += quality.Ftrl.scale * sum(weights[s] for s in slots) / len(slots)
+    return 1 / (1 + math.exp(-z))
+
+
+def plain_pipeline(docs, items, weights):
+    """The five stages by loops over texts."""
+    import tiktoken
+
+    docs = {i: t for i, t in docs.items() if plain_score(t, weights) >= quality.THRESHOLD}
+    seen, long, out = set(), set(), {}
+    for i in sorted(docs):
+        lines_ = docs[i].split("\n")
+        solid = [k for k, x in enumerate(lines_) if x.strip(" \t\r")]
+        runs = [(tuple(lines_[k].strip(" \t\r") for k in solid[a : a + 3]), solid[a : a + 3]) for a in range(len(solid) - 2)]
+        gone = {k for run, at in runs if run in seen for k in at}
+        seen |= {run for run, _ in runs}
+        for k in solid:
+            if len(lines_[k].split()) > 50:
+                if (x := lines_[k].strip(" \t\r")) in long:
+                    gone.add(k)
+                long.add(x)
+        text = "\n".join(x for k, x in enumerate(lines_) if k not in gone)
+        if not gone or text.strip(" "):
+            out[i] = text
+    order = sorted(out)
+    low = brute_components([(k, out[i].lower()) for k, i in enumerate(order)], 5, 80)
+    docs, out = {i: out[i] for k, i in enumerate(order) if low[k] == k}, {}
+    windows = set()
+    for item in items:
+        w = re.findall(r"[0-9a-z]+", item.lower())
+        windows |= {tuple(w[k : k + min(10, len(w))]) for k in range(len(w) - min(10, len(w)) + 1)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(byte_bpe.RANKS), "rb"))}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for i, text in docs.items():
+        at = list(re.finditer(r"[0-9A-Za-z]+", text))
+        words = [m[0].lower() for m in at]
+        hit = {k + d for n in {len(w) for w in windows} for k in range(len(words) - n + 1) if tuple(words[k : k + n]) in windows for d in range(n)}
+        if len(hit) > 0.5 * len(words):
+            continue
+        parts, done = [], 0
+        for k in sorted(hit):
+            if k - 1 not in hit:
+                parts.append(text[done : at[k].start()].rstrip(" "))
+            done = at[k].end()
+        out[i] = own.encode_ordinary("".join(parts) + text[done:])
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(21)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 8))) for _ in range(n))
+    docs = {k: "\n".join(make(12) for _ in range(5)) for k in range(40)} | {k: " ".join(rng.choice(["!!!", "###", "$$$1", "%%%"], 60)) for k in range(40, 70)}
+    passage, three, one = make(14), "\n".join(make(6) for _ in range(3)), make(60)
+    docs |= {100: one, 101: one + " more", 102: make(3) + "\n" + one, 103: f"{make(20)}\n{one}\n{make(20)}"}  # near copies, and a long line again
+    docs |= {110: f"{make(9)}\n{three}\n{make(9)}", 111: f"{make(8)}\n{three}\n{make(20)}", 112: three}
+    docs |= {120: f"{make(20)} {passage}, {make(20)}", 121: f"{make(4)} {passage.upper()}", 122: f"{make(30)}\n{make(5)} x y z {make(9)}"}
+    labels = [(k, int(k < 40), 0) for k in range(70)]
+    items = [passage, "x y z"]
+    spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in docs.items()], "doc_id long, text string, lang string, source string, n_chars long").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    weights = quality.train(spark.read.parquet(str(tmp_path / "documents.parquet")), spark.read.parquet(str(tmp_path / "labels.parquet")))
+    want = plain_pipeline(docs, items, weights)
+    got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == want
+    assert {100, 110, 120, 122} <= set(got) and not {101, 112, 121} & set(got) and not set(range(40, 70)) & set(got)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_odd_and_empty_tables(spark, sf_dir, odd, stage):
+    import corpus_pipeline
+
+    name, run = corpus_pipeline.STAGES[stage]
+    for df in (odd, odd.limit(0)):
+        out = run(spark, df, sf_dir)
+        rows = out.collect()
+        assert len(rows) <= len(ODD) and (name == "byte_bpe" or out.columns == df.columns)
+        if df is odd and name in ("decontamination", "byte_bpe"):
+            assert Counter(r.doc_id for r in rows) == Counter(x[0] for x in ODD)
