@@ -54,7 +54,9 @@ def print_flag(spike: float, unwind: float) -> Column:
     """Whether a bar's adjusted close jumps from the last printing bar's and is back on the next printing bar."""
     p = F.when(F.col("adjusted_close") > 0, F.col("adjusted_close"))
     before = F.last(p, ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first(p, ignorenulls=True).over(by_date().rowsBetween(1, Window.unboundedFollowing))
+    # From the latest on: a frame that only grows is one step a row, one that shrinks is begun anew for each.
+    latest_first = Window.partitionBy("security_id").orderBy(F.desc("date"))
+    after = F.last(p, ignorenulls=True).over(latest_first.rowsBetween(Window.unboundedPreceding, -1))
     jump = F.abs(F.ln(p / before))
     return F.coalesce((jump > spike) & (F.abs(F.ln(after / before)) < unwind * jump), F.lit(False))
 
