@@ -22,7 +22,7 @@ class Seen(dict):
     """What a task keeps of words that it has met. All of it is forgotten when the words are many or, like encoded files, long
     together."""
 
-    most, most_bytes, held = 100_000, 8 << 20, 0
+    most, most_bytes, held = 200_000, 16 << 20, 0
 
     def missing(self, words) -> list:
         """The words that aren't kept, once each; makes room before, so what is kept now stays until the next call."""
