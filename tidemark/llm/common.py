@@ -29,7 +29,8 @@ class Seen(dict):
         if len(self) > self.most or self.held > self.most_bytes:
             self.clear()
             self.held = 0
-        new = list(set(words).difference(self))
+        # Not set.difference: given a subclass of dict, it goes through all that is kept.
+        new = [w for w in set(words) if w not in self]
         self.held += sum(map(len, new))
         return new
 
