@@ -37,6 +37,7 @@ PAGES, SHARE, ARTICLE_PAGES, ARTICLE_SHARE, NAMED_PAGES, NAMED_SHARE = 3, 0.1, 5
 ANYWHERE, WITHIN, NAME, FEW = range(4)
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _QUOTE = re.compile(r"=\s*([\"'])")
+_TELLING = re.compile(r"class|id|role|style", re.I)
 _ATTR = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?![\w-])", re.I)
 
 
@@ -48,7 +49,7 @@ class Node:
 
 
 def attributes(attrs: str) -> dict[str, str]:
-    return {name.lower(): (a or b or c).lower() for name, a, b, c in _ATTR.findall(attrs)} if attrs else {}
+    return {name.lower(): (a or b or c).lower() for name, a, b, c in _ATTR.findall(attrs)} if attrs and _TELLING.search(attrs) else {}
 
 
 def hidden(own: dict[str, str]) -> bool:
@@ -58,6 +59,8 @@ def hidden(own: dict[str, str]) -> bool:
 
 def slot(tag: str, own: dict[str, str]) -> int | None:
     """64 bits of an element's tag, class and id, where one of these is a usual name of furniture."""
+    if "class" not in own and "id" not in own:
+        return None
     names = sorted({*own.get("class", "").split(), *own.get("id", "").split()})
     return None if NAMES.isdisjoint(names) else hashed("\1".join((tag, *names)))
 
@@ -177,7 +180,7 @@ def parsed(html: str) -> Node:
 
 
 class Page:
-    """A page's elements in page order, each with its parent's place, and the hashes of their tags and content."""
+    """A page's elements in page order, each with its parent's place."""
 
     def __init__(self, html: str):
         self.nodes, self.parent = [parsed(html)], [-1]
@@ -193,16 +196,25 @@ class Page:
             else:
                 stack.pop()
         self.place = {id(n): k for k, n in enumerate(self.nodes)}
-        self.hash = [0] * len(self.nodes)
-        for k in range(len(self.nodes) - 1, -1, -1):
-            node = self.nodes[k]
-            self.hash[k] = hashed("\0".join((node.tag, *(f"#{self.hash[self.place[id(p)]]}" if isinstance(p, Node) else " ".join(p.split()) for p in node.parts))))
-            if k and node.holds:
+        self.html, self.hash = html, []
+        for k in range(len(self.nodes) - 1, 0, -1):
+            if self.nodes[k].holds:
                 self.nodes[self.parent[k]].holds = True
-        #: Place of the outermost article or main around each element, itself included; 0 for none.
-        self.top = [0] * len(self.nodes)
+        #: Place of the outermost article or main around each element, itself included; 0 for none. And what lies in elements
+        #: that go by their tag.
+        self.top, self.dead = [0] * len(self.nodes), [False] * len(self.nodes)
         for k in range(1, len(self.nodes)):
             self.top[k] = self.top[self.parent[k]] or (k if self.nodes[k].tag in ("article", "main") else 0)
+            self.dead[k] = self.dead[self.parent[k]] or self.nodes[k].tag in ASIDE
+
+    def hashed(self) -> None:
+        """Hashes of each element's tag and content; what goes by its tag counts as empty. The page's own is of its html."""
+        self.hash = [0] * len(self.nodes)
+        for k in range(len(self.nodes) - 1, 0, -1):
+            if not self.dead[k]:
+                node = self.nodes[k]
+                self.hash[k] = hashed("\0".join((node.tag, *(f"#{self.hash[self.place[id(p)]]}" if isinstance(p, Node) else " ".join(p.split()) for p in node.parts))))
+        self.hash[0] = hashed(self.html)
 
     def aside(self, k: int, names: set[int], few: bool) -> bool:
         """Whether the element can't be main text: by its tag, by what the page says of it, or by a name that other pages of
@@ -220,9 +232,12 @@ class Page:
     def counted(self) -> list[tuple[int, int, int]]:
         """(kind, hash, where it stands) of each element with text: in which page, or for WITHIN in which article, and of each
         name of furniture."""
+        self.hashed()
         out, within = set(), {}
         for k in range(1, len(self.nodes)):
             node, top = self.nodes[k], self.top[k]
+            if self.dead[k]:
+                continue
             if node.parts and not top == k:
                 h = self.hash[k]
                 within[h] = within.get(h, True) and top > 0
@@ -236,6 +251,8 @@ class Page:
         return [(ANYWHERE, 0, self.hash[0]), *out]
 
     def text(self, anywhere: set[int], within: set[int], names: set[int], few: bool) -> str:
+        if anywhere or within:
+            self.hashed()
         own = [k > 0 and self.aside(k, names, few) for k in range(len(self.nodes))]
         gone = self.inherited(own)
         # Articles in page order, outside of what is aside. Where all of them are aside, what holds one isn't.
@@ -279,7 +296,7 @@ class Page:
                 words.append(x)
             else:
                 k = self.place[id(x)]
-                template_here = k != top and self.hash[k] in template and not x.holds
+                template_here = bool(template) and k != top and self.hash[k] in template and not x.holds
                 if template_here or gone[k]:
                     if x.tag in BLOCK:
                         close()
@@ -317,11 +334,11 @@ def host_of(url):
 
 
 def templates(pages: DataFrame, least: int = PAGES, share: float = SHARE, article_least: int = ARTICLE_PAGES, article_share: float = ARTICLE_SHARE) -> DataFrame:
-    """host, kind, hash: subtrees of pages (host, html) that recur on many pages of their host, or in many of its articles.
+    """host, kind, hash: subtrees of pages (host, a hash of its name, and html) that recur on many pages of their host, or in many of its articles.
 
     Pages of equal content are one, and so are equal articles: a text that was copied is no template. Counts are of distinct
     places, in two steps, so that a host with a third of all pages is spread over tasks by hash and place."""
-    kinds = {"host": pa.string(), "kind": pa.int32(), "hash": pa.int64(), "place": pa.int64()}
+    kinds = {"host": pa.int64(), "kind": pa.int32(), "hash": pa.int64(), "place": pa.int64()}
 
     def count(batches):
         held: set = set()
@@ -339,7 +356,7 @@ def templates(pages: DataFrame, least: int = PAGES, share: float = SHARE, articl
                     held.clear()
         yield out()
 
-    seen = pages.select("host", "html").mapInArrow(count, "host string, kind int, hash long, place long")
+    seen = pages.select("host", "html").mapInArrow(count, "host long, kind int, hash long, place long")
     n = written(seen.groupBy("host", "kind", "hash").agg(F.countDistinct("place").alias("n")).where(f"n >= {min(least, article_least, NAMED_PAGES)} or hash = 0"), "subtrees")
     size = n.where("hash = 0").groupBy("host").agg(F.max(F.when(F.col("kind") == ANYWHERE, F.col("n"))).alias("pages"), F.max(F.when(F.col("kind") == WITHIN, F.col("n"))).alias("articles"))
     enough = (
@@ -361,7 +378,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     none goes where they make up more than half of the article. Null and empty html give an empty text; a null url is a host of
     its own name ''. Repeated rows give repeated results and count once. Other columns are ignored.
     """
-    own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
+    own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html")).withColumn("host", F.xxhash64(host_of(F.col("url"))))
     found = written(templates(own), "templates")
     # A host's templates are few, each stands on a share of its pages; hosts are many. Spark sends the lists to all tasks where
     # their size allows it, else pages and lists meet by host and hot hosts are split.
