@@ -1,4 +1,4 @@
-"""Queries of the ten operators, and SQL for those that SQL can express."""
+"""Queries of the operators, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -13,9 +13,11 @@ from .embeddings import op8_embedding_dedup
 from .hmm import op1_hmm_score
 from .jaccard import op4_ngram_jaccard
 from .lines import op7_line_dedup
+from .mixing import op13_source_mix
 from .pages import op9_html_extraction
 from .quality import op2_quality
 from .unigram import op5_token_counts
+from .whiten import op12_embedding_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_score": op1_hmm_score,
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_source_mix": op13_source_mix,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -74,6 +78,26 @@ SELECT vec_id, coalesce((SELECT count(*) FROM p WHERE x = vec_id), 0) AS n_links
   least(vec_id, coalesce((SELECT min(y) FROM reach WHERE x = vec_id), vec_id)) AS component_id,
   vec_id <= coalesce((SELECT min(y) FROM reach WHERE x = vec_id), vec_id) AS kept
 FROM embeddings""",
+    "op13_source_mix": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(concat_ws(':', '13', doc_id)), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2 * CAST(sum(size) AS BIGINT) AS cap FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+fill(step, rest, among, n) AS (
+  SELECT 0, 1.5::DOUBLE * sum(source_size)::DOUBLE, sum(weight)::DOUBLE, 0::BIGINT FROM w
+  UNION ALL
+  SELECT step + 1, 1.5::DOUBLE * sum(source_size)::DOUBLE - coalesce(sum(cap) FILTER (weight * rest / among >= cap), 0)::DOUBLE,
+    coalesce(sum(weight) FILTER (weight * rest / among < cap), 0)::DOUBLE, count(*) FILTER (weight * rest / among >= cap)
+  FROM fill, w GROUP BY step, rest, among, n HAVING count(*) FILTER (weight * rest / among >= cap) > n),
+goal AS (
+  SELECT source, source_size, CASE WHEN among = 0 OR weight * rest / among >= cap THEN cap::DOUBLE ELSE weight * rest / among END AS target
+  FROM w, (SELECT * FROM fill ORDER BY step DESC LIMIT 1) f),
+o AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
+SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
+  CAST((CAST(floor(target + 0.5) AS BIGINT) // source_size) * size + greatest(0, least(size, CAST(floor(target + 0.5) AS BIGINT) % source_size - before)) AS BIGINT) END AS taken
+FROM o JOIN goal ON o.source IS NOT DISTINCT FROM goal.source""",
     "op7_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, i, x, trim(x, ' ' || chr(9) || chr(13)) AS t
