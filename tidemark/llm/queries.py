@@ -16,6 +16,7 @@ from .lines import op7_line_dedup
 from .mixing import op13_source_mix
 from .pages import op9_html_extraction
 from .quality import op2_quality
+from .spelling import op11_spelling_variants
 from .unigram import op5_token_counts
 from .whiten import op12_embedding_whitening
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_source_mix": op13_source_mix,
 }
