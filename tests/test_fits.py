@@ -169,7 +169,39 @@ def test_flat_windows_are_absent(spark):
                 u = np.arange(L) - (L - 1) / 2
                 b = u @ held / (u @ u)
                 want = math.sqrt(((held - held.mean() - b * u) ** 2).sum() / (L - 2))
-                assert math.isclose(sd, want, rel_tol=1e-3, abs_tol=1e-7) and math.isclose(tb, b * math.sqrt(u @ u) / want, rel_tol=1e-2, abs_tol=1e-3)
+                assert math.isclose(sd, want, rel_tol=1e-9) and math.isclose(tb, b * math.sqrt(u @ u) / want, rel_tol=1e-9, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("step", [1e-3, 1e-4, 1e-5, 1e-6])
+def test_quiet_windows_after_wild_ones(spark, step):
+    """6,900 bars with a quiet stretch of 400, against direct least squares of each window."""
+    rng = np.random.default_rng(9)
+    move = rng.normal(0, 0.02, 6900)
+    move[4000:4400] = rng.normal(0, step, 400)
+    y = np.cumsum(move)
+    df = panel(spark, {1: y.tolist()}).withColumn("seg", F.lit(0))
+    got = trend.trend_scan(df, scale=True).orderBy("date").collect()
+    for L in trend.RUNGS:
+        u = np.arange(L) - (L - 1) / 2
+        held = np.lib.stride_tricks.sliding_window_view(y, L)
+        held = held - held[:, -1:]
+        held = held - held.mean(axis=1, keepdims=True)
+        slope = held @ u / (u @ u)
+        sd = np.sqrt(((held - slope[:, None] * u) ** 2).sum(axis=1) / (L - 2))
+        tb = slope * math.sqrt(u @ u) / sd
+        mine = np.array([r[f"tb_{L}"] for r in got[L - 1 :]])
+        assert np.abs(mine - tb).max() < 1e-6
+        assert np.abs(np.array([r[f"sd_{L}"] for r in got[L - 1 :]]) / sd - 1).max() < 1e-9
+        assert all(r[f"tb_{L}"] is None for r in got[: L - 1])
+
+
+def test_segments_are_scanned_apart(spark):
+    y = walk(60, 4)
+    rows = [(1, s, DAY + dt.timedelta(days=30 * s + i), float(y[30 * s + i])) for s in (0, 1) for i in range(30)] + [(2, 0, DAY, 1.0), (3, 0, DAY, None), (3, 0, DAY + dt.timedelta(days=1), 2.0)]
+    df = spark.createDataFrame(rows, "security_id long, seg int, date date, y double")
+    got = {(r.security_id, r.date): r.tb_5 for r in trend.trend_scan(df, (5,)).collect()}
+    alone = {(1, r.date): r.tb_5 for s in (0, 1) for r in trend.trend_scan(df.where(f"security_id = 1 and seg = {s}"), (5,)).collect()}
+    assert len(got) == 63 and {k: v for k, v in got.items() if k[0] == 1} == alone and sum(v is None for v in got.values()) == 11
 
 
 def test_returns_and_means_stay_within_a_segment(spark):

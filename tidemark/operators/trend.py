@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 RUNGS = (5, 10, 21, 42, 63, 84, 126, 168, 210, 252)
 FLAT = 1e-12
@@ -15,29 +18,55 @@ THRESHOLD = 1e-4
 NARROW = 64
 
 
-def trend_scan(panel: DataFrame, rungs: tuple[int, ...] = RUNGS, scale: bool = False) -> DataFrame:
-    """t statistic tb_L (and residual deviation sd_L with scale) of the slope of y on time over the last L bars of the
-    segment; null before L bars and for a flat window. Sums over a window are differences of running sums, so a rung costs a few
-    lags whatever its length, and all rungs share one sort. A count of changes of y tells a flat window exactly, whatever
-    rounding the sums hold."""
-    seg = Window.partitionBy("security_id", "seg").orderBy("date")
-    run = seg.rowsBetween(Window.unboundedPreceding, 0)
-    out = panel.withColumns({"_i": F.row_number().over(seg).cast("double"), "_new": F.when(F.col("y") != F.lag("y").over(seg), 1).otherwise(0)})
-    out = out.withColumns({"_s": F.sum("y").over(run), "_is": F.sum(F.col("_i") * F.col("y")).over(run), "_ss": F.sum(F.col("y") * F.col("y")).over(run), "_ch": F.sum("_new").over(run)})
-    out = out.withColumns({f"_{n}{L}": F.col(c) - F.lag(c, L, 0.0).over(seg) for L in rungs for n, c in (("a", "_s"), ("b", "_is"), ("c", "_ss"))} | {f"_d{L}": F.col("_ch") - F.lag("_ch", L - 1, 0).over(seg) for L in rungs})
-    cols = []
-    for L in rungs:
-        s, si, ss = (F.col(f"_{n}{L}") for n in "abc")
-        suu, syy = L * (L * L - 1) / 12.0, ss - s * s / L
-        suy = si - (F.col("_i") - (L - 1) / 2.0) * s
-        slope = suy / suu
-        sse = syy - slope * suy
-        sd = F.sqrt(sse / (L - 2))
-        ok = (F.col("_i") >= L) & (F.col(f"_d{L}") > 0) & (sse > FLAT * syy)
-        cols.append(F.when(ok, slope * suu**0.5 / sd).alias(f"tb_{L}"))
-        if scale:
-            cols.append(F.when(ok, sd).alias(f"sd_{L}"))
-    return out.select(*panel.columns, *cols)
+def window_moments(y: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of `length` rows, by its last row: sums of squares of y about its mean, and of products of y and time about theirs.
+
+    Rows are cut in blocks of the window's length. A window is the end of one block and the start of the next, so its sums are one
+    running sum from the cut backwards plus one forwards: nothing is subtracted, and what lies outside a window has no part in it.
+    Values and times count from the row at the cut, which the window holds."""
+    blocks = -(-len(y) // length)
+    own = np.full(blocks * length, np.nan)
+    own[: len(y)] = y
+    own = own.reshape(blocks, length)
+    cut, after = own[:, :1], np.arange(length)
+    ahead, behind = own - cut, (own[:-1] - cut[1:])[:, ::-1]
+    s, ss, st = np.cumsum(ahead, axis=1), np.cumsum(ahead * ahead, axis=1), np.cumsum(ahead * after, axis=1)
+    for total, part in ((s, behind), (ss, behind * behind), (st, behind * (-1 - after))):
+        total[1:, :-1] += np.cumsum(part, axis=1)[:, -2::-1]
+    middle = after - (length - 1) / 2
+    syy, sty = ss - s * s / length, st - middle * s
+    return syy.ravel()[length - 1 : len(y)], sty.ravel()[length - 1 : len(y)]
+
+
+def trend_scan(panel: DataFrame, rungs: tuple[int, ...] = RUNGS, scale: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """security_id, seg, date, y, the columns to keep, and the t statistic tb_L (and residual deviation sd_L with scale) of the slope of
+    y on time over the last L bars of the segment; null before L bars, for a flat window, one that holds a null, and a line without residual.
+
+    One exchange and one sort for all rungs; a task holds one segment at a time. A rung costs two running sums of three quantities whatever
+    its length (window_moments), which lie within the window: errors don't grow with the series or with what moved before."""
+    names = [n for L in rungs for n in ((f"tb_{L}", f"sd_{L}") if scale else (f"tb_{L}",))]
+    own = panel.select("security_id", "seg", "date", F.col("y").cast("double").alias("y"), *keep)
+
+    def run(key, rows):
+        rows = rows.sort_by("date")
+        y = rows.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
+        changes = np.concatenate([[0], np.cumsum(y[1:] != y[:-1])])
+        for L in rungs:
+            tb, sd = np.full(len(y), np.nan), np.full(len(y), np.nan)
+            if len(y) >= L:
+                suu = L * (L * L - 1) / 12.0
+                syy, suy = window_moments(y, L)
+                sse = syy - suy * suy / suu
+                ok = (changes[L - 1 :] > changes[: len(y) - L + 1]) & (sse > FLAT * syy)
+                dev = np.sqrt(sse[ok] / (L - 2))
+                at = np.flatnonzero(ok) + L - 1
+                sd[at], tb[at] = dev, suy[ok] / suu**0.5 / dev
+            rows = rows.append_column(f"tb_{L}", pa.array(tb, from_pandas=True))
+            if scale:
+                rows = rows.append_column(f"sd_{L}", pa.array(sd, from_pandas=True))
+        return rows
+
+    return own.groupBy("security_id", "seg").applyInArrow(run, StructType([*own.schema.fields, *(StructField(n, DoubleType()) for n in names)]))
 
 
 def dollar_volume_mean(panel: DataFrame, bars: int = 21, by: tuple[str, ...] = ("security_id",)) -> DataFrame:
