@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import portfolio as p
+from ..sources.stored import written
 from .registry import both, query, rounded
 
 DAYS = "SELECT date, CAST(row_number() OVER (ORDER BY date) AS INT) AS t FROM (SELECT DISTINCT date FROM {wide}) q"
@@ -30,22 +31,25 @@ CURVE = f"""SELECT strategy, t, equity, equity / coalesce(lag(equity) OVER (PART
 
 
 def parts(i):
+    """Calendar, schedule, holdings and returns of two strategies, each stored once: every book below reads these."""
     from pyspark.sql import Window
 
-    prices = i.wide
-    days = p.calendar(prices)
+    prices = written(i.wide, "prices")
+    days = written(p.calendar(prices), "days")
     ends = p.month_ends(prices).select("date", F.explode(F.array(F.lit(1), F.lit(2))).alias("strategy"))
-    plan = p.schedule(ends, days)
+    plan = written(p.schedule(ends, days), "plan")
     k = F.row_number().over(Window.orderBy("asset"))
     assets = prices.select("asset").distinct().withColumn("k", k)
     weight = F.when(F.col("strategy") == 1, 0.15).otherwise((F.col("k") % 3 - 0.9) / 6)
-    held = p.slots(ends.crossJoin(assets).select("strategy", "asset", "date", weight.alias("weight")), plan)
-    return days, plan, held, p.returns(prices, days)
+    # Every strategy holds every asset at every month's end: as many rows as targets.
+    targets = plan.select("strategy", "date").join(F.broadcast(assets), F.lit(True)).select("strategy", "asset", "date", weight.alias("weight"))
+    held = written(p.slots(targets, plan), "held")
+    return days, plan, held, written(p.returns(prices, days), "rets")
 
 
 def moved(i):
     days, _, held, rets = parts(i)
-    drift = p.drifted(held, rets)
+    drift = written(p.drifted(held, rets), "drift")
     moves = p.trades(held, drift)
     return days, held, drift, moves, p.rebalances(moves, F.lit(0.001), 1.5)
 
