@@ -104,14 +104,16 @@ class Index:
             own = np.arange(len(live))
             wide = np.flatnonzero(at >= exact[live])
             if len(wide):
-                # Another symbol in place of this one, or before it; or this one left out.
+                # Another symbol in place of this one, or before it; or this one left out. In a run of one symbol, what is one more
+                # or one less of it is found at the end of the run, so repeats don't multiply.
                 i, s = np.nonzero(np.diff(below[wide], axis=1)[:, 2:])
                 i, s = wide[i], s + 2
                 child = (live[i], self.starts[s] + low[i, s + 1] - low[i, s], b[i] + below[i, s], below[i, s + 1] - below[i, s])
-                swap = (s != c[i]) & (c[i] > 1)
+                other = s != c[i]
+                swap = other & (c[i] > 1)
                 made.append((*(x[swap] for x in child), np.full(int(swap.sum()), at + 1)))
-                made.append((*child, np.full(len(i), at)))
-                out = wide[c[wide] > 1]
+                made.append((*(x[other] for x in child), np.full(int(other.sum()), at)))
+                out = wide[(c[wide] > 1) & (c[wide] != pattern[live[wide], np.minimum(at + 1, pattern.shape[1] - 1)])]
                 made.append((live[out], a[out], b[out], size[out], np.full(len(out), at + 1)))
             a, b, size = self.starts[c] + low[own, c + 1] - low[own, c], b + below[own, c], below[own, c + 1] - below[own, c]
         if not made:
@@ -138,30 +140,28 @@ def matched(words: list[str], counts: np.ndarray, ask: list[str], sides: np.ndar
     alphabet = np.unique(np.frombuffer("".join({*"".join(words), *"".join(ask)}).encode("utf-32-le"), "<u4"))
     index = Index(words, alphabet)
 
-    def coded(some: list[str], width: int) -> np.ndarray:
-        flat = np.frombuffer("".join(w.ljust(width, "\0") for w in some).encode("utf-32-le"), "<u4").reshape(len(some), width)
-        return np.where(flat == 0, 1, np.searchsorted(alphabet, flat) + 2)
-
     size = np.array(list(map(len, ask)))
-    width = max(int(size.max()), max(map(len, words))) + 2
-    own, them = coded(ask, width), coded(words, width)
     n, best, place = np.zeros(len(ask), np.int64), np.zeros(len(ask), np.int64), np.full(len(ask), -1)
     for side in (0, 1):
         every = np.flatnonzero(sides == side)
-        for start in range(0, len(every), ABREAST):
-            at = every[start : start + ABREAST]
+        every = every[np.argsort(size[every], kind="stable")]
+        start = 0
+        while start < len(every):
+            # Patterns of like length go abreast, fewer of them where they are long.
+            width = int(size[every[min(start + ABREAST, len(every)) - 1]]) + 2
+            at = every[start : start + max(1, min(ABREAST, (1 << 20) // width))]
+            start += len(at)
             long, half = size[at], size[at] // 2
-            body = own[at][:, : width - 1]
-            if side:  # reversed within each word's length
-                body = np.take_along_axis(body, np.where(np.arange(width - 1) < long[:, None], long[:, None] - 1 - np.arange(width - 1), np.arange(width - 1)), axis=1)
-            pattern = np.concatenate([np.ones((len(at), 1), np.int64), body], axis=1)
+            width = int(long.max()) + 2
+            text = [f"\0{ask[i][::-1] if side else ask[i]}".ljust(width, "\0") for i in at.tolist()]
+            pattern = np.frombuffer("".join(text).encode("utf-32-le"), "<u4").reshape(len(at), width)
+            pattern = np.where(pattern == 0, 1, np.searchsorted(alphabet, pattern) + 2)
             q, a, b = index.near(index.left if side else index.right, pattern, long + 2, 1 + (long - half if side else half))
             # The first suffix that begins with a delimiter is the last delimiter's; the others stand in the order of the words.
             found = np.unique(q * len(words) + (a if side else b) - 2)
             q, u = found // len(words), found % len(words)
             if side:
-                first = np.arange(width) >= half[q][:, None]
-                keep = ~((own[at[q]] == them[u]) | first).all(axis=1)
+                keep = np.array([not words[y].startswith(ask[at[x]][: half[x]]) for x, y in zip(q.tolist(), u.tolist(), strict=True)], bool)
                 q, u = q[keep], u[keep]
             np.add.at(n, at[q], 1)
             # The largest count comes first within a query, then the first word.
@@ -236,7 +236,8 @@ def variants(docs: DataFrame, commoner: int = COMMONER, block: int = BLOCK) -> D
     """word, form, root, n, n_near, form_n for every word of the texts.
 
     A null text has no words; a null id is hashed as an empty one. Repeated rows count as often as they stand there. Without words
-    there are no rows. Only A-Z are lower-cased, so É and é stay two letters."""
+    there are no rows. Only A-Z are lower-cased, so É and é stay two letters. An index holds its words whole, some 300 bytes a code point:
+    a word of a million letters takes 300 MB of the task that has it."""
     words = written(vocabulary(docs), "words")
     near = near_words(words, block)
     has = F.col("best") >= commoner * F.col("n")
