@@ -220,7 +220,7 @@ def test_mix(spark, block):
 
 
 def test_mix_of_odd_rows(spark):
-    rows = [(1, None, "a"), (2, "", "a"), (None, "p q r", "a"), (3, "x " * 5000, None), (4, "d e f g", "b"), (4, "d e f g", "b"), (4, "d e f g", "b"), (4, "h", "b"), (5, " \n\t", "empty"), (6, "one word 日本 語", "日本")]
+    rows = [(1, None, "a"), (2, "", "a"), (None, "p q r", "a"), (3, "x " * 5000, None), (4, "d e f g", "b"), (4, "d e f g", "b"), (4, "d e f g", "b"), (4, "h", "b"), (5, " \n\t", "empty"), (6, "one of two and more in 日本", "日本")]
     df = spark.createDataFrame([(i, t, s, "big", 3) for i, t, s in rows], DOCS)
     got = mixing.taken(df, block=8).collect()
     size = Counter()
