@@ -215,7 +215,7 @@ def sized_costs(moves: DataFrame, drift: DataFrame, borrow: DataFrame, capital:
 def blotter(moves: DataFrame, books: DataFrame, days: DataFrame, capital: float, per_share: float = 0.0, least: float = 0.0, share: float = 0.0, coefficient: float = 0.0, short_multiple: float = 1.0) -> DataFrame:
     """One row for each name traded at an execution, dated at the close that it fills on: action, side, weights before and after, price,
     cost as a share of what is traded, and amounts of money, null without capital. moves: as for sized_costs; books: strategy, exec_t, book."""
-    own = moves.where(F.col("traded") > NOTHING).join(books.select("strategy", "exec_t", "book"), ["strategy", "exec_t"], "left")
+    own = moves.where(F.col("traded") > NOTHING).select("strategy", "asset", "exec_t", "w_before", "w_after", "traded", "rate", "price", "volume").join(books.select("strategy", "exec_t", "book"), ["strategy", "exec_t"], "left")
     own = own.join(F.broadcast(days.select("date", (F.col("t") + 1).alias("exec_t"))), "exec_t")
     sized = F.when(F.lit(capital > 0) & (F.col("book") > 0), F.col("book") * capital * F.col("traded"))
     cost = F.col("rate") * F.when(F.col("w_after") < 0, short_multiple).otherwise(1.0)

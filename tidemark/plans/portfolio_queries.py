@@ -85,13 +85,6 @@ def _(i):
     return rounded(moved(i)[4])
 
 
-@query("p15_blotter", f"SELECT strategy, asset, exec_t, CASE WHEN w_before = 0 THEN 'OPEN' WHEN w_after = 0 THEN 'CLOSE' ELSE 'REBALANCE' END AS action, CASE WHEN w_after > w_before THEN 'BUY' ELSE 'SELL' END AS side, round(w_before, 6) + 0.0 AS w_before, round(w_after, 6) + 0.0 AS w_after FROM ({MOVES}) q WHERE traded > 1e-12")
-def _(i):
-    action = F.when(F.col("w_before") == 0, "OPEN").when(F.col("w_after") == 0, "CLOSE").otherwise("REBALANCE")
-    out = moved(i)[3].where("traded > 1e-12")
-    return rounded(out.select("strategy", "asset", "exec_t", action.alias("action"), F.when(F.col("w_after") > F.col("w_before"), "BUY").otherwise("SELL").alias("side"), "w_before", "w_after"))
-
-
 METRICS = f"""SELECT strategy, n, f - 1 AS total_return, pow(f, 252e0 / n) - 1 AS ann_return, sd * sqrt(252e0) AS ann_vol, m * 252 / (sd * sqrt(252e0)) AS sharpe, m * 252 / (down * sqrt(252e0)) AS sortino, m AS expectancy, win AS win_rate, dd AS max_drawdown, add AS avg_drawdown FROM (
   SELECT strategy, count(r) AS n, max_by(equity, t) / min_by(equity, t) AS f, avg(r) AS m, stddev_samp(r) AS sd, stddev_samp(CASE WHEN r < -1e-12 THEN r END) AS down, avg(CASE WHEN r > 1e-12 THEN 1e0 WHEN r IS NOT NULL THEN 0e0 END) AS win, min(d) AS dd, coalesce(avg(CASE WHEN d < -1e-12 THEN d END), 0e0) AS add
   FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY strategy ORDER BY t) > 1 THEN ret END AS r, equity / max(equity) OVER (PARTITION BY strategy ORDER BY t) - 1 AS d FROM ({CURVE}) q) q GROUP BY strategy) q"""
@@ -103,24 +96,11 @@ def _(i):
     return rounded(p.metrics(curve(i)[1]))
 
 
-@query("p20_comparison", f"SELECT strategy, {', '.join(f'round({c}, 4) AS {c}' for c in NAMES)}, CAST(rank() OVER (ORDER BY sharpe DESC) AS INT) AS place FROM ({METRICS}) q")
-def _(i):
-    from pyspark.sql import Window
-
-    return rounded(p.metrics(curve(i)[1]).drop("n").withColumn("place", F.rank().over(Window.orderBy(F.desc("sharpe")))), 4)
-
-
 @query("p17_tail_means", f"SELECT strategy, round(avg(ret), 6) AS tail_mean FROM (SELECT *, row_number() OVER (PARTITION BY strategy ORDER BY ret) AS r, ceil(0.05e0 * count(*) OVER (PARTITION BY strategy) - 1e-9) AS k FROM ({CURVE}) q) q WHERE k <= 0 OR r <= k GROUP BY strategy")
 def _(i):
     return rounded(p.tail_mean(curve(i)[1], "ret", ["strategy"]))
 
 
-@query("p19_yearly", f"SELECT strategy, year, round(product(1 + ret) - 1, 6) AS total, round(min(d), 6) + 0.0 AS max_drawdown, round(max(ret), 6) AS best, round(min(ret), 6) AS worst, round(avg(CASE WHEN ret > 1e-12 THEN 1e0 ELSE 0e0 END), 6) AS win_rate FROM (SELECT c.*, CAST(year(date) AS INT) AS year, equity / max(equity) OVER (PARTITION BY strategy, year(date) ORDER BY c.t) - 1 AS d FROM ({CURVE}) c JOIN ({DAYS}) d ON d.t = c.t) q GROUP BY strategy, year")
-def _(i):
-    days, line = curve(i)
-    return rounded(p.yearly(line, days))
-
-
 @query("p07_spreads", "SELECT asset, date, CASE WHEN dv >= 1e9 THEN 0.0005e0 WHEN dv >= 1e8 THEN 0.001e0 WHEN dv >= 1e7 THEN 0.0025e0 WHEN dv >= 1e6 THEN 0.006e0 ELSE 0.015e0 END AS spread FROM (SELECT asset, date, avg(dollar_volume) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS dv FROM {wide}) q")
 def _(i):
     from pyspark.sql import Window
@@ -129,11 +109,6 @@ def _(i):
     return i.wide.select("asset", "date", p.spread(F.avg("dollar_volume").over(w)).alias("spread"))
 
 
-@query("p21_walk_forward_folds", f"SELECT CAST(fold AS INT) AS fold, CAST(fold * 63 + 1 AS INT) AS train_from, CAST(fold * 63 + 252 AS INT) AS train_to, CAST(fold * 63 + 253 AS INT) AS test_from, CAST(fold * 63 + 315 AS INT) AS test_to FROM (SELECT unnest(range((max(t) - 252) // 63)) AS fold FROM ({DAYS}) q) q")
-def _(i):
-    return p.folds(p.calendar(i.wide), 252, 63)
-
-
 both("p09_impact", "SELECT asset, date, CASE WHEN adv > 0 THEN round(0.1e0 * sqrt(dollar_volume / adv), 6) END AS impact FROM (SELECT asset, date, dollar_volume, avg(dollar_volume) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS adv FROM {wide}) q")
 both("p23_calendar_checks", "SELECT count(*) - count(DISTINCT date) AS duplicates, round(count(DISTINCT date) / (datediff(max(date), min(date)) / 365.25e0), 4) AS rows_per_year FROM {wide}", "SELECT count(*) - count(DISTINCT date) AS duplicates, round(count(DISTINCT date) / ((max(date) - min(date)) / 365.25e0), 4) AS rows_per_year FROM {wide}")
 
@@ -173,7 +148,7 @@ def rates(i):
 def fills(i):
     """held by execution with the date of its fill row."""
     days, _, held, rets = parts(i)
-    return held.join(days.select(F.col("t").alias("fill_t"), "date"), "fill_t"), rets, days
+    return held.join(F.broadcast(days.select(F.col("t").alias("fill_t"), "date")), "fill_t"), rets, days
 
 
 @query("p03_tradable_targets", f"""SELECT a.strategy, a.asset, a.exec_t, round(CASE WHEN r.price IS NULL THEN 0e0 ELSE a.weight END, 6) AS weight, round(r.known, 6) AS fill_price
@@ -199,15 +174,14 @@ def _(i):
 
 
 def priced(i):
-    """Trades with the rate, price and volume in force at their fill row; drifted weights; borrow fees."""
+    """Trades with the rate, price and volume in force at their fill row; drifted weights; borrow fees; the calendar. All stored."""
     at, rets, days = fills(i)
-    drift = p.drifted(at.drop("date"), rets)
-    moves = p.trades(at, drift)
-    points = at.select("asset", "date").distinct()
-    met = at.select("asset", "exec_t", "fill_t", "date").distinct().join(p.in_force(points, rates(i), "rate", "max"), ["asset", "date"]).join(p.in_force(points, thin(i), "volume", "min"), ["asset", "date"])
+    drift = written(p.drifted(at.drop("date"), rets), "drift")
+    points = at.select("asset", "exec_t", "fill_t", "date").distinct()
+    met = points.join(p.in_force(points, rates(i), "rate", "max"), ["asset", "date"]).join(p.in_force(points, thin(i), "volume", "min"), ["asset", "date"])
     known = rets.select("asset", F.col("t").alias("fill_t"), F.col("known").alias("price"))
-    moves = moves.join(met.join(known, ["asset", "fill_t"], "left"), ["asset", "exec_t"], "left")
-    return moves, drift, p.borrowed(drift, F.lit(BORROW))
+    moves = p.trades(at, drift).join(met.join(known, ["asset", "fill_t"], "left"), ["asset", "exec_t"], "left")
+    return written(moves, "moves"), drift, written(p.borrowed(drift, F.lit(BORROW)), "fees"), days
 
 
 PRICED = f"""SELECT m.strategy, m.asset, m.exec_t, m.w_after, m.traded, coalesce(r.rate, (SELECT max(rate) FROM ({RATES}) x)) AS rate, coalesce(v.volume, (SELECT min(volume) FROM ({THIN}) y)) AS volume, k.known AS price
@@ -242,7 +216,7 @@ NET = f"""SELECT strategy, t, equity, equity / coalesce(lag(equity) OVER (PARTIT
 
 
 def net(i):
-    moves, drift, fees = priced(i)
+    moves, drift, fees, _ = priced(i)
     costs = p.rebalances(moves, F.col("rate"), 1.5)
     return p.equity(drift, costs, fees), costs, fees
 
@@ -252,23 +226,144 @@ def _(i):
     return rounded(net(i)[0])
 
 
-@query("p14_sized_costs")
+# With commission and impact a book's costs depend on what it is worth, so SQL goes through the executions one after another.
+SIZED = f"""trades AS MATERIALIZED (SELECT m.*, h.k FROM ({PRICED}) m JOIN (SELECT strategy, exec_t, row_number() OVER (PARTITION BY strategy ORDER BY exec_t) AS k FROM (SELECT DISTINCT strategy, exec_t FROM ({HELD}) q) q) h ON h.strategy = m.strategy AND h.exec_t = m.exec_t),
+fees AS MATERIALIZED (SELECT * FROM ({FEES}) q), drift AS MATERIALIZED (SELECT DISTINCT strategy, exec_t, end_t, t, value FROM ({DRIFT}) q),
+held AS MATERIALIZED (
+  SELECT d.strategy, d.exec_t, row_number() OVER (PARTITION BY d.strategy ORDER BY d.exec_t) AS k, coalesce(max(d.value) FILTER (d.t = d.end_t), 1e0) * product(1 - f.borrow) AS held
+  FROM drift d JOIN fees f ON f.strategy = d.strategy AND f.t = d.t GROUP BY d.strategy, d.exec_t),
+path(strategy, k, exec_t, book, turnover, cost, commission, impact) AS (
+  SELECT strategy, 0::BIGINT, NULL::BIGINT, 1e0, 0e0, 0e0, 0e0, 0e0 FROM (SELECT DISTINCT strategy FROM trades) q
+  UNION ALL
+  SELECT strategy, k, exec_t, book, turnover, least(spread + impact + commission, 0.999e0), commission, impact FROM (
+    SELECT b.strategy, t.k, any_value(t.exec_t)::BIGINT AS exec_t, b.book, sum(t.traded) / 2 AS turnover, sum(t.rate * t.traded * CASE WHEN t.w_after < 0 THEN 1.5e0 ELSE 1e0 END) AS spread,
+      coalesce(sum(CASE WHEN t.price > 0 AND t.traded > 0 THEN least(greatest(0.0037e0 * (1e6 * b.book * t.traded) / t.price, 0.35e0), 0.005e0 * (1e6 * b.book * t.traded)) END), 0) / (1e6 * b.book) AS commission,
+      sum(CASE WHEN t.volume > 0 THEN 0.1e0 * sqrt(1e6 * b.book * t.traded / t.volume) * t.traded ELSE 0 END) AS impact
+    FROM (SELECT p.strategy, p.k + 1 AS k, p.book * (1 - p.cost) * coalesce(h.held, 1e0) AS book FROM path p LEFT JOIN held h ON h.strategy = p.strategy AND h.k = p.k) b JOIN trades t ON t.strategy = b.strategy AND t.k = b.k
+    GROUP BY b.strategy, t.k, b.book) q)"""
+CHARGED = "SELECT strategy, exec_t, book, turnover, cost, commission, impact FROM path WHERE k > 0"
+SIZED_CURVE = f"""line AS MATERIALIZED (SELECT strategy, t, equity, equity / coalesce(lag(equity) OVER (PARTITION BY strategy ORDER BY t), 1e0) - 1 AS ret FROM (
+  SELECT d.strategy, d.t, c.book * (1 - c.cost) * d.value * product(1 - f.borrow) OVER (PARTITION BY d.strategy, d.exec_t ORDER BY d.t) AS equity
+  FROM drift d JOIN ({CHARGED}) c ON c.strategy = d.strategy AND c.exec_t = d.exec_t JOIN fees f ON f.strategy = d.strategy AND f.t = d.t) q)"""
+
+
+def charged(i):
+    """Curve, costs, borrow fees, trades and calendar of books of CAPITAL."""
+    moves, drift, fees, days = priced(i)
+    costs = p.sized_costs(moves, drift, fees, CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, 1.5)
+    return p.equity(drift, costs, fees), costs, fees, moves, days
+
+
+def trades_of(moves, costs, days):
+    return p.blotter(moves, costs, days, CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, 1.5)
+
+
+@query("p14_sized_costs", f"WITH RECURSIVE {SIZED} SELECT strategy, exec_t, round(book, 8) AS book, round(turnover, 8) AS turnover, round(cost, 8) AS cost, round(commission, 8) AS commission, round(impact, 8) AS impact FROM ({CHARGED}) q")
 def _(i):
-    moves, drift, fees = priced(i)
-    return rounded(p.sized_costs(moves, drift, fees, CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, 1.5), 8)
+    return rounded(charged(i)[1], 8)
 
 
-@query("p14_net_equity")
+@query("p14_net_equity", f"WITH RECURSIVE {SIZED}, {SIZED_CURVE} SELECT strategy, t, round(equity, 6) AS equity, round(ret, 6) + 0.0 AS ret FROM line")
 def _(i):
-    moves, drift, fees = priced(i)
-    return rounded(p.equity(drift, p.sized_costs(moves, drift, fees, CAPITAL, PER_SHARE, LEAST, SHARE, IMPACT, 1.5), fees))
+    return rounded(charged(i)[0])
+
 
+MONEY = """SELECT m.strategy, d.date, m.asset, CASE WHEN w_before = 0 THEN 'OPEN' WHEN w_after = 0 THEN 'CLOSE' ELSE 'REBALANCE' END AS action, CASE WHEN w_after > w_before THEN 'BUY' ELSE 'SELL' END AS side, w_before, w_after,
+    w_after - w_before AS dw, traded AS weight_traded, price, rate * CASE WHEN w_after < 0 THEN 1.5e0 ELSE 1e0 END + CASE WHEN price > 0 THEN least(greatest(0.0037e0 * n / price, 0.35e0), 0.005e0 * n) / n ELSE 0 END
+    + CASE WHEN volume > 0 THEN 0.1e0 * sqrt(n / volume) ELSE 0 END AS cost_frac, n AS notional, CASE WHEN price > 0 THEN n / price END AS shares"""
+BLOTTER = f"""SELECT *, notional * cost_frac AS cost FROM ({MONEY}
+  FROM (SELECT t.*, x.w_before, 1e6 * c.book * t.traded AS n FROM trades t JOIN ({CHARGED}) c ON c.strategy = t.strategy AND c.exec_t = t.exec_t JOIN ({MOVES}) x ON x.strategy = t.strategy AND x.asset = t.asset AND x.exec_t = t.exec_t WHERE t.traded > 1e-12) m
+  JOIN ({DAYS}) d ON d.t = m.exec_t - 1) q"""
+MONEY_NAMES = {"w_before": 6, "w_after": 6, "dw": 6, "weight_traded": 6, "price": 6, "cost_frac": 8, "notional": 2, "shares": 3, "cost": 3}
 
-@query("p18_cost_drag", f"""
-WITH n AS (SELECT strategy, count(*) - 1 AS n FROM ({NET}) q GROUP BY strategy),
-c AS (SELECT strategy, product(1 - least(cost, 0.999e0)) AS kept FROM ({NET_COSTS}) q GROUP BY strategy), b AS (SELECT strategy, product(1 - borrow) AS kept FROM ({FEES}) q GROUP BY strategy)
-SELECT n.strategy, round(1 - pow(c.kept, 252e0 / n), 6) AS cost_drag, round(1 - pow(b.kept, 252e0 / n), 6) AS borrow_drag FROM n JOIN c ON c.strategy = n.strategy JOIN b ON b.strategy = n.strategy""")
+
+@query("p15_blotter", f"WITH RECURSIVE {SIZED} SELECT strategy, date, asset, action, side, {', '.join(f'round({c}, {n}) + 0.0 AS {c}' for c, n in MONEY_NAMES.items())} FROM ({BLOTTER}) q")
 def _(i):
-    line, costs, fees = net(i)
-    periods = line.groupBy("strategy").agg((F.count("*") - 1).alias("n"))
-    return rounded(p.drag(costs, "cost", periods).join(p.drag(fees, "borrow", periods), "strategy"))
+    _, costs, _, moves, days = charged(i)
+    out = trades_of(moves, costs, days)
+    return out.select("strategy", "date", "asset", "action", "side", *(F.round(c, n).alias(c) for c, n in MONEY_NAMES.items()))
+
+
+def drag_sql(column: str, table: str) -> str:
+    return f"(SELECT strategy, product(1 - least(greatest({column}, 0e0), 0.999e0)) AS kept FROM {table} GROUP BY strategy)"
+
+
+DRAGS = {"cost": f"({CHARGED}) q", "commission": f"({CHARGED}) q", "impact": f"({CHARGED}) q", "borrow": "fees"}
+DRAG_SQL = f"""SELECT n.strategy, {', '.join(f'1 - pow({c}_t.kept, 252e0 / n) AS {c}_drag' for c in DRAGS)} FROM (SELECT strategy, count(*) - 1 AS n FROM line GROUP BY strategy) n
+  {' '.join(f'JOIN {drag_sql(c, t)} {c}_t ON {c}_t.strategy = n.strategy' for c, t in DRAGS.items())}"""
+
+
+@query("p18_cost_drag", f"WITH RECURSIVE {SIZED}, {SIZED_CURVE} SELECT strategy, {', '.join(f'round({c}_drag, 6) AS {c}_drag' for c in DRAGS)} FROM ({DRAG_SQL}) q")
+def _(i):
+    line, costs, fees, *_ = charged(i)
+    return rounded(p.comparison(line, costs, fees).select("strategy", *(f"{c}_drag" for c in DRAGS)))
+
+
+MORE = ("cdar", "cvar_ann", "downside_deviation", "ann_turnover")
+COMPARED = f"""SELECT m.*, x.cdar, x.cvar_ann, x.downside_deviation, x.ann_turnover, {', '.join(f'g.{c}_drag' for c in DRAGS)} FROM ({METRICS.replace(f"({CURVE}) q", "line")}) m JOIN (
+  SELECT l.strategy, avg(d) FILTER (deep <= ceil(0.05e0 * total - 1e-9)) AS cdar, avg(r) FILTER (low <= ceil(0.05e0 * (total - 1) - 1e-9)) * sqrt(252e0) AS cvar_ann, stddev_samp(r) FILTER (r < -1e-12) * sqrt(252e0) AS downside_deviation, avg(coalesce(c.turnover, 0)) * 252 AS ann_turnover
+  FROM (SELECT *, row_number() OVER (PARTITION BY strategy ORDER BY d) AS deep, row_number() OVER (PARTITION BY strategy ORDER BY r NULLS LAST) AS low, count(*) OVER (PARTITION BY strategy) AS total FROM (
+    SELECT *, CASE WHEN row_number() OVER (PARTITION BY strategy ORDER BY t) > 1 THEN ret END AS r, equity / max(equity) OVER (PARTITION BY strategy ORDER BY t) - 1 AS d FROM line) q) l
+  LEFT JOIN ({CHARGED}) c ON c.strategy = l.strategy AND c.exec_t = l.t GROUP BY l.strategy) x ON x.strategy = m.strategy JOIN ({DRAG_SQL}) g ON g.strategy = m.strategy"""
+ALL = (*NAMES, *MORE, *(f"{c}_drag" for c in DRAGS))
+
+
+@query("p20_comparison", f"WITH RECURSIVE {SIZED}, {SIZED_CURVE} SELECT strategy, {', '.join(f'round({c}, 4) + 0.0 AS {c}' for c in ALL)}, CAST(rank() OVER (ORDER BY sharpe DESC) AS INT) AS place FROM ({COMPARED}) q")
+def _(i):
+    from pyspark.sql import Window
+
+    line, costs, fees, *_ = charged(i)
+    # One row a strategy.
+    return rounded(p.comparison(line, costs, fees).drop("n").withColumn("place", F.rank().over(Window.orderBy(F.desc("sharpe")))), 4)
+
+
+YEARLY = ("total", "vol", "sharpe", "sortino", "max_drawdown", "best", "worst", "win_rate", "turnover", "cost", "borrow", "commission", "impact")
+
+
+@query("p19_yearly", f"""WITH RECURSIVE {SIZED}, {SIZED_CURVE}
+SELECT y.strategy, y.year, periods, {', '.join(f'round({c}, 6) + 0.0 AS {c}' for c in YEARLY)}, coalesce(trades, 0) AS trades, coalesce(rebalances, 0) AS rebalances FROM (
+  SELECT l.strategy, l.year, count(*) AS periods, product(1 + ret) - 1 AS total, stddev_samp(ret) * sqrt(252e0) AS vol, avg(ret) * 252 / (stddev_samp(ret) * sqrt(252e0)) AS sharpe, avg(ret) * 252 / (stddev_samp(ret) FILTER (ret < -1e-12) * sqrt(252e0)) AS sortino,
+    min(d) AS max_drawdown, max(ret) AS best, min(ret) AS worst, avg(CASE WHEN ret > 1e-12 THEN 1e0 ELSE 0e0 END) AS win_rate, sum(coalesce(turnover, 0)) AS turnover, sum(coalesce(c.cost, 0)) AS cost, sum(f.borrow) AS borrow, sum(coalesce(commission, 0)) AS commission, sum(coalesce(impact, 0)) AS impact
+  FROM (SELECT l.*, CAST(year(date) AS INT) AS year, equity / max(equity) OVER (PARTITION BY strategy, year(date) ORDER BY l.t) - 1 AS d FROM line l JOIN ({DAYS}) d ON d.t = l.t) l
+  JOIN fees f ON f.strategy = l.strategy AND f.t = l.t LEFT JOIN ({CHARGED}) c ON c.strategy = l.strategy AND c.exec_t = l.t GROUP BY l.strategy, l.year) y
+LEFT JOIN (SELECT strategy, CAST(year(date) AS INT) AS year, count(*) AS trades, count(DISTINCT date) AS rebalances FROM ({BLOTTER}) q GROUP BY ALL) b ON b.strategy = y.strategy AND b.year = y.year""")
+def _(i):
+    line, costs, fees, moves, days = charged(i)
+    return rounded(p.yearly(line, days, costs, fees, trades_of(moves, costs, days)))
+
+
+# ---- walk forward: weights by the inverse of each asset's volatility over 252 rows, held for 63
+@query("p21_walk_forward_folds", f"SELECT CAST(fold AS INT) AS fold, CAST(fold * 63 + 1 AS INT) AS train_from, CAST(fold * 63 + 252 AS INT) AS train_to, CAST(fold * 63 + 253 AS INT) AS test_from, CAST(least(fold * 63 + 315, last) AS INT) AS test_to FROM (SELECT last, unnest(range(CAST(ceil((last - 252) / 63e0) AS BIGINT))) AS fold FROM (SELECT max(t) AS last FROM ({DAYS}) q) q) q")
+def _(i):
+    return p.folds(p.calendar(i.wide), 252, 63)
+
+
+WALK = f"""SELECT fold, asset, (SELECT date FROM ({DAYS}) d WHERE d.t = fold * 63 + 253) AS date, (1 / sd) / sum(1 / sd) OVER (PARTITION BY fold) AS weight FROM (
+  SELECT CAST(fold AS INT) AS fold, asset, stddev_samp(r) AS sd FROM (
+    SELECT f.fold, w.asset, w.price / lag(w.price) OVER (PARTITION BY f.fold, w.asset ORDER BY w.date) - 1 AS r
+    FROM (SELECT unnest(range(CAST(ceil((max(t) - 252) / 63e0) AS BIGINT))) AS fold FROM ({DAYS}) q) f JOIN ({DAYS}) d ON d.t BETWEEN f.fold * 63 + 1 AND f.fold * 63 + 252 JOIN {{wide}} w ON w.date = d.date) q GROUP BY fold, asset) q"""
+WALK_PLAN = f"SELECT 1 AS strategy, w.date, d.t + 1 AS fill_t, d.t + 2 AS exec_t FROM (SELECT DISTINCT date FROM ({WALK}) q) w JOIN ({DAYS}) d ON d.date = w.date WHERE d.t + 2 <= (SELECT max(t) FROM ({DAYS}) m)"
+WALK_HELD = f"SELECT l.strategy, w.asset, l.exec_t, l.fill_t, l.end_t, w.weight FROM (SELECT *, lead(exec_t) OVER (PARTITION BY strategy ORDER BY exec_t) - 1 AS end_t FROM ({WALK_PLAN}) q) l JOIN ({WALK}) w ON w.date = l.date"
+
+
+def steady(rows):
+    """Weights of a slice: the inverse of the deviation of an asset's returns."""
+    sd = rows.assign(r=rows.groupby("asset")["price"].pct_change(fill_method=None)).groupby("asset")["r"].std()
+    inverse = 1 / sd
+    return (inverse / inverse.sum()).rename("weight").reset_index()
+
+
+@query("p21_walk_forward_targets", f"SELECT fold, asset, date, round(weight, 6) AS weight FROM ({WALK}) q")
+def _(i):
+    prices = written(i.wide.select("asset", "date", "price"), "prices")
+    return rounded(p.walk_forward(prices, steady, 252, 63))
+
+
+@query("p21_walk_forward", f"SELECT t, round(equity, 6) AS equity, round(ret, 6) + 0.0 AS ret FROM ({CURVE.replace(HELD, WALK_HELD)}) q")
+def _(i):
+    prices = written(i.wide.select("asset", "date", "price"), "prices")
+    days = written(p.calendar(prices), "days")
+    targets = written(p.walk_forward(prices, steady, 252, 63, days).withColumn("strategy", F.lit(1)), "targets")
+    held = p.slots(targets, p.schedule(targets.select("strategy", "date").distinct(), days, lag=1))
+    drift = written(p.drifted(held, p.returns(prices, days)), "drift")
+    return rounded(p.equity(drift, p.rebalances(p.trades(held, drift), F.lit(0.001), 1.5)).select("t", "equity", "ret"))

@@ -83,6 +83,7 @@ def duck(text: str) -> str:
     names = {n: n for n in (*VIEWS, *TABLES)}
     views = ", ".join(f"{n} AS ({VIEWS[n].format(**names)})" for n in order)
     body = text.format(**names).strip()
-    if views and body.upper().startswith("WITH "):
-        return f"WITH {views}, {body[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if views and body.upper().startswith(start):
+            return f"{start}{views}, {body[len(start):]}"
     return f"WITH {views} {body}" if views else body
