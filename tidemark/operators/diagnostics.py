@@ -34,6 +34,32 @@ def neutralised(panel: DataFrame, signal: str, controls: list[str], least: int =
     return panel.select("security_id", "date", signal, *controls).dropna().groupBy("date").applyInArrow(run, f"security_id {kind}, date date, residual double")
 
 
+def rolling_mad(r: np.ndarray, window: int, least: int, abreast: int = 1024) -> np.ndarray:
+    """Median absolute deviation from the median of the last `window` values, of as many as there are from `least` on. Windows lie side
+    by side as a view of the series, those at its start filled up with infinity, and are sorted once. The values nearest to the median
+    are neighbours in that order, so the middle deviation is found by halving where they begin, for all windows together."""
+    out = np.full(len(r), np.nan)
+    views = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(window - 1, np.inf), r]), window)
+
+    def nearest(held, middle, n, k):
+        """The k-th smallest distance from the middle."""
+        at, low, high = np.arange(len(held)), np.zeros(len(held), np.int64), n - k
+        while (open_ := low < high).any():
+            half = (low + high) // 2
+            right = open_ & (middle - held[at, half] > held[at, np.minimum(half + k, window - 1)] - middle)
+            low, high = np.where(right, half + 1, low), np.where(open_ & ~right, half, high)
+        return np.maximum(middle - held[at, low], held[at, low + k - 1] - middle)
+
+    for start in range(0, len(r), abreast):
+        held = np.sort(views[start : start + abreast], axis=1)
+        n = np.minimum(np.arange(start, start + len(held)) + 1, window)
+        at = np.arange(len(held))
+        middle = (held[at, (n - 1) // 2] + held[at, n // 2]) / 2
+        out[start : start + len(held)] = (nearest(held, middle, n, (n - 1) // 2 + 1) + nearest(held, middle, n, n // 2 + 1)) / 2
+    out[: least - 1] = np.nan
+    return out
+
+
 def robust_paths(returns: DataFrame, window: int = 252, bound: float = 3.0, least: int = 21) -> DataFrame:
     """security_id, date, clipped (the return within bound median absolute deviations of the last `window` rows, null before
     `least` of them) and signs (the running sum of the returns' signs). Nothing after a row decides it."""
@@ -41,11 +67,8 @@ def robust_paths(returns: DataFrame, window: int = 252, bound: float = 3.0, leas
     def run(key, own):
         own = own.sort_by("date")
         r = own.column("r").to_numpy().astype(float)
-        out = np.full(len(r), np.nan)
-        for t in range(least - 1, len(r)):
-            held = r[max(0, t - window + 1) : t + 1]
-            m = bound * np.median(np.abs(held - np.median(held)))
-            out[t] = min(max(r[t], -m), m)
+        m = bound * rolling_mad(r, window, least)
+        out = np.minimum(np.maximum(r, -m), m)
         return pa.table({"security_id": own.column("security_id"), "date": own.column("date"), "clipped": pa.array(out, from_pandas=True), "signs": pa.array(np.cumsum(np.sign(r)).astype(np.int64))})
 
     kind = returns.schema["security_id"].dataType.simpleString()

@@ -50,3 +50,57 @@ def company_facts(docs: DataFrame) -> DataFrame:
 
     facts = own.where(~F.coalesce(at("General", "Type") == "ETF", F.lit(False)))
     return facts.select("security_id", "api_ticker", *(fact(s, k, t).alias(c) for s, k, c, t in FACTS))
+
+
+def exchanges(docs: DataFrame, snapshot: str) -> DataFrame:
+    """docs: body, JSON lists of exchanges. One row for each exchange, as it stands, with the day of the snapshot."""
+    own = docs.select(F.try_parse_json("body").alias("v"))
+    each = own.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    names = (("Code", "code"), ("Name", "name"), ("OperatingMIC", "operating_mic"), ("Country", "country"), ("Currency", "currency"), ("CountryISO2", "country_iso2"), ("CountryISO3", "country_iso3"))
+    return each.select(*(F.try_variant_get("value", f"$.{k}", "string").alias(c) for k, c in names), F.lit(snapshot).cast("date").alias("snapshot_date"))
+
+
+def coverage(universe: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row for each security: what its document holds. universe: security_id, type, is_delisted; docs: security_id, body.
+
+    Periods are the names of the income statement's yearly and quarterly sections, which are data, so the sections are taken apart
+    as variants. A security without a document has a row of zeros and nulls; one whose document can't be read has none."""
+    own = docs.select("security_id", F.try_parse_json("body").alias("v"), F.octet_length("body").cast("long").alias("doc_bytes"))
+    read = own.where("v is not null")
+
+    def names(section: str, *aggs) -> DataFrame:
+        part = read.select("security_id", F.try_variant_get("v", section, "variant").alias("part")).where("part is not null")
+        return part.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("part").outer())).groupBy("security_id").agg(*aggs)
+
+    income = "$.Financials.Income_Statement"
+    annual = names(f"{income}.yearly", F.count("key").alias("n_annual_periods"), F.min("key").alias("first_fiscal_year"), F.max("key").alias("last_fiscal_year"))
+    quarterly = names(f"{income}.quarterly", F.count("key").alias("n_quarterly_periods"))
+    shares = names("$.outstandingShares.annual", F.count("*").alias("_a")).join(names("$.outstandingShares.quarterly", F.count("*").alias("_q")), "security_id", "full")
+    facts = read.select("security_id", "doc_bytes", F.try_variant_get("v", "$.General.UpdatedAt", "string").alias("updated_at"))
+    out = universe.join(own.where("v is null").select("security_id"), "security_id", "left_anti")
+    for part in (facts, annual, quarterly, shares):
+        out = out.join(part, "security_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(
+        "security_id", "type", "is_delisted", (F.col("type") == "ETF").alias("is_etf"), (zero("n_annual_periods") > 0).alias("has_financials"), zero("n_annual_periods").alias("n_annual_periods"), zero("n_quarterly_periods").alias("n_quarterly_periods"),
+        "first_fiscal_year", "last_fiscal_year", (zero("_a") + zero("_q") > 0).alias("has_shares"), "updated_at", zero("doc_bytes").alias("doc_bytes"),
+    )
+
+
+def block_selector(securities: DataFrame, only: str) -> DataFrame:
+    """The securities whose venue, type or "type · venue" is `only`, whatever the case. None of them is an error, raised where the
+    rows are read."""
+    said = F.lit(only.strip().lower())
+    match = (F.lower("venue") == said) | (F.lower("type") == said) | (F.lower(F.concat("type", F.lit(" · "), "venue")) == said)
+    own = securities.withColumn("_match", F.coalesce(match, F.lit(False)))
+    met = own.agg(F.count_if("_match").alias("_n")).select(F.when(F.col("_n") == 0, F.raise_error(F.lit(f"no block is named {only}"))).otherwise(F.col("_n")).alias("_n"))
+    return own.crossJoin(F.broadcast(met)).where("_match and _n > 0").drop("_match", "_n")
+
+
+def verified(ledger: DataFrame, archive: DataFrame, keys: list[str], full: bool = True) -> DataFrame:
+    """outcome (ok, missing, corrupt) and n over the ledger's rows. ledger: keys, sha; archive: keys, body. Without `full` only the
+    archive's keys are read: a body that is there is ok."""
+    own = archive.select(*keys, (F.sha2("body", 256) if full else F.lit(None).cast("string")).alias("_sha"), F.lit(True).alias("_there"))
+    met = ledger.select(*keys, "sha").join(own, keys, "left")
+    outcome = F.when(F.col("_there").isNull(), "missing").when(F.lit(not full) | (F.col("_sha") == F.col("sha")), "ok").otherwise("corrupt")
+    return met.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))

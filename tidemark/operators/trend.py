@@ -69,6 +69,40 @@ def trend_scan(panel: DataFrame, rungs: tuple[int, ...] = RUNGS, scale: bool = F
     return own.groupBy("security_id", "seg").applyInArrow(run, StructType([*own.schema.fields, *(StructField(n, DoubleType()) for n in names)]))
 
 
+def rolling_deviation(panel: DataFrame, column: str, length: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """security_id, date, the columns to keep and deviation: of the last `length` values of the column, null before there are so many.
+    Rows without a value are no part of the series."""
+    own = panel.select("security_id", "date", F.col(column).cast("double").alias("_x"), *keep).where("_x is not null")
+
+    def run(key, rows):
+        rows = rows.sort_by("date")
+        x = rows.column("_x").to_numpy().astype(np.float64)
+        out = np.full(len(x), np.nan)
+        if len(x) >= length:
+            out[length - 1 :] = np.sqrt(window_moments(x, length)[0] / (length - 1))
+        return rows.drop_columns(["_x"]).append_column("deviation", pa.array(out, from_pandas=True))
+
+    kinds = [f for f in own.schema.fields if f.name != "_x"]
+    return own.groupBy("security_id").applyInArrow(run, StructType([*kinds, StructField("deviation", DoubleType())]))
+
+
+def skipped(bars: DataFrame, skip: int = 21, length: int = 252) -> DataFrame:
+    """security_id, date, skip (the log return from `length` bars back to `skip` bars back) and skip_vol (the same over the deviation of the
+    `length` daily log returns up to `skip` bars back); null where the series doesn't reach so far."""
+    w = Window.partitionBy("security_id").orderBy("date")
+    own = bars.select("security_id", "date", "close", F.ln(F.col("close") / F.lag("close").over(w)).alias("_r"))
+    vol = rolling_deviation(own, "_r", length)
+    own = own.join(vol, ["security_id", "date"], "left")
+    gone = F.ln(F.lag("close", skip).over(w) / F.lag("close", length).over(w))
+    return own.select("security_id", "date", gone.alias("skip"), F.when(F.lag("deviation", skip).over(w) > 0, gone / F.lag("deviation", skip).over(w)).alias("skip_vol"))
+
+
+def skipped_surface(scanned: DataFrame, rungs: tuple[int, ...] = RUNGS, skip: int = 21) -> DataFrame:
+    """security_id, seg, date and tb_L of `skip` bars before."""
+    w = Window.partitionBy("security_id", "seg").orderBy("date")
+    return scanned.select("security_id", "seg", "date", *(F.lag(f"tb_{L}", skip).over(w).alias(f"tb_{L}") for L in rungs))
+
+
 def dollar_volume_mean(panel: DataFrame, bars: int = 21, by: tuple[str, ...] = ("security_id",)) -> DataFrame:
     """adv21: mean of close * volume over the last `bars` rows of a series, fewer at its start. by: what a series is; a trend panel
     has a segment besides the security."""

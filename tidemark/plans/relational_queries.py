@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from .registry import both, query
+from ..operators import documents, quantiles
+from ..sources import stored
+from .registry import both, query, rounded
 
 # ---- sources
 both("s02_scan_columns", "SELECT l_orderkey, l_linenumber, l_shipdate FROM {lineitem} WHERE l_quantity > 45")
-both("s06_manifest", """SELECT count(*) AS n_rows, count(DISTINCT security_id) AS n_series, count_if(date < DATE '2024-01-05') AS dropped_before_start,
-  count_if(least(open, high, low, close) <= 0) AS blanked_non_positive,
-  count_if(least(open, high, low, close) > 0 AND (high <> greatest(open, high, low, close) OR low <> least(open, high, low, close))) AS clamped_ohlc FROM {bars_dirty}""")
+@query("s06_manifest", """SELECT count(*) FILTER (WHERE NOT early AND NOT blank) AS n_rows, count(*) FILTER (WHERE early) AS dropped_early, count(*) FILTER (WHERE NOT early AND blank) AS dropped_non_positive,
+  count(*) FILTER (WHERE NOT early AND NOT blank AND (high <> greatest(open, high, low, close) OR low <> least(open, high, low, close))) AS clamped_ohlc,
+  count(*) FILTER (WHERE NOT early AND NOT blank) AS n_stored, true AS has_files FROM (SELECT *, date < DATE '2024-01-05' AS early, least(open, high, low, close) <= 0 AS blank FROM {bars_dirty}) q""")
+def _(i):
+    # What a build drops and stores, counted by the job that stores it, beside what is read back.
+    prices = [F.col(c) for c in ("open", "high", "low", "close")]
+    path = f"{stored.shared_dir(i.spark)}/bars-{uuid.uuid4().hex}"
+    off = (F.col("high") != F.greatest(*prices)) | (F.col("low") != F.least(*prices))
+    made = stored.build(i.bars_dirty, path, {"early": F.col("date") >= "2024-01-05", "non_positive": F.least(*prices) > 0}, {"clamped_ohlc": F.count_if(off)})
+    back = i.spark.read.parquet(path).agg(F.count("*").alias("n_stored"))
+    return made.crossJoin(back).select("n_rows", "dropped_early", "dropped_non_positive", "clamped_ohlc", "n_stored", ((F.col("n_files") > 0) & (F.col("bytes") > 0) & (F.length("sha256") == 64)).alias("has_files"))
+
+
+TABLES_HELD = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
+@query("s07_stored_inventory", " UNION ALL ".join(f"SELECT '{t}' AS dataset, count(*) AS n_rows, true AS has_files FROM {{{t}}}" for t in TABLES_HELD))
+def _(i):
+    out = stored.inventory(i.spark, {t: f"{i.sf_dir}/{t}.parquet" for t in TABLES_HELD})
+    return out.select("dataset", "n_rows", ((F.col("n_files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
+
+
 both("s07_inventory", " UNION ALL ".join(f"SELECT '{t}' AS dataset, count(*) AS n_rows FROM {{{t}}}" for t in ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")))
 both("s10_seeded_sample", "SELECT b.security_id, b.date, b.volume FROM {bars} b JOIN (SELECT security_id FROM (SELECT DISTINCT security_id FROM {bars}) d ORDER BY md5(concat(CAST(security_id AS STRING), '|7')), security_id LIMIT 5) s ON s.security_id = b.security_id")
 both("s09_unresolved_keys", "SELECT DISTINCT endpoint, key FROM {ledger} l WHERE NOT EXISTS (SELECT 1 FROM {ledger} r WHERE r.endpoint = l.endpoint AND r.key = l.key AND r.status IN ('ok', 'empty', 'not_found'))")
@@ -23,10 +46,27 @@ both("s08_verify_archive", """SELECT outcome, count(*) AS n FROM (
   FROM (SELECT doc_id + CASE WHEN doc_id % 50 = 0 THEN 1000000000 ELSE 0 END AS key, CASE WHEN doc_id % 37 = 1 THEN 'x' ELSE sha256(text) END AS sha FROM {documents}) l
   LEFT JOIN {documents} d ON d.doc_id = l.key) q GROUP BY outcome""")
 
+#: The log's digests: some keys aren't in the archive, some digests aren't their body's.
+LOGGED = "SELECT doc_id + CASE WHEN doc_id % 50 = 0 THEN 1000000000 ELSE 0 END AS key, CASE WHEN doc_id % 37 = 1 THEN 'x' ELSE sha256(text) END AS sha FROM {documents}"
+
+
+def logged(i):
+    key = F.col("doc_id") + F.when(F.col("doc_id") % 50 == 0, 1000000000).otherwise(0)
+    return i.documents.select(key.alias("key"), F.when(F.col("doc_id") % 37 == 1, "x").otherwise(F.sha2("text", 256)).alias("sha"))
+
+
+@query("s08_verify_existence", f"SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN d.doc_id IS NULL THEN 'missing' ELSE 'ok' END AS outcome FROM ({LOGGED}) l LEFT JOIN {{documents}} d ON d.doc_id = l.key) q GROUP BY outcome")
+def _(i):
+    return documents.verified(logged(i), i.documents.select(F.col("doc_id").alias("key"), F.col("text").alias("body")), ["key"], full=False)
+
+
 # ---- selections
 both("f01_universe", "SELECT security_id, code, venue, type, is_delisted FROM {securities} WHERE source_exchange = 'US' AND venue IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'REGION_0', 'REGION_1', 'REGION_2') AND type IN ('Common Stock', 'ETF', 'Preferred Stock')")
 both("f05_whitelist_or_prefix", "SELECT DISTINCT code FROM {securities} WHERE code IN ('Supplier#000000001', 'Supplier#000000005') OR code LIKE 'Supplier#00000002%'")
-both("f06_block_selector", "SELECT security_id, venue, type FROM {securities} WHERE lower(venue) = lower('etf') OR lower(type) = lower('etf') OR lower(concat(type, ' · ', venue)) = lower('etf')")
+@query("f06_block_selector", "SELECT security_id, venue, type FROM {securities} WHERE lower(venue) = lower('etf') OR lower(type) = lower('etf') OR lower(concat(type, ' · ', venue)) = lower('etf')")
+def _(i):
+    return documents.block_selector(i.securities, "ETF").select("security_id", "venue", "type")
+
 both("f07_other_series", "SELECT security_id, concat(code, '.', source_exchange) AS ticker FROM {securities} WHERE source_exchange IN ('FOREX', 'CC', 'GBOND', 'MONEY')")
 
 
@@ -54,7 +94,12 @@ both("j10_request_grid", "SELECT n_name AS country, p AS indicator FROM {nation}
 # ---- aggregates
 both("a01_bar_counts", "SELECT count(*) AS n, count(DISTINCT security_id) AS n_series, min(date) AS first, max(date) AS last FROM {bars}")
 both("a02_filtered_counts", "SELECT count(*) FILTER (WHERE status = 'ok') AS n_ok, count(DISTINCT key) FILTER (WHERE status <> 'ok') AS n_keys_failed FROM {ledger}")
-both("a03_relative_error", "SELECT round(median(e), 6) AS mid, round(percentile(e, 0.99), 6) AS p99, round(max(e), 6) AS top FROM (SELECT abs(close - adjusted_close) / adjusted_close AS e FROM {bars}) q", "SELECT round(median(e), 6) AS mid, round(quantile_cont(e, 0.99), 6) AS p99, round(max(e), 6) AS top FROM (SELECT abs(close - adjusted_close) / adjusted_close AS e FROM {bars}) q")
+@query("a03_relative_error", "SELECT round(median(e), 6) AS mid, round(quantile_cont(e, 0.99), 6) AS p99, round(max(e), 6) AS top FROM (SELECT abs(close - adjusted_close) / adjusted_close AS e FROM {bars}) q")
+def _(i):
+    own = i.bars.select((F.abs(F.col("close") - F.col("adjusted_close")) / F.col("adjusted_close")).alias("e"))
+    at = quantiles.percentiles(own, "e", (0.5, 0.99))
+    return rounded(own.agg(F.lit(at[0.5]).alias("mid"), F.lit(at[0.99]).alias("p99"), F.max("e").alias("top")))
+
 both("a04_duplicate_keys", "SELECT count(*) AS n FROM (SELECT l_orderkey, l_linenumber FROM {lineitem} GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) q")
 both("a05_spans", "SELECT security_id, min(date) AS first, max(date) AS last FROM {bars} GROUP BY security_id")
 both("a07_worst_offenders", "SELECT security_id, count(*) AS n, count(*) FILTER (WHERE close - adjusted_close > 1.5e0) AS bad FROM {bars} GROUP BY security_id HAVING count(*) FILTER (WHERE close - adjusted_close > 1.5e0) > 0 ORDER BY bad DESC, security_id LIMIT 25")
@@ -62,7 +107,11 @@ both("a08_conditional_share", "SELECT round(sum(CASE WHEN is_delisted THEN 1 ELS
 both("a09_categories", "SELECT coalesce(isin_kind, 'NULL') AS kind, count(*) AS n FROM (SELECT CASE WHEN security_id % 6 = 0 THEN NULL ELSE type END AS isin_kind FROM {securities}) q GROUP BY coalesce(isin_kind, 'NULL') ORDER BY n DESC, kind LIMIT 8")
 both("a10_status_pivot", "SELECT endpoint, count_if(status = 'ok') AS ok, count_if(status = 'empty') AS empty, count_if(status = 'not_found') AS not_found, count_if(status NOT IN ('ok', 'empty', 'not_found')) AS failed FROM {ledger} GROUP BY endpoint")
 both("a11_histograms", "SELECT CAST(floor(year(date) / 10) * 10 AS INT) AS decade, year(date) AS year, count(*) AS n FROM {bars} GROUP BY year(date)", "SELECT CAST(year(date) // 10 * 10 AS INT) AS decade, CAST(year(date) AS INT) AS year, count(*) AS n FROM {bars} GROUP BY year(date)")
-both("a13_percentiles", "SELECT " + ", ".join(f"round(percentile(close, {p}), 6) AS p{int(p * 100)}" for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + ", round(avg(close), 6) AS mean FROM {bars}", "SELECT " + ", ".join(f"round(quantile_cont(close, {p}), 6) AS p{int(p * 100)}" for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + ", round(avg(close), 6) AS mean FROM {bars}")
+@query("a13_percentiles", "SELECT " + ", ".join(f"round(quantile_cont(close, {p}), 6) AS p{int(p * 100)}" for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + ", round(avg(close), 6) AS mean FROM {bars}")
+def _(i):
+    at = quantiles.percentiles(i.bars, "close", (0.05, 0.25, 0.5, 0.75, 0.95))
+    return rounded(i.bars.agg(*(F.lit(v).alias(f"p{int(p * 100)}") for p, v in at.items()), F.avg("close").alias("mean")))
+
 both("a14_correlation", "SELECT security_id, CASE WHEN count(*) >= 3 THEN round(corr(close, volume), 6) END AS r FROM {bars} GROUP BY security_id")
 both("a15_completeness_gate", "SELECT u.n AS expected, r.n AS resolved, r.n >= u.n AS complete FROM (SELECT count(*) AS n FROM {securities}) u, (SELECT count(DISTINCT key) AS n FROM {ledger} WHERE status IN ('ok', 'empty', 'not_found')) r")
 both("w12_stratified_sample", "SELECT type, security_id FROM (SELECT type, security_id, row_number() OVER (PARTITION BY type ORDER BY md5(concat(CAST(security_id AS STRING), '|3')), security_id) AS k FROM {securities}) q WHERE k <= 4")

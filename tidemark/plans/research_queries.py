@@ -111,11 +111,37 @@ def _(i):
     return flat.select("document", "statement", "period_end", "item", F.round(F.col("raw").try_cast("double"), 4).alias("value")).where("value is not null")
 
 
-both("b06_coverage", "SELECT s.security_id, count(DISTINCT year(t.period_end)) AS n_years, min(year(t.period_end)) AS first_year, max(year(t.period_end)) AS last_year, count(t.document) > 0 AS has_financials FROM {securities} s LEFT JOIN {statements} t ON t.security_id = s.security_id GROUP BY s.security_id")
+#: What a document says of a security: yearly and quarterly periods of its statements, and whether any has shares.
+PERIODS = "SELECT security_id, concat(CAST(year(period_end) AS STRING), '-12-31') AS y, CASE WHEN month(period_end) % 3 = 0 THEN CAST(period_end AS STRING) END AS q, quantity > 49 AS shares FROM {statements} WHERE security_id % 5 <> 4"
+
+
+@query("b06_coverage", f"""
+SELECT s.security_id, s.type, s.is_delisted, s.type = 'ETF' AS is_etf, coalesce(p.n_annual_periods, 0) > 0 AS has_financials, coalesce(p.n_annual_periods, 0) AS n_annual_periods, coalesce(p.n_quarterly_periods, 0) AS n_quarterly_periods,
+  p.first_fiscal_year, p.last_fiscal_year, coalesce(p.has_shares, false) AS has_shares, p.updated_at
+FROM {{securities}} s LEFT JOIN (SELECT security_id, count(DISTINCT y) AS n_annual_periods, count(DISTINCT q) AS n_quarterly_periods, min(y) AS first_fiscal_year, max(y) AS last_fiscal_year, bool_or(shares) AS has_shares, '2026-01-02' AS updated_at FROM ({PERIODS}) q GROUP BY security_id) p ON p.security_id = s.security_id
+WHERE NOT (s.security_id % 5 = 3 AND p.security_id IS NOT NULL)""")
+def _(i):
+    rows = i.statements.where("security_id % 5 <> 4").select("security_id", F.concat(F.year("period_end").cast("string"), F.lit("-12-31")).alias("y"), F.when(F.month("period_end") % 3 == 0, F.col("period_end").cast("string")).alias("q"), (F.col("quantity") > 49).alias("shares"))
+    part = lambda c: F.transform(F.collect_set(c), lambda k: F.struct(k.alias("k"), F.create_map(F.lit("totalRevenue"), F.lit("1")).alias("v")))
+    held = rows.groupBy("security_id").agg(part("y").alias("y"), part("q").alias("q"), F.bool_or("shares").alias("shares"))
+    shares = F.when(F.col("shares"), F.create_map(F.lit("0"), F.lit("10"))).otherwise(F.from_json(F.lit("{}"), "map<string,string>"))
+    body = F.to_json(F.struct(
+        F.struct(F.lit("2026-01-02").alias("UpdatedAt")).alias("General"), F.struct(F.struct(F.map_from_entries("y").alias("yearly"), F.map_from_entries("q").alias("quarterly")).alias("Income_Statement")).alias("Financials"), F.struct(shares.alias("annual")).alias("outstandingShares")
+    ))
+    # Every fifth document is broken off.
+    docs = held.select("security_id", F.when(F.col("security_id") % 5 == 3, F.substring(body, 1, 20)).otherwise(body).alias("body"))
+    return documents.coverage(i.securities.select("security_id", "type", "is_delisted"), docs).drop("doc_bytes")
+
 both("b09_shares_long", "SELECT DISTINCT security_id, coalesce(filing_date, period_end) AS date, CAST(quantity AS BIGINT) AS shares FROM {statements} WHERE quantity IS NOT NULL")
 both("b04_splits_table", "SELECT event_id, security_id, date, raw, CAST(split_part(raw, '/', 1) AS DOUBLE) AS split_to, CAST(split_part(raw, '/', 2) AS DOUBLE) AS split_from FROM {splits}")
 both("b05_dividends_table", "SELECT event_id, security_id, date, round(value, 8) AS value, round(unadjusted_value, 8) AS unadjusted_value FROM {dividends} WHERE date IS NOT NULL")
-both("b01_exchanges_table", "SELECT n_nationkey AS exchange_id, n_name AS name, r_name AS region, DATE '2026-01-01' AS snapshot FROM {nation} JOIN {region} ON r_regionkey = n_regionkey")
+@query("b01_exchanges_table", "SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CASE WHEN n_nationkey % 3 <> 0 THEN concat('X', CAST(n_nationkey AS VARCHAR)) END AS operating_mic, r_name AS country, 'USD' AS currency, CAST(NULL AS VARCHAR) AS country_iso2, upper(substr(n_name, 1, 3)) AS country_iso3, DATE '2026-01-01' AS snapshot_date FROM {nation} JOIN {region} ON r_regionkey = n_regionkey")
+def _(i):
+    # A document for each region: a list of its exchanges.
+    one = F.struct(F.col("n_nationkey").cast("string").alias("Code"), F.col("n_name").alias("Name"), F.when(F.col("n_nationkey") % 3 != 0, F.concat(F.lit("X"), F.col("n_nationkey").cast("string"))).alias("OperatingMIC"), F.col("r_name").alias("Country"), F.lit("USD").alias("Currency"), F.upper(F.substring("n_name", 1, 3)).alias("CountryISO3"))
+    docs = i.nation.join(i.region, F.col("r_regionkey") == F.col("n_regionkey")).groupBy("r_regionkey").agg(F.to_json(F.collect_list(one)).alias("body"))
+    return documents.exchanges(docs, "2026-01-01")
+
 
 
 # ---- diagnostics: the signal is minus the last 5 bars' return, screened and lagged by one bar
@@ -128,7 +154,19 @@ both("e10_era_ic", f"SELECT CAST(year(date) AS INT) AS era, count(*) AS n, round
 both("e04_deciles", f"SELECT decile, count(*) AS n, round(avg(fwd), 6) AS mean_fwd FROM (SELECT fwd, ntile(10) OVER (PARTITION BY date ORDER BY signal, security_id) AS decile FROM (SELECT security_id, date, round(signal, 8) AS signal, fwd FROM ({SIGNAL}) q WHERE signal IS NOT NULL AND fwd IS NOT NULL) q) q GROUP BY decile")
 LAGS = 8
 both("e03_newey_west", f"SELECT n, round(mean, 6) AS mean, round(mean / sqrt(({' + '.join(['g0', *(f'2 * (1 - {k}e0 / {LAGS + 1}) * g{k}' for k in range(1, LAGS + 1))])}) / n), 4) AS t FROM (SELECT count(*) AS n, max(m) AS mean, " + ", ".join(f"sum(x * coalesce(x{k}, 0e0)) / count(*) AS g{k}" for k in range(LAGS + 1)) + " FROM (SELECT m, x, " + ", ".join(f"lag(x, {k}) OVER (ORDER BY date) AS x{k}" for k in range(LAGS + 1)) + f" FROM (SELECT date, avg(ic) OVER () AS m, ic - avg(ic) OVER () AS x FROM ({IC}) q) q) q) q")
-both("e06_skip_return", "SELECT security_id, date, round(ln(lag(close, 21) OVER w / lag(close, 252) OVER w), 6) + 0.0e0 AS skip FROM {bars} WINDOW w AS (PARTITION BY security_id ORDER BY date)")
+@query("e06_skip_return", """
+SELECT security_id, date, round(skip, 6) + 0.0 AS skip, CASE WHEN n >= 252 AND sd > 0 THEN round(skip / sd, 4) + 0.0 END AS skip_vol FROM (
+  SELECT security_id, date, ln(lag(close, 21) OVER w / lag(close, 252) OVER w) AS skip, stddev_samp(r) OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN 272 PRECEDING AND 21 PRECEDING) AS sd, count(r) OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN 272 PRECEDING AND 21 PRECEDING) AS n
+  FROM (SELECT security_id, date, close, ln(close / lag(close) OVER (PARTITION BY security_id ORDER BY date)) AS r FROM {bars}) q WINDOW w AS (PARTITION BY security_id ORDER BY date)) q""")
+def _(i):
+    return trend.skipped(i.bars).select("security_id", "date", F.round("skip", 6).alias("skip"), F.round("skip_vol", 4).alias("skip_vol"))
+
+
+@query("e06_skip_surface", f"SELECT security_id, date, {', '.join(f'lag(tb_{L}, 21) OVER (PARTITION BY security_id ORDER BY date) AS tb_{L}' for L in trend.RUNGS)} FROM ({scan_sql(False)}) q")
+def _(i):
+    out = trend.skipped_surface(trend.trend_scan(calm(i)))
+    return out.select("security_id", "date", *(F.round(f"tb_{L}", 4 if L > 10 else 3).alias(f"tb_{L}") for L in trend.RUNGS))
+
 both("e11_truncated_targets", "SELECT count(*) AS n, count(fwd) AS n_known, round(1 - count(fwd) / CAST(count(*) AS DOUBLE), 6) AS truncated FROM (SELECT lead(close, 63) OVER (PARTITION BY security_id ORDER BY date) AS fwd FROM {bars}) q")
 both("e13_volatility_target", "SELECT asset, date, CASE WHEN sd > 1e-9 THEN round(least(0.1e0 / (sd * sqrt(252e0)), 2e0), 6) END AS leverage FROM (SELECT asset, date, stddev_samp(r) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 21 PRECEDING AND 1 PRECEDING) AS sd FROM (SELECT asset, date, price / lag(price) OVER (PARTITION BY asset ORDER BY date) - 1 AS r FROM {wide}) q) q")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -61,6 +61,25 @@ def inventory(spark: SparkSession, paths: dict[str, str], digests: bool = False)
     return out
 
 
+def build(df: DataFrame, path: str, keep: dict[str, Column], count: dict[str, Column], put=store_by_year, **how) -> DataFrame:
+    """Stores what passes the rules and says what went with it: dataset's n_rows, n_files, bytes, sha256 (of the files' digests, in order),
+    dropped_<rule> for each rule of `keep`, in the order in which they fail rows, and the counters `count` over the rows that stay.
+
+    All figures of rows come from the job that writes them, observed as they pass, so put() must go through its rows once: a sort
+    over all files samples them before. Files are read once by the executors for their digests."""
+    spark, before, after = df.sparkSession, Observation(), Observation()
+    failed, passed = {}, F.lit(True)
+    for name, rule in keep.items():
+        ok = F.coalesce(rule, F.lit(False))
+        failed[name], passed = F.count_if(passed & ~ok).alias(f"dropped_{name}"), passed & ok
+    own = df.observe(before, F.count("*").alias("_read"), *failed.values()).where(passed)
+    put(own.observe(after, F.count("*").alias("n_rows"), *(c.alias(n) for n, c in count.items())), path, **how)
+    rows = {n: v for n, v in before.get.items() if n != "_read"} | after.get
+    file = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    held = file.select(F.length("content").cast("long").alias("n"), F.sha2("content", 256).alias("h")).agg(F.count("*").alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ",").cast("binary"), 256).alias("sha256"))
+    return held.select(F.lit(int(rows.pop("n_rows"))).alias("n_rows"), "n_files", "bytes", "sha256", *(F.lit(v).alias(n) for n, v in rows.items()))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, as in tests, one is made for a
     local session; a cluster without the setting is an error, for a machine-local folder would lose data there."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 
 def ledger_state(attempts: DataFrame, late: str = "1 day") -> DataFrame:
@@ -27,19 +26,25 @@ def rate_over_cap(attempts: DataFrame, cap: int, late: str = "10 minutes") -> Da
     return own.groupBy(F.window("ts", "1 minute", "10 seconds")).agg(F.count("*").alias("n")).where(F.col("n") > cap).select(F.col("window.start").alias("start"), "n")
 
 
+#: Keeps a stream's state on disk and in its checkpoint, changes only, instead of whole in memory.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def ingest(stream: DataFrame, keys: list[str], target: str, checkpoint: str):
-    """Loads what is new, once: a batch's rows whose keys the target lacks are written under the batch's own number, so a
-    batch that runs again replaces its own rows."""
+    """Loads what is new, once. The keys that were loaded are the stream's state, kept by key in its checkpoint: a batch looks up its own
+    keys and never reads the target, whatever that holds. A batch's rows are written under its own number, so one that runs again, from
+    the state of the batch before it, replaces its own rows. Rows without a key are one key."""
+    conf = stream.sparkSession.conf
+    provider, changes = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    before = conf.get(provider, None), conf.get(changes, None)
+    conf.set(provider, ROCKS)
+    conf.set(changes, "true")
 
     def put(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
-        path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        # Nothing is there before the first batch, and nothing but a failed write's leftovers if that broke off.
-        loaded = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/batch=*/*.parquet"))
-        if loaded is not None and len(loaded):
-            held = spark.read.schema(StructType([*new.schema.fields, StructField("batch", LongType())])).parquet(target).where(F.col("batch") != number)
-            new = new.join(held.select(*keys), keys, "left_anti")
-        new.write.mode("overwrite").parquet(f"{target}/batch={number}")
-
-    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    try:  # a query keeps the settings that it starts with
+        return stream.dropDuplicates(keys).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        for name, value in zip((provider, changes), before, strict=True):
+            conf.unset(name) if value is None else conf.set(name, value)
