@@ -14,17 +14,24 @@ from .common import map_batches, rows_of, table, written
 
 # Fixed values of the HTML standard and of common usage.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that never hold main text; a header does within an article, where it holds the title.
-ASIDE = frozenset("head nav footer aside form dialog menu button script style template noscript iframe svg math select textarea title object canvas audio video".split())
+#: Elements that are no text, and others that never hold main text unless they go around the whole page; a header does within an article,
+#: where it holds the title.
+NO_TEXT = frozenset("head button script style template noscript iframe svg select textarea title object canvas audio video annotation annotation-xml".split())
+ASIDE = NO_TEXT | frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Whole names of a class or an id that are usual for what is not main text.
 NAMES = frozenset(
     "ad ads ad-slot advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments comment-list comment-section commentlist comments-area consent cookie cookies cookie-banner cookie-bar cookie-consent cookie-notice disqus disqus_thread footer header masthead menu modal nav navbar navigation newsletter newsletter-signup notice notices notification page-footer page-header pagination popup promo promoted related related-articles related-posts replies respond share share-buttons sharing sidebar signup site-footer site-header site-nav skip-link social social-share sponsor sponsored subscribe toolbar top-bar topbar widget".split()
 )
+#: Those of them that a title within an article may have too.
+HEADS = frozenset("banner header masthead page-header".split())
+#: An element with this share of the page's words outside of links is no furniture, whatever its tag or name; articles with less than
+#: this share of the words that stay aren't the page's text.
+MOST, TEASER = 0.75, 1 / 3
 #: Elements that are never furniture themselves.
 WHOLE = frozenset("# html body main".split())
 #: An opened element of the key closes open ones of the value, up to the nearest of the stop.
@@ -38,7 +45,9 @@ ANYWHERE, WITHIN, NAME, FEW = range(4)
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _QUOTE = re.compile(r"=\s*([\"'])")
 _TELLING = re.compile(r"class|id|role|style", re.I)
-_ATTR = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?![\w-])", re.I)
+#: One attribute after another, each with its quotes, so that what a value says is no attribute.
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TOLD = frozenset("class id role hidden aria-hidden style".split())
 
 
 class Node:
@@ -49,12 +58,22 @@ class Node:
 
 
 def attributes(attrs: str) -> dict[str, str]:
-    return {name.lower(): (a or b or c).lower() for name, a, b, c in _ATTR.findall(attrs)} if attrs and _TELLING.search(attrs) else {}
+    """The attributes that tell of an element's part in the page, in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    if attrs and _TELLING.search(attrs):
+        for name, a, b, c in _ATTR.findall(attrs):
+            if (name := name.lower()) in _TOLD:
+                out.setdefault(name, (a or b or c).lower())
+    return out
 
 
 def hidden(own: dict[str, str]) -> bool:
     """By what the page itself says of the element, for readers and for screen readers."""
-    return "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "") or own.get("role") in ROLES
+    return "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
+
+
+def named(own: dict[str, str]) -> set[str]:
+    return {*own.get("class", "").split(), *own.get("id", "").split()} & NAMES if "class" in own or "id" in own else set()
 
 
 def slot(tag: str, own: dict[str, str]) -> int | None:
@@ -200,12 +219,26 @@ class Page:
         for k in range(len(self.nodes) - 1, 0, -1):
             if self.nodes[k].holds:
                 self.nodes[self.parent[k]].holds = True
-        #: Place of the outermost article or main around each element, itself included; 0 for none. And what lies in elements
-        #: that go by their tag.
-        self.top, self.dead = [0] * len(self.nodes), [False] * len(self.nodes)
+        #: Words in each element outside of links. Place of the outermost article or main around each element, itself included; 0 for
+        #: none. And what lies in elements that go by their tag.
+        self.words, self.top, self.dead = [0] * len(self.nodes), [0] * len(self.nodes), [False] * len(self.nodes)
+        for k in range(len(self.nodes) - 1, -1, -1):
+            node = self.nodes[k]
+            if node.tag == "a" or node.tag in NO_TEXT:
+                self.words[k] = 0
+                continue
+            for p in node.parts:
+                if isinstance(p, str):
+                    self.words[k] += len(p.split())
+            if k:
+                self.words[self.parent[k]] += self.words[k]
         for k in range(1, len(self.nodes)):
             self.top[k] = self.top[self.parent[k]] or (k if self.nodes[k].tag in ("article", "main") else 0)
-            self.dead[k] = self.dead[self.parent[k]] or self.nodes[k].tag in ASIDE
+            self.dead[k] = self.dead[self.parent[k]] or self.nodes[k].tag in NO_TEXT or self.nodes[k].tag in ASIDE and not self.around(k)
+
+    def around(self, k: int) -> bool:
+        """Whether the element goes around the page: it holds most of the words, and its articles if it has any."""
+        return self.words[k] >= MOST * self.words[0] > 0 and self.nodes[k].holds == self.nodes[0].holds
 
     def hashed(self) -> None:
         """Hashes of each element's tag and content; what goes by its tag counts as empty. The page's own is of its html."""
@@ -222,12 +255,21 @@ class Page:
         node = self.nodes[k]
         if node.tag in WHOLE:
             return False
-        if node.tag in ASIDE or node.tag == "header" and not self.top[k]:
+        if node.tag in NO_TEXT:
             return True
+        if node.tag in ASIDE or node.tag == "header" and not self.top[k]:
+            return not self.around(k)
         if not node.attrs:
             return False
         own = attributes(node.attrs)
-        return hidden(own) or (s := slot(node.tag, own)) is not None and (few or s in names)
+        if hidden(own):
+            return True
+        if own.get("role") in ROLES:
+            return not self.around(k)
+        told = named(own)
+        if not told or self.top[k] and told <= HEADS or not (few or slot(node.tag, own) in names):
+            return False
+        return not self.around(k)
 
     def counted(self) -> list[tuple[int, int, int]]:
         """(kind, hash, where it stands) of each element with text: in which page, or for WITHIN in which article, and of each
@@ -260,6 +302,8 @@ class Page:
         if tops and all(gone[k] for k in tops):
             gone = self.inherited([a and not n.holds for a, n in zip(own, self.nodes, strict=True)])
         tops = [k for k in tops if not gone[k]]
+        if tops and self.kept_words(tops, gone) < TEASER * self.kept_words([0], gone):
+            tops = []
         out = []
         for top in tops or [0]:
             template = within if top else anywhere
@@ -270,6 +314,17 @@ class Page:
             out += blocks
         return "\n".join(out)
 
+    def kept_words(self, tops: list[int], gone: list[bool]) -> int:
+        """Words outside of links in what stays of these elements."""
+        n, walk = 0, [self.nodes[k] for k in tops]
+        while walk:
+            for p in walk.pop().parts:
+                if isinstance(p, str):
+                    n += len(p.split())
+                elif p.tag != "a" and not gone[self.place[id(p)]]:
+                    walk.append(p)
+        return n
+
     def inherited(self, own: list[bool]) -> list[bool]:
         out = list(own)
         for k in range(1, len(out)):
