@@ -115,5 +115,7 @@ def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, id_col:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(table(spark, sf_dir, "documents"))
+    """Lines of each document and how many go: all of every run of three lines that occurred before and every later copy of a line of
+    over 50 words, besides the pairs of lines that the windows choose; see dedup_lines() for odd rows."""
+    out = dedup_lines(table(spark, sf_dir, "documents"), long_line=LONG, contexts=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))

@@ -117,7 +117,15 @@ src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_
 m AS (
   SELECT f.doc_id, f.p - CASE WHEN f.before = src.before THEN 1 ELSE 0 END AS a, f.p + 1 + CASE WHEN f.after = src.after THEN 1 ELSE 0 END AS b
   FROM f JOIN src ON f.g = src.g WHERE f.doc_id > src.doc_id OR f.doc_id = src.doc_id AND f.p > src.p),
-gone AS (SELECT DISTINCT m.doc_id, s.i FROM m JOIN s ON s.doc_id = m.doc_id AND s.p BETWEEN a AND b),
+three AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY h, h1, h2 ORDER BY doc_id, p) AS k
+  FROM (SELECT doc_id, p, h, lead(h) OVER w AS h1, lead(h, 2) OVER w AS h2 FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY p)) q WHERE h2 IS NOT NULL),
+long AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS k FROM l WHERE t <> '' AND len(string_split_regex(t, '[ \x09-\x0D]+')) > 50),
+gone AS (
+  SELECT DISTINCT m.doc_id, s.i FROM m JOIN s ON s.doc_id = m.doc_id AND s.p BETWEEN a AND b
+  UNION SELECT three.doc_id, s.i FROM three JOIN s ON s.doc_id = three.doc_id AND s.p BETWEEN three.p AND three.p + 2 WHERE three.k > 1
+  UNION SELECT doc_id, i FROM long WHERE k > 1),
 k AS (
   SELECT l.doc_id, string_agg(CASE WHEN gone.i IS NULL THEN l.x END, chr(10) ORDER BY l.i) AS t, count(*) AS n, count(gone.i) AS r
   FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id)
