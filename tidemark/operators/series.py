@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..sources.stored import written
+
 PRICES = ("open", "high", "low", "close")
 BLANKED = (*PRICES, "adjusted_close", "volume")
 # Fixed thresholds of the data model.
@@ -68,36 +73,40 @@ def isolated_prints(bars: DataFrame, spike: float = SPIKE_LN, unwind: float = UN
     return p.where((jump > spike) & (F.abs(F.ln(F.col("next") / F.col("prev"))) < unwind * jump))
 
 
+def prints_to_blank(p: np.ndarray, spike: float, unwind: float) -> np.ndarray:
+    """Places of the isolated prints of a series, the largest jump first and never two neighbours in one pass, until none is left."""
+    live, blank = np.flatnonzero(np.nan_to_num(p) > 0), np.zeros(len(p), bool)
+    while len(live) > 2:
+        y = np.log(p[live])
+        jump, back = np.abs(y[1:-1] - y[:-2]), np.abs(y[2:] - y[:-2])
+        at = np.flatnonzero((jump > spike) & (back < unwind * jump)) + 1
+        if not len(at):
+            break
+        taken = np.zeros(len(live), bool)
+        for j in at[np.lexsort((-at, -jump[at - 1]))]:
+            if not taken[j - 1] and not taken[j + 1]:
+                taken[j] = True
+        blank[live[taken]] = True
+        live = live[~taken]
+    return blank
+
+
 def neutralize_prints(bars: DataFrame, spike: float = SPIKE_LN, unwind: float = UNWIND) -> DataFrame:
-    """Isolated prints blanked, the largest jump first and never two neighbours in one pass, until none is left. Only series
-    that have a candidate go through the grouped function; one series is a few thousand rows."""
+    """Isolated prints blanked (prints_to_blank). Only series that have a candidate go through the grouped function, each a few
+    thousand rows; bars with their flag are stored first, so what comes before runs once for both kinds of series."""
     names = bars.columns
-
-    def settle(pdf):
-        import numpy as np
-
-        pdf = pdf.sort_values("date", kind="stable").reset_index(drop=True)
-        p = pdf["adjusted_close"].to_numpy(dtype=float)
-        live = np.flatnonzero(np.nan_to_num(p) > 0)
-        blank: list[int] = []
-        while len(live) > 2:
-            y = np.log(p[live])
-            jump, back = np.abs(y[1:-1] - y[:-2]), np.abs(y[2:] - y[:-2])
-            at = np.flatnonzero((jump > spike) & (back < unwind * jump)) + 1
-            if not len(at):
-                break
-            taken = np.zeros(len(live), bool)
-            for j in at[np.lexsort((-at, -jump[at - 1]))]:
-                if not taken[j - 1] and not taken[j + 1]:
-                    taken[j] = True
-            blank += live[taken].tolist()
-            live = live[~taken]
-        pdf.loc[blank, list(BLANKED)] = None
-        return pdf[names]
-
-    # The flag of a series comes from a window over the exchange that the grouped function needs anyway.
-    flagged = bars.withColumn("_flag", print_flag(spike, unwind)).withColumn("_some", F.max("_flag").over(Window.partitionBy("security_id")))
-    dirty = flagged.where("_some").select(*names).groupBy("security_id").applyInPandas(settle, StructType([StructField(f.name, f.dataType) for f in bars.schema]))
+    flagged = bars.withColumn("_flag", print_flag(spike, unwind)).withColumn("_some", F.max("_flag").over(Window.partitionBy("security_id"))).drop("_flag")
+    flagged = written(flagged, "flagged")
+
+    def settle(key, own):
+        own = own.sort_by("date")
+        blank = prints_to_blank(own.column("adjusted_close").to_numpy(zero_copy_only=False).astype(float), spike, unwind)
+        for k, name in enumerate(own.column_names):
+            if name in BLANKED and blank.any():
+                own = own.set_column(k, own.schema.field(k), pc.if_else(pa.array(~blank), own.column(k), pa.scalar(None, own.schema.field(k).type)))
+        return own
+
+    dirty = flagged.where("_some").select(*names).groupBy("security_id").applyInArrow(settle, StructType([StructField(f.name, f.dataType) for f in bars.schema]))
     return flagged.where("not _some").select(*names).unionByName(dirty)
 
 
@@ -131,8 +140,8 @@ def trim_events(events: DataFrame, bars: DataFrame, floor: str, slack: int = 7,
 
 
 def build_bars(raw: DataFrame, splits: DataFrame, floor: str) -> DataFrame:
-    """The cleaning chain in its fixed order. Every rule is within a security, so the bars are exchanged by it once, and once
-    more after the series that go through the grouped function have come back."""
+    """The cleaning chain in its fixed order. Every rule is within a security: the bars are exchanged by it up to the flag of prints
+    and stored, those with a print once more for the grouped function, and all once more for the cut."""
     bars = listing_span(clamp_range(blank_non_positive(date_floor(raw, floor))))
     return splice_cut(neutralize_prints(bars), splits)
 
