@@ -242,14 +242,13 @@ def feature_table(panel: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def differenced_wide(panel: DataFrame, w: list[float], y: str, name: str) -> DataFrame:
-    """panel with one more column, the convolution of each series with w; null for the first rows."""
-    own = np.array(w)
-    schema = StructType([*panel.schema.fields, StructField(name, DoubleType())])
+    """security_id, date, y and the convolution of each series with w; null for the first rows."""
+    own = panel.select("security_id", "date", y)
 
-    def run(pdf):
-        pdf = pdf.sort_values("date", kind="stable")
-        v = pdf[y].to_numpy(float)
-        x = np.convolve(v, own, mode="valid") if len(v) >= len(own) else np.zeros(0)
-        return pdf.assign(**{name: np.concatenate([np.full(len(v) - len(x), np.nan), x])})
+    def run(key, rows):
+        rows = rows.sort_by("date")
+        v = rows.column(y).to_numpy(zero_copy_only=False).astype(float)
+        x = np.convolve(v, np.array(w), mode="valid") if len(v) >= len(w) else np.zeros(0)
+        return rows.append_column(name, pa.array(np.concatenate([np.full(len(v) - len(x), np.nan), x]), from_pandas=True))
 
-    return panel.groupBy("security_id").applyInPandas(run, schema).withColumn(name, F.nanvl(name, F.lit(None)))
+    return own.groupBy("security_id").applyInArrow(run, StructType([*own.schema.fields, StructField(name, DoubleType())]))

@@ -128,7 +128,7 @@ def weights(d: float, threshold: float = THRESHOLD, most: int = 4096, zero_sum:
 
 
 def differenced(panel: DataFrame, d: float, threshold: float = THRESHOLD, zero_sum: bool = True, y: str = "y", name: str = "ffd") -> DataFrame:
-    """Fixed-width fractional difference of y over its series; null for the first rows."""
+    """security_id, date, y and its fixed-width fractional difference over its series; null for the first rows."""
     w, _ = weights(d, threshold, zero_sum=zero_sum)
     if len(w) > NARROW:
         from .fracdiff import differenced_wide
@@ -137,4 +137,4 @@ def differenced(panel: DataFrame, d: float, threshold: float = THRESHOLD, zero_s
     by = Window.partitionBy("security_id").orderBy("date")
     held = F.collect_list(y).over(by.rowsBetween(-(len(w) - 1), 0))
     total = F.aggregate(F.zip_with(held, F.array(*map(F.lit, reversed(w))), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return panel.withColumn("_held", held).withColumn(name, F.when(F.size("_held") == len(w), total)).drop("_held")
+    return panel.select("security_id", "date", y, held.alias("_held")).withColumn(name, F.when(F.size("_held") == len(w), total)).drop("_held")
