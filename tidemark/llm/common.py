@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from ..sources.stored import shared_dir, written  # noqa: F401  (the operators take them from here)
+
 #: ASCII letters lower-cased, every byte that is no digit, letter or part of a non-ASCII character made a blank.
 ALNUM = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -39,30 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, as in tests, one is made for a
-    local session; a cluster without the setting is an error, for a machine-local folder would lose data there."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written once to the shared folder and read again. This cuts the lineage: a lost executor costs a reread of files,
-    never the work behind them."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    return out
-
-
 def spent(*tables: DataFrame) -> None:
     """Deletes written tables. Only for those that nothing reads any more but tables that are themselves written: a task that
     is run again after a lost executor must find its files."""
