@@ -201,4 +201,5 @@ def decode(tokens: DataFrame, ranks_path: str | None = None, id_col: str = "doc_
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and of the decoded bytes of every document; odd rows as in the functions it calls."""
     return encode(table(spark, sf_dir, "documents"), keep_ids=False)

@@ -198,4 +198,5 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repeated passages of every document; odd rows as in the functions it calls."""
     return repeated_spans(table(spark, sf_dir, "documents"))

@@ -259,6 +259,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_span: int = WINDOW,
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document lie in windows of benchmark items, and in which; odd rows as in the functions it calls."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     # The digest needs the ids in the order of their text.
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))

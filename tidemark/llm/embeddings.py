@@ -157,4 +157,5 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int | None =
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and whether it is kept, for every vector; see near_vectors() for odd rows."""
     return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -287,4 +287,5 @@ def language_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
 
 
 def op1_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document under the model, beside the base of counts; odd rows as in the functions it calls."""
     return language_scores(table(spark, sf_dir, "documents"), lambda i: fold(i, FOLDS) == HELD)

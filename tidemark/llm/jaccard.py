@@ -414,4 +414,5 @@ def placed(member: DataFrame, block: int, link: int) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of four-word shingles and the component at 85 per cent of every document; odd rows as in the functions it calls."""
     return near_documents(table(spark, sf_dir, "documents"))

@@ -81,4 +81,5 @@ def token_counts(docs: DataFrame, model_path: str | None = None, id_col: str = "
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document by the best path. The pieces' scores are nominal: the log probability of their rank."""
     return token_counts(table(spark, sf_dir, "documents"))
