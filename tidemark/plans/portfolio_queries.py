@@ -110,7 +110,9 @@ def _(i):
 
 
 both("p09_impact", "SELECT asset, date, CASE WHEN adv > 0 THEN round(0.1e0 * sqrt(dollar_volume / adv), 6) END AS impact FROM (SELECT asset, date, dollar_volume, avg(dollar_volume) OVER (PARTITION BY asset ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS adv FROM {wide}) q")
-both("p23_calendar_checks", "SELECT count(*) - count(DISTINCT date) AS duplicates, round(count(DISTINCT date) / (datediff(max(date), min(date)) / 365.25e0), 4) AS rows_per_year FROM {wide}", "SELECT count(*) - count(DISTINCT date) AS duplicates, round(count(DISTINCT date) / ((max(date) - min(date)) / 365.25e0), 4) AS rows_per_year FROM {wide}")
+PER_YEAR = "SELECT count(*) - count(DISTINCT date) AS duplicates, count(DISTINCT date) / ({} / 365.25e0) AS a_year FROM {{wide}}"
+CALENDAR_CHECK = "SELECT duplicates, round(a_year, 4) AS rows_per_year, NOT a_year BETWEEN 0.5e0 * 252 AND 2e0 * 252 AS off_frequency FROM ({}) q"
+both("p23_calendar_checks", CALENDAR_CHECK.format(PER_YEAR.format("datediff(max(date), min(date))")), CALENDAR_CHECK.format(PER_YEAR.format("(max(date) - min(date))")))
 
 
 @query("p24_month_ends", f"SELECT month, date FROM ({ENDS}) q")
