@@ -56,6 +56,7 @@ def exchanges(docs: DataFrame, snapshot: str) -> DataFrame:
     """docs: body, JSON lists of exchanges. One row for each exchange, as it stands, with the day of the snapshot."""
     own = docs.select(F.try_parse_json("body").alias("v"))
     each = own.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    # The documents' keys and the table's columns.
     names = (("Code", "code"), ("Name", "name"), ("OperatingMIC", "operating_mic"), ("Country", "country"), ("Currency", "currency"), ("CountryISO2", "country_iso2"), ("CountryISO3", "country_iso3"))
     return each.select(*(F.try_variant_get("value", f"$.{k}", "string").alias(c) for k, c in names), F.lit(snapshot).cast("date").alias("snapshot_date"))
 
