@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -48,6 +50,14 @@ def spent(*tables: DataFrame) -> None:
             path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def given_back() -> None:
+    """Memory that a task has freed goes back to the system: Spark keeps its Python workers for the next tasks, and beside each other
+    what they once held adds up."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without the call keeps its memory
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict]]], schema: str | StructType) -> DataFrame:
     """df's Arrow batches through a function from columns (name to list) to any number of such column dictionaries.
     make() runs once in each task, so that tables are built there and not in the driver."""
@@ -61,6 +71,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict
             for part in rows_of(batch):
                 for out in step({n: part.column(i).to_pylist() for i, n in enumerate(names)}):
                     yield pa.RecordBatch.from_pydict(out, schema=arrow)
+        del step
+        given_back()
 
     return df.mapInArrow(run, kind)
 
