@@ -264,12 +264,26 @@ def test_chunks_resist_shifts(spark, odd):
     h = 0
     for k, b in enumerate(data):
         h = ((h << 1) + int(chunks._GEAR[b])) & 0xFFFFFFFF
-        assert h == int(chunks.gear(data)[k]) if k < 200 else True
+        assert h == int(chunks.gear(np.frombuffer(data, np.uint8))[k]) if k < 200 else True
     left = chunks.without_spans(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(spans)).where("doc_id = 3").first()
     assert left.text == rows[2][1]
     assert chunks.repeated_spans(odd).count() == 0
 
 
+def test_insertions_change_only_the_chunks_around_them():
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(1, 9))) for _ in range(5000)]
+    digests = lambda w: set(zip(*(x.tolist() for x in chunks.chunk_rows(chunks.Words(" ".join(w), chunks.Powers()), None)[:2]), strict=True))
+    own = digests(words)
+    assert len(own) > 150
+    for at in (0, 1234, 2500, 5000):
+        moved = digests([*words[:at], "inserted", "é", *words[at:]])
+        assert len(own - moved) <= 6 and len(moved - own) <= 8
+    a, b, _ = chunks.Words(" ".join(words), chunks.Powers()).chunks()
+    assert (b - a).max() <= 2 * chunks.WORDS and (b[:-1] - a[1:] == chunks.WORDS - 1).all() and a[0] == 0 and b[-1] == 5000
+    assert len(chunks.Words("a " * 100_000, chunks.Powers()).chunks()[0]) == 1  # a text that repeats itself
+
+
 def test_rows_of_one_id_have_spans_of_their_own(spark):
     rng = np.random.default_rng(12)
     make = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(n))

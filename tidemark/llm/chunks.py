@@ -1,4 +1,4 @@
-"""Substring dedup by windows of words, hashed in blocks around the lowest gram."""
+"""Substring dedup by content-defined chunks: cut by a gear rolling hash, deduplicated by digest, ends compared by windows."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, table, texts, written
 
-#: Words of the shortest passage, and of the grams of which each window of WORDS words is filed under its lowest.
+#: Words of the shortest passage, and of the gram that a cut is known by. A gram has 2 * GRAM - 1 bytes or more, so the 32 bytes
+#: that decide the gear hash at its end lie within it.
 WORDS, GRAM = 50, 25
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 _BYTE = np.random.default_rng(8).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -18,10 +19,10 @@ _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9E3779B97F4A7C15
 
 
-def gear(data: bytes) -> np.ndarray:
+def gear(raw: np.ndarray) -> np.ndarray:
     """The gear hash after each byte, h = 2h + G[byte] in 32 bits: the last 32 bytes decide it. The sums over windows of 1, 2,
     4 ... bytes are doubled, so a text takes five passes instead of a step for each byte."""
-    h = _GEAR[np.frombuffer(data, np.uint8)]
+    h = _GEAR[raw]
     for k in range(5):
         w = 1 << k
         if len(h) > w:
@@ -58,6 +59,7 @@ class Words:
         self.start, self.end, self.powers = edge[::2], edge[1::2], powers
         if len(self.start) < WORDS:
             return
+        self.gear = gear(raw)[self.end[GRAM - 1 :] - 1]
         powers.reach(len(raw) + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * powers.up[: len(raw)], dtype=np.uint64)])
         word = lambda end: mixed((sums[end] - sums[self.start]) * powers.down[self.start] + (end - self.start).astype(np.uint64))
@@ -72,16 +74,23 @@ class Words:
         sums, last = self.lanes[lane]
         return mixed((sums[b - 1] - sums[a]) * self.powers.down[a] + last[b - 1] * np.uint64(0xD6E8FEB86659FD93) + (b - a).astype(np.uint64))
 
-    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First word, word behind the last and lowest gram of each longest run of windows that have their lowest gram in common."""
-        at = np.arange(len(self.start) - GRAM + 1)
-        low, width, want = self.hashes(at, at + GRAM, 0), 1, WORDS - GRAM + 1
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, word behind the last and cut of each chunk.
+
+        A window of WORDS words is cut behind the gram whose gear hash is its lowest, the first of several; a chunk is a longest run
+        of windows with equal cuts. So a passage's cuts follow from its own bytes, wherever it stands, no chunk is longer than two
+        windows unless the text repeats itself, and chunks overlap by WORDS - 1 words: no passage falls between two."""
+        at = np.arange(len(self.gear))
+        best, width, want = self.gear.astype(np.uint64) << np.uint64(32) | at.astype(np.uint64), 1, WORDS - GRAM + 1
         while width < want:  # minima of 1, 2, 4 ... and at last of all grams of a window
             more = min(width, want - width)
-            low, width = np.minimum(low[:-more], low[more:]), width + more
-        cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-        first = np.concatenate([[0], cut])
-        return first, np.append(cut, len(low)) + WORDS - 1, low[first]
+            best, width = np.minimum(best[:-more], best[more:]), width + more
+        chosen = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        place = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+        cut = self.hashes(chosen[place], chosen[place] + GRAM, 0)
+        other = np.append(True, cut[1:] != cut[:-1])  # a text that repeats itself has the same gram at many places
+        first = place[other]
+        return first, np.append(first[1:], len(best)) + WORDS - 1, cut[other]
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -110,9 +119,9 @@ def per_text(docs: DataFrame, rows_of_text, schema: str) -> DataFrame:
     return map_batches(docs, make, schema)
 
 
-def block_rows(words: Words, own: None) -> tuple[np.ndarray, ...]:
-    a, b, low = words.blocks()
-    return signed(low), signed(words.hashes(a, b, 1)), a.astype(np.int32), b.astype(np.int32), words.start[a].astype(np.int32), words.end[b - 1].astype(np.int32)
+def chunk_rows(words: Words, own: None) -> tuple[np.ndarray, ...]:
+    a, b, cut = words.chunks()
+    return signed(cut), signed(words.hashes(a, b, 1)), a.astype(np.int32), b.astype(np.int32), words.start[a].astype(np.int32), words.end[b - 1].astype(np.int32)
 
 
 def window_rows(words: Words, own: list[dict]) -> tuple[np.ndarray, ...]:
@@ -130,20 +139,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     apart by tag (a hash of the text); rows that repeat id and text have theirs once. Null and empty texts and null ids give no
     row. Within one document nothing is removed.
 
-    Equal windows have the same lowest gram, so windows are compared within it, and first as blocks: a block that an earlier
-    document holds goes as a whole. Only the first document's copies of a block whose gram has other blocks too are taken apart
-    into windows, so long copies cost a row for each block and just the ends of matches a row for each word. All hashes that decide
-    have 128 bits, for blocks with those of the lowest gram.
+    Chunks are deduplicated by digest: one that an earlier document holds goes as a whole. Equal windows have equal cuts, so what
+    is left to compare is windows within a cut that has unlike chunks, which is where matches end; only the first document's
+    copies of such chunks are taken apart. Long copies cost a row for each chunk and just their ends a row for each word. All
+    hashes that decide have 128 bits, for chunks with those of the cut's gram.
     """
     own = texts(docs, id_col, text_col).where("doc_id is not null and text <> ''").withColumn("tag", F.xxhash64("text"))
     place = "a int, b int, start int, end int"
-    rows = written(per_text(own, block_rows, f"doc_id long, tag long, low long, d1 long, {place}"), "blocks")
-    keeper = written(rows.groupBy("low", "d1").agg(F.min("doc_id").alias("src"), (F.min("doc_id") < F.max("doc_id")).alias("more")), "keepers")
-    several = keeper.groupBy("low").agg(F.min("src").alias("one"), F.max("src").alias("other")).where("one < other").select("low", F.lit(True).alias("apart"))
-    keeper = keeper.join(several, "low", "left").where("more or apart").select("low", "d1", "src", F.coalesce("apart", F.lit(False)).alias("apart"))
-    met = written(rows.join(keeper, ["low", "d1"]).where("doc_id > src or apart").drop("low", "d1", "apart"), "met")
+    rows = written(per_text(own, chunk_rows, f"doc_id long, tag long, cut long, d1 long, {place}"), "chunks")
+    keeper = written(rows.groupBy("cut", "d1").agg(F.min("doc_id").alias("src"), (F.min("doc_id") < F.max("doc_id")).alias("more")), "keepers")
+    several = keeper.groupBy("cut").agg(F.min("src").alias("one"), F.max("src").alias("other")).where("one < other").select("cut", F.lit(True).alias("apart"))
+    keeper = keeper.join(several, "cut", "left").where("more or apart").select("cut", "d1", "src", F.coalesce("apart", F.lit(False)).alias("apart"))
+    met = written(rows.join(keeper, ["cut", "d1"]).where("doc_id > src or apart").drop("cut", "d1", "apart"), "met")
     whole = met.where("doc_id > src")
-    # All places of a block in its first document: each of them may hold windows of an earlier one.
+    # All places of a chunk in its first document: each of them may hold windows of an earlier one.
     apart = met.where("doc_id = src").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("own"))
     windows = written(per_text(own.join(apart, ["doc_id", "tag"]), window_rows, f"doc_id long, tag long, d1 long, d2 long, {place}"), "windows")
     first = windows.groupBy("d1", "d2").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last")).where("src < last").drop("last")
