@@ -107,6 +107,18 @@ def test_decontamination_edges(spark, odd):
     long = "w " * 400_000 + "a b c"
     one = decontaminate.contamination(spark.createDataFrame([(1, long)], "doc_id long, text string"), items).first()
     assert (one.n_words, one.hits, one["items"]) == (400_003, [[400_000, 400_003]], [7])
+    # An item longer than a run is cut into pieces, which lose none of its windows and take no more than a run's words.
+    rng = np.random.default_rng(3)
+    words = lambda n: " ".join(rng.choice(list("abcdefgh"), n))
+    item = words(90)
+    items = spark.createDataFrame([(7, item), (8, words(9)), (9, words(25))], "item_id long, text string")
+    rows = [(k, f"{words(5)} {' '.join(item.split()[k : k + 12])} {words(5)}") for k in range(0, 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((r.doc_id, r.hits, r["items"]) for r in decontaminate.contamination(docs, items).collect())
+    assert all(7 in x[2] for x in want)
+    runs = list(decontaminate.runs_of(items, "item_id", "text", 40))
+    assert len(runs) > 3 and max(sum(len(w) for _, w in run) for run in runs) <= 40
+    assert sorted((r.doc_id, r.hits, r["items"]) for r in decontaminate.contamination(docs, items, item_words=40).collect()) == want
 
 
 def test_quality_on_held_out_rows(spark, sf_dir):

@@ -144,17 +144,23 @@ class Automaton:
         return merge(spans), items
 
 
-def runs_of(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """The items in runs of at most `most` words or one item; the driver holds one run at a time. Without items, one empty run."""
+def runs_of(benchmark: DataFrame, id_col: str, text_col: str, most: int, window: int = WINDOW) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """The items in runs of at most `most` words (or a window's, where that is more); the driver holds one run and one item's text at a
+    time. A longer item is cut into pieces that overlap by window - 1 words: each of its windows lies in one of them. Without items, one
+    empty run."""
+    most = max(most, window)
     run, words = [], 0
     rows = benchmark.select(benchmark[id_col].cast("long"), benchmark[text_col].cast("string")).where(F.col(text_col).isNotNull())
     for item, text in rows.toLocalIterator():
-        if (own := words_of(text)) and item is not None:
-            if run and words + len(own) > most:
+        if item is None or not (own := words_of(text)):
+            continue
+        for at in range(0, max(len(own) - window, 0) + 1, most - window + 1):
+            piece = own[at : at + most]
+            if run and words + len(piece) > most:
                 yield run
                 run, words = [], 0
-            run.append((item, own))
-            words += len(own)
+            run.append((item, piece))
+            words += len(piece)
     yield run
 
 
@@ -166,7 +172,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     with in several passes, whose hits are put together by row. Null and empty texts have no words and no hits; an item
     without words, or without an id, is no item; repeated rows give repeated results. No shuffle for items of one pass.
     """
-    runs = runs_of(benchmark, item_id_col, item_text_col, item_words)
+    runs = runs_of(benchmark, item_id_col, item_text_col, item_words, window)
     own, run = texts(docs, id_col, text_col, carry), next(runs)
     following = next(runs, None)
     if following is None:
