@@ -96,7 +96,7 @@ both("a01_bar_counts", "SELECT count(*) AS n, count(DISTINCT security_id) AS n_s
 both("a02_filtered_counts", "SELECT count(*) FILTER (WHERE status = 'ok') AS n_ok, count(DISTINCT key) FILTER (WHERE status <> 'ok') AS n_keys_failed FROM {ledger}")
 @query("a03_relative_error", "SELECT round(median(e), 6) AS mid, round(quantile_cont(e, 0.99), 6) AS p99, round(max(e), 6) AS top FROM (SELECT abs(close - adjusted_close) / adjusted_close AS e FROM {bars}) q")
 def _(i):
-    own = i.bars.select((F.abs(F.col("close") - F.col("adjusted_close")) / F.col("adjusted_close")).alias("e"))
+    own = stored.written(i.bars.select((F.abs(F.col("close") - F.col("adjusted_close")) / F.col("adjusted_close")).alias("e")), "errors")
     at = quantiles.percentiles(own, "e", (0.5, 0.99))
     return rounded(own.agg(F.lit(at[0.5]).alias("mid"), F.lit(at[0.99]).alias("p99"), F.max("e").alias("top")))
 
@@ -109,8 +109,9 @@ both("a10_status_pivot", "SELECT endpoint, count_if(status = 'ok') AS ok, count_
 both("a11_histograms", "SELECT CAST(floor(year(date) / 10) * 10 AS INT) AS decade, year(date) AS year, count(*) AS n FROM {bars} GROUP BY year(date)", "SELECT CAST(year(date) // 10 * 10 AS INT) AS decade, CAST(year(date) AS INT) AS year, count(*) AS n FROM {bars} GROUP BY year(date)")
 @query("a13_percentiles", "SELECT " + ", ".join(f"round(quantile_cont(close, {p}), 6) AS p{int(p * 100)}" for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + ", round(avg(close), 6) AS mean FROM {bars}")
 def _(i):
-    at = quantiles.percentiles(i.bars, "close", (0.05, 0.25, 0.5, 0.75, 0.95))
-    return rounded(i.bars.agg(*(F.lit(v).alias(f"p{int(p * 100)}") for p, v in at.items()), F.avg("close").alias("mean")))
+    own = stored.written(i.bars.select("close"), "closes")
+    at = quantiles.percentiles(own, "close", (0.05, 0.25, 0.5, 0.75, 0.95))
+    return rounded(own.agg(*(F.lit(v).alias(f"p{int(p * 100)}") for p, v in at.items()), F.avg("close").alias("mean")))
 
 both("a14_correlation", "SELECT security_id, CASE WHEN count(*) >= 3 THEN round(corr(close, volume), 6) END AS r FROM {bars} GROUP BY security_id")
 both("a15_completeness_gate", "SELECT u.n AS expected, r.n AS resolved, r.n >= u.n AS complete FROM (SELECT count(*) AS n FROM {securities}) u, (SELECT count(DISTINCT key) AS n FROM {ledger} WHERE status IN ('ok', 'empty', 'not_found')) r")
