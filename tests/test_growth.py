@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quantiles
 from tidemark.plans import registry
+from tidemark.sources import fixtures
 
 
 def tallied(spark, df, seen):
@@ -30,3 +31,11 @@ def test_percentiles_compute_their_bars_once(spark, monkeypatch, name):
 def test_counts_by_range(spark):
     values = spark.createDataFrame([(float(v),) for v in (5, 1, 2, 2, 9, -3)], "v double").repartition(3)
     assert sorted(tuple(r) for r in quantiles.counted(values, [2.0, 9.0]).collect()) == [(0, 2, -3.0, 1.0), (1, 3, 2.0, 5.0), (2, 1, 9.0, 9.0)]
+
+
+def test_a_task_holds_as_many_rows_however_large_the_tables(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(fixtures, "ROWS_A_TASK", 500)
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    out = registry.QUERIES["c15_filing_date"](spark, sf_dir)
+    held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == n and max(held) < 1000

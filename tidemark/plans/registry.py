@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.fixtures import duck, frame
+from ..sources.fixtures import dealt, duck, frame, laid, tasks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,18 @@ class Inputs:
     def __getattr__(self, name: str) -> DataFrame:
         return frame(self.spark, self.sf_dir, name)
 
+    def laid(self, name: str, **by: str) -> DataFrame:
+        """A view whose tables (names of `by`) are dealt out by a column first."""
+        return laid(self.spark, self.sf_dir, name, by)
+
+    def by_security(self) -> DataFrame:
+        """The bars, each security's together."""
+        return self.laid("bars", lineitem="l_suppkey")
+
+    def dealt(self, df: DataFrame, *keys: str) -> DataFrame:
+        """df, which has no more rows than lineitem, dealt out by its keys."""
+        return dealt(df, tasks(self.spark, self.sf_dir, "lineitem"), *keys)
+
 
 def query(name: str, oracle: str | None = None):
     """Registers a function of Inputs; oracle: DuckDB SQL with views and tables in braces."""

@@ -145,7 +145,8 @@ def _(i):
 
 @query("c15_filing_date", "SELECT document, line, period_end, CASE WHEN filing_date >= period_end THEN filing_date END AS filing_date, count(*) AS n FROM {statements} GROUP BY ALL")
 def _(i):
-    return i.statements.select("document", "line", "period_end", series.filing_date().alias("filing_date")).groupBy("document", "line", "period_end", "filing_date").agg(F.count("*").alias("n"))
+    own = i.laid("statements", lineitem="l_orderkey", orders="o_orderkey")
+    return own.select("document", "line", "period_end", series.filing_date().alias("filing_date")).groupBy("document", "line", "period_end", "filing_date").agg(F.count("*").alias("n"))
 
 
 PREV = "SELECT *, lag(close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY date) AS prev_close FROM {bars}"

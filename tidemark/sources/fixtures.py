@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
+#: Rows of a table that one task takes, about, where tables are dealt out by their size.
+ROWS_A_TASK = 1 << 19
+
 VIEWS: dict[str, str] = {
     # 100.0371 keeps rounded results off ties.
     "bars": """
@@ -69,6 +72,24 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name], **{n: frame(spark, sf_dir, n) for n in needs(VIEWS[name])})
 
 
+def tasks(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """How many tasks the largest of these tables calls for."""
+    return max(frame(spark, sf_dir, n).count() for n in names) // ROWS_A_TASK + 1
+
+
+def dealt(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """df dealt over n tasks by its keys, or over the session's tasks where these are as many."""
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+
+
+def laid(spark: SparkSession, sf_dir: str, name: str, by: dict[str, str]) -> DataFrame:
+    """A view whose tables are first dealt out by these columns, over more tasks the more rows they have: what a task holds doesn't
+    grow with them, and joins, groups and windows by the column need no further shuffle."""
+    n = tasks(spark, sf_dir, *by)
+    own = {t: frame(spark, sf_dir, t) for t in needs(VIEWS[name])}
+    return spark.sql(VIEWS[name], **{t: dealt(df, n, by[t]) if t in by else df for t, df in own.items()})
+
+
 def duck(text: str) -> str:
     """SQL for DuckDB: the views that text names in braces come first, as common table expressions."""
     order: list[str] = []
