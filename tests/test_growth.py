@@ -1,9 +1,10 @@
 """What must not grow faster than the tables: how often a view is computed, rows and memory of a task, calls of a fit."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import quantiles
+from tidemark.operators import diagnostics, quantiles
 from tidemark.plans import registry
 from tidemark.sources import fixtures
 
@@ -37,5 +38,19 @@ def test_a_task_holds_as_many_rows_however_large_the_tables(spark, sf_dir, monke
     monkeypatch.setattr(fixtures, "ROWS_A_TASK", 500)
     n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     out = registry.QUERIES["c15_filing_date"](spark, sf_dir)
-    held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(held) == n and max(held) < 1000
+    held = out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()
+    assert sum(r.n for r in held) == n and max(r.rows for r in held) < 1000
+
+
+def test_rank_correlation_where_one_is_constant(spark):
+    """In ANSI mode too, such groups have no row and are no error."""
+    rows = [(1, float(k), float(k * k % 7)) for k in range(7)] + [(2, float(k), 1.0) for k in range(7)]
+    got = diagnostics.rank_ic(spark.createDataFrame(rows, "date int, a double, b double"), ["date"], "a", "b", 5).collect()
+    assert [(r.date, r.n) for r in got] == [(1, 7)] and abs(got[0].ic - np.corrcoef(range(7), [0, 1.5, 5.5, 3.5, 3.5, 5.5, 1.5])[0, 1]) < 1e-12
+
+
+def test_newey_west_computes_its_series_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    series = tallied(spark, spark.range(40).select(F.col("id").alias("date"), (F.col("id") * 7 % 11).cast("double").alias("v")), seen)
+    row = diagnostics.newey_west(series, "v", 3).first()
+    assert (row.n, row["mean"]) == (40, sum(k * 7 % 11 for k in range(40)) / 40) and seen.value == 40
