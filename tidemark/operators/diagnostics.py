@@ -83,14 +83,16 @@ def average_rank(value: str, by: list[str]) -> Column:
 def rank_ic(panel: DataFrame, by: list[str], signal: str, target: str, least: int) -> DataFrame:
     """by, ic, n: rank correlation within each group of `least` rows or more in which neither is constant."""
     own = panel.withColumns({"_a": average_rank(signal, by), "_b": average_rank(target, by)})
-    each = own.groupBy(*by).agg(F.corr("_a", "_b").alias("ic"), F.count("*").alias("n"), F.stddev_samp("_a").alias("_sa"), F.stddev_samp("_b").alias("_sb"))
-    return each.where((F.col("n") >= least) & (F.col("_sa") > 0) & (F.col("_sb") > 0)).select(*by, "ic", "n")
+    # Not corr: it is an error in ANSI mode where one is constant, before such groups are left out.
+    each = own.groupBy(*by).agg(F.covar_samp("_a", "_b").alias("_ab"), F.count("*").alias("n"), F.stddev_samp("_a").alias("_sa"), F.stddev_samp("_b").alias("_sb"))
+    return each.where((F.col("n") >= least) & (F.col("_sa") > 0) & (F.col("_sb") > 0)).select(*by, (F.col("_ab") / (F.col("_sa") * F.col("_sb"))).alias("ic"), "n")
 
 
 def newey_west(series: DataFrame, value: str, lags: int) -> DataFrame:
     """n, mean and t of the mean of a series by date, with Bartlett weights. One row a date, so one task orders them."""
-    centred = series.crossJoin(F.broadcast(series.agg(F.avg(value).alias("mean"), F.count(value).alias("n")))).withColumn("_x", F.col(value) - F.col("mean"))
     w = Window.orderBy("date")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    centred = series.withColumn("mean", F.avg(value).over(every)).withColumn("_x", F.col(value) - F.col("mean"))
     with_lags = centred.withColumns({f"_x{k}": F.coalesce(F.lag("_x", k).over(w), F.lit(0.0)) for k in range(1, lags + 1)})
     long_run = sum((2 * (1 - k / (lags + 1)) * F.sum(F.col("_x") * F.col(f"_x{k}")) for k in range(1, lags + 1)), F.sum(F.col("_x") * F.col("_x")))
     return with_lags.agg(F.count(value).alias("n"), F.max("mean").alias("mean"), long_run.alias("_g")).select("n", "mean", (F.col("mean") / F.sqrt(F.col("_g") / F.col("n") / F.col("n"))).alias("t"))

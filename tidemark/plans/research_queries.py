@@ -311,13 +311,14 @@ def _(i):
     from pyspark.sql import Window
 
     w = Window.partitionBy("security_id").orderBy("date")
-
-    def ic(bars):
-        own = i.bars.withColumns({"s": F.ln(F.lag("close", bars).over(w) / F.col("close")), "fwd": F.ln(F.lead("close", 5).over(w) / F.col("close"))})
-        own = own.select("date", F.round(F.lag("s").over(w), 8).alias("signal"), F.round("fwd", 8).alias("fwd")).where("signal is not null and fwd is not null")
-        return diagnostics.rank_ic(own, ["date"], "signal", "fwd", 10).select("date", "ic")
-
-    both_ = ic(5).join(ic(20).withColumnRenamed("ic", "other"), "date").select("date", (F.col("ic") - F.col("other")).alias("v"))
+    back = lambda bars: F.ln(F.lag("close", bars).over(w) / F.col("close"))
+    own = i.by_security().withColumns({"s5": back(5), "s20": back(20), "fwd": F.round(F.ln(F.lead("close", 5).over(w) / F.col("close")), 8)})
+    own = own.select("date", "fwd", *(F.round(F.lag(f"s{k}").over(w), 8).alias(f"s{k}") for k in (5, 20)))
+    own = own.select("date", "fwd", F.explode(F.array(*(F.struct(F.lit(k).alias("bars"), F.col(f"s{k}").alias("signal")) for k in (5, 20)))).alias("_s"))
+    own = own.select("date", "fwd", "_s.*").where("signal is not null and fwd is not null")
+    each = diagnostics.rank_ic(i.dealt(own, "date", "bars"), ["date", "bars"], "signal", "fwd", 10)
+    days = each.groupBy("date").agg(*(F.max(F.when(F.col("bars") == k, F.col("ic"))).alias(f"ic{k}") for k in (5, 20)))
+    both_ = days.select("date", (F.col("ic5") - F.col("ic20")).alias("v")).where("v is not null")
     return diagnostics.newey_west(both_, "v", LAGS).select("n", F.round("mean", 6).alias("mean"), F.round("t", 4).alias("t"))
 
 
