@@ -21,6 +21,10 @@ CRITICAL = {1: (-3.43035, -6.5393, -16.786, -79.433), 5: (-2.86154, -2.8903, -4.
 GRID, HALVINGS, LEAST_ROWS = tuple(round(0.05 * k, 2) for k in range(21)), 6, 252
 
 
+#: A share of a column's squares that others leave unexplained, below which products have lost too many digits.
+DEPENDENT = 1e-6
+
+
 def critical(n: int, level: int = 5) -> float:
     b = CRITICAL[level]
     return b[0] + b[1] / n + b[2] / n**2 + b[3] / n**3
@@ -45,6 +49,26 @@ def _design(x: np.ndarray, lag: int, start: int) -> tuple[np.ndarray, np.ndarray
     return cols - cols.mean(axis=0), y - y.mean()
 
 
+def _products(x: np.ndarray, dx: np.ndarray, lag: int, start: int, stop: int) -> np.ndarray:
+    """Sums of products, over the differences from start to stop, of one, level, the lagged differences and the difference that they
+    explain."""
+    z = np.empty((lag + 3, stop - start))
+    z[0], z[1] = 1.0, x[start:stop]
+    for j in range(1, lag + 1):
+        z[1 + j] = dx[start - j : stop - j]
+    z[-1] = dx[start:stop]
+    return z @ z.T
+
+
+def _factor(products: np.ndarray) -> np.ndarray:
+    """Triangular factor of the products of columns less their means; the first column is the one of ones."""
+    own = products[1:, 1:] - products[0, 1:, None] * (products[0, 1:] / products[0, 0])
+    low = np.linalg.cholesky(own)
+    if (low.diagonal() ** 2 < DEPENDENT * own.diagonal()).any():
+        raise np.linalg.LinAlgError("columns are nearly dependent")
+    return low
+
+
 def adf(x: np.ndarray, most: int | None = None) -> tuple[float, int, int, float] | None:
     """Statistic, lag, rows and 5 per cent value; the lag has the lowest AIC on the rows that all lags have and is then fitted on
     its own rows. None where the series is short or leaves nothing to test.
@@ -53,6 +77,32 @@ def adf(x: np.ndarray, most: int | None = None) -> tuple[float, int, int, float]
     most = lag_bound(len(x)) if most is None else most
     if len(x) < most + 12:
         return None
+    # Means are near nothing from the start, so that taking them out of the products loses no digits.
+    given, x = x, x - x.mean()
+    dx = np.diff(x)
+    dx -= dx.mean()
+    try:
+        # The last row of the factor holds what each column adds to the sum of squares that is explained, then what is left.
+        wide, m = _products(x, dx, most, most, len(dx)), len(dx) - most
+        # Lags for which there are too few rows aren't looked at.
+        keep = [*range(min(most + 2, m - 2)), -1]
+        left = np.cumsum(_factor(wide[keep][:, keep])[-1, ::-1] ** 2)[-2::-1]
+        lag = int(np.argmin(m * np.log(left / m) + 2.0 * np.arange(len(left))))
+        # Fewer lags have more rows: only those are added. The level comes last, and its statistic stands in the last row.
+        at = [0, *range(2, lag + 2), 1, -1]
+        own = wide[at][:, at]
+        if lag < most:
+            own += _products(x, dx, lag, lag, most)[at][:, at]
+        low, m = _factor(own), len(dx) - lag
+    except np.linalg.LinAlgError:
+        return _adf_by_solving(given, most)
+    if m <= lag + 3:
+        return None
+    return float(low[-1, -2] / np.sqrt(low[-1, -1] ** 2 / (m - lag - 2))), lag, m, critical(m)
+
+
+def _adf_by_solving(x: np.ndarray, most: int) -> tuple[float, int, int, float] | None:
+    """The same where columns are nearly dependent or nothing is left."""
     a, y = _design(x, most, most)
     m, lag = len(y), most
     try:
@@ -87,7 +137,11 @@ def difference(y: np.ndarray, d: float, threshold: float = THRESHOLD) -> np.ndar
 
 
 def _correlation(x: np.ndarray, y: np.ndarray) -> float | None:
-    return float(np.corrcoef(x, y)[0, 1]) if len(x) > 2 and x.std() > 0 and y.std() > 0 else None
+    if len(x) < 3:
+        return None
+    x, y = x - x.mean(), y - y.mean()
+    xx, yy = x @ x, y @ y
+    return float(min(max(x @ y / np.sqrt(xx) / np.sqrt(yy), -1.0), 1.0)) if xx > 0 and yy > 0 else None
 
 
 def tested(y: np.ndarray, d: float, threshold: float, most: int) -> dict:
@@ -223,19 +277,21 @@ def feature_table(panel: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     orders = each_series(own, search, "security_id long, " + ", ".join(f"{c}_{t} double" for t in legs for c in ("d", "adf", "leak")), ("logp", "logv"))
     orders = orders.persist()
     pool = {t: pooled(orders, f"d_{t}") for t in legs}
-    joined = own.select("security_id", "date", "logp", "logv").join(orders.select("security_id", *(F.coalesce(F.round(f"d_{t}", 3), F.lit(-1.0)).alias(f"d_{t}") for t in legs)), "security_id")
+    # One row a series joins, and what is made of a series is put beside its rows: no join of rows with rows.
+    rows = forward_returns(dollar_volume_mean(own)).dropna(subset=["date", "logp", "logv"])
+    rows = rows.join(orders.withColumns({f"_d_{t}": F.round(f"d_{t}", 3) for t in legs}), "security_id")
 
-    def transform(name, date, *values):
-        out = {"security_id": [name] * len(date), "date": date}
-        for t, y, d in zip(legs, values[:2], values[2:], strict=True):
-            for label, order in ((f"ffd_{t}", pool[t]), (f"ffdown_{t}", d[0] if d[0] >= 0 else None)):
+    def transform(key, rows):
+        rows = rows.sort_by("date")
+        for t in legs:
+            y, d = rows.column(f"log{t}").to_numpy(), rows.column(f"_d_{t}")[0].as_py()
+            for label, order in ((f"ffd_{t}", pool[t]), (f"ffdown_{t}", d)):
                 x = difference(y, float(order), threshold) if order is not None else np.zeros(0)
-                out[label] = pa.array(np.concatenate([np.full(len(y) - len(x), np.nan), x]), from_pandas=True)
-        return out
+                rows = rows.append_column(label, pa.array(np.concatenate([np.full(len(y) - len(x), np.nan), x]), from_pandas=True))
+        return rows
 
-    made = each_series(joined, transform, "security_id long, date date, " + ", ".join(f"{c}_{t} double" for t in legs for c in ("ffd", "ffdown")), ("logp", "logv", "d_p", "d_v"))
-    rows = forward_returns(dollar_volume_mean(own))
-    out = rows.join(made, ["security_id", "date"]).join(orders, "security_id")
+    made = [StructField(f"{c}_{t}", DoubleType()) for t in legs for c in ("ffd", "ffdown")]
+    out = rows.groupBy("security_id").applyInArrow(transform, StructType([*rows.schema.fields, *made]))
     return out.select(
         "security_id", "date", "close", "adv21", "logp", "logv", *(f"{c}_{t}" for t in legs for c in ("ffd", "ffdown", "d", "adf", "leak")), *(f"fwd{h}" for h in (1, 5, 21, 63)),
     )

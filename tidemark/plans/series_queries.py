@@ -213,7 +213,7 @@ CALM = "SELECT security_id, date, 0 AS seg, ln(close) - avg(ln(close)) OVER (PAR
 
 
 def calm(i):
-    return series.centred(i.bars.select("security_id", "date", F.lit(0).alias("seg"), F.col("close").alias("adj"), "close", "volume"))
+    return series.centred(i.by_security().select("security_id", "date", F.lit(0).alias("seg"), F.col("close").alias("adj"), "close", "volume"))
 
 
 @query("w06_forward_returns", "SELECT security_id, date, " + ", ".join(f"round(lead(ln(close), {h}) OVER w - ln(close), 6) + 0.0 AS fwd{h}" for h in (1, 5, 21, 63)) + " FROM {bars} WINDOW w AS (PARTITION BY security_id ORDER BY date)")
