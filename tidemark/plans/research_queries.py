@@ -324,4 +324,4 @@ def _(i):
 
 @query("d12_feature_table")
 def _(i):
-    return rounded(fracdiff.feature_table(i.bars.select("security_id", "date", "close", F.col("close").alias("adj"), "volume")))
+    return rounded(fracdiff.feature_table(i.by_security().select("security_id", "date", "close", F.col("close").alias("adj"), "volume")))
