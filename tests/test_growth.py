@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import diagnostics, quantiles
+from tidemark.operators import diagnostics, fracdiff, quantiles
 from tidemark.plans import registry
 from tidemark.sources import fixtures
 
@@ -54,3 +54,35 @@ def test_newey_west_computes_its_series_once(spark):
     series = tallied(spark, spark.range(40).select(F.col("id").alias("date"), (F.col("id") * 7 % 11).cast("double").alias("v")), seen)
     row = diagnostics.newey_west(series, "v", 3).first()
     assert (row.n, row["mean"]) == (40, sum(k * 7 % 11 for k in range(40)) / 40) and seen.value == 40
+
+
+def test_unit_root_fit_builds_one_design(monkeypatch):
+    """Its products serve every lag, and the statistic is that of least squares."""
+    rng = np.random.default_rng(1)
+    for x in (rng.normal(size=400), np.cumsum(rng.normal(size=300)) + 50, rng.normal(size=33)):
+        most = fracdiff.lag_bound(len(x))
+        want = fracdiff._adf_by_solving(x, most)
+        with monkeypatch.context() as m:
+            m.setattr(fracdiff, "_design", None)
+            got = fracdiff.adf(x, most)
+        assert got[1:] == want[1:] and abs(got[0] - want[0]) < 1e-9 * abs(want[0])
+    assert fracdiff.adf(np.arange(100.0)) == fracdiff._adf_by_solving(np.arange(100.0), fracdiff.lag_bound(100))
+
+
+def test_unit_root_fit_with_fewer_rows_than_lags():
+    """What rounding leaves of a design without full rank doesn't decide whether there is a statistic."""
+    for n in range(32, 48):
+        x = np.random.default_rng(n).normal(size=n)
+        one, other = fracdiff.adf(x, 19), fracdiff.adf(x + 1e-15, 19)
+        assert one and other and one[1:] == other[1:] and abs(one[0] - other[0]) < 1e-9 * abs(one[0])
+
+
+def test_feature_table_joins_no_rows_with_rows(spark):
+    panel = spark.range(900).select((F.col("id") % 3).alias("security_id"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 3).cast("int")).alias("date"), (F.col("id") * 7919 % 101 + 50.0).alias("close")).selectExpr("*", "close AS adj", "100 AS volume")
+    out = fracdiff.feature_table(panel)
+    assert out.count() == 900 and "date" not in "".join(line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line)
+
+
+def test_the_verdict_stores_its_bars_once(spark, sf_dir):
+    plan = registry.QUERIES["q20_gate_verdict"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" not in plan and not fixtures._HELD

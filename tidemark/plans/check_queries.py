@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import factors, quantiles
+from ..sources.fixtures import frame, holding
 from ..sources.stored import written
 from .registry import ORACLE, QUERIES, query, rounded
 from .series_queries import FACTORS
@@ -164,7 +165,9 @@ CHECKS = [k for k, sql in ORACLE.items() if k[0] == "q" and "level" in sql]
 
 def verdict(spark, sf_dir) -> DataFrame:
     """PASS, WARN or FAIL: the worst of the checks' levels, with how many have each."""
-    levels = [QUERIES[k](spark, sf_dir).select("level") for k in CHECKS]
+    # Most checks look at the bars, so they are stored once before.
+    with holding({"bars": written(frame(spark, sf_dir, "bars"), "bars")}):
+        levels = [QUERIES[k](spark, sf_dir).select("level") for k in CHECKS]
     every = levels[0]
     for one in levels[1:]:
         every = every.union(one)

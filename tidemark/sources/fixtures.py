@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
@@ -65,8 +67,24 @@ def needs(text: str) -> list[str]:
     return [n for n in (*VIEWS, *TABLES) if "{" + n + "}" in text]
 
 
+#: Views that `holding` has put in the place of their SQL.
+_HELD: dict[str, DataFrame] = {}
+
+
+@contextmanager
+def holding(views: dict[str, DataFrame]):
+    """Within it, frames are made from these views, which are stored, wherever they are read."""
+    _HELD.update(views)
+    try:
+        yield
+    finally:
+        _HELD.clear()
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir or a view on it."""
+    if name in _HELD:
+        return _HELD[name]
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return spark.sql(VIEWS[name], **{n: frame(spark, sf_dir, n) for n in needs(VIEWS[name])})
