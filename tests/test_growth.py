@@ -86,3 +86,11 @@ def test_feature_table_joins_no_rows_with_rows(spark):
 def test_the_verdict_stores_its_bars_once(spark, sf_dir):
     plan = registry.QUERIES["q20_gate_verdict"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_suppkey" not in plan and not fixtures._HELD
+
+
+@pytest.mark.parametrize("name", ["e03_paired_difference", "e09_z_buckets"])
+def test_securities_and_days_are_dealt_out_by_rows(spark, sf_dir, monkeypatch, name):
+    monkeypatch.setattr(fixtures, "ROWS_A_TASK", 500)
+    plan = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2 and plan.count("Scan parquet") == 1
+    assert "hashpartitioning(security_id" not in plan

@@ -274,9 +274,10 @@ SELECT CAST(bucket AS INT) AS bucket, CAST(sum(n) AS BIGINT) AS n, count(*) AS n
 def _(i):
     from pyspark.sql import Window
 
-    scanned = trend.trend_scan(calm(i), (21,), keep=("close",)).withColumn("tb_21", F.round("tb_21", 4))
+    # The bars lie by security: what comes next is taken before the scan, after which they would be dealt out again.
     fwd = F.round(F.ln(F.lead("close", 5).over(Window.partitionBy("security_id").orderBy("date")) / F.col("close")), 8)
-    own = scanned.select("security_id", "date", "tb_21", fwd.alias("fwd")).where("tb_21 is not null and fwd is not null")
+    scanned = trend.trend_scan(calm(i).withColumn("fwd", fwd), (21,), keep=("fwd",)).withColumn("tb_21", F.round("tb_21", 4))
+    own = i.dealt(scanned.select("date", "tb_21", "fwd").where("tb_21 is not null and fwd is not null"), "date")
     return rounded(diagnostics.bucket_ic(own.withColumn("z", diagnostics.unit_null("tb_21", 21)), "tb_21", "fwd", least=5))
 
 
