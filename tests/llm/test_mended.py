@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import embeddings
+from tidemark.llm import embeddings, jaccard
 from tidemark.llm.pages import main_text
 
 STORY = "a long story of the river and the town " * 12
@@ -49,3 +49,39 @@ def test_recall_of_links_at_the_threshold(spark):
     assert (links <= want).all()  # none below the threshold
     print("recall", links.sum() / want.sum())
     assert links.sum() >= 0.98 * want.sum()
+
+
+def test_near_documents_whose_keys_unlike_sets_share_by_chance(spark, monkeypatch):
+    """48 bits of a key travel, so in a large table sets of any size meet by chance under a key: that is no error and loses no link."""
+    rows = []
+    for g, size in enumerate((12, 60, 75, 300, 900)):  # one changed word each: a chain of near copies in each group
+        words = [f"g{g}w{k}" for k in range(size)]
+        rows += [(10 * g + i, " ".join([*words[: size - i], *(f"x{g}{i}{k}" for k in range(i))])) for i in range(2 + (size > 12))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def met(near):
+        keys = jaccard.shared_keys
+
+        def by_chance(units, buckets):
+            own = keys(units, buckets)
+            return own.union(own.select("key", "low").distinct().crossJoin(units.select("node")).where("node > low").select("key", "node", "low"))
+
+        with monkeypatch.context() as m:
+            if near:
+                m.setattr(jaccard, "shared_keys", by_chance)
+            return {r.doc_id: r.component_id for r in jaccard.near_documents(df, 4, 85).collect()}
+
+    want = met(False)
+    assert set(want.values()) == {0, 1, 10, 20, 30, 40} and want[12] == 10
+    assert met(True) == want
+
+
+def test_classes_that_are_compared_under_a_key():
+    classes = jaccard.Classes(80)
+    sizes = np.array([*range(1, 200), 1000, 5000])
+    at = [classes.at(int(s)) for s in sizes]
+    met = set()
+    for c, among in jaccard.comparable(classes, sizes):
+        assert {at[i] for i in among} <= {c, c + 1}
+        met |= {(i, j) for i in among.tolist() for j in among.tolist()}
+    assert met == {(i, j) for i in range(len(sizes)) for j in range(len(sizes)) if abs(at[i] - at[j]) < 2}

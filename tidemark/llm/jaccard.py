@@ -219,6 +219,14 @@ def likely_pairs(pairs: DataFrame, link: int) -> DataFrame:
     return pairs.mapInArrow(run, "node long, low long")
 
 
+def comparable(classes: Classes, sizes: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Places of the sizes that lie in one class or in two neighbours, with the lower class. The nodes of a key do, but for those
+    that a chance match adds, which may be of any size; sets that lie further apart don't link."""
+    at = np.array([classes.at(s) for s in sizes.tolist()])
+    have = set(at.tolist())
+    return [(c, np.flatnonzero((at == c) | (at == c + 1))) for c in sorted(have) if c - 1 not in have or c + 1 in have]
+
+
 def likely_in_blocks(packs: DataFrame, link: int) -> DataFrame:
     """A forest of the pairs, of nodes of different components `part`, whose outlines allow a link, for each key (or each two
     blocks of a key's nodes) of a pack."""
@@ -231,21 +239,22 @@ def likely_in_blocks(packs: DataFrame, link: int) -> DataFrame:
         cut = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
         u, v = [], []
         for a, b in zip(cut, cut[1:], strict=False):
-            own_size, own_side, first = size[a:b], side[a:b], b1[a] == b2[a]
-            at = [classes.at(s) for s in own_size.tolist()]
-            # Nodes of a key lie in its class or in the next.
-            lines = np.array([outline_in(classes, o, s, min(at)) for o, s in zip(outline[a:b], own_size.tolist(), strict=True)])
-            root = np.unique(part[a:b], return_inverse=True)[1]
-            for i in range(b - a):
-                other = np.flatnonzero(root != root[i])
-                other = other[other > i] if first else other[(own_side[other] == 1) & (own_side[i] == 0)]
-                if not len(other):
-                    continue
-                for j in other[outlines_allow(link, lines[i], own_size[i], lines[other], own_size[other])].tolist():
-                    if root[i] != root[j]:
-                        root[root == root[j]] = root[i]
-                        u.append(int(node[a + i]))
-                        v.append(int(node[a + j]))
+            first = b1[a] == b2[a]
+            for c, among in comparable(classes, size[a:b]):
+                among = among + a
+                own_size, own_side = size[among], side[among]
+                lines = np.array([outline_in(classes, outline[k], int(size[k]), c) for k in among.tolist()])
+                root = np.unique(part[among], return_inverse=True)[1]
+                for i in range(len(among)):
+                    other = np.flatnonzero(root != root[i])
+                    other = other[other > i] if first else other[(own_side[other] == 1) & (own_side[i] == 0)]
+                    if not len(other):
+                        continue
+                    for j in other[outlines_allow(link, lines[i], own_size[i], lines[other], own_size[other])].tolist():
+                        if root[i] != root[j]:
+                            root[root == root[j]] = root[i]
+                            u.append(int(node[among[i]]))
+                            v.append(int(node[among[j]]))
         return pa.table({"node": pa.array(u, pa.int64()), "low": pa.array(v, pa.int64())})
 
     return packs.groupBy("pack").applyInArrow(run, "node long, low long")
